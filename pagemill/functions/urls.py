@@ -12,28 +12,34 @@ from pyspark.sql import functions as F
 # RFC 3986 appendix B with a checked scheme.
 # Groups: 1 scheme, 2 "//netloc", 3 netloc, 4 path, 5 query.
 URL = r"(?s)^(?:([a-zA-Z][a-zA-Z0-9+.\-]*):)?(//([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?\z"
-# Link prefixes that never lead to a page, and the path pattern of pages
-# worth saving.
+# Link prefixes that never lead to a page, characters dropped in front of a
+# URL (U+0000 to U+0020), and the path pattern of pages worth saving.
 SKIPPED_PREFIXES = ("#", "javascript:", "mailto:", "tel:")
+LEADING_JUNK = "".join(map(chr, range(0x21)))
 DEFAULT_PATH_PATTERN = r"^/\w+/\d+/\S+/?$"
 
 
+def _clean(url: Column) -> Column:
+    """Without leading blanks and control characters and without any tab or line break."""
+    return F.ltrim(F.translate(url, "\t\r\n", ""), F.lit(LEADING_JUNK))
+
+
 def _part(url: Column, group: int) -> Column:
     return F.regexp_extract(url, URL, group)
 
 
 def url_scheme(url: Column) -> Column:
-    return F.lower(_part(url, 1))
+    return F.lower(_part(_clean(url), 1))
 
 
 def url_netloc(url: Column) -> Column:
     """Host with case, port and user info kept."""
-    return _part(url, 3)
+    return _part(_clean(url), 3)
 
 
 def url_path(url: Column) -> Column:
     """Path without the `;parameters` of its last segment."""
-    return F.regexp_replace(_part(url, 4), r"(?s);[^/]*\z", "")
+    return F.regexp_replace(_part(_clean(url), 4), r"(?s);[^/]*\z", "")
 
 
 def url_defrag(url: Column) -> Column:
@@ -67,9 +73,8 @@ def url_slug(url: Column) -> Column:
 
 def _fold_dots(path: Column) -> Column:
     """Apply '.' and '..' segments."""
-    segments = F.split(path, "/")
     folded = F.aggregate(
-        segments,
+        F.split(path, "/"),
         F.array().cast("array<string>"),
         lambda done, seg: F.when(
             seg == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
@@ -91,34 +96,58 @@ def _absolute_path(path: Column) -> Column:
     return F.when(F.contains(path, F.lit("/.")), _fold_dots(path)).otherwise(path)
 
 
-def resolve_url(base: Column, href: Column) -> Column:
-    """Absolute URL of `href` as found on the page `base`, without the fragment.
+def _after(text: Column, mark: str) -> Column:
+    """From the first `mark` on, '' if there is none or nothing follows it."""
+    at = F.instr(text, mark)
+    return F.when((at > 0) & (at < F.length(text)), F.substr(text, at)).otherwise(F.lit(""))
+
+
+def base_parts(url: Column) -> Column:
+    """The parts of a page's URL that its links are resolved against. Compute it once per
+    page, ahead of a loop over its links."""
+    url = _clean(url)
+    query = _part(url, 5)
+    folder = F.regexp_extract(_part(url, 4), r"(?s)^(.*/)?[^/]*\z", 1)
+    return F.struct(
+        url_defrag(url).alias("url"),
+        url_scheme(url).alias("scheme"),
+        F.concat(url_scheme(url), F.lit("://"), url_netloc(url)).alias("site"),
+        F.when(folder == "", F.lit("/")).otherwise(folder).alias("folder"),
+        _part(url, 4).alias("path"),
+        F.when(query == "", F.lit("")).otherwise(F.concat(F.lit("?"), query)).alias("query"),
+    )
+
+
+def resolve_against(base: Column, href: Column) -> Column:
+    """Absolute URL, without fragment, of `href` on a page with `base_parts` `base`.
 
-    Null when the host has an unpaired bracket. `base` must be absolute.
+    Null when the host has an unpaired bracket. Branches are ordered by how common they
+    are: a rooted link, by far the most frequent kind, needs no pattern matching beyond
+    the removal of control characters. A link with a scheme of its own is returned as is.
     """
-    href = F.regexp_replace(href, r"^[\x00-\x20]+|[\t\r\n]+", "")
-    scheme, netloc, path, query = (_part(href, g) for g in (1, 3, 4, 5))
-    base_scheme, base_netloc, base_path = url_scheme(base), url_netloc(base), _part(base, 4)
-    foreign = (scheme != "") & (F.lower(scheme) != base_scheme)
+    raw, href = href, _clean(href)
+    target = url_defrag(href)
+    path, query = F.substring_index(target, "?", 1), _after(target, "?")
+    scheme, authority, netloc = _part(href, 1), _part(href, 2), _part(href, 3)
+    rest = F.concat(_part(href, 4), query)
+    rooted = F.startswith(path, F.lit("/")) & ~F.startswith(path, F.lit("//"))
+    foreign = (scheme != "") & (F.lower(scheme) != base["scheme"])
     broken = F.contains(netloc, F.lit("[")) != F.contains(netloc, F.lit("]"))
-
-    site = F.concat(base_scheme, F.lit("://"), base_netloc)
-    suffix = F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit(""))
-    base_query = _part(base, 5)
-    kept_suffix = (
-        F.when(query != "", suffix)
-        .when(base_query != "", F.concat(F.lit("?"), base_query))
-        .otherwise(F.lit(""))
-    )
-    folder = F.regexp_extract(base_path, r"(?s)^(.*/)?[^/]*\z", 1)
-    relative = F.regexp_replace(
-        F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), path), "/{2,}", "/"
-    )
+    local = _part(href, 4)
+    relative = F.regexp_replace(F.concat(base["folder"], local), "/{2,}", "/")
     return (
-        F.when(broken, F.lit(None).cast("string"))
-        .when(foreign, url_defrag(href))
-        .when(netloc != "", F.concat(base_scheme, F.lit("://"), netloc, path, suffix))
-        .when(path == "", F.concat(site, base_path, kept_suffix))
-        .when(F.startswith(path, F.lit("/")), F.concat(site, _absolute_path(path), suffix))
-        .otherwise(F.concat(site, _absolute_path(relative), suffix))
+        F.when(raw == "", base["url"])
+        .when(rooted, F.concat(base["site"], _absolute_path(path), query))
+        .when((authority != "") & broken, F.lit(None).cast("string"))
+        .when(foreign, url_defrag(raw))
+        .when(netloc != "", F.concat(base["scheme"], F.lit(":"), authority, rest))
+        .when((local == "") & (query == ""), F.concat(base["site"], base["path"], base["query"]))
+        .when(local == "", F.concat(base["site"], base["path"], query))
+        .when(F.startswith(local, F.lit("/")), F.concat(base["site"], _absolute_path(local), query))
+        .otherwise(F.concat(base["site"], _absolute_path(relative), query))
     )
+
+
+def resolve_url(base: Column, href: Column) -> Column:
+    """Absolute URL of `href` as found on the page with the absolute URL `base`."""
+    return resolve_against(base_parts(base), href)

@@ -9,9 +9,10 @@ from pagemill.functions.html import CATEGORY_MARK, CONTENT, parse_html
 from pagemill.functions.text import collapse_newlines
 from pagemill.functions.urls import (
     DEFAULT_PATH_PATTERN,
+    base_parts,
     href_followable,
     path_matches,
-    resolve_url,
+    resolve_against,
     url_netloc,
 )
 
@@ -24,21 +25,21 @@ def parse_pages(
     mark: str = CATEGORY_MARK,
     html: Column | None = None,
 ) -> DataFrame:
-    """Replace the html column by the parsed struct `page`, main text already tidied."""
+    """Replace the html column by the parsed struct `page` and the tidied main text `text`."""
     parsed = parse_html(F.col("html") if html is None else html, content, mark)
-    return (
-        pages.withColumn("page", parsed)
-        .drop("html")
-        .withColumn("page", F.col("page").withField("text", collapse_newlines(F.col("page.text"))))
-    )
+    return with_text(pages.withColumn("page", parsed).drop("html"))
+
 
+def with_text(parsed: DataFrame) -> DataFrame:
+    return parsed.withColumn("text", collapse_newlines(F.col("page.text")))
 
-def reject_reason(page: str = "page", min_chars: int = MIN_PAGE_CHARS) -> Column:
+
+def reject_reason(min_chars: int = MIN_PAGE_CHARS) -> Column:
     """Why a parsed page gives no record; null when it does. First reason wins."""
     return (
-        F.when(F.col(f"{page}.title") == "", F.lit("no_title"))
-        .when(F.col(f"{page}.text").isNull(), F.lit("no_content"))
-        .when(F.length(f"{page}.text") < min_chars, F.lit("short_text"))
+        F.when(F.col("page.title") == "", F.lit("no_title"))
+        .when(F.col("page.text").isNull(), F.lit("no_content"))
+        .when(F.length("text") < min_chars, F.lit("short_text"))
     )
 
 
@@ -49,13 +50,13 @@ def extract_pages(
     min_chars: int = MIN_PAGE_CHARS,
 ) -> DataFrame:
     """Title, text and categories of each page plus `reject`, null for a good record."""
-    return (
-        parse_pages(pages, content, mark)
-        .withColumn("reject", reject_reason(min_chars=min_chars))
-        .withColumn("title", F.col("page.title"))
-        .withColumn("text", F.col("page.text"))
-        .withColumn("categories", F.col("page.categories"))
-        .drop("page")
+    keep = [c for c in pages.columns if c != "html"]
+    return parse_pages(pages, content, mark).select(
+        *keep,
+        "page.title",
+        "text",
+        "page.categories",
+        reject_reason(min_chars).alias("reject"),
     )
 
 
@@ -64,12 +65,11 @@ def page_records(extracted: DataFrame) -> DataFrame:
     return extracted.filter(F.col("reject").isNull()).drop("reject")
 
 
-def page_links(url: Column, hrefs: Column, base_domain: str | None = None) -> Column:
-    """Links of one page worth following: resolved, same domain, without fragment, distinct,
+def page_links(base: Column, hrefs: Column, domain: Column) -> Column:
+    """Links of one page worth following: resolved, on `domain`, without fragment, distinct,
     in order of first occurrence. array_distinct keeps the first of equals, so no shuffle
     is needed to make links unique within their page."""
-    domain = url_netloc(url) if base_domain is None else F.lit(base_domain)
-    resolved = F.transform(F.filter(hrefs, href_followable), lambda h: resolve_url(url, h))
+    resolved = F.transform(F.filter(hrefs, href_followable), lambda h: resolve_against(base, h))
     return F.array_distinct(F.filter(resolved, lambda u: url_netloc(u) == domain))
 
 
@@ -86,10 +86,14 @@ def extract_links(
 
 def explode_links(parsed: DataFrame, base_domain: str | None = None, *keep: str) -> DataFrame:
     """Links of parsed pages (url, page), after any columns named in `keep`."""
-    links = page_links(F.col("src_url"), F.col("page.hrefs"), base_domain)
-    return parsed.withColumnRenamed("url", "src_url").select(
-        *keep, "src_url", F.posexplode(links).alias("pos", "url")
-    )
+    domain = url_netloc(F.col("src_url")) if base_domain is None else F.lit(base_domain)
+    based = parsed.select(
+        *keep,
+        F.col("url").alias("src_url"),
+        F.col("page.hrefs").alias("_hrefs"),
+    ).withColumns({"_base": base_parts(F.col("src_url")), "_domain": domain})
+    links = page_links(F.col("_base"), F.col("_hrefs"), F.col("_domain"))
+    return based.select(*keep, "src_url", F.posexplode(links).alias("pos", "url"))
 
 
 def page_source(pages: DataFrame) -> DataFrame:
@@ -129,7 +133,7 @@ def page_outcomes(
     parsed = parse_pages(flagged, content, mark, html=wanted)
     outcome = F.coalesce(
         F.col("state"),
-        F.when(reject_reason(min_chars=min_chars).isNotNull(), F.lit("SKIP")).otherwise(F.lit("OK")),
+        F.when(reject_reason(min_chars).isNotNull(), F.lit("SKIP")).otherwise(F.lit("OK")),
     )
     return parsed.withColumn("outcome", outcome).select(
         "url",

@@ -95,7 +95,9 @@ def crawl_reachable(
     large one is joined by shuffle.
     """
     spark = links.sparkSession
-    edges = materialize(links.select("src_url", "pos", "url"), "edges")
+    # A pair of plain integers is aggregated by hashing; a struct of them would be sorted.
+    unique = links.groupBy("src_url", "url").agg(F.min("pos").alias("pos"))
+    edges = materialize(unique, "edges")
     base = scratch_path(spark, "levels")
     schema = T.StructType([*_LEVEL.fields, T.StructField("depth", T.IntegerType())])
 
@@ -116,13 +118,12 @@ def crawl_reachable(
             ranked = _with_visit_rank(reached).filter(F.col("visit_rank") <= max_pages)
             level = ranked.filter(F.col("depth") == depth)
         parents = level.select(F.col("url").alias("src_url"), F.col("ord").alias("src_ord"))
-        place = F.min(F.struct("src_ord", "pos")).alias("place")
         found = (
             edges.join(parents, "src_url")
             .groupBy("url")
-            .agg(place)
+            .agg(F.min("src_ord").alias("src_ord"), F.min_by("pos", "src_ord").alias("pos"))
             .join(reached.select("url"), "url", "left_anti")
-            .orderBy("place.src_ord", "place.pos")
+            .orderBy("src_ord", "pos")
             .select("url", F.monotonically_increasing_id().alias("ord"))
         )
         path = f"{base}/depth={depth + 1}"

@@ -23,7 +23,7 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc = F.col("doc_id")
     return table(spark, sf_dir, "documents").select(
         F.concat(
-            F.lit("https://example.com/d/"), F.floor(doc / 2).cast("bigint").cast("string")
+            F.lit("https://example.com/d/"), F.expr("doc_id div 2").cast("string")
         ).alias("url"),
         F.when(doc % 6 == 0, F.lit(""))
         .otherwise(F.concat("source", F.lit(" "), doc.cast("string")))
@@ -91,7 +91,7 @@ def page_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links i -> 2i+1, 2i+2, i div 3 between the ids of `pages`."""
     ids = table(spark, sf_dir, "pages").select("page_id")
     i = F.col("page_id")
-    targets = F.array(2 * i + 1, 2 * i + 2, F.floor(i / 3).cast("bigint"))
+    targets = F.array(2 * i + 1, 2 * i + 2, F.expr("page_id div 3"))
     return (
         ids.select(i.alias("src"), F.posexplode(targets).alias("pos", "dst"))
         .join(ids.withColumnRenamed("page_id", "dst"), "dst", "left_semi")
@@ -103,7 +103,7 @@ def page_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def visited_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """URLs of the first half of `pages`."""
-    half = F.floor((F.max("page_id") + 1) / 2)
+    half = F.expr("(max(page_id) + 1) div 2")
     pages = table(spark, sf_dir, "pages")
     limit = pages.agg(half.alias("half")).first()["half"]
     return pages.filter(F.col("page_id") < limit).select(

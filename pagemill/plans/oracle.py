@@ -316,7 +316,7 @@ ORACLES: dict[str, str] = {
     "stream_ingest": _sql("entries delivered", f"""
         SELECT url, {_FLAT} FROM delivered WHERE length({_strip('text')}) >= 100"""),
     "stream_resume": _sql("entries", """
-        SELECT run, stored FROM (
+        SELECT CAST(run AS BIGINT) AS run, stored FROM (
             SELECT 1 AS run, count(DISTINCT url) AS stored FROM entries WHERE ord % 5 < 3
             UNION ALL SELECT 2, count(DISTINCT url) FROM entries
             UNION ALL SELECT 3, count(DISTINCT url) FROM entries)"""),

@@ -9,11 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "pagemill", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the operators are tuned for.
-
-    Arrow batches are kept small because one row holds a whole HTML page: the default
-    of 10,000 rows could be gigabytes per batch.
-    """
+    """A session with the settings the operators are meant to run with."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -21,7 +17,6 @@ def build_session(app: str = "pagemill", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
         "spark.ui.enabled": "false",
         **conf,
     }

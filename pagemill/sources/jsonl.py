@@ -14,18 +14,23 @@ SOURCE_ORDER = ("file_name", "block_start", "line_id")
 REJECTED = "_rejected"
 
 
-def source_lines(lines: DataFrame) -> DataFrame:
-    """Non-blank lines of a text source with their place: file name, then block, then line.
-
-    The line id is taken at the scan, before any shuffle. It grows within a block but not
-    from file to file, so it must come last in the order.
-    """
-    return lines.select(
+def with_place(rows: DataFrame, *columns: str) -> DataFrame:
+    """`columns` of a file source beside the file and block each row comes from."""
+    return rows.select(
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("line_id"),
-        F.col("value"),
-    ).filter(strip(F.col("value")) != "")
+        *columns,
+    )
+
+
+def number_rows(placed: DataFrame) -> DataFrame:
+    """Complete `SOURCE_ORDER`. The id must be taken before any shuffle. It grows within a
+    block but not from file to file, so it comes last in the order."""
+    return placed.withColumn("line_id", F.monotonically_increasing_id())
+
+
+def not_blank(lines: DataFrame) -> DataFrame:
+    return lines.filter(strip(F.col("value")) != "")
 
 
 def parse_lines(
@@ -54,7 +59,8 @@ def read_jsonl(
     reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return parse_lines(source_lines(reader.text(path)), schema, mode)
+    lines = number_rows(with_place(reader.text(path), "value"))
+    return parse_lines(not_blank(lines), schema, mode)
 
 
 def split_rejects(permissive: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -74,8 +80,7 @@ def read_pairs(spark: SparkSession, path: str, optional: bool = False) -> DataFr
         raise
     pair: Column = F.from_json("value", PAIR, {"mode": "FAILFAST"})
     return (
-        lines.select("value")
-        .filter(strip(F.col("value")) != "")
+        not_blank(lines.select("value"))
         .select(pair.alias("pair"))
         .select("pair.*")
     )

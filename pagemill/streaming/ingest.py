@@ -18,12 +18,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pagemill.functions.html import CATEGORY_MARK, CONTENT, parse_html
-from pagemill.functions.text import collapse_newlines
 from pagemill.operators.curate import first_per_key
-from pagemill.operators.extract import explode_links, reject_reason
+from pagemill.operators.extract import explode_links, reject_reason, with_text
 from pagemill.operators.frontier import frontier_next
 from pagemill.schemas import FRONTIER, PAGE
-from pagemill.sources.jsonl import SOURCE_ORDER, parse_lines, source_lines
+from pagemill.sources.jsonl import SOURCE_ORDER, not_blank, number_rows, parse_lines, with_place
 
 _BATCH = T.StructField("batch", T.LongType())
 LINKS = T.StructType([
@@ -85,13 +84,13 @@ def stream_ingest(
         .option("maxFilesPerTrigger", max_files)
         .text(in_dir)
     )
-    records = parse_lines(source_lines(lines), schema).withColumn(
-        "url", F.coalesce(F.col("url"), F.lit(""))
-    )
 
     def keep_new(batch: DataFrame, batch_id: int) -> None:
+        records = parse_lines(not_blank(number_rows(batch)), schema).withColumn(
+            "url", F.coalesce(F.col("url"), F.lit(""))
+        )
         order = [F.col(c) for c in SOURCE_ORDER]
-        first = first_per_key(batch, F.col("url"), order).select(*schema.names)
+        first = first_per_key(records, F.col("url"), order).select(*schema.names)
         if batch_id == 0:
             _write_batch(first, out_dir, batch_id)
             return
@@ -100,7 +99,7 @@ def stream_ingest(
         _write_batch(_unseen(first, seen), out_dir, batch_id)
         first.unpersist()
 
-    return _start(records, checkpoint or f"{out_dir}/_checkpoint", keep_new)
+    return _start(with_place(lines, "value"), checkpoint or f"{out_dir}/_checkpoint", keep_new)
 
 
 CRAWLED = T.StructType([*PAGE.fields, T.StructField("reject", T.StringType())])
@@ -126,17 +125,10 @@ def stream_crawl(
         .option("maxFilesPerTrigger", max_files)
         .parquet(in_dir)
     )
-    arrived = fetched.select(
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("line_id"),
-        "url",
-        "html",
-    )
-
     def keep_new(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        new = first_per_key(batch, F.col("url"), [F.col(c) for c in SOURCE_ORDER])
+        order = [F.col(c) for c in SOURCE_ORDER]
+        new = first_per_key(number_rows(batch), F.col("url"), order)
         if batch_id > 0:
             done = read_batches(session, f"{out_dir}/pages", CRAWLED)
             new = _unseen(new, done.filter(F.col("batch") < batch_id))
@@ -147,15 +139,14 @@ def stream_crawl(
             parse_html(F.col("html"), content, mark).alias("page"),
         ).persist(StorageLevel.MEMORY_AND_DISK)
         _write_batch(explode_links(parsed, base_domain, "src_ord"), f"{out_dir}/links", batch_id)
-        tidy = F.col("page").withField("text", collapse_newlines(F.col("page.text")))
-        pages = parsed.withColumn("page", tidy).select(
-            "url", "page.title", "page.text", "page.categories", reject_reason().alias("reject")
+        pages = with_text(parsed).select(
+            "url", "page.title", "text", "page.categories", reject_reason().alias("reject")
         )
         # Last, because this is what marks the URLs as visited.
         _write_batch(pages, f"{out_dir}/pages", batch_id)
         parsed.unpersist()
 
-    return _start(arrived, checkpoint or f"{out_dir}/_checkpoint", keep_new)
+    return _start(with_place(fetched, "url", "html"), checkpoint or f"{out_dir}/_checkpoint", keep_new)
 
 
 def crawl_frontier(spark: SparkSession, out_dir: str) -> DataFrame:
