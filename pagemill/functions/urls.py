@@ -12,16 +12,16 @@ from pyspark.sql import functions as F
 # RFC 3986 appendix B with a checked scheme.
 # Groups: 1 scheme, 2 "//netloc", 3 netloc, 4 path, 5 query.
 URL = r"(?s)^(?:([a-zA-Z][a-zA-Z0-9+.\-]*):)?(//([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?\z"
-# Link prefixes that never lead to a page, characters dropped in front of a
-# URL (U+0000 to U+0020), and the path pattern of pages worth saving.
+# Link prefixes that never lead to a page, characters that are no part of a
+# URL, and the path pattern of pages worth saving.
 SKIPPED_PREFIXES = ("#", "javascript:", "mailto:", "tel:")
-LEADING_JUNK = "".join(map(chr, range(0x21)))
+URL_JUNK = r"^[\x00-\x20]+|[\t\r\n]+"
 DEFAULT_PATH_PATTERN = r"^/\w+/\d+/\S+/?$"
 
 
 def _clean(url: Column) -> Column:
     """Without leading blanks and control characters and without any tab or line break."""
-    return F.ltrim(F.translate(url, "\t\r\n", ""), F.lit(LEADING_JUNK))
+    return F.regexp_replace(url, URL_JUNK, "")
 
 
 def _part(url: Column, group: int) -> Column:
@@ -121,16 +121,25 @@ def base_parts(url: Column) -> Column:
 def resolve_against(base: Column, href: Column) -> Column:
     """Absolute URL, without fragment, of `href` on a page with `base_parts` `base`.
 
-    Null when the host has an unpaired bracket. Branches are ordered by how common they
-    are: a rooted link, by far the most frequent kind, needs no pattern matching beyond
-    the removal of control characters. A link with a scheme of its own is returned as is.
+    Null when the host has an unpaired bracket. A link with a scheme of its own is
+    returned as it is.
     """
-    raw, href = href, _clean(href)
+    return _resolve(base, href, _clean(href))
+
+
+def resolve_all(base: Column, hrefs: Column) -> Column:
+    """`resolve_against` over the list of a page's links, each cleaned once."""
+    both = F.transform(hrefs, lambda h: F.struct(h.alias("raw"), _clean(h).alias("clean")))
+    return F.transform(both, lambda h: _resolve(base, h["raw"], h["clean"]))
+
+
+def _resolve(base: Column, raw: Column, href: Column) -> Column:
+    # Branches are ordered by how common they are: a rooted link, by far the most frequent
+    # kind, is resolved without pattern matching.
     target = url_defrag(href)
     path, query = F.substring_index(target, "?", 1), _after(target, "?")
     scheme, authority, netloc = _part(href, 1), _part(href, 2), _part(href, 3)
-    rest = F.concat(_part(href, 4), query)
-    rooted = F.startswith(path, F.lit("/")) & ~F.startswith(path, F.lit("//"))
+    rooted = F.startswith(href, F.lit("/")) & ~F.startswith(href, F.lit("//"))
     foreign = (scheme != "") & (F.lower(scheme) != base["scheme"])
     broken = F.contains(netloc, F.lit("[")) != F.contains(netloc, F.lit("]"))
     local = _part(href, 4)
@@ -140,7 +149,7 @@ def resolve_against(base: Column, href: Column) -> Column:
         .when(rooted, F.concat(base["site"], _absolute_path(path), query))
         .when((authority != "") & broken, F.lit(None).cast("string"))
         .when(foreign, url_defrag(raw))
-        .when(netloc != "", F.concat(base["scheme"], F.lit(":"), authority, rest))
+        .when(netloc != "", F.concat(base["scheme"], F.lit(":"), authority, local, query))
         .when((local == "") & (query == ""), F.concat(base["site"], base["path"], base["query"]))
         .when(local == "", F.concat(base["site"], base["path"], query))
         .when(F.startswith(local, F.lit("/")), F.concat(base["site"], _absolute_path(local), query))

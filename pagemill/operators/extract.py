@@ -12,7 +12,7 @@ from pagemill.functions.urls import (
     base_parts,
     href_followable,
     path_matches,
-    resolve_against,
+    resolve_all,
     url_netloc,
 )
 
@@ -69,7 +69,7 @@ def page_links(base: Column, hrefs: Column, domain: Column) -> Column:
     """Links of one page worth following: resolved, on `domain`, without fragment, distinct,
     in order of first occurrence. array_distinct keeps the first of equals, so no shuffle
     is needed to make links unique within their page."""
-    resolved = F.transform(F.filter(hrefs, href_followable), lambda h: resolve_against(base, h))
+    resolved = resolve_all(base, F.filter(hrefs, href_followable))
     return F.array_distinct(F.filter(resolved, lambda u: url_netloc(u) == domain))
 
 

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from pagemill.functions.html import parse_html
 from pagemill.functions.urls import url_defrag
 from pagemill.operators.extract import explode_links
+from pagemill.sources.tables import read_table
 
 FIXTURE_CONTENT = ("article", None)
 FIXTURE_PATTERN = r"^/\w+/\d+"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
+    return read_table(spark, f"{sf_dir}/{name}.parquet", heavy)
 
 
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,14 +70,14 @@ def doc_html(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFram
         _escape(F.col("source")),
         F.lit("</a><p>z</body></html>"),
     )
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", heavy=True).select(
         "doc_id", F.concat(F.lit("https://example.com/d/"), doc.cast("string")).alias("url"), html.alias("html")
     )
 
 
 def fetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`pages` with a status and a content type: some failed, some not HTML."""
-    return table(spark, sf_dir, "pages").select(
+    return table(spark, sf_dir, "pages", heavy=True).select(
         "page_id",
         "url",
         "html",
@@ -123,7 +124,7 @@ def queued_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queued_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every link of `pages` in queue form, one level below the pages."""
-    parsed = table(spark, sf_dir, "pages").select(
+    parsed = table(spark, sf_dir, "pages", heavy=True).select(
         F.col("page_id").alias("src_ord"),
         "url",
         parse_html(F.col("html"), FIXTURE_CONTENT).alias("page"),

@@ -322,5 +322,12 @@ ORACLES: dict[str, str] = {
             UNION ALL SELECT 3, count(DISTINCT url) FROM entries)"""),
     "stream_crawl": _sql("hrefs links", f"""
         SELECT DISTINCT url FROM links
-        WHERE url NOT IN (SELECT {_DEFRAG} FROM pages)"""),
+        WHERE page_id IN (
+                  SELECT page_id FROM (
+                      SELECT page_id, row_number() OVER (
+                                 PARTITION BY {_DEFRAG}
+                                 ORDER BY CASE WHEN page_id % 3 < 2 THEN 0 ELSE 1 END, page_id) AS rn
+                      FROM pages)
+                  WHERE rn = 1)
+              AND url NOT IN (SELECT {_DEFRAG} FROM pages)"""),
 }

@@ -55,14 +55,14 @@ def strip_text(spark, sf_dir):
 @query
 def collapse_newlines(spark, sf_dir):
     spread = F.replace(F.col("text"), F.lit(". "), F.lit("\n\n\n\n"))
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", heavy=True).select(
         "doc_id", tx.collapse_newlines(spread).alias("text")
     )
 
 
 @query
 def token_cap(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", heavy=True).select("doc_id", "text")
     capped = curate.cap_tokens(docs)
     return capped.select("doc_id", "text", F.col("n_tokens").cast("bigint").alias("n_tokens"))
 
@@ -156,13 +156,17 @@ def prep_summary(spark, sf_dir):
 # --- JSON Lines -----------------------------------------------------------------------
 
 
-def _write_records(spark: SparkSession, df: DataFrame, label: str, descending=False) -> str:
+def _in_order(df: DataFrame, column: str, descending: bool = False) -> DataFrame:
+    """Sorted into several partitions, so that written file names follow `column`."""
+    order = F.col(column).desc() if descending else F.col(column).asc()
+    parts = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartitionByRange(parts, order).sortWithinPartitions(order)
+
+
+def _write_records(spark: SparkSession, df: DataFrame, label: str, descending: bool = False) -> str:
     """Write records as several JSONL files whose names follow `ord`."""
     path = scratch_path(spark, label)
-    order = F.col("ord").desc() if descending else F.col("ord").asc()
-    parts = spark.sparkContext.defaultParallelism
-    ordered = df.repartitionByRange(parts, order).sortWithinPartitions(order)
-    jsonl.write_jsonl(ordered.select(*PAGE.names), path)
+    jsonl.write_jsonl(_in_order(df, "ord", descending).select(*PAGE.names), path)
     return path
 
 
@@ -261,7 +265,7 @@ def url_slug(spark, sf_dir):
 def _page_hrefs(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
     """(page_id, src_url, pos, href) for all hrefs of `pages` and any extra ones."""
     page = parse_html(F.col("html"), FIXTURE_CONTENT)
-    parsed = table(spark, sf_dir, "pages").select(
+    parsed = table(spark, sf_dir, "pages", heavy=True).select(
         "page_id",
         F.col("url").alias("src_url"),
         page["hrefs"].alias("hrefs"),
@@ -293,7 +297,7 @@ def resolve_relative(spark, sf_dir):
     """Every page's URL as the base of one href of each kind."""
     kinds = ("", "#x", "?q=1", "next", "./next", "../up/", "../../../top", "//cdn.example.org/a/../b",
              "https://other.example/x#y", "/r/./s/../t")
-    pages = table(spark, sf_dir, "pages").select(
+    pages = table(spark, sf_dir, "pages", heavy=True).select(
         "page_id", "url", F.explode(F.array(*map(F.lit, kinds))).alias("href")
     )
     return pages.select("page_id", "href", ur.resolve_url(F.col("url"), F.col("href")).alias("url"))
@@ -320,13 +324,13 @@ def page_source(spark, sf_dir):
 @query
 def html_title(spark, sf_dir):
     page = parse_html(F.col("html"), FIXTURE_CONTENT)
-    return table(spark, sf_dir, "pages").select("page_id", page["title"].alias("title"))
+    return table(spark, sf_dir, "pages", heavy=True).select("page_id", page["title"].alias("title"))
 
 
 @query
 def html_text(spark, sf_dir):
     page = parse_html(F.col("html"), FIXTURE_CONTENT)
-    return table(spark, sf_dir, "pages").select("page_id", page["text"].alias("text"))
+    return table(spark, sf_dir, "pages", heavy=True).select("page_id", page["text"].alias("text"))
 
 
 @query
@@ -345,7 +349,7 @@ def html_roundtrip(spark, sf_dir):
 
 @query
 def extract_pages(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
+    pages = table(spark, sf_dir, "pages", heavy=True)
     extracted = extract.extract_pages(pages, content=FIXTURE_CONTENT)
     return flat(extract.page_records(extracted), "page_id", "url")
 
@@ -358,7 +362,7 @@ def extract_reject(spark, sf_dir):
 
 @query
 def extract_links(spark, sf_dir):
-    links = extract.extract_links(table(spark, sf_dir, "pages"), content=FIXTURE_CONTENT)
+    links = extract.extract_links(table(spark, sf_dir, "pages", heavy=True), content=FIXTURE_CONTENT)
     return links.select("src_url", F.col("pos").cast("bigint").alias("pos"), "url")
 
 
@@ -462,9 +466,7 @@ def _two_arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 def _deliver(df: DataFrame, in_dir: str) -> None:
     """Add a delivery's files to the watched folder."""
-    parts = df.sparkSession.sparkContext.defaultParallelism
-    ordered = df.repartitionByRange(parts, "ord").sortWithinPartitions("ord")
-    jsonl.write_jsonl(ordered.select(*PAGE.names), in_dir, mode="append")
+    jsonl.write_jsonl(_in_order(df, "ord").select(*PAGE.names), in_dir, mode="append")
 
 
 @query
@@ -494,10 +496,10 @@ def stream_resume(spark, sf_dir):
 def stream_crawl(spark, sf_dir):
     """Queue left after taking in the pages in two deliveries."""
     in_dir, out_dir = scratch_path(spark, "fetched"), scratch_path(spark, "crawled")
-    pages = table(spark, sf_dir, "pages")
+    pages = table(spark, sf_dir, "pages").withColumn("url", ur.url_defrag(F.col("url")))
     early = F.col("page_id") % 3 < 2
     for part in (pages.filter(early), pages.filter(~early)):
-        part.select(ur.url_defrag(F.col("url")).alias("url"), "html").write.mode("append").parquet(in_dir)
+        _in_order(part, "page_id").select("url", "html").write.mode("append").parquet(in_dir)
         ingest.stream_crawl(
             spark, in_dir, out_dir, content=FIXTURE_CONTENT
         ).awaitTermination()

@@ -1,0 +1,85 @@
+import pyspark.sql.functions as F
+
+from pagemill.operators import curate
+from pagemill.functions import prompts as pr
+
+ENTRY = "url string, title string, text string, categories array<string>, ord bigint"
+LONG, SHORT = "x" * 120, "y"
+
+
+def curated(spark, rows):
+    df = spark.createDataFrame(rows, ENTRY).repartition(4)
+    kept = curate.min_length(curate.dedup_first_wins(df))
+    return sorted(r.ord for r in kept.collect())
+
+
+def test_short_first_record_uses_up_its_url(spark):
+    assert curated(spark, [("u", "", SHORT, None, 0), ("u", "", LONG, None, 1)]) == []
+    assert curated(spark, [("u", "", LONG, None, 0), ("u", "", SHORT, None, 1)]) == [0]
+
+
+def test_records_without_url_are_one_key(spark):
+    rows = [(None, "", LONG, None, 1), ("", "", LONG, None, 0), (None, "", LONG, None, 2), ("u", "", LONG, None, 3)]
+    assert curated(spark, rows) == [0, 3]
+
+
+def test_dedup_is_idempotent(spark):
+    df = spark.range(500).select((F.col("id") % 37).cast("string").alias("url"), F.col("id").alias("ord"))
+    once = curate.dedup_first_wins(df)
+    assert sorted(r.ord for r in curate.dedup_first_wins(once).collect()) == list(range(37))
+
+
+def test_hot_key_is_cut_before_the_shuffle(spark, plan):
+    """A key with a third of all rows reaches the reducer as one row per map task."""
+    df = spark.range(0, 30_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("url"),
+        F.col("id").alias("ord"),
+    )
+    first = curate.dedup_first_wins(df)
+    text = plan(first)
+    assert text.index("row_number(), 1, Final") < text.index("Exchange hashpartitioning") < text.index("row_number(), 1, Partial")
+    rows = first.collect()
+    assert len(rows) == 20_001
+    assert [r.ord for r in rows if r.url == "hot"] == [0]
+
+
+def test_length_filter_stays_above_the_dedup(spark, plan):
+    df = spark.createDataFrame([("u", "", LONG, None, 0)], ENTRY)
+    text = plan(curate.min_length(curate.dedup_first_wins(df)))
+    assert text.index("length(") < text.index("Window ")
+
+
+def test_training_and_generation_prompts(spark):
+    rows = [("u", "X", "t ", ["A", "B"], 0), ("u", "", "t", [], 1), ("u", None, "t", None, 2)]
+    df = spark.createDataFrame(rows, ENTRY)
+    got = curate.training_pairs(df, "ord").orderBy("ord").collect()
+    assert [r.prompt for r in got] == [
+        "Kategori: A, B\nTitel: X\n\nSkriv text:",
+        "Kategori: Allmänt\nTitel: \n\nSkriv text:",
+        "Kategori: Allmänt\nTitel: \n\nSkriv text:",
+    ]
+    assert got[0].completion == " t "
+    asked = df.select("ord", pr.category_label(F.col("categories")).alias("category"), "title")
+    got = curate.generation_prompts(asked, "ord").orderBy("ord").collect()
+    assert [r.prompt for r in got] == [
+        "Kategori: A, B\nTitel: X\n\nSkriv text:", "Kategori: Allmänt\n\nSkriv text:", "Kategori: Allmänt\n\nSkriv text:",
+    ]
+
+
+def test_chat_text(spark):
+    pairs = spark.createDataFrame([(" p ", " c\xa0\x1c")], "prompt string, completion string")
+    rendered = curate.chat_render(pairs)
+    assert rendered.columns == ["text"]
+    head = "<|begin_of_text|><|start_header_id|>user<|end_header_id|>\n\n p <|eot_id|><|start_header_id|>assistant<|end_header_id|>\n\n"
+    assert rendered.first().text == head + "c<|eot_id|>"
+    chat = curate.chat_messages(pairs, F.lit("user"), F.col("prompt")).first()
+    assert [m.asDict() for m in chat.messages] == [{"role": "user", "content": " p "}]
+    assert chat.rendered == head
+
+
+def test_last_write_wins(spark):
+    rows = [("https://h/a/1", 0), ("https://h/a/1?q", 1), ("https://h/A-1/", 2), ("https://i/a/1", 3), ("https://h/a/1", 4)]
+    df = spark.createDataFrame(rows, "url string, seq bigint")
+    by_slug = {(r.host, r.slug): r.seq for r in curate.upsert_pages(df, by="slug").collect()}
+    assert by_slug == {("h", "a-1"): 4, ("i", "a-1"): 3}
+    assert sorted(r.seq for r in curate.upsert_pages(df).collect()) == [1, 2, 3, 4]
