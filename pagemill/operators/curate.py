@@ -45,14 +45,28 @@ def min_length(df: DataFrame, col: str = "text", n: int = MIN_TEXT_CHARS) -> Dat
     return df.filter(stripped_length(F.col(col)) >= n)
 
 
-def upsert_pages(pages: DataFrame, by: str = "url", seq: str = "seq") -> DataFrame:
+def curated_entries(
+    df: DataFrame, key: str = "url", order: tuple[str, ...] = ("ord",), n: int = MIN_TEXT_CHARS
+) -> DataFrame:
+    """`dedup_first_wins`, then `min_length`.
+
+    The length is taken ahead of the shuffle, so whoever needs only the keys of the result
+    does not drag the texts through it.
+    """
+    measured = df.withColumn("_chars", stripped_length(F.col("text")))
+    return dedup_first_wins(measured, key, order).filter(F.col("_chars") >= n).drop("_chars")
+
+
+def upsert_pages(
+    pages: DataFrame, by: str = "url", seq: tuple[str, ...] = ("seq",)
+) -> DataFrame:
     """Last write wins. By URL no page is lost; `by='slug'` does what a store with a folder
     per host and a file per slug does, where pages of equal slug replace each other."""
+    url, latest = F.col("url"), [F.col(c).desc() for c in seq]
     if by == "url":
-        return first_per_key(pages, F.col("url"), [F.col(seq).desc()])
-    url = F.col("url")
+        return first_per_key(pages, url, latest)
     keyed = pages.withColumns({"host": url_netloc(url), "slug": url_slug(url)})
-    return first_per_key(keyed, F.struct("host", "slug"), [F.col(seq).desc()])
+    return first_per_key(keyed, F.struct("host", "slug"), latest)
 
 
 def training_pairs(entries: DataFrame, *keep: str) -> DataFrame:

@@ -150,9 +150,8 @@ def _with_visit_rank(levels: DataFrame) -> DataFrame:
         "_part",
         (F.sum("n").over(Window.orderBy("depth", "_part")) - F.col("n")).alias("_start"),
     )
-    # One row per level and shuffle partition, whatever the number of pages.
     return (
-        numbered.join(F.broadcast(starts), ["depth", "_part"])
+        numbered.join(starts, ["depth", "_part"])
         .withColumn("visit_rank", F.col("_start") + row + 1)
         .drop("_part", "_start")
     )

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagemill.session import materialize
+
 PREFIX = 4  # hex digits of a bucket
 SPLIT_SEED = 42  # fixed values: seed and share of the validation part
 VAL_RATIO = 0.1
@@ -64,12 +66,13 @@ def seeded_order(df: DataFrame, key: str, seed: int = SPLIT_SEED) -> DataFrame:
 def split_cut(df: DataFrame, key: str, val_ratio: float, seed: int) -> tuple[str, str] | None:
     """(hash, key) of the last training row in the seeded order; None if there is none.
 
-    Reads the key column only. The bucket that holds the cut is found from the counts, and
-    only that bucket (one in 16**4) is ranked.
+    Only the keys are read from `df`, once, into a scratch table. The bucket that holds the
+    cut is found from the counts, and only that bucket (one in 16**4) is ranked.
     """
-    hashed = df.select(
+    keys = df.select(
         order_hash(F.col(key), seed).alias("_hash"), key_text(F.col(key)).alias("_key")
     )
+    hashed = materialize(keys, "split-keys")
     n_train = F.floor(F.col("total").cast("double") * F.lit(1 - val_ratio)).cast("long")
     place = (
         _bucket_counts(hashed)
@@ -99,8 +102,8 @@ def train_val_split(
     """Add `split`: the first int(n * (1 - val_ratio)) rows in seeded order are 'train', the
     rest 'val'. Exact, disjoint and complete.
 
-    Finding the cut runs two small jobs on the key column; labelling the rows is then a
-    plain comparison, so the wide rows are neither shuffled nor sorted.
+    Finding the cut works on the key column alone; labelling the rows is then a plain
+    comparison, so the wide rows are neither shuffled nor sorted.
     """
     cut = split_cut(df, key, val_ratio, seed)
     if cut is None:

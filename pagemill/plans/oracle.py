@@ -291,6 +291,15 @@ ORACLES: dict[str, str] = {
                          regexp_replace(lower(trim({_part('url', 3)}, '/')), '[^a-z0-9]+', '-', 'g') AS slug
                   FROM pages))
         WHERE rn = 1"""),
+    "page_store": _sql("", f"""
+        SELECT slug, url, seq, batch, digest FROM (
+            SELECT *, row_number() OVER (PARTITION BY slug ORDER BY batch DESC, seq DESC) AS rn
+            FROM (SELECT 'https://example.com' || {_part('url', 3)} AS url, page_id AS seq,
+                         CAST(CASE WHEN page_id % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS batch,
+                         md5(html) AS digest,
+                         regexp_replace(lower(trim({_part('url', 3)}, '/')), '[^a-z0-9]+', '-', 'g') AS slug
+                  FROM pages))
+        WHERE rn = 1"""),
     "visit_gate": _sql("hrefs links visited queued", """
         SELECT DISTINCT url FROM (SELECT url FROM queued UNION ALL SELECT url FROM links)
         WHERE url NOT IN (SELECT url FROM visited)"""),

@@ -17,6 +17,7 @@ from pagemill.plans.inputs import FIXTURE_CONTENT, FIXTURE_PATTERN, table
 from pagemill.schemas import PAGE
 from pagemill.session import scratch_path
 from pagemill.sources import jsonl
+from pagemill.sources.pages import load_pages, save_pages
 from pagemill.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,7 +31,7 @@ def query(build: Query) -> Query:
 
 def curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First record per URL, then only long texts."""
-    return curate.min_length(curate.dedup_first_wins(inputs.entries(spark, sf_dir)))
+    return curate.curated_entries(inputs.entries(spark, sf_dir))
 
 
 def flat(df: DataFrame, *columns: str) -> DataFrame:
@@ -145,11 +146,10 @@ def sample_pair(spark, sf_dir):
 
 @query
 def prep_summary(spark, sf_dir):
-    raw = inputs.entries(spark, sf_dir)
     read = table(spark, sf_dir, "documents").select(
         F.concat("source", F.lit(".jsonl")).alias("file_name")
     )
-    kept = curate.min_length(curate.dedup_first_wins(raw)).select("url")
+    kept = curated(spark, sf_dir).select("url")
     return report.prep_summary(read, split.train_val_split(kept, "url"))
 
 
@@ -175,8 +175,7 @@ def jsonl_scan(spark, sf_dir):
     """Files hold the records in falling `ord`, so the last record of a URL comes first."""
     path = _write_records(spark, inputs.entries(spark, sf_dir), "scan", descending=True)
     records = jsonl.read_jsonl(spark, path, glob="*.json")
-    first = curate.dedup_first_wins(records, order=jsonl.SOURCE_ORDER)
-    return flat(curate.min_length(first), "url")
+    return flat(curate.curated_entries(records, order=jsonl.SOURCE_ORDER), "url")
 
 
 @query
@@ -388,10 +387,26 @@ def outcome_counts(spark, sf_dir):
 @query
 def page_upsert(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url", F.length("html").alias("chars"))
-    last = curate.upsert_pages(pages, by="slug", seq="page_id")
+    last = curate.upsert_pages(pages, by="slug", seq=("page_id",))
     return last.select("host", "slug", "page_id", "url", F.col("chars").cast("bigint").alias("chars"))
 
 
+@query
+def page_store(spark, sf_dir):
+    """Pages saved in two batches as if of one host, so that many share a slug."""
+    path = scratch_path(spark, "store")
+    pages = table(spark, sf_dir, "pages")
+    one_host = F.concat(F.lit("https://example.com"), ur.url_path(F.col("url")))
+    records = pages.select(
+        one_host.alias("url"), F.col("page_id").alias("seq"), F.md5("html").alias("digest")
+    )
+    late = F.col("seq") % 3 == 0
+    save_pages(records.filter(~late), path, 0)
+    save_pages(records.filter(late), path, 1)
+    stored = load_pages(spark, path, records.schema, by="slug")
+    return stored.select("slug", "url", "seq", "batch", "digest")
+
+
 # --- visited set, queue, reachability -------------------------------------------------
 
 

@@ -1,7 +1,10 @@
+import re
+
 import pyspark.sql.functions as F
 
 from pagemill.operators import curate
 from pagemill.functions import prompts as pr
+from pagemill.sources.pages import load_pages, save_pages
 
 ENTRY = "url string, title string, text string, categories array<string>, ord bigint"
 LONG, SHORT = "x" * 120, "y"
@@ -9,8 +12,9 @@ LONG, SHORT = "x" * 120, "y"
 
 def curated(spark, rows):
     df = spark.createDataFrame(rows, ENTRY).repartition(4)
-    kept = curate.min_length(curate.dedup_first_wins(df))
-    return sorted(r.ord for r in kept.collect())
+    kept = sorted(r.ord for r in curate.min_length(curate.dedup_first_wins(df)).collect())
+    assert sorted(r.ord for r in curate.curated_entries(df).collect()) == kept
+    return kept
 
 
 def test_short_first_record_uses_up_its_url(spark):
@@ -49,6 +53,13 @@ def test_length_filter_stays_above_the_dedup(spark, plan):
     assert text.index("length(") < text.index("Window ")
 
 
+def test_keys_of_curated_entries_do_not_drag_texts_through_the_shuffle(spark, plan):
+    text = plan(curate.curated_entries(spark.createDataFrame([], ENTRY).repartition(2)).select("url"))
+    (before_shuffle,) = [line for line in text.splitlines() if "AS _chars#" in line]
+    assert text.index("Exchange hashpartitioning") < text.index("AS _chars#")
+    assert not re.search(r"[\[ ]text#\d+[,\]]", before_shuffle)
+
+
 def test_training_and_generation_prompts(spark):
     rows = [("u", "X", "t ", ["A", "B"], 0), ("u", "", "t", [], 1), ("u", None, "t", None, 2)]
     df = spark.createDataFrame(rows, ENTRY)
@@ -83,3 +94,22 @@ def test_last_write_wins(spark):
     by_slug = {(r.host, r.slug): r.seq for r in curate.upsert_pages(df, by="slug").collect()}
     assert by_slug == {("h", "a-1"): 4, ("i", "a-1"): 3}
     assert sorted(r.seq for r in curate.upsert_pages(df).collect()) == [1, 2, 3, 4]
+
+
+def test_page_store(spark, tmp_path):
+    path, schema = str(tmp_path / "store"), "url string, text string, seq bigint"
+
+    def save(batch, *rows):
+        save_pages(spark.createDataFrame(rows, schema), path, batch)
+
+    def latest(by):
+        stored = load_pages(spark, path, spark.createDataFrame([], schema).schema, by)
+        return sorted(r.text for r in stored.collect())
+
+    save(0, ("https://h/a", "a0", 0), ("https://h/a?q", "aq", 1), ("https://h/b", "b0", 2), ("https://h/b", "b1", 3))
+    assert latest("url") == ["a0", "aq", "b1"]
+    assert latest("slug") == ["aq", "b1"]
+    save(1, ("https://h/a", "dead", 0))
+    save(1, ("https://h/a", "a1", 0))
+    assert latest("url") == ["a1", "aq", "b1"]
+    assert latest("slug") == ["a1", "b1"]
