@@ -6,14 +6,20 @@ column crosses to the Python worker and all other columns stay in the JVM.
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
+import re
+import sys
+from html import unescape
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pagemill.schemas import PARSED
 
+# The parser travels inside the task: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Elements whose content is not text, elements that end an open paragraph,
 # and elements that end an open heading.
 NOT_TEXT = frozenset(("script", "style", "template", "rt", "rp"))
@@ -37,33 +43,71 @@ _ARROW_PARSED = pa.struct([
 ])
 
 
-class _PageParser(HTMLParser):
-    """Collects the fields while the page streams by; no tree is built."""
+# A comment, a tag, or a declaration. Quantifiers are possessive: a page is read once from
+# front to back, whatever it holds.
+_TOKEN = re.compile(
+    r"""<(?:
+      !--(?:-?>|.*?(?:--!?>|\Z))
+    | (?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)
+      (?P<attrs>(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?)?)*+)
+      (?:>|\Z)
+    | [!?/][^>]*+(?:>|\Z)
+    )""",
+    re.S | re.X,
+)
+_ATTRIBUTE = re.compile(
+    r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"'][^\s>]*+))?)?"""
+)
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in ("script", "style")}
+# In an attribute a character name without its semicolon stays as it is when more of a
+# word or an equals sign follows: "?a=1&copy=2".
+_ATTRIBUTE_REF = re.compile(r"&(?:#\d+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]*(?:;|(?![a-zA-Z0-9=])))")
+
+
+def _attribute(attrs: str, wanted: str) -> str | None:
+    """Value of the first attribute of that name: '' without a value, None without the name."""
+    for name, double, single, bare in _ATTRIBUTE.findall(attrs):
+        if name.lower() == wanted:
+            return _ATTRIBUTE_REF.sub(lambda ref: unescape(ref[0]), double or single or bare)
+    return None
+
+
+def _closes_itself(attrs: str) -> bool:
+    """The tag ends in a slash that is not the end of an unquoted value."""
+    if not attrs.endswith("/"):
+        return False
+    last = None
+    for last in _ATTRIBUTE.finditer(attrs):
+        pass
+    return last is None or last.end() < len(attrs)
+
+
+class _Page:
+    """Collects the fields while the tokens of a page go by; no tree is built."""
 
     def __init__(self, tag: str, token: str | None, mark: str):
-        super().__init__(convert_charrefs=True)
         self.content_tag, self.content_token, self.mark = tag, token, mark
         self.hrefs: list[str] = []
         self.categories: list[str] = []
         self.title: list[str] | None = None
         self.content: list[str] | None = None
-        self._node: list[str] = []  # pieces of the text node being read
         self._hidden: list[str] = []  # open elements whose content is not text
         self._in_title = False
         self._depth = 0  # open elements of the content tag, from the content block inward
         self._paragraph = False
         self._strong: list[str] | None = None  # text of the paragraph's first <strong>
         self._strong_depth = 0
-        self._anchor: list[str] | None = None
+        self._anchor: list[str] | None = None  # text of the paragraph's open <a>
         self._anchors: list[str] = []
         self._categories_done = False
 
-    def _end_node(self) -> None:
-        if not self._node:
+    def text(self, raw: str) -> None:
+        """One text node."""
+        anchor = self._anchor is not None
+        if self._hidden or not (self._in_title or self._depth or self._strong_depth or anchor):
             return
-        text = "".join(self._node).strip()
-        self._node.clear()
-        if not text or self._hidden:
+        text = unescape(raw).strip()
+        if not text:
             return
         if self._in_title:
             self.title.append(text)
@@ -71,7 +115,7 @@ class _PageParser(HTMLParser):
             self.content.append(text)
         if self._strong_depth:
             self._strong.append(text)
-        if self._anchor is not None:
+        if anchor:
             self._anchor.append(text)
 
     def _end_anchor(self) -> None:
@@ -79,7 +123,7 @@ class _PageParser(HTMLParser):
             self._anchors.append("".join(self._anchor))
         self._anchor = None
 
-    def _end_paragraph(self) -> None:
+    def end_paragraph(self) -> None:
         if not self._paragraph:
             return
         self._end_anchor()
@@ -89,98 +133,89 @@ class _PageParser(HTMLParser):
         self._paragraph, self._strong, self._strong_depth = False, None, 0
         self._anchors = []
 
-    def handle_starttag(self, tag, attrs):
-        self._end_node()
-        if tag in NOT_TEXT:
-            if tag in RUBY:
-                self._leave_ruby()
-            self._hidden.append(tag)
+    def start(self, tag: str, attrs: str) -> None:
         if tag in BLOCKS:
-            self._end_paragraph()
-        if tag in ENDS_HEADING:
-            self._in_title = False
+            self.end_paragraph()
+            if tag in ENDS_HEADING:
+                self._in_title = False
         if tag == "a":
-            for name, value in attrs:
-                if name == "href":
-                    self.hrefs.append(value or "")
-                    break
+            href = _attribute(attrs, "href")
+            if href is not None:
+                self.hrefs.append(href)
             if self._paragraph:
                 self._end_anchor()
                 self._anchor = []
         elif tag == "p":
             self._paragraph = not self._categories_done
         elif tag == "h1":
-            if self.title is None:
+            self._in_title = self.title is None
+            if self._in_title:
                 self.title = []
-                self._in_title = True
-            else:
-                self._in_title = False
-        elif tag == "strong" and self._paragraph:
-            if self._strong is None:
+        elif tag == "strong":
+            if self._paragraph and self._strong is None:
                 self._strong, self._strong_depth = [], 1
             elif self._strong_depth:
                 self._strong_depth += 1
+        elif tag in NOT_TEXT:
+            if tag in RUBY:
+                self._leave_ruby()
+            self._hidden.append(tag)
         if tag == self.content_tag:
             if self._depth:
                 self._depth += 1
             elif self.content is None and self._is_content(attrs):
                 self.content, self._depth = [], 1
 
-    def _is_content(self, attrs) -> bool:
+    def _is_content(self, attrs: str) -> bool:
         if self.content_token is None:
             return True
-        classes = next((value for name, value in attrs if name == "class"), None)
-        return self.content_token in (classes or "").split()
+        return self.content_token in (_attribute(attrs, "class") or "").split()
 
     def _leave_ruby(self) -> None:
         while self._hidden and self._hidden[-1] in RUBY:
             self._hidden.pop()
 
-    def handle_endtag(self, tag):
-        self._end_node()
-        if tag in RUBY:
+    def end(self, tag: str) -> None:
+        if tag in BLOCKS:
+            self.end_paragraph()
+            if tag == "h1":
+                self._in_title = False
+        elif tag == "a":
+            self._end_anchor()
+        elif tag == "strong":
+            if self._strong_depth:
+                self._strong_depth -= 1
+        elif tag in RUBY:
             self._leave_ruby()
         elif tag in NOT_TEXT and tag in self._hidden:
             while self._hidden.pop() != tag:
                 pass
-        if tag in BLOCKS:
-            self._end_paragraph()
-        if tag == "h1":
-            self._in_title = False
-        elif tag == "a":
-            self._end_anchor()
-        elif tag == "strong" and self._strong_depth:
-            self._strong_depth -= 1
         if tag == self.content_tag and self._depth:
             self._depth -= 1
 
-    def handle_data(self, data):
-        self._node.append(data)
-
-    def handle_comment(self, data):
-        self._end_node()
-
-    def handle_decl(self, decl):
-        self._end_node()
-
-    def handle_pi(self, data):
-        self._end_node()
-
-    def unknown_decl(self, data):
-        self._end_node()
-
-    def finish(self) -> None:
-        self.close()
-        self._end_node()
-        self._end_paragraph()
-
 
 def parse_page(html: str | None, tag: str, token: str | None, mark: str) -> dict | None:
     if html is None:
         return None
-    page = _PageParser(tag, token, mark)
-    page.feed(html)
-    page.finish()
+    page, at = _Page(tag, token, mark), 0
+    while found := _TOKEN.search(html, at):
+        if found.start() > at:
+            page.text(html[at : found.start()])
+        at = found.end()
+        if not found["tag"]:
+            continue
+        name, attrs = found["tag"].lower(), found["attrs"]
+        if found["end"]:
+            page.end(name)
+            continue
+        page.start(name, attrs)
+        if attrs and _closes_itself(attrs):
+            page.end(name)
+        elif name in _RAW_END:
+            close = _RAW_END[name].search(html, at)
+            at = close.start() if close else len(html)
+    page.text(html[at:])
+    page.end_paragraph()
     return {
         "title": "".join(page.title or ()),
         "text": None if page.content is None else "\n".join(page.content),
@@ -207,6 +242,11 @@ def parse_html(
     @F.arrow_udf(returnType=PARSED)
     def parse(pages: pa.Array) -> pa.Array:
         rows = [parse_page(page, tag, token, mark) for page in pages.to_pylist()]
-        return pa.array(rows, type=_ARROW_PARSED)
+        fields = [
+            pa.array([None if row is None else row[field.name] for row in rows], field.type)
+            for field in _ARROW_PARSED
+        ]
+        missing = pa.array([row is None for row in rows], pa.bool_())
+        return pa.StructArray.from_arrays(fields, fields=list(_ARROW_PARSED), mask=missing)
 
     return parse.asNondeterministic()(html)

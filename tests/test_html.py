@@ -1,3 +1,10 @@
+import random
+import subprocess
+import sys
+import time
+from html.parser import HTMLParser
+from pathlib import Path
+
 import pyspark.sql.functions as F
 import pytest
 
@@ -79,6 +86,76 @@ def test_hrefs_in_document_order():
     assert parse(html)["hrefs"] == ["/1", "", "/2?a=1&b=2", "/1"]
 
 
+@pytest.mark.parametrize(
+    "value, href",
+    [
+        ('"/a?x=1&copy=2&amp;y=3"', "/a?x=1&copy=2&y=3"),
+        ('"/a&copy;&copy"', "/a\u00a9\u00a9"),
+        ('"/&#97;&#x62;&nosuch;"', "/ab&nosuch;"),
+        ("/bare/", "/bare/"),
+        ("'/it\"s'", '/it"s'),
+        ('"/first" href="/second"', "/first"),
+        (' =  "/spaced" ', "/spaced"),
+        ('"/a>b"', "/a>b"),
+    ],
+)
+def test_href_values(value, href):
+    equals = "" if value.lstrip().startswith("=") else "="
+    assert parse(f"<a id=x href{equals}{value}>")["hrefs"] == [href]
+
+
+class Plain(HTMLParser):
+    """Independent reading of what parse_page reports, for well-formed pages."""
+
+    def __init__(self):
+        super().__init__()
+        self.hrefs, self.nodes, self.open = [], [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "a" and "href" in dict(attrs):
+            self.hrefs.append(dict(attrs)["href"] or "")
+        if tag not in ("br", "img"):
+            self.open.append("text" if dict(attrs).get("class") == "text" else tag)
+
+    def handle_startendtag(self, tag, attrs):
+        pass
+
+    def handle_endtag(self, tag):
+        self.open.pop()
+
+    def handle_data(self, data):
+        if "text" in self.open and "script" not in self.open and data.strip():
+            self.nodes.append(data.strip())
+
+
+def random_block(rnd, depth=0):
+    leaves = ["word ", "a &lt; b", "&eacute; ", "<br>", "<br/>", "<img alt='a>b'>", "<!-- <p>no -->", '<script>"<a href=/no>"</script>']
+    if depth == 4 or rnd.random() < 0.3:
+        return rnd.choice(leaves)
+    tag = rnd.choice(["div", "b", "span", "section", "a href='/x?a=1&amp;b=2'", "a", "DIV id=q"])
+    inner = "".join(random_block(rnd, depth + 1) for _ in range(rnd.randint(0, 3)))
+    return f"<{tag}>{inner}</{tag.split()[0]}>"
+
+
+def test_well_formed_pages_agree_with_the_standard_parser():
+    rnd = random.Random(3)
+    for _ in range(2000):
+        body = "".join(random_block(rnd) for _ in range(5))
+        html = f'<html><a href=/top>t</a><div class="text">{body}</div><p>after</p></html>'
+        plain = Plain()
+        plain.feed(html)
+        plain.close()
+        got = parse(html)
+        assert (got["hrefs"], got["text"]) == (plain.hrefs, "\n".join(plain.nodes)), html
+
+
+@pytest.mark.parametrize("piece", ['<a href="', "<", "<!--", "<a ", "<a b=\"c", "<a b='", "<script>", "</", "<a x=y/", "&", "<p>", "<div class=text>"])
+def test_hostile_pages_take_linear_time(piece):
+    start = time.process_time()
+    parse(piece * (1_000_000 // len(piece)))
+    assert time.process_time() - start < 10
+
+
 PAGES = [
     ("https://h/a/1/ok", "<h1>T</h1><div class=text>" + "x" * 50 + "</div>", None),
     ("https://h/a/2/short", "<h1>T</h1><div class=text> " + "x" * 49 + " </div>", "short_text"),
@@ -137,3 +214,17 @@ def test_pages_are_parsed_once_and_after_the_path_test(pages, plan):
     ):
         assert plan(df).count("ArrowEvalPython") == 1
         assert "Exchange" not in plan(df)
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    """Python workers started elsewhere cannot import the package by its path."""
+    script = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})
+from __spark_entry__ import queries
+from pagemill.session import build_session
+spark = build_session("elsewhere", "local[2]")
+assert queries()["html_title"](spark, "/root/testdata/sf0.001").collect()
+"""
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]

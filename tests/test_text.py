@@ -1,3 +1,4 @@
+import itertools
 import sys
 
 import pyspark.sql.functions as F
@@ -19,6 +20,13 @@ def test_strip_equals_python(spark):
         assert row.s == row.t.strip()
 
 
+def test_whitespace_run_splits_like_python(spark):
+    texts = ["a" + "b".join(pair) + "c" for pair in itertools.product(tx.WHITESPACE + "\u200b\ufeff_x", repeat=2)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", tx.whitespace_tokens(F.col("t")).alias("s"))
+    for row in rows.collect():
+        assert row.s == row.t.split()
+
+
 def test_collapse_newlines(spark):
     cases = {"a\n\nb": "a\n\nb", "a\n\n\nb": "a\n\nb", "\n\n\n\na\n\n\n\n\nb\n\n\n": "a\n\nb", "\n": ""}
     rows = spark.createDataFrame([(t,) for t in cases], "t string").select("t", tx.collapse_newlines(F.col("t")).alias("s"))
