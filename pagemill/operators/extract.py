@@ -114,6 +114,11 @@ def _is_html(pages: DataFrame) -> Column:
     return F.contains(F.coalesce(F.col("content_type"), F.lit("")), F.lit("text/html"))
 
 
+def fetch_state(pages: DataFrame) -> Column:
+    """ERROR or NON_HTML for a response that holds no page, null for one that does."""
+    return F.when(~_fetched(pages), F.lit("ERROR")).when(~_is_html(pages), F.lit("NON_HTML"))
+
+
 def page_outcomes(
     pages: DataFrame,
     pattern: str = DEFAULT_PATH_PATTERN,
@@ -123,10 +128,8 @@ def page_outcomes(
 ) -> DataFrame:
     """(url, outcome, title_preview) with outcome ERROR, NON_HTML, CRAWL (links only), SKIP
     (no record) or OK. Only pages that can become OK or SKIP are sent to the parser."""
-    state = (
-        F.when(~_fetched(pages), F.lit("ERROR"))
-        .when(~_is_html(pages), F.lit("NON_HTML"))
-        .when(~path_matches(F.col("url"), pattern), F.lit("CRAWL"))
+    state = F.coalesce(
+        fetch_state(pages), F.when(~path_matches(F.col("url"), pattern), F.lit("CRAWL"))
     )
     flagged = pages.select("url", "html", state.alias("state"))
     wanted = F.when(F.col("state").isNull(), F.col("html"))

@@ -75,6 +75,40 @@ def doc_html(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFram
     )
 
 
+def _site_path(number: Column) -> Column:
+    """Every fourth page is a list page, whose path the default pattern does not match."""
+    text = number.cast("string")
+    return F.when(number % 4 == 0, F.concat(F.lit("/list/"), text)).otherwise(
+        F.concat(F.lit("/d/"), text, F.lit("/x"))
+    )
+
+
+def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One site made of `documents`: page i links to 2i+1, 2i+2 and i div 3, to another site
+    and to itself. Some links lead to pages that do not exist."""
+    doc = F.col("doc_id")
+    html = F.concat(
+        F.lit('<a href="#top">top</a><a href="mailto:a@example.com">mail</a><a href="'),
+        _site_path(2 * doc + 1),
+        F.lit('#part">a</a><a href="https://example.com'),
+        _site_path(2 * doc + 2),
+        F.lit('">b</a><a href="https://other.example/d/1/x">c</a><a href="../.././'),
+        F.substr(_site_path(F.expr("doc_id div 3")), F.lit(2)),
+        F.lit('">d</a><a href="">self</a><h1>'),
+        F.col("source"),
+        F.lit('</h1><div class="text">'),
+        _escape(F.col("text")),
+        F.lit("</div><p><strong>Kategori</strong><a>"),
+        F.col("lang"),
+        F.lit("</a>"),
+    )
+    return table(spark, sf_dir, "documents", heavy=True).select(
+        F.concat(F.lit("https://example.com"), _site_path(doc)).alias("url"),
+        html.alias("html"),
+        F.when(doc % 9 == 8, 500).otherwise(200).alias("status"),
+    )
+
+
 def fetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`pages` with a status and a content type: some failed, some not HTML."""
     return table(spark, sf_dir, "pages", heavy=True).select(

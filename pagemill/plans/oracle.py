@@ -135,6 +135,30 @@ _CTES = {
         WHERE rn = 1)""",
     "ranked": """ranked AS (
         SELECT *, row_number() OVER (ORDER BY depth, ord) AS visit_rank FROM bfs)""",
+    # A failed or missing page has no links.
+    "site_edges": """site_edges AS (
+        SELECT i.doc_id AS src, t.pos, t.dst
+        FROM documents i, LATERAL (VALUES (0, 2 * i.doc_id + 1), (1, 2 * i.doc_id + 2),
+                                          (2, i.doc_id // 3)) AS t(pos, dst)
+        WHERE i.doc_id % 9 <> 8)""",
+    "site_bfs": """site_bfs(node, depth, ord, parent) USING KEY (node) AS (
+        SELECT CAST(3 AS BIGINT), CAST(0 AS BIGINT), CAST(1 AS BIGINT), CAST(-1 AS BIGINT)
+        UNION
+        SELECT node, depth, row_number() OVER (ORDER BY parent_ord, pos), parent
+        FROM (SELECT e.dst AS node, b.depth + 1 AS depth, b.ord AS parent_ord, e.pos, b.node AS parent,
+                     row_number() OVER (PARTITION BY e.dst ORDER BY b.ord, e.pos) AS rn
+              FROM site_bfs b JOIN site_edges e ON e.src = b.node
+              WHERE e.dst NOT IN (SELECT node FROM recurring.site_bfs))
+        WHERE rn = 1)""",
+    "site_rows": f"""site_rows AS (
+        SELECT 'https://example.com' || CASE WHEN node % 4 = 0 THEN '/list/' || CAST(node AS VARCHAR)
+                                             ELSE '/d/' || CAST(node AS VARCHAR) || '/x' END AS url,
+               node, depth, parent, row_number() OVER (ORDER BY depth, ord) AS visit_rank,
+               CASE WHEN d.doc_id IS NULL OR node % 9 = 8 THEN 'ERROR'
+                    WHEN node % 4 = 0 THEN 'CRAWL'
+                    WHEN length({_tidy('d.text')}) < 50 THEN 'SKIP' ELSE 'OK' END AS found,
+               d.source AS title, {_tidy('d.text')} AS text, d.lang AS categories
+        FROM site_bfs LEFT JOIN documents d ON d.doc_id = node)""",
     "delivered": f"""delivered AS (
         SELECT * FROM (
             SELECT *, row_number() OVER (
@@ -146,7 +170,7 @@ _CTES = {
 
 def _sql(ctes: str, body: str) -> str:
     names = ctes.split()
-    recursive = "RECURSIVE " if "bfs" in names else ""
+    recursive = "RECURSIVE " if any(name.endswith("bfs") for name in names) else ""
     head = ",\n".join(_CTES[name] for name in names)
     return f"WITH {recursive}{head}\n{body}" if names else body
 
@@ -219,6 +243,7 @@ ORACLES: dict[str, str] = {
     "dataset_roundtrip": _sql("entries", f"SELECT url, {_FLAT} FROM entries"),
     "pairs_read": _sql("entries curated pairs", "SELECT prompt, completion FROM pairs"),
     "split_sink": _sql("entries curated pairs split", "SELECT prompt, completion, split FROM split"),
+    "prepared_files": _sql("entries curated pairs split", "SELECT prompt, completion, split FROM split"),
     "url_parts": _sql("", f"""
         SELECT page_id, lower({_part('url', 1)}) AS scheme, {_part('url', 2)} AS netloc,
                {_part('url', 3)} AS path FROM pages"""),
@@ -322,6 +347,20 @@ ORACLES: dict[str, str] = {
         SELECT CAST(r.node AS VARCHAR) AS url, r.depth, r.visit_rank, r.visit_rank <= 40 AS visited
         FROM ranked r LEFT JOIN ranked p ON p.node = r.parent
         WHERE r.visit_rank <= 40 OR p.visit_rank <= 40"""),
+    "crawl_site": _sql("site_edges site_bfs site_rows", """
+        SELECT url, depth, visit_rank, found AS outcome,
+               CASE WHEN found = 'OK' THEN title END AS title,
+               CASE WHEN found = 'OK' THEN text END AS text,
+               CASE WHEN found = 'OK' THEN categories END AS categories
+        FROM site_rows"""),
+    "crawl_site_capped": _sql("site_edges site_bfs site_rows", """
+        SELECT url, depth, visit_rank, outcome,
+               CASE WHEN outcome = 'OK' THEN title END AS title,
+               CASE WHEN outcome = 'OK' THEN text END AS text,
+               CASE WHEN outcome = 'OK' THEN categories END AS categories
+        FROM (SELECT r.*, CASE WHEN r.visit_rank > 100 THEN 'QUEUED' ELSE r.found END AS outcome
+              FROM site_rows r LEFT JOIN site_rows p ON p.node = r.parent
+              WHERE r.visit_rank <= 100 OR p.visit_rank <= 100)"""),
     "stream_ingest": _sql("entries delivered", f"""
         SELECT url, {_FLAT} FROM delivered WHERE length({_strip('text')}) >= 100"""),
     "stream_resume": _sql("entries", """

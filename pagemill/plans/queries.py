@@ -12,8 +12,9 @@ from pagemill.functions import text as tx
 from pagemill.functions import urls as ur
 from pagemill.functions.html import parse_html
 from pagemill.operators import curate, extract, frontier, report, split
-from pagemill.plans import inputs
+from pagemill.plans import inputs, site
 from pagemill.plans.inputs import FIXTURE_CONTENT, FIXTURE_PATTERN, table
+from pagemill.plans.prepare import prepare_data
 from pagemill.schemas import PAGE
 from pagemill.session import scratch_path
 from pagemill.sources import jsonl
@@ -34,7 +35,7 @@ def curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curate.curated_entries(inputs.entries(spark, sf_dir))
 
 
-def flat(df: DataFrame, *columns: str) -> DataFrame:
+def flat(df: DataFrame, *columns: str | Column) -> DataFrame:
     """Records with the category list as one string."""
     return df.select(
         *columns, "title", "text", F.array_join("categories", "|").alias("categories")
@@ -221,6 +222,17 @@ def split_sink(spark, sf_dir):
     )
 
 
+@query
+def prepared_files(spark, sf_dir):
+    """Record files to training files in one call."""
+    source = _write_records(spark, inputs.entries(spark, sf_dir), "records")
+    path = scratch_path(spark, "prepared")
+    prepare_data(spark, source, path, glob="*.json")
+    train = jsonl.read_pairs(spark, f"{path}/split=train").withColumn("split", F.lit("train"))
+    val = jsonl.read_pairs(spark, f"{path}/split=val").withColumn("split", F.lit("val"))
+    return train.unionByName(val)
+
+
 # --- URLs -----------------------------------------------------------------------------
 
 
@@ -469,6 +481,21 @@ def crawl_capped(spark, sf_dir):
     )
 
 
+def _site_rows(crawled: DataFrame) -> DataFrame:
+    return flat(crawled, "url", F.col("depth").cast("bigint").alias("depth"), "visit_rank", "outcome")
+
+
+@query
+def crawl_site(spark, sf_dir):
+    return _site_rows(site.crawl_site(inputs.site_pages(spark, sf_dir), "https://example.com/d/3/x"))
+
+
+@query
+def crawl_site_capped(spark, sf_dir):
+    pages = inputs.site_pages(spark, sf_dir)
+    return _site_rows(site.crawl_site(pages, "https://example.com/d/3/x", max_pages=100))
+
+
 # --- streaming ------------------------------------------------------------------------
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -25,6 +26,11 @@ def build_session(app: str = "pagemill", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_scratch(app_id: str) -> str:
+    return tempfile.mkdtemp(prefix=f"pagemill-{app_id}-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir.
 
@@ -34,10 +40,8 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="pagemill-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        return root
+    if spark.sparkContext.master.startswith("local["):
+        return _local_scratch(spark.sparkContext.applicationId)
     raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
 
 

@@ -1,4 +1,5 @@
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import PySparkException
@@ -132,3 +133,14 @@ def test_unreadable_state_is_not_taken_for_a_fresh_start(spark, tmp_path):
 def test_scratch_is_the_checkpoint_folder(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_scratch_without_a_setting():
+    def session(master):
+        conf = SimpleNamespace(get=lambda key, default: default)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId="app-1"))
+
+    assert scratch_root(session("local[4]")) == scratch_root(session("local[4]"))
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_root(session(master))
