@@ -21,16 +21,17 @@ def _part(url: str, group: int) -> str:
     return f"regexp_extract({url}, '{_URL}', {group})"
 
 
-def _unescape(text: str) -> str:
+def _unescape(text: str, end: str = ";?") -> str:
+    """The character names of the pages. In text the semicolon may be missing."""
     for entity, char in (
-        ("&quot;", "'\"'"),
-        ("&copy;", "chr(169)"),
-        ("&middot;", "chr(183)"),
-        ("&lt;", "'<'"),
-        ("&gt;", "'>'"),
-        ("&amp;", "'&'"),
+        ("quot", "'\"'"),
+        ("copy", "chr(169)"),
+        ("middot", "chr(183)"),
+        ("lt", "'<'"),
+        ("gt", "'>'"),
+        ("amp", "'&'"),
     ):
-        text = f"replace({text}, '{entity}', {char})"
+        text = f"regexp_replace({text}, '&{entity}{end}', {char}, 'g')"
     return text
 
 
@@ -66,7 +67,7 @@ _CTES = {
         FROM pairs)""",
     # Hrefs outside of comments, scripts and styles, in document order.
     "hrefs": f"""hrefs AS (
-        SELECT page_id, url, generate_subscripts(h, 1) - 1 AS pos, {_unescape('unnest(h)')} AS href
+        SELECT page_id, url, generate_subscripts(h, 1) - 1 AS pos, {_unescape('unnest(h)', ';')} AS href
         FROM (SELECT page_id, url,
                      regexp_extract_all(
                          regexp_replace(html, '(?s)<!--.*?-->|<script.*?</script>|<style.*?</style>', '', 'g'),
@@ -338,6 +339,10 @@ ORACLES: dict[str, str] = {
     "resume_frontier": _sql("visited queued resumed", "SELECT url, depth, src_ord, pos FROM resumed"),
     "resume_counts": _sql("visited queued resumed", """
         SELECT (SELECT count(*) FROM visited) AS visited, (SELECT count(*) FROM resumed) AS queued"""),
+    "crawl_state": _sql("hrefs links visited queued", """
+        SELECT 'visited' AS kind, url FROM visited
+        UNION ALL SELECT 'visited', url FROM queued WHERE url NOT IN (SELECT url FROM visited)
+        UNION ALL SELECT 'queued', url FROM links"""),
     "frontier_batch": _sql("hrefs links", """
         SELECT url, CAST(1 AS BIGINT) AS depth, page_id AS src_ord, pos FROM links
         ORDER BY page_id, pos LIMIT 40"""),

@@ -19,6 +19,7 @@ from pagemill.schemas import PAGE
 from pagemill.session import scratch_path
 from pagemill.sources import jsonl
 from pagemill.sources.pages import load_pages, save_pages
+from pagemill.sources.state import load_state, save_state
 from pagemill.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -462,6 +463,20 @@ def resume_counts(spark, sf_dir):
     return frontier.resume_counts(queue, visited)
 
 
+@query
+def crawl_state(spark, sf_dir):
+    """Progress saved twice and loaded: all visited URLs and the latest queue."""
+    path = scratch_path(spark, "state")
+    queue, visited = inputs.queued_pages(spark, sf_dir), inputs.visited_pages(spark, sf_dir)
+    save_state(visited, queue, path)
+    rest = queue.join(visited, "url", "left_anti")
+    save_state(rest.select("url"), inputs.queued_links(spark, sf_dir), path)
+    seen, waiting = load_state(spark, path)
+    return seen.select(F.lit("visited").alias("kind"), "url").unionByName(
+        waiting.select(F.lit("queued").alias("kind"), "url")
+    )
+
+
 @query
 def frontier_batch(spark, sf_dir):
     return _as_queue(frontier.frontier_batch(inputs.queued_links(spark, sf_dir), 40))

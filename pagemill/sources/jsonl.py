@@ -47,6 +47,11 @@ def parse_lines(
     return lines.select(*SOURCE_ORDER, record.alias("r")).select(*SOURCE_ORDER, "r.*")
 
 
+def _is_file(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).isFile(target)
+
+
 def read_jsonl(
     spark: SparkSession,
     path: str,
@@ -54,10 +59,10 @@ def read_jsonl(
     mode: str = "FAILFAST",
     glob: str | None = "*.jsonl",
 ) -> DataFrame:
-    """Records of one file, or of the files in a directory that match `glob`. A directory
-    without such files gives no rows."""
+    """Records of one file, whatever its name, or of the files in a directory that match
+    `glob`. A directory without such files gives no rows."""
     reader = spark.read
-    if glob:
+    if glob and not _is_file(spark, path):
         reader = reader.option("pathGlobFilter", glob)
     lines = number_rows(with_place(reader.text(path), "value"))
     return parse_lines(not_blank(lines), schema, mode)

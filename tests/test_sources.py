@@ -7,6 +7,7 @@ from pyspark.errors import PySparkException
 from pagemill.operators import curate
 from pagemill.operators.report import prep_summary
 from pagemill.operators.split import train_val_split
+from pagemill.plans.prepare import prepare_data
 from pagemill.schemas import FRONTIER, PAGE, VISITED
 from pagemill.session import scratch_path, scratch_root
 from pagemill.sources import jsonl, state
@@ -48,8 +49,8 @@ def test_line_order_holds_when_files_are_split(spark, tmp_path):
 
 
 def test_one_file_blank_lines_and_defaults(spark, tmp_path):
-    write(tmp_path, "a.jsonl", "", " \t", page("u", "å😀"), "\x1c", '{"title": null, "other": [1]}', "{}")
-    records = jsonl.read_jsonl(spark, str(tmp_path / "a.jsonl")).orderBy(*jsonl.SOURCE_ORDER).collect()
+    write(tmp_path, "a.data", "", " \t", page("u", "å😀"), "\x1c", '{"title": null, "other": [1]}', "{}")
+    records = jsonl.read_jsonl(spark, str(tmp_path / "a.data")).orderBy(*jsonl.SOURCE_ORDER).collect()
     assert [(r.url, r.text, r.categories) for r in records] == [("u", "å😀", []), (None, None, None), (None, None, None)]
 
 
@@ -144,3 +145,14 @@ def test_scratch_without_a_setting():
     for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             scratch_root(session(master))
+
+
+def test_prepare_data(spark, tmp_path):
+    long = "x" * 120
+    write(tmp_path / "in", "a.jsonl", *(page(f"u{i}", long + str(i)) for i in range(12)), page("u1", long), page("v", "short"))
+    totals = prepare_data(spark, str(tmp_path / "in"), str(tmp_path / "out"), val_ratio=0.25, seed=7)
+    assert totals == {"entries": 12, "train": 9, "val": 3, "few_entries": False}
+    train = jsonl.read_pairs(spark, str(tmp_path / "out/split=train"))
+    val = jsonl.read_pairs(spark, str(tmp_path / "out/split=val"))
+    assert (train.count(), val.count()) == (9, 3)
+    assert {r.completion for r in train.unionByName(val).collect()} == {f" {long}{i}" for i in range(12)}
