@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pagemill.session import materialize
 
 PREFIX = 4  # hex digits of a bucket
+HASH_DIGITS = 32  # hex digits of an md5
+RANKED = 100_000  # most rows ranked by one task to find the cut
 SPLIT_SEED = 42  # fixed values: seed and share of the validation part
 VAL_RATIO = 0.1
 
@@ -26,13 +28,14 @@ def key_text(key: Column) -> Column:
     return F.coalesce(key.cast("string"), F.lit(""))
 
 
-def _bucket(digest: Column) -> Column:
-    return F.substring(digest, 1, PREFIX)
+def _bucket(digest: Column, digits: int = PREFIX) -> Column:
+    return F.substring(digest, 1, digits)
 
 
-def _bucket_counts(hashed: DataFrame) -> DataFrame:
-    """(bucket, n, upto, total); the windows run over at most 16**4 counts."""
-    counts = hashed.groupBy(_bucket(F.col("_hash")).alias("bucket")).agg(
+def _bucket_counts(hashed: DataFrame, digits: int = PREFIX) -> DataFrame:
+    """(bucket, n, upto, total); the windows run over at most 16**PREFIX counts, provided
+    the rows agree in all but the last PREFIX of the bucket's digits."""
+    counts = hashed.groupBy(_bucket(F.col("_hash"), digits).alias("bucket")).agg(
         F.count(F.lit(1)).alias("n")
     )
     return counts.select(
@@ -66,29 +69,36 @@ def seeded_order(df: DataFrame, key: str, seed: int = SPLIT_SEED) -> DataFrame:
 def split_cut(df: DataFrame, key: str, val_ratio: float, seed: int) -> tuple[str, str] | None:
     """(hash, key) of the last training row in the seeded order; None if there is none.
 
-    Only the keys are read from `df`, once, into a scratch table. The bucket that holds the
-    cut is found from the counts, and only that bucket (one in 16**4) is ranked.
+    Only the keys are read from `df`, once, into a scratch table. Counts show which bucket
+    holds the cut; that bucket is counted again by further digits until it is small, and
+    only then ranked. No task ranks more than RANKED rows, however many there are.
     """
     keys = df.select(
         order_hash(F.col(key), seed).alias("_hash"), key_text(F.col(key)).alias("_key")
     )
-    hashed = materialize(keys, "split-keys")
-    n_train = F.floor(F.col("total").cast("double") * F.lit(1 - val_ratio)).cast("long")
-    place = (
-        _bucket_counts(hashed)
-        .withColumn("n_train", n_train)
-        .filter((F.col("upto") >= F.col("n_train")) & (F.col("upto") - F.col("n") < F.col("n_train")))
-        .first()
-    )
-    if place is None:
-        return None
-    wanted = place["n_train"] - (place["upto"] - place["n"])
+    rows = materialize(keys, "split-keys")
+    digits, wanted = PREFIX, None
+    while True:
+        counts = _bucket_counts(rows, digits)
+        if wanted is None:
+            share = F.col("total").cast("double") * F.lit(1 - val_ratio)
+            counts = counts.withColumn("wanted", F.floor(share).cast("long"))
+        else:
+            counts = counts.withColumn("wanted", F.lit(wanted))
+        place = counts.filter(_holds("wanted")).first()
+        if place is None:
+            return None
+        wanted = place["wanted"] - (place["upto"] - place["n"])
+        rows = rows.filter(F.startswith("_hash", F.lit(place["bucket"])))
+        if place["n"] <= RANKED or digits == HASH_DIGITS:
+            break
+        digits += PREFIX
     cut = (
-        hashed.filter(_bucket(F.col("_hash")) == place["bucket"])
-        .groupBy("_hash", "_key")
+        rows.groupBy("_hash", "_key")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("upto", F.sum("n").over(Window.orderBy("_hash", "_key")))
-        .filter((F.col("upto") >= wanted) & (F.col("upto") - F.col("n") < wanted))
+        .withColumn("wanted", F.lit(wanted))
+        .filter(_holds("wanted"))
         .first()
     )
     if cut["upto"] != wanted:
@@ -96,6 +106,11 @@ def split_cut(df: DataFrame, key: str, val_ratio: float, seed: int) -> tuple[str
     return cut["_hash"], cut["_key"]
 
 
+def _holds(position: str) -> Column:
+    """The group of `n` rows that ends at `upto` contains the row with that number."""
+    return (F.col("upto") >= F.col(position)) & (F.col("upto") - F.col("n") < F.col(position))
+
+
 def train_val_split(
     df: DataFrame, key: str, val_ratio: float = VAL_RATIO, seed: int = SPLIT_SEED
 ) -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,14 +40,33 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def _start(
-    stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]
+    stream: DataFrame,
+    checkpoint: str,
+    every: str | None,
+    handle: Callable[[DataFrame, int], None],
 ) -> StreamingQuery:
-    return (
-        stream.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    if every is None:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=every).start()
+
+
+def _earlier(
+    spark: SparkSession, path: str, schema: T.StructType, batch_id: int
+) -> DataFrame | None:
+    """What earlier batches wrote, None if there is nothing yet.
+
+    Later batches can only come from another checkpoint: going on would overwrite them.
+    """
+    try:
+        written = read_batches(spark, path, schema)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    if not written.filter(F.col("batch") > batch_id).isEmpty():
+        raise ValueError(f"{path} holds batches after {batch_id}: it belongs to another checkpoint")
+    return written.filter(F.col("batch") < batch_id)
 
 
 def _unseen(first: DataFrame, seen_table: DataFrame) -> DataFrame:
@@ -72,12 +92,14 @@ def stream_ingest(
     schema: T.StructType = PAGE,
     max_files: int = 1000,
     glob: str = "*.jsonl",
+    every: str | None = None,
 ) -> StreamingQuery:
     """Take in JSONL files as they arrive; the first record of every URL is kept.
 
     Within a batch first means file name, then line; an earlier batch comes before a later
     one. Short records are stored too, because they also use up their URL: apply
-    `min_length` when reading. Processes what is there, then stops.
+    `min_length` when reading. Processes what is there, then stops; with `every`, such as
+    "1 minute", keeps looking for new files.
     """
     lines = (
         spark.readStream.option("pathGlobFilter", glob)
@@ -91,15 +113,16 @@ def stream_ingest(
         )
         order = [F.col(c) for c in SOURCE_ORDER]
         first = first_per_key(records, F.col("url"), order).select(*schema.names)
-        if batch_id == 0:
+        seen = _earlier(batch.sparkSession, out_dir, schema, batch_id)
+        if seen is None:
             _write_batch(first, out_dir, batch_id)
             return
         first = first.persist(StorageLevel.MEMORY_AND_DISK)
-        seen = read_batches(batch.sparkSession, out_dir, schema).filter(F.col("batch") < batch_id)
         _write_batch(_unseen(first, seen), out_dir, batch_id)
         first.unpersist()
 
-    return _start(with_place(lines, "value"), checkpoint or f"{out_dir}/_checkpoint", keep_new)
+    place = checkpoint or f"{out_dir}/_checkpoint"
+    return _start(with_place(lines, "value"), place, every, keep_new)
 
 
 CRAWLED = T.StructType([*PAGE.fields, T.StructField("reject", T.StringType())])
@@ -114,6 +137,7 @@ def stream_crawl(
     content: tuple[str, str | None] = CONTENT,
     mark: str = CATEGORY_MARK,
     max_files: int = 1000,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Take in Parquet files of fetched pages (url, html) as they arrive.
 
@@ -129,9 +153,9 @@ def stream_crawl(
         session = batch.sparkSession
         order = [F.col(c) for c in SOURCE_ORDER]
         new = first_per_key(number_rows(batch), F.col("url"), order)
-        if batch_id > 0:
-            done = read_batches(session, f"{out_dir}/pages", CRAWLED)
-            new = _unseen(new, done.filter(F.col("batch") < batch_id))
+        seen = _earlier(session, f"{out_dir}/pages", CRAWLED, batch_id)
+        if seen is not None:
+            new = _unseen(new, seen)
         # Parsed once, used for both tables.
         parsed = new.select(
             F.col("line_id").alias("src_ord"),
@@ -146,7 +170,8 @@ def stream_crawl(
         _write_batch(pages, f"{out_dir}/pages", batch_id)
         parsed.unpersist()
 
-    return _start(with_place(fetched, "url", "html"), checkpoint or f"{out_dir}/_checkpoint", keep_new)
+    place = checkpoint or f"{out_dir}/_checkpoint"
+    return _start(with_place(fetched, "url", "html"), place, every, keep_new)
 
 
 def crawl_frontier(spark: SparkSession, out_dir: str) -> DataFrame:

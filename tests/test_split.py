@@ -61,3 +61,16 @@ def test_sample(spark):
     only_val = split.train_val_split(keys_df(spark, 5), "key", 1.0)
     assert split.sample_pair(only_val, "key").first().split == "val"
     assert split.sample_pair(split.train_val_split(keys_df(spark, 0), "key"), "key").count() == 0
+
+
+def test_large_buckets_are_counted_by_further_digits(spark, monkeypatch):
+    df = keys_df(spark, 500)
+    expected = split.split_cut(df, "key", 0.3, 42)
+    for digits, ranked in ((1, 3), (4, 0), (2, 1)):
+        monkeypatch.setattr(split, "PREFIX", digits)
+        monkeypatch.setattr(split, "RANKED", ranked)
+        assert split.split_cut(df, "key", 0.3, 42) == expected
+    hot = df.unionAll(spark.range(600).select(F.lit("hot").alias("key")))
+    order = expected_order([r.key for r in hot.collect()])
+    n_train = order.index("hot") - 1  # just before the hot key
+    assert split.split_cut(hot, "key", 1 - (n_train + 0.5) / 1100, 42)[1] == order[n_train - 1]

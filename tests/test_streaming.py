@@ -73,6 +73,26 @@ def test_killed_batch_is_replayed_without_trace(spark, tmp_path, monkeypatch, fa
     assert stored(spark, tmp_path) == {"a": ("1", 0), "b": ("2", 1)}
 
 
+def test_output_of_another_checkpoint_is_not_overwritten(spark, tmp_path):
+    for name in ("1", "2"):
+        deliver(tmp_path / "in", f"{name}.jsonl", record(name, name))
+        run(spark, tmp_path)
+    before = stored(spark, tmp_path)
+    with pytest.raises(Exception, match="another checkpoint"):
+        run(spark, tmp_path, checkpoint=str(tmp_path / "new"))
+    assert stored(spark, tmp_path) == before
+
+
+def test_standing_query(spark, tmp_path):
+    deliver(tmp_path / "in", "1.jsonl", record("a", "1"))
+    query = ingest.stream_ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), every="1 second")
+    query.processAllAvailable()
+    deliver(tmp_path / "in", "2.jsonl", record("b", "2"))
+    query.processAllAvailable()
+    query.stop()
+    assert stored(spark, tmp_path) == {"a": ("1", 0), "b": ("2", 1)}
+
+
 def test_malformed_line_stops_the_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in/a.jsonl").write_text('{"url": \n')
