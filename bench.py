@@ -1,8 +1,9 @@
 """Time the registered queries and print one JSON line.
 
 BENCH_SF_DIR picks the tables, BENCH_CPUS the local cores, BENCH_QUERIES (comma-separated)
-a subset. Each query runs once to warm the JVM up, then once timed; results go to the
-no-op sink, so every column of every row is computed.
+a subset. Each query runs once to warm the JVM up, then once timed, unless its first run is
+long enough to have warmed itself up; results go to the no-op sink, so every column of every
+row is computed.
 """
 
 from __future__ import annotations
@@ -19,6 +20,9 @@ from pagemill.plans.queries import QUERIES  # noqa: E402
 from pagemill.session import build_session  # noqa: E402
 
 
+SELF_WARMING = 6.0  # seconds
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -35,6 +39,8 @@ def main() -> None:
             start = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             times[name] = round(time.perf_counter() - start, 3)
+            if times[name] > SELF_WARMING:
+                break
     result = {
         "metric": "total_query_seconds",
         "value": round(sum(times.values()), 3),

@@ -5,7 +5,7 @@ Queue order is (depth, src_ord, pos) ascending, see `schemas.FRONTIER`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,8 @@ from pagemill.schemas import FRONTIER
 from pagemill.session import materialize, scratch_path
 
 QUEUE_ORDER = ("depth", "src_ord", "pos")
+PRUNE_FROM = 100_000  # pages reached before links are first dropped
+PRUNE_GROWTH = 4  # growth of the crawl from one dropping of links to the next
 ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
@@ -92,47 +94,56 @@ def crawl_reachable(
     Each level is one job whose result is written to the scratch folder, so lineage does
     not grow and a lost executor repeats one level at most. Level tables are narrow, and
     the planner sees their true size: a small frontier is broadcast against the links, a
-    large one is joined by shuffle.
+    large one is joined by shuffle. Each time the crawl has grown several times over, links
+    to pages already reached are dropped for good; the many small levels at the end then
+    read what little is left, and compare it with the levels since only.
     """
     spark = links.sparkSession
-    # A pair of plain integers is aggregated by hashing; a struct of them would be sorted.
     unique = links.groupBy("src_url", "url").agg(F.min("pos").alias("pos"))
     edges = materialize(unique, "edges")
     base = scratch_path(spark, "levels")
     schema = T.StructType([*_LEVEL.fields, T.StructField("depth", T.IntegerType())])
 
-    def levels(upto: int) -> DataFrame:
-        paths = [f"{base}/depth={d}" for d in range(upto + 1)]
+    def levels(first: int, last: int) -> DataFrame:
+        paths = [f"{base}/depth={d}" for d in range(first, last + 1)]
         return spark.read.schema(schema).option("basePath", base).parquet(*paths)
 
     spark.createDataFrame([(seed, 0)], _LEVEL).coalesce(1).write.parquet(f"{base}/depth=0")
-    depth, total, last_count = 0, 0, 1
+    depth, total = 0, 1  # last level written, pages in all levels
+    pruned, pruned_total = -1, 0  # last level that no edge leads to any more
     while True:
-        reached = levels(depth)
-        level = reached.filter(F.col("depth") == depth)
-        cut = bool(max_pages) and total + last_count >= max_pages
-        total += last_count
+        cut = bool(max_pages) and total >= max_pages
         if not cut and max_depth is not None and depth >= max_depth:
             break
+        level = levels(depth, depth)
         if cut:
-            ranked = _with_visit_rank(reached).filter(F.col("visit_rank") <= max_pages)
-            level = ranked.filter(F.col("depth") == depth)
+            ranked = _with_visit_rank(levels(0, depth))
+            level = ranked.filter((F.col("depth") == depth) & (F.col("visit_rank") <= max_pages))
+        if total >= max(PRUNE_FROM, PRUNE_GROWTH * pruned_total):
+            reached = levels(pruned + 1, depth).select("url")
+            edges = materialize(edges.join(reached, "url", "left_anti"), "edges")
+            pruned, pruned_total = depth, total
         parents = level.select(F.col("url").alias("src_url"), F.col("ord").alias("src_ord"))
+        # Plain integers are combined by hashing; a struct of them would be sorted.
         found = (
             edges.join(parents, "src_url")
             .groupBy("url")
             .agg(F.min("src_ord").alias("src_ord"), F.min_by("pos", "src_ord").alias("pos"))
-            .join(reached.select("url"), "url", "left_anti")
-            .orderBy("src_ord", "pos")
+        )
+        if pruned < depth:
+            found = found.join(levels(pruned + 1, depth).select("url"), "url", "left_anti")
+        size = Observation()
+        (
+            found.orderBy("src_ord", "pos")
             .select("url", F.monotonically_increasing_id().alias("ord"))
+            .observe(size, F.count(F.lit(1)).alias("pages"))
+            .write.parquet(f"{base}/depth={depth + 1}")
         )
-        path = f"{base}/depth={depth + 1}"
-        found.write.parquet(path)
-        last_count = spark.read.schema(_LEVEL).parquet(path).count()
         depth += 1
-        if cut or last_count == 0:
+        total += size.get["pages"]
+        if cut or size.get["pages"] == 0:
             break
-    ranked = _with_visit_rank(levels(depth))
+    ranked = _with_visit_rank(levels(0, depth))
     visited = F.lit(True) if not max_pages else F.col("visit_rank") <= max_pages
     return ranked.select("url", "depth", "visit_rank", visited.alias("visited"))
 

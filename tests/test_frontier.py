@@ -53,8 +53,11 @@ def crawl(links, seed, cap=0):
     return {u: (depth[u], i) for i, u in enumerate(order, 1)}, line
 
 
-@pytest.mark.parametrize("cap", [0, 1, 2, 7, 23, 1000])
-def test_crawl_equals_a_queue(spark, cap):
+@pytest.mark.parametrize("prune_from, growth", [(1_000_000, 4), (1, 1), (5, 2)])
+@pytest.mark.parametrize("cap", [0, 2, 23, 1000])
+def test_crawl_equals_a_queue(spark, monkeypatch, cap, prune_from, growth):
+    monkeypatch.setattr(frontier, "PRUNE_FROM", prune_from)
+    monkeypatch.setattr(frontier, "PRUNE_GROWTH", growth)
     rnd = random.Random(11)
     nodes = [f"n{i}" for i in range(60)]
     links = {n: rnd.sample(nodes, rnd.randint(0, 4)) for n in nodes}
