@@ -366,6 +366,11 @@ ORACLES: dict[str, str] = {
         FROM (SELECT r.*, CASE WHEN r.visit_rank > 100 THEN 'QUEUED' ELSE r.found END AS outcome
               FROM site_rows r LEFT JOIN site_rows p ON p.node = r.parent
               WHERE r.visit_rank <= 100 OR p.visit_rank <= 100)"""),
+    "crawl_resumed": _sql("edges bfs ranked", """
+        SELECT CAST(r.node AS VARCHAR) AS url,
+               CASE WHEN r.visit_rank > 150 THEN r.depth END AS depth
+        FROM ranked r LEFT JOIN ranked p ON p.node = r.parent
+        WHERE r.visit_rank <= 150 OR p.visit_rank <= 150"""),
     "stream_ingest": _sql("entries delivered", f"""
         SELECT url, {_FLAT} FROM delivered WHERE length({_strip('text')}) >= 100"""),
     "stream_resume": _sql("entries", """

@@ -16,7 +16,7 @@ from pagemill.plans import inputs, site
 from pagemill.plans.inputs import FIXTURE_CONTENT, FIXTURE_PATTERN, table
 from pagemill.plans.prepare import prepare_data
 from pagemill.schemas import PAGE
-from pagemill.session import scratch_path
+from pagemill.session import materialize, scratch_path
 from pagemill.sources import jsonl
 from pagemill.sources.pages import load_pages, save_pages
 from pagemill.sources.state import load_state, save_state
@@ -477,6 +477,20 @@ def crawl_state(spark, sf_dir):
     )
 
 
+@query
+def crawl_resumed(spark, sf_dir):
+    """What three runs of 50 URLs each have visited and queued, each run going on from the
+    saved progress of the one before."""
+    path = scratch_path(spark, "resumed")
+    links = materialize(inputs.page_graph(spark, sf_dir), "links")
+    for _ in range(3):
+        site.crawl_batch(links, path, "3", 50)
+    visited, queue = load_state(spark, path)
+    return visited.select("url", F.lit(None).cast("bigint").alias("depth")).unionByName(
+        queue.select("url", F.col("depth").cast("bigint").alias("depth"))
+    )
+
+
 @query
 def frontier_batch(spark, sf_dir):
     return _as_queue(frontier.frontier_batch(inputs.queued_links(spark, sf_dir), 40))

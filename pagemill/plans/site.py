@@ -1,11 +1,11 @@
 """Crawl of one site over stored pages: what a crawler would visit, in its order, with the
-outcome and the record of every visited page."""
+outcome and the record of every visited page, whole or batch by batch."""
 
 from __future__ import annotations
 
 from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.functions.html import CATEGORY_MARK, CONTENT, parse_html
@@ -17,8 +17,17 @@ from pagemill.operators.extract import (
     reject_reason,
     with_text,
 )
-from pagemill.operators.frontier import crawl_reachable
+from pagemill.operators.frontier import (
+    QUEUE_ORDER,
+    crawl_reachable,
+    frontier_batch,
+    frontier_next,
+    resume_counts,
+    resume_frontier,
+)
+from pagemill.schemas import VISITED
 from pagemill.session import materialize
+from pagemill.sources.state import load_state, save_state
 
 
 def crawl_site(
@@ -74,3 +83,39 @@ def crawl_site(
     return joined.withColumns(saved).select(
         "url", "depth", "visit_rank", "outcome", "title", "text", "categories"
     )
+
+
+def crawl_batch(
+    links: DataFrame, state_path: str, seed: str, n: int, fresh: bool = False
+) -> dict[str, int]:
+    """Visit `n` more URLs, oldest first, and save progress; call again to go on from there.
+
+    `links` has (src_url, pos, url) and is read in every round, so it should be a stored
+    table. Visited URLs and queue are at any time those of a crawl
+    that takes one URL after the other: each round visits what is queued, and new links join
+    the queue's end in the order of their pages. Returns the numbers visited and queued.
+    """
+    spark = links.sparkSession
+    visited, queue = load_state(spark, state_path, fresh)
+    queue = resume_frontier(queue, visited, seed)
+    newly = spark.createDataFrame([], VISITED)
+    done, left = visited.count(), n
+    while left > 0:
+        # At most n rows, which the top-n has already brought together.
+        rank = F.row_number().over(Window.orderBy(*QUEUE_ORDER)) + F.lit(done)
+        batch = materialize(frontier_batch(queue, left).withColumn("rank", rank), "batch")
+        size = batch.count()
+        if size == 0:
+            break
+        newly = newly.unionByName(batch.select("url"))
+        parents = batch.select(
+            F.col("url").alias("src_url"),
+            (F.col("depth") + 1).alias("depth"),
+            F.col("rank").cast("bigint").alias("src_ord"),
+        )
+        found = links.join(parents, "src_url").select("url", "depth", "src_ord", "pos")
+        queue = materialize(frontier_next(found, visited.unionByName(newly), queue), "queue")
+        done, left = done + size, left - size
+    save_state(newly, queue, state_path, fresh)
+    visited, queue = load_state(spark, state_path)
+    return resume_counts(queue, visited).first().asDict()

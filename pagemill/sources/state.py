@@ -15,33 +15,38 @@ from pyspark.sql import types as T
 from pagemill.schemas import FRONTIER, VISITED
 
 _GENERATION = T.StructField("generation", T.LongType())
-_COMMIT = T.StructType([_GENERATION])
+_COMMIT = T.StructType([_GENERATION, T.StructField("start", T.LongType())])
 
 
-def _last_commit(spark: SparkSession, path: str) -> int:
-    """Number of the last complete save, -1 if there is none. Anything but a missing
-    table, such as an unreadable one, raises."""
+def _last_commit(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Number of the last complete save, -1 if there is none, and of the first that still
+    counts. Anything but a missing table, such as an unreadable one, raises."""
     try:
         commits = spark.read.schema(_COMMIT).parquet(f"{path}/commits")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return -1
+            return -1, 0
         raise
-    last = commits.agg(F.max("generation")).first()[0]
-    return -1 if last is None else last
+    last, start = commits.agg(F.max("generation"), F.max("start")).first()
+    return (-1, 0) if last is None else (last, start)
 
 
-def save_state(newly_visited: DataFrame, frontier: DataFrame, path: str) -> int:
-    """Add URLs visited since the last save and store the queue as it is now."""
+def save_state(
+    newly_visited: DataFrame, frontier: DataFrame, path: str, fresh: bool = False
+) -> int:
+    """Add URLs visited since the last save and store the queue as it is now. With `fresh`
+    the saves before this one no longer count."""
     spark = frontier.sparkSession
-    generation = _last_commit(spark, path) + 1
+    last, start = _last_commit(spark, path)
+    generation = last + 1
+    start = generation if fresh else start
     newly_visited.select(*VISITED.names).write.mode("overwrite").parquet(
         f"{path}/visited/generation={generation}"
     )
     frontier.select(*FRONTIER.names).write.mode("overwrite").parquet(
         f"{path}/frontier/generation={generation}"
     )
-    spark.createDataFrame([(generation,)], _COMMIT).coalesce(1).write.mode("append").parquet(
+    spark.createDataFrame([(generation, start)], _COMMIT).coalesce(1).write.mode("append").parquet(
         f"{path}/commits"
     )
     return generation
@@ -50,7 +55,7 @@ def save_state(newly_visited: DataFrame, frontier: DataFrame, path: str) -> int:
 def load_state(spark: SparkSession, path: str, fresh: bool = False) -> tuple[DataFrame, DataFrame]:
     """(visited, frontier) of the last complete save; empty tables if there is none or if
     `fresh` asks to ignore it."""
-    last = -1 if fresh else _last_commit(spark, path)
+    last, start = (-1, 0) if fresh else _last_commit(spark, path)
     if last < 0:
         return spark.createDataFrame([], VISITED), spark.createDataFrame([], FRONTIER)
 
@@ -58,6 +63,6 @@ def load_state(spark: SparkSession, path: str, fresh: bool = False) -> tuple[Dat
         full = T.StructType([*schema.fields, _GENERATION])
         return spark.read.schema(full).parquet(f"{path}/{name}")
 
-    visited = table("visited", VISITED).filter(F.col("generation") <= last)
+    visited = table("visited", VISITED).filter(F.col("generation").between(start, last))
     frontier = table("frontier", FRONTIER).filter(F.col("generation") == last)
     return visited.drop("generation"), frontier.drop("generation")

@@ -1,4 +1,10 @@
-from pagemill.plans.site import crawl_site
+import random
+
+import pytest
+
+from pagemill.operators.frontier import crawl_reachable
+from pagemill.plans.site import crawl_batch, crawl_site
+from pagemill.sources.state import load_state
 
 TEXT = "<div class=text>" + "x" * 60 + "</div>"
 PAGES = [
@@ -36,3 +42,28 @@ def test_capped_site_keeps_its_queue(spark):
         ("gone", 1, "QUEUED", None),
         ("a/3/z", 2, "QUEUED", None),
     ]
+
+
+@pytest.mark.parametrize("n", [1, 7])
+def test_batches_equal_one_crawl(spark, tmp_path, n):
+    rnd = random.Random(5)
+    rows = [(str(i), pos, str(rnd.randrange(30))) for i in range(30) for pos in range(rnd.randint(0, 3))]
+    links = spark.createDataFrame(rows, "src_url string, pos int, url string")
+    path = str(tmp_path / "state")
+    for batch in range(1, 4):
+        counts = crawl_batch(links, path, "0", n)
+        capped = crawl_reachable(links, "0", max_pages=batch * n).collect()  # visits fewer if done
+        visited, queue = load_state(spark, path)
+        assert {r.url for r in visited.collect()} == {r.url for r in capped if r.visited}
+        waiting = sorted((r for r in capped if not r.visited), key=lambda r: r.visit_rank)
+        assert [r.url for r in queue.orderBy("depth", "src_ord", "pos").collect()] == [r.url for r in waiting]
+        assert counts == {"visited": sum(r.visited for r in capped), "queued": len(waiting)}
+
+
+def test_fresh_batch_forgets_what_was_saved(spark, tmp_path):
+    links = spark.createDataFrame([("a", 0, "b"), ("b", 0, "c"), ("x", 0, "y")], "src_url string, pos int, url string")
+    path = str(tmp_path / "state")
+    assert crawl_batch(links, path, "a", 2) == {"visited": 2, "queued": 1}
+    assert crawl_batch(links, path, "x", 1, fresh=True) == {"visited": 1, "queued": 1}
+    assert crawl_batch(links, path, "x", 5) == {"visited": 2, "queued": 0}
+    assert crawl_batch(links, path, "x", 5) == {"visited": 2, "queued": 0}
