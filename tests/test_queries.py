@@ -44,3 +44,22 @@ def test_no_query_plans_a_cross_join(spark, plan):
     for name in ("frontier_next", "visit_gate", "resume_frontier", "seeded_order", "dedup_first_wins", "prep_summary"):
         text = plan(queries()[name](spark, SF_DIR))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+
+
+def test_url_queries_do_not_read_html(spark, plan):
+    for name in ("url_parts", "url_defrag", "path_pattern", "url_slug"):
+        assert "ReadSchema: struct<page_id:bigint,url:string>" in plan(queries()[name](spark, SF_DIR)), name
+
+
+def test_filters_reach_the_scan(spark, plan):
+    text = plan(queries()["visit_gate"](spark, SF_DIR))
+    assert "PushedFilters: [IsNotNull(page_id), LessThan(page_id,25)]" in text
+
+
+def test_python_runs_only_where_html_is_read(spark, plan):
+    html = {"html_title", "html_text", "html_categories", "html_roundtrip", "extract_pages", "extract_reject",
+            "extract_links", "page_outcomes", "outcome_counts", "href_filter", "resolve_links", "same_domain"}
+    plain = {"strip_text", "collapse_newlines", "token_cap", "dedup_first_wins", "training_pairs", "chat_render",
+             "chat_messages", "seeded_order", "resolve_relative", "page_upsert", "page_source", "resume_frontier"}
+    for name in html | plain:
+        assert plan(queries()[name](spark, SF_DIR)).count("ArrowEvalPython") == (name in html), name
