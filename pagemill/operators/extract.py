@@ -119,6 +119,15 @@ def fetch_state(pages: DataFrame) -> Column:
     return F.when(~_fetched(pages), F.lit("ERROR")).when(~_is_html(pages), F.lit("NON_HTML"))
 
 
+def record_outcome(pattern: str, min_chars: int) -> Column:
+    """CRAWL, SKIP or OK for a parsed page with the columns `url`, `page` and `text`."""
+    return (
+        F.when(~path_matches(F.col("url"), pattern), F.lit("CRAWL"))
+        .when(reject_reason(min_chars).isNotNull(), F.lit("SKIP"))
+        .otherwise(F.lit("OK"))
+    )
+
+
 def page_outcomes(
     pages: DataFrame,
     pattern: str = DEFAULT_PATH_PATTERN,

@@ -160,6 +160,13 @@ _CTES = {
                     WHEN length({_tidy('d.text')}) < 50 THEN 'SKIP' ELSE 'OK' END AS found,
                d.source AS title, {_tidy('d.text')} AS text, d.lang AS categories
         FROM site_bfs LEFT JOIN documents d ON d.doc_id = node)""",
+    "arrived": f"""arrived AS (
+        SELECT page_id FROM (
+            SELECT page_id, row_number() OVER (
+                       PARTITION BY {_DEFRAG}
+                       ORDER BY CASE WHEN page_id % 3 < 2 THEN 0 ELSE 1 END, page_id) AS rn
+            FROM pages)
+        WHERE rn = 1)""",
     "delivered": f"""delivered AS (
         SELECT * FROM (
             SELECT *, row_number() OVER (
@@ -378,14 +385,14 @@ ORACLES: dict[str, str] = {
             SELECT 1 AS run, count(DISTINCT url) AS stored FROM entries WHERE ord % 5 < 3
             UNION ALL SELECT 2, count(DISTINCT url) FROM entries
             UNION ALL SELECT 3, count(DISTINCT url) FROM entries)"""),
-    "stream_crawl": _sql("hrefs links", f"""
-        SELECT DISTINCT url FROM links
-        WHERE page_id IN (
-                  SELECT page_id FROM (
-                      SELECT page_id, row_number() OVER (
-                                 PARTITION BY {_DEFRAG}
-                                 ORDER BY CASE WHEN page_id % 3 < 2 THEN 0 ELSE 1 END, page_id) AS rn
-                      FROM pages)
-                  WHERE rn = 1)
+    "stream_crawl": _sql("hrefs links articles arrived", f"""
+        SELECT url, outcome, CASE WHEN outcome = 'OK' THEN chars END AS chars
+        FROM (SELECT {_DEFRAG} AS url, length(text) AS chars,
+                     CASE WHEN NOT regexp_matches({_part('url', 3)}, '^/\\w+/\\d+/?\\z') THEN 'CRAWL'
+                          WHEN title = '' OR length(text) < 50 THEN 'SKIP' ELSE 'OK' END AS outcome
+              FROM articles WHERE page_id IN (SELECT page_id FROM arrived))
+        UNION ALL
+        SELECT DISTINCT url, 'QUEUED', CAST(NULL AS BIGINT) FROM links
+        WHERE page_id IN (SELECT page_id FROM arrived)
               AND url NOT IN (SELECT {_DEFRAG} FROM pages)"""),
 }

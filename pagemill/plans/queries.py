@@ -565,13 +565,17 @@ def stream_resume(spark, sf_dir):
 
 @query
 def stream_crawl(spark, sf_dir):
-    """Queue left after taking in the pages in two deliveries."""
+    """Pages with their outcome, and the queue, after taking in two deliveries."""
     in_dir, out_dir = scratch_path(spark, "fetched"), scratch_path(spark, "crawled")
     pages = table(spark, sf_dir, "pages").withColumn("url", ur.url_defrag(F.col("url")))
     early = F.col("page_id") % 3 < 2
     for part in (pages.filter(early), pages.filter(~early)):
         _in_order(part, "page_id").select("url", "html").write.mode("append").parquet(in_dir)
         ingest.stream_crawl(
-            spark, in_dir, out_dir, content=FIXTURE_CONTENT
+            spark, in_dir, out_dir, pattern=r"^/\w+/\d+/?$", content=FIXTURE_CONTENT
         ).awaitTermination()
-    return ingest.crawl_frontier(spark, out_dir).select("url")
+    stored = ingest.read_batches(spark, f"{out_dir}/pages", ingest.CRAWLED)
+    queue = ingest.crawl_frontier(spark, out_dir)
+    return stored.select("url", "outcome", F.length("text").cast("bigint").alias("chars")).unionByName(
+        queue.select("url", F.lit("QUEUED").alias("outcome"), F.lit(None).cast("bigint").alias("chars"))
+    )

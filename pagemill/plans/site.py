@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.functions.html import CATEGORY_MARK, CONTENT, parse_html
-from pagemill.functions.urls import DEFAULT_PATH_PATTERN, path_matches, url_netloc
+from pagemill.functions.urls import DEFAULT_PATH_PATTERN, url_netloc
 from pagemill.operators.extract import (
     MIN_PAGE_CHARS,
     explode_links,
     fetch_state,
-    reject_reason,
+    record_outcome,
     with_text,
 )
 from pagemill.operators.frontier import (
@@ -63,12 +63,7 @@ def crawl_site(
     )
     stored = with_text(parsed).select(
         "url",
-        F.coalesce(
-            "state",
-            F.when(~path_matches(F.col("url"), pattern), F.lit("CRAWL")),
-            F.when(reject_reason(min_chars).isNotNull(), F.lit("SKIP")),
-            F.lit("OK"),
-        ).alias("found"),
+        F.coalesce("state", record_outcome(pattern, min_chars)).alias("found"),
         "page.title",
         "text",
         "page.categories",

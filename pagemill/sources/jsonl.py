@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagemill.functions.text import strip
 from pagemill.schemas import PAGE, PAIR
+from pagemill.sources.paths import exists, is_file
 
 SOURCE_ORDER = ("file_name", "block_start", "line_id")
 REJECTED = "_rejected"
@@ -47,11 +47,6 @@ def parse_lines(
     return lines.select(*SOURCE_ORDER, record.alias("r")).select(*SOURCE_ORDER, "r.*")
 
 
-def _is_file(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).isFile(target)
-
-
 def read_jsonl(
     spark: SparkSession,
     path: str,
@@ -62,7 +57,7 @@ def read_jsonl(
     """Records of one file, whatever its name, or of the files in a directory that match
     `glob`. A directory without such files gives no rows."""
     reader = spark.read
-    if glob and not _is_file(spark, path):
+    if glob and not is_file(spark, path):
         reader = reader.option("pathGlobFilter", glob)
     lines = number_rows(with_place(reader.text(path), "value"))
     return parse_lines(not_blank(lines), schema, mode)
@@ -77,15 +72,11 @@ def split_rejects(permissive: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def read_pairs(spark: SparkSession, path: str, optional: bool = False) -> DataFrame:
     """Training pairs. An optional path that does not exist gives an empty table."""
-    try:
-        lines = spark.read.text(path)
-    except AnalysisException as error:
-        if optional and error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], PAIR)
-        raise
+    if optional and not exists(spark, path):
+        return spark.createDataFrame([], PAIR)
     pair: Column = F.from_json("value", PAIR, {"mode": "FAILFAST"})
     return (
-        not_blank(lines.select("value"))
+        not_blank(spark.read.text(path))
         .select(pair.alias("pair"))
         .select("pair.*")
     )

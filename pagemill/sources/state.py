@@ -7,12 +7,12 @@ one in force.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagemill.schemas import FRONTIER, VISITED
+from pagemill.sources.paths import exists
 
 _GENERATION = T.StructField("generation", T.LongType())
 _COMMIT = T.StructType([_GENERATION, T.StructField("start", T.LongType())])
@@ -21,12 +21,9 @@ _COMMIT = T.StructType([_GENERATION, T.StructField("start", T.LongType())])
 def _last_commit(spark: SparkSession, path: str) -> tuple[int, int]:
     """Number of the last complete save, -1 if there is none, and of the first that still
     counts. Anything but a missing table, such as an unreadable one, raises."""
-    try:
-        commits = spark.read.schema(_COMMIT).parquet(f"{path}/commits")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return -1, 0
-        raise
+    if not exists(spark, f"{path}/commits"):
+        return -1, 0
+    commits = spark.read.schema(_COMMIT).parquet(f"{path}/commits")
     last, start = commits.agg(F.max("generation"), F.max("start")).first()
     return (-1, 0) if last is None else (last, start)
 

@@ -12,18 +12,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pagemill.functions.html import CATEGORY_MARK, CONTENT, parse_html
+from pagemill.functions.urls import DEFAULT_PATH_PATTERN
 from pagemill.operators.curate import first_per_key
-from pagemill.operators.extract import explode_links, reject_reason, with_text
+from pagemill.operators.extract import MIN_PAGE_CHARS, explode_links, record_outcome, with_text
 from pagemill.operators.frontier import frontier_next
 from pagemill.schemas import FRONTIER, PAGE
 from pagemill.sources.jsonl import SOURCE_ORDER, not_blank, number_rows, parse_lines, with_place
+from pagemill.sources.paths import exists
 
 _BATCH = T.StructField("batch", T.LongType())
 LINKS = T.StructType([
@@ -58,12 +59,9 @@ def _earlier(
 
     Later batches can only come from another checkpoint: going on would overwrite them.
     """
-    try:
-        written = read_batches(spark, path, schema)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    if not exists(spark, path):
+        return None
+    written = read_batches(spark, path, schema)
     if not written.filter(F.col("batch") > batch_id).isEmpty():
         raise ValueError(f"{path} holds batches after {batch_id}: it belongs to another checkpoint")
     return written.filter(F.col("batch") < batch_id)
@@ -125,7 +123,7 @@ def stream_ingest(
     return _start(with_place(lines, "value"), place, every, keep_new)
 
 
-CRAWLED = T.StructType([*PAGE.fields, T.StructField("reject", T.StringType())])
+CRAWLED = T.StructType([*PAGE.fields, T.StructField("outcome", T.StringType())])
 
 
 def stream_crawl(
@@ -134,21 +132,24 @@ def stream_crawl(
     out_dir: str,
     checkpoint: str | None = None,
     base_domain: str | None = None,
+    pattern: str = DEFAULT_PATH_PATTERN,
     content: tuple[str, str | None] = CONTENT,
     mark: str = CATEGORY_MARK,
+    min_chars: int = MIN_PAGE_CHARS,
     max_files: int = 1000,
     every: str | None = None,
 ) -> StreamingQuery:
     """Take in Parquet files of fetched pages (url, html) as they arrive.
 
-    Writes `pages` (records with their rejection reason, each URL once) and `links`. A URL
-    counts as visited once its batch is in `pages`; `crawl_frontier` derives the queue.
+    Writes `pages` (each URL once with its outcome, and its record if that is OK) and `links`.
+    A URL counts as visited once its batch is in `pages`; `crawl_frontier` derives the queue.
     """
     fetched = (
         spark.readStream.schema("url string, html string")
         .option("maxFilesPerTrigger", max_files)
         .parquet(in_dir)
     )
+
     def keep_new(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         order = [F.col(c) for c in SOURCE_ORDER]
@@ -163,8 +164,13 @@ def stream_crawl(
             parse_html(F.col("html"), content, mark).alias("page"),
         ).persist(StorageLevel.MEMORY_AND_DISK)
         _write_batch(explode_links(parsed, base_domain, "src_ord"), f"{out_dir}/links", batch_id)
-        pages = with_text(parsed).select(
-            "url", "page.title", "text", "page.categories", reject_reason().alias("reject")
+        outcome = record_outcome(pattern, min_chars)
+        judged = with_text(parsed).select(
+            "url", "page.title", "text", "page.categories", outcome.alias("outcome")
+        )
+        record = ("title", "text", "categories")
+        pages = judged.withColumns(
+            {name: F.when(F.col("outcome") == "OK", F.col(name)) for name in record}
         )
         # Last, because this is what marks the URLs as visited.
         _write_batch(pages, f"{out_dir}/pages", batch_id)

@@ -110,15 +110,17 @@ def test_crawl_stream(spark, tmp_path):
 
     def take_in(*rows):
         spark.createDataFrame(rows, "url string, html string").coalesce(1).write.mode("append").parquet(folder)
-        ingest.stream_crawl(spark, folder, out).awaitTermination()
+        ingest.stream_crawl(spark, folder, out, pattern=r"^/\d$").awaitTermination()
         return sorted(r.url for r in ingest.crawl_frontier(spark, out).collect())
 
     assert take_in(("http://h/1", html("/2", "/3", "http://other/x"))) == ["http://h/2", "http://h/3"]
-    assert take_in(("http://h/2", html("/1", "/4", "/3")), ("http://h/1", html("/9"))) == ["http://h/3", "http://h/4"]
+    again = ("http://h/2", html("/1", "/4", "/3")), ("http://h/1", html("/9")), ("http://h/list", html("/2"))
+    assert take_in(*again, ("http://h/5", "<h1>short</h1>")) == ["http://h/3", "http://h/4"]
     ingest.stream_crawl(spark, folder, out).awaitTermination()
     pages = ingest.read_batches(spark, f"{out}/pages", ingest.CRAWLED).collect()
-    assert sorted((r.url, r.title, r.reject, r.batch) for r in pages) == [
-        ("http://h/1", "T", None, 0), ("http://h/2", "T", None, 1)
+    assert sorted((r.url, r.title or "", r.outcome, r.batch) for r in pages) == [
+        ("http://h/1", "T", "OK", 0), ("http://h/2", "T", "OK", 1), ("http://h/5", "", "SKIP", 1),
+        ("http://h/list", "", "CRAWL", 1),
     ]
     queue = ingest.crawl_frontier(spark, out).orderBy("depth", "src_ord", "pos").collect()
     assert [r.url for r in queue] == ["http://h/3", "http://h/4"]
