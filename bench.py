@@ -20,7 +20,7 @@ from pagemill.plans.queries import QUERIES  # noqa: E402
 from pagemill.session import build_session  # noqa: E402
 
 
-SELF_WARMING = 6.0  # seconds
+SELF_WARMING = 15.0  # seconds
 
 
 def main() -> None:
