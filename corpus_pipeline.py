@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, simhash
-from pagemill.llm.queries import vocabulary
+from pagemill.llm import bpe, mixing, pii, quality_rules, simhash
+from pagemill.llm.queries import DOMAIN, PII_KEY, WEIGHTS, vocabulary
 from pagemill.session import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the weighed rules keep."""
+    return quality_rules.judge(docs).filter("kept").select(COLUMNS)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that with the smallest id."""
     found = simhash.near_duplicates(docs, shingle=3, max_bits=2)
@@ -19,6 +24,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.join(kept, "doc_id", "left_semi").select(COLUMNS)
 
 
+def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced; n_chars is that of the new text."""
+    new = pii.pseudonymise(docs, PII_KEY, count_col=None)
+    return new.withColumn("n_chars", F.length("text").cast("bigint")).select(COLUMNS)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents sampled to the target shares of clean, low and toxic tokens."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return mixing.sample(mixing.mix(docs, labels, F.expr(DOMAIN), WEIGHTS), COLUMNS)
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether they decode to its text."""
     of = bpe.Bpe(spark, vocabulary())
@@ -29,7 +46,10 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality_rules", quality),
     ("simhash_dedup", near_duplicates),
+    ("pii", pseudonyms),
+    ("mixing", mix),
     ("bpe", tokens),
 ]
 

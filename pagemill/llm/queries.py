@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, simhash
+from pagemill.llm import bpe, chat, html_blocks, mixing, pii, quality_model, quality_rules, simhash, topk
+from pagemill.llm.edit_counts import TokenCounts
+from pagemill.session import materialize
 from pagemill.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +53,21 @@ def op1_bpe(spark, sf_dir):
     )
 
 
+@query
+def op2_html(spark, sf_dir):
+    """Main text of every page."""
+    text = html_blocks.main_text(F.col("html"))
+    return table(spark, sf_dir, "pages").select("page_id", "url", text.alias("text")).withColumn(
+        "n_chars", F.length("text").cast("bigint")
+    )
+
+
+@query
+def op3_chat(spark, sf_dir):
+    """Maximal conversations, rendered."""
+    return chat.collapse_and_render(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op4_simhash(spark, sf_dir):
     """Fingerprint and near-duplicate group of every document."""
@@ -58,3 +75,79 @@ def op4_simhash(spark, sf_dir):
     return found.select(
         F.col("id").alias("doc_id"), simhash.as_hex(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id")
     )
+
+
+@query
+def op5_quality_rules(spark, sf_dir):
+    """Word statistics, base rule and the weighed verdict of all rules for every document."""
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+#: The pseudonyms of the queries; in production a secret.
+PII_KEY = "public-test-key"
+
+
+@query
+def op6_pii(spark, sf_dir):
+    """Every document with personal data replaced by pseudonyms."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(documents, PII_KEY)
+
+
+#: The domains of the mix: what a label row says, and the wanted shares of the tokens.
+DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 0 THEN 'low' WHEN quality = 1 THEN 'clean' END"
+WEIGHTS = {"clean": 0.96, "low": 0.02, "toxic": 0.02}
+
+
+@query
+def op7_mixing(spark, sf_dir):
+    """Posteriors, rate and copies of every document for the target mix."""
+    documents, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    mixed = mixing.mix(documents, labels, F.expr(DOMAIN), WEIGHTS, keep=["doc_id"])
+    return mixed.select("doc_id", "n_tokens", *[f"p_{d}" for d in WEIGHTS], "rate", "copies")
+
+
+@query
+def op8_token_counts(spark, sf_dir):
+    """Tokens of every document before and after three edits: a word in the middle, a cut near
+    the start, an ending."""
+    size = F.coalesce(F.length("text"), F.lit(0))
+    edits = F.array(
+        F.struct((size / 2).cast("int").alias("place"), F.lit(0).alias("length"), F.concat(F.lit(" "), F.col("source")).alias("new")),
+        F.struct((size / 8).cast("int").alias("place"), F.lit(24).alias("length"), F.lit("").alias("new")),
+        F.struct((size + 64).alias("place"), F.lit(0).alias("length"), F.concat(F.lit("\n"), F.col("lang"), F.lit(".")).alias("new")),
+    )
+    of = TokenCounts(spark, vocabulary())
+    counted = table(spark, sf_dir, "documents").select("doc_id", of.after_edits(F.col("text"), edits).alias("c"))
+    return counted.select(
+        "doc_id", F.col("c.n_before").alias("n_tokens"), F.col("c.n_after").alias("n_tokens_edited"),
+        F.col("c.encoded").alias("n_chars_encoded"), F.sha2("c.text", 256).alias("text_sha256"),
+    )
+
+
+@query
+def op9_quality_model(spark, sf_dir):
+    """Quality score of every document by a model of the labels that are not held out."""
+    documents, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    rows = documents.select("doc_id", held_out.alias("held_out"), quality_model.statistics(F.col("text")).alias("x"))
+    rows = materialize(rows, "statistics")
+    known = labels.select("doc_id", F.col("quality").alias("y")).distinct()
+    model = quality_model.fit(rows.filter(~F.col("held_out")).join(known, "doc_id"))
+    return quality_model.score(rows, model).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op10_top_k(spark, sf_dir):
+    """The ten best inner products of every hundredth vector."""
+
+    def whole(x: Column) -> Column:
+        scaled = x.cast("double") * 1024
+        # From 2 ** 53 on a double is whole already, and may be too large for a long.
+        return F.when(F.abs(scaled) < float(1 << 53), F.floor(scaled).cast("double")).otherwise(scaled)
+
+    vectors = table(spark, sf_dir, "embeddings").withColumn("embedding", F.transform("embedding", whole))
+    return topk.top_k(vectors, F.col("id") % 100 == 0, k=10)
