@@ -30,7 +30,7 @@ WINDOW = 5
 ROUNDS, SETTLED = 40, 1e-4
 #: Bounds of the estimates. Rules speak up only on faults: the greatest chance of a bad vote on a
 #: good document. Faults are of several kinds: the greatest share of bad documents that one rule sees.
-MISFIRE, SEEN = 0.005, 0.6
+MISFIRE, SEEN = 0.001, 0.6
 #: Documents of each kind that every estimate starts from, and the least and greatest probability.
 _PRIOR, _LEAST = 1.0, 1e-4
 
