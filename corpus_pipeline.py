@@ -18,10 +18,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that with the smallest id."""
+    """One document of each group of near copies, that with the smallest id; of several rows with one id the smallest."""
     found = simhash.near_duplicates(docs, shingle=3, max_bits=2)
-    kept = found.filter("id = component").select(F.col("id").alias("doc_id"))
-    return docs.join(kept, "doc_id", "left_semi").select(COLUMNS)
+    kept = materialize(found.filter("id = component").select(F.col("id").alias("doc_id"), "copies"), "kept")
+    out = docs.join(kept.filter("copies = 1"), "doc_id", "left_semi").select(COLUMNS)
+    repeated = kept.filter("copies > 1")
+    if repeated.isEmpty():
+        return out
+    rows = docs.join(repeated, "doc_id", "left_semi").select("doc_id", F.struct(*COLUMNS[1:]).alias("row"))
+    return out.union(rows.groupBy("doc_id").agg(F.min("row").alias("row")).select("doc_id", "row.*"))
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

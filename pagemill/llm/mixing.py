@@ -17,7 +17,7 @@ Defined results: null and empty texts have no tokens and the bins of the smalles
 label rows that are null or unknown teach nothing, repeated ones teach once; without
 labels all domains are equally likely; a domain without tokens is left as it is;
 repeated documents count and are sampled alike; an empty table gives an empty result; other columns
-are kept, those named like a new one are replaced.
+are kept, those named like a new one or a helper (a leading underscore) are replaced or left out.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from pagemill.llm.worker import beside
 from pagemill.session import materialize
 
 #: Labelled documents that teach the classifier at most, chosen by hash.
@@ -188,7 +189,6 @@ def mix(
     any unit. Copies are the rate rounded up or down by a hash of id and seed, so that their
     expectation is the rate. A document with no copies is still a row here.
     """
-    keep = docs.columns if keep is None else keep
     domains, summed = list(weights), sum(weights.values())
     new = ["n_tokens", *[f"p_{d}" for d in domains], "rate", "copies"]
     taught = materialize(taught_rows(docs, labels, domain, domains, id_col, text_col), "taught")
@@ -196,9 +196,11 @@ def mix(
     rows, sizes = with_bins(taught, lists, "_text")
     member = learn(rows, sizes, len(domains))
     names = [name for name, _ in sizes]
-    binned, _ = with_bins(docs.drop(*[c for c in new if c not in (id_col, text_col)]), lists, text_col)
+    keep = beside(keep or docs.columns, [*new, *names, "_words", "_distinct"])
+    only = list(dict.fromkeys([*keep, id_col, text_col]))
+    binned, _ = with_bins(docs.select(only), lists, text_col)
     # Written once, so that bins are computed once; the steps read only their columns.
-    binned = materialize(binned.select(*[c for c in keep if c not in new], "n_tokens", *names), "binned")
+    binned = materialize(binned.select(*keep, "n_tokens", *names), "binned")
     steps = solve(binned, names, member, [weights[d] / summed for d in domains], total)
     out = binned.withColumns({f"p_{d}": p for d, p in zip(domains, member.posteriors())}).drop(*names)
     out = out.withColumn("rate", _rate([F.col(f"p_{d}") for d in domains], steps))

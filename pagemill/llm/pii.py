@@ -13,7 +13,8 @@ within its row, whatever its length. A pseudonym may by chance equal its value,
 probability of one in the number of values of the format.
 
 Defined results: null and empty texts stay as they are; every row gives a row; an empty
-table gives an empty result; other columns are kept.
+table gives an empty result; other columns are kept, but not those named like the count or a
+helper (a leading underscore).
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.llm.worker import beside
+
 ROUNDS = 8
 # The patterns of the kinds, in the order in which they are tried. Every part is bounded
 # and starts where no longer run of its own characters does, so matching is linear.
@@ -238,7 +241,8 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: s
     """`docs` with the texts replaced and, if wanted, how many values were."""
     text, found, names = F.col(text_col), F.col("_found"), F.col("_names")
     # Arrays that lambdas read are columns of their own, used more than once, so that they are computed once a row.
-    step = docs.withColumn("_found", F.when(text.rlike("[0-9@]") | text.contains("="), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))))
+    step = docs.select(*beside(docs.columns, ["_found", "_names", "_pieces", *([count_col] if count_col else [])]))
+    step = step.withColumn("_found", F.when(text.rlike("[0-9@]") | text.contains("="), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))))
     step = step.withColumn("_names", F.when(F.size(found) > 0, F.transform(found, lambda m: pseudonym(m, key))))
     step = step.withColumn("_pieces", F.when(F.size(found) > 0, F.split(text, ANY, -1)))
     pieces = F.col("_pieces")

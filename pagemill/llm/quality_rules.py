@@ -12,7 +12,7 @@ round of the fit is one aggregation over it, of which the driver sees one row.
 
 Defined results: null and empty texts have no words; every row gives a row, repeated ids
 too; an empty table gives an empty result; other columns are kept, those of the same
-name as a new one are replaced. Windows of words are compared by a 64-bit hash.
+name as a new one or a helper (a leading underscore) are replaced or left out. Windows of words are compared by a 64-bit hash.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.llm.worker import beside
 from pagemill.session import materialize
 
 _BLANK = r"[\x20\x09-\x0D]+"
@@ -35,6 +36,12 @@ MISFIRE, SEEN = 0.001, 0.6
 _PRIOR, _LEAST = 1.0, 1e-4
 
 
+COUNTS = [
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals", "n_shouts", "n_stops", "n_lines",
+]
+_HELPERS = ["_words", "_lines", "_windows", "_order", "_starts"]
+
+
 def _without(text: Column, pattern: str) -> Column:
     """How many characters the pattern takes."""
     return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
@@ -50,7 +57,7 @@ def base_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     words, windows, order = F.col("_words"), F.col("_windows"), F.col("_order")
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    step = docs.withColumns({
+    step = docs.select(*beside(docs.columns, [*COUNTS, *_HELPERS])).withColumns({
         "_words": F.array_remove(F.split(text, _BLANK), ""),
         "_lines": lines,
     })
@@ -88,9 +95,7 @@ def base_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
         lambda s, x: F.struct(x.alias("last"), (s["n"] + F.least(F.lit(WINDOW), x - s["last"])).alias("n")),
         lambda s: s["n"],
     )
-    return step.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("bigint")).drop(
-        "_words", "_lines", "_windows", "_order", "_starts"
-    )
+    return step.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("bigint")).drop(*_HELPERS)
 
 
 def base_failed() -> Column:
@@ -153,8 +158,8 @@ class Weights:
 
 
 def fit(votes: DataFrame, n_rules: int) -> Weights:
-    """The weights for the votes v0, v1, ... of a table. Rules are taken to vote bad more often on bad documents."""
-    names = [f"v{j}" for j in range(n_rules)]
+    """The weights for the votes of a table. Rules are taken to vote bad more often on bad documents."""
+    names = [f"_vote{j}" for j in range(n_rules)]
     patterns = votes.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
     # At most 3 ** n_rules rows; one partition in fixed order adds up the same way every time.
     patterns = materialize(patterns.coalesce(1).sortWithinPartitions(*names), "patterns")
@@ -190,12 +195,11 @@ def judge(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None
 
     The statistics are written once, without the texts unless they are among `keep`.
     """
-    keep = docs.columns if keep is None else keep
     votes = [rule.vote() for rule in rules()]
-    names = [f"v{j}" for j in range(len(votes))]
-    stats = base_statistics(docs, text_col)
-    new = [c for c in stats.columns if c not in docs.columns or c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals", "n_shouts", "n_stops", "n_lines")]
-    stats = materialize(stats.select(*[c for c in keep if c not in new], *new).withColumns(dict(zip(names, votes))), "statistics")
+    names = [f"_vote{j}" for j in range(len(votes))]
+    keep = beside(keep or docs.columns, [*COUNTS, *_HELPERS, *names, "base_failed", "quality", "kept"])
+    stats = base_statistics(docs, text_col).select(*keep, *COUNTS).withColumns(dict(zip(names, votes)))
+    stats = materialize(stats, "statistics")
     weights = fit(stats, len(names))
     quality = weights.posterior([F.col(c) for c in names])
     return stats.withColumns({"base_failed": base_failed(), "quality": quality}).withColumn(

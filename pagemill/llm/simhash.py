@@ -126,11 +126,12 @@ def close_links(nodes: DataFrame, max_bits: int, joined: int = JOINED) -> DataFr
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2
 ) -> DataFrame:
-    """(id, fp, component): every document with the smallest id it is linked to, directly or not."""
+    """(id, fp, component, copies): every document with the smallest id it is linked to,
+    directly or not, and its number of rows."""
     prints = docs.select(F.col(id_col).cast("bigint").alias("id"), fingerprint(F.col(text_col), shingle).alias("fp"))
-    prints = prints.filter("id is not null").groupBy("id").agg(F.min("fp").alias("fp"))
+    prints = prints.filter("id is not null").groupBy("id").agg(F.min("fp").alias("fp"), F.count(F.lit(1)).alias("copies"))
     prints = materialize(prints, "fingerprints")
     nodes = materialize(prints.groupBy("fp").agg(F.min("id").alias("node")), "nodes")
     parts = component_of(close_links(nodes, max_bits))
     named = nodes.join(parts, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
-    return prints.join(named, "fp").select("id", "fp", "component")
+    return prints.join(named, "fp").select("id", "fp", "component", "copies")

@@ -23,4 +23,10 @@ def process_cache() -> dict[Any, Any]:
     return sys.modules.setdefault("pagemill_worker_cache", ModuleType("pagemill_worker_cache")).__dict__
 
 
+def beside(columns: list[str], taken: list[str]) -> list[str]:
+    """The columns whose names none of `taken` claims; Spark does not tell cases apart."""
+    names = {c.lower() for c in taken}
+    return [c for c in columns if c.lower() not in names]
+
+
 travels(__name__)
