@@ -170,12 +170,13 @@ def solve(binned: DataFrame, names: list[str], member: Memberships, weights: lis
         total = min((h / w for h, w in zip(have, weights) if w > 0), default=0.0)
     want = [total * w for w in weights]
     steps: list[list[float]] = []
+    now, before = have, None
     for _ in range(STEPS):
-        now = totals(steps)
         short = [(w - n) / h if h > 0 else 0.0 for w, n, h in zip(want, now, have)]
-        if max(map(abs, short), default=0.0) < CLOSE:
+        if max(map(abs, short), default=0.0) < CLOSE or now == before:
             break
         steps.append(short)
+        before, now = now, totals(steps)
     return steps
 
 

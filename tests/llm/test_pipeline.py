@@ -1,0 +1,62 @@
+"""Each stage against plain versions, on its own input; the whole against the stages."""
+
+import re
+
+import pytest
+
+import corpus_pipeline as cp
+from pagemill.llm.queries import PII_KEY
+from test_simhash import plain_fingerprint, plain_groups
+
+SF = "/root/testdata/sf0.001"
+
+
+def by_id(df):
+    rows = df.collect()
+    assert len({r.doc_id for r in rows}) == len(rows)
+    return {r.doc_id: r for r in rows}
+
+
+def test_stages_of_the_contract():
+    assert [name for name, _ in cp.STAGES] == ["quality_rules", "simhash_dedup", "pii", "mixing", "bpe"]
+    assert cp.ORACLE_SQL is None and PII_KEY
+
+
+def test_run_equals_its_stages(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for name, stage in cp.STAGES:
+        before, docs = docs, stage(spark, docs, SF)
+        docs.write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        if name == "quality_rules":
+            assert docs.columns == cp.COLUMNS
+            want = {r.doc_id: r.text for r in before.collect()}
+            assert all(want[i] == r.text and len(re.findall(r"\S+", r.text)) >= 10 for i, r in by_id(docs).items())
+        if name == "simhash_dedup":
+            assert docs.columns == cp.COLUMNS
+            prints = {r.doc_id: plain_fingerprint(r.text) for r in before.collect()}
+            groups = plain_groups(list(prints), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 2)
+            assert set(by_id(docs)) == set(groups.values())
+        if name == "pii":
+            assert docs.columns == cp.COLUMNS and docs.count() == before.count()
+            assert not {r.text for r in docs.collect() if "@" in r.text} & {r.text for r in before.collect()}
+        if name == "mixing":
+            assert docs.columns == cp.COLUMNS
+            assert {tuple(r) for r in docs.collect()} <= {tuple(r) for r in before.collect()}
+            assert docs.count() > 0.6 * before.count()
+    rows = docs.collect()
+    assert rows and all(r.round_trip and len(r.ids) == r.n_tokens for r in rows)
+    assert sorted(map(str, cp.run(spark, SF).collect())) == sorted(map(str, rows))
+
+
+@pytest.mark.parametrize("name, stage", cp.STAGES)
+def test_stages_take_odd_tables(spark, documents, cluttered, name, stage):
+    good = "This is a line of words that has no fault of any kind and is long enough to be kept by all. "
+    texts = [None, "", good, good, good * 900, "a b"]
+    df = cluttered(documents([*texts, good], [0, 1, 2, 2, 4, None, 6]), "kept", "id", "fp", "ids", "rate", "extra")
+    assert stage(spark, df, SF).count() <= 7
+    assert stage(spark, documents([]), SF).collect() == []
+    if name == "simhash_dedup":
+        assert sorted(r.doc_id for r in stage(spark, df, SF).collect()) == [0, 2, 4]
+    if name == "pii":
+        assert stage(spark, df, SF).count() == 7
