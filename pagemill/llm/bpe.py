@@ -7,7 +7,7 @@ the next shorter entry is tried, and if none is left the token before is reconsi
 Every position is given up once at most, so the work is linear in the text. Decoding
 gathers bytes from one blob through a table of offsets.
 
-Null text is treated as empty, null ids as no ids. Text is read whole, whatever its length;
+Null text is treated as empty, a null list as no ids; null and unknown ids are left out. Text is read whole, whatever its length;
 other columns of a table are neither read nor changed.
 """
 
@@ -15,7 +15,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from array import array
+from collections.abc import Iterator
+from itertools import accumulate, pairwise
 
 import ahocorasick
 import numpy as np
@@ -31,11 +34,19 @@ travels(__name__)
 # Fixed value: the pattern of byte-level pre-tokenizers, as published with the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Encoded pieces that a worker keeps, and the longest piece kept. Speed only, never results.
+#: Encoded pieces of a cache (a worker has two), and the longest piece kept. Speed only, never results.
 CACHED_PIECES = 1 << 18
+#: Pairs of the compatibility table that are kept.
+CACHED_PAIRS = 1 << 19
 CACHED_LENGTH = 48
-#: Tokens that are decoded at a time; bounds the memory for a very long text.
-DECODED_AT_ONCE = 1 << 16
+#: Pieces up to this many bytes look longest entries up where needed, longer ones all in one pass.
+SHORT_PIECE = 64
+# The same pattern for text of ASCII and Latin-1 letters alone, where all classes are short lists;
+# the standard library's engine is quicker at it.
+_LATIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*+")
+_LATIN_PATTERN = re.compile(
+    r"'(?:[stmd]|re|ve|ll)| ?[A-Za-zÀ-ÖØ-öø-ÿ]++| ?[0-9]++| ?[^\s0-9A-Za-zÀ-ÖØ-öø-ÿ]++|\s+(?!\S)|\s+"
+)
 
 
 def _alphabet() -> dict[str, int]:
@@ -47,19 +58,25 @@ def _alphabet() -> dict[str, int]:
 
 
 class Pieces(dict):
-    """piece -> its ids, filled on demand and emptied when full."""
+    """piece -> its ids as packed 32-bit numbers, filled on demand.
+
+    A full cache becomes the old one; pieces still in use return from there.
+    """
 
     def __init__(self, encode) -> None:
         super().__init__()
-        self._encode = encode
+        self._encode, self._old = encode, {}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = tuple(self._encode(piece))
+    def __missing__(self, piece: str) -> bytes:
+        packed = self._old.get(piece)
+        if packed is None:
+            packed = array("i", self._encode(piece)).tobytes()
         if len(piece) <= CACHED_LENGTH:
             if len(self) >= CACHED_PIECES:
+                self._old = dict(self)
                 self.clear()
-            self[piece] = ids
-        return ids
+            self[piece] = packed
+        return packed
 
 
 class BytePairCodec:
@@ -94,14 +111,15 @@ class BytePairCodec:
             table[i] = token
         for token, i in self._added.items():
             table[i] = token.encode()
-        self._blob = np.frombuffer(b"".join(table), np.uint8)
-        self._offset = np.concatenate([[0], np.cumsum([len(t) for t in table])])
-        self._known = np.array([len(t) > 0 for t in table])
+        # Bytes of all tokens on end, and where each begins; an id outside the vocabulary has
+        # none. The bytes of a token are cut out once.
+        blob, offset = b"".join(table), [0, *accumulate(map(len, table))]
+        self._bytes = [blob[a:b] for a, b in pairwise(offset)]
 
-        self._link(vocab, [tuple(m.split(" ")) if isinstance(m, str) else m for m in model["merges"]], alphabet)
+        self._link(vocab, [tuple(m.split(" ")) if isinstance(m, str) else m for m in model["merges"]], alphabet, size)
         self.pieces = Pieces(self.encode_piece)
 
-    def _link(self, vocab: dict[bytes, int], merges: list, alphabet: dict[str, int]) -> None:
+    def _link(self, vocab: dict[bytes, int], merges: list, alphabet: dict[str, int], size: int) -> None:
         """Tables of merges, of the pairs known to be compatible, of prefixes; the automaton."""
         self._rank, self._left, self._right, self._merge = {}, {}, {}, {}
         for byte in range(256):
@@ -120,10 +138,12 @@ class BytePairCodec:
             if rank < 0 or (a in made and b in made and self._stays_apart(a, b, rank)):
                 made.add(token)
         self._of = {token.decode("latin-1"): i for token, i in vocab.items() if i in made}
-        self._length = {i: len(token) for token, i in self._of.items()}
-        self._shorter: dict[int, int] = {}
+        # By id: bytes of an entry, and the longest entry it starts with.
+        self._length = [0] * size
+        self._shorter: list[int | None] = [None] * size
         self._automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for token, i in self._of.items():
+            self._length[i] = len(token)
             self._automaton.add_word(token, i)
             for end in range(len(token) - 1, 0, -1):
                 if (shorter := self._of.get(token[:end])) is not None:
@@ -152,12 +172,10 @@ class BytePairCodec:
                 return True
 
     def _compatible(self, a: int, b: int) -> bool:
-        key = a << 32 | b
-        known = self._pairs.get(key)
-        if known is None:
-            if len(self._pairs) >= CACHED_PIECES:
-                self._pairs.clear()
-            known = self._pairs[key] = self._stays_apart(a, b, float("inf"))
+        """The table of compatible pairs, filled on demand."""
+        if len(self._pairs) >= CACHED_PAIRS:
+            self._pairs.clear()
+        known = self._pairs[a << 32 | b] = self._stays_apart(a, b, float("inf"))
         return known
 
     def encode_piece(self, piece: str) -> list[int]:
@@ -165,58 +183,72 @@ class BytePairCodec:
         data = piece if piece.isascii() else piece.encode("utf-8", "surrogatepass").decode("latin-1")
         if (whole := self._of.get(data)) is not None:
             return [whole]
-        length = self._length
-        longest = [0] * len(data)
-        for end, token in self._automaton.iter(data):  # a longer match ends later and replaces
-            longest[end + 1 - length[token]] = token
+        size, length, shorter = len(data), self._length, self._shorter
+        entry, prefix, known = self._of.get, self._automaton.longest_prefix, self._pairs.get
+        longest = self._longest_everywhere(data) if size > SHORT_PIECE else None
         tokens: list[int] = []
-        alive = bytearray(b"\1") * (len(data) + 1)
-        at, token = 0, longest[0]
+        dead: set[int] = set()  # positions given up
+        at, before, token = 0, -1, None
         while True:
-            end = at + length[token]
-            if alive[end] and (not tokens or self._compatible(tokens[-1], token)):
-                tokens.append(token)
-                at = end
-                if at == len(data):
-                    return tokens
+            if token is None and longest:
                 token = longest[at]
-            elif token in self._shorter:
-                token = self._shorter[token]
-            else:
-                alive[at] = 0
+            elif token is None:
+                rest = data[at:]
+                rest = rest[: prefix(rest)]
+                while (token := entry(rest)) is None:
+                    rest = rest[:-1]
+            fits = before < 0 or known(before << 32 | token)
+            if fits is None:
+                fits = self._compatible(before, token)
+            if fits:
+                end = at + length[token]
+                if end not in dead:
+                    tokens.append(token)
+                    if end == size:
+                        return tokens
+                    at, before, token = end, token, None
+                    continue
+            token = shorter[token]
+            while token is None:  # nothing else starts here: the token before is tried shorter
+                dead.add(at)
                 token = tokens.pop()
                 at -= length[token]
+                before = tokens[-1] if tokens else -1
+                token = shorter[token]
+
+    def _longest_everywhere(self, data: str) -> list[int]:
+        """The longest entry that starts at each position."""
+        found = [0] * len(data)
+        for end, token in self._automaton.iter(data):  # a longer match ends later and replaces
+            found[end + 1 - self._length[token]] = token
+        return found
 
     def split(self, text: str) -> list[str]:
         """The pieces of ordinary text."""
-        return self._pattern.findall(text)
+        return (_LATIN_PATTERN if _LATIN.fullmatch(text) else self._pattern).findall(text)
 
-    def encode(self, text: str | None) -> list[int]:
+    def _pack(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.split(text)))
+
+    def packed(self, text: str | None) -> bytes:
+        """The ids of a text as 32-bit numbers."""
         if not text:
-            return []
-        pieces = self.pieces
-        if self._split is None or "<" in text or not all(name.startswith("<") for name in self._added):
-            ids: list[int] = []
-            for part in self._split.split(text) if self._split else [text]:
-                if part in self._added:
-                    ids.append(self._added[part])
-                else:
-                    ids += [i for piece in self.split(part) for i in pieces[piece]]
-            return ids
-        return [i for piece in self.split(text) for i in pieces[piece]]
+            return b""
+        if self._split is None or not any(name in text for name in self._added):
+            return self._pack(text)
+        parts = self._split.split(text)
+        return b"".join(
+            array("i", [self._added[part]]).tobytes() if i % 2 else self._pack(part) for i, part in enumerate(parts)
+        )
+
+    def encode(self, text: str | None) -> list[int]:
+        return array("i", self.packed(text)).tolist()
 
     def decode(self, ids: np.ndarray) -> str:
-        """The text of the ids; ids outside the vocabulary are left out, broken UTF-8 replaced."""
-        ids = ids[(ids >= 0) & (ids < len(self._known))]
-        ids = ids[self._known[ids]]
-        parts = []
-        for lo in range(0, len(ids), DECODED_AT_ONCE):
-            some = ids[lo : lo + DECODED_AT_ONCE]
-            start = self._offset[some]
-            size = self._offset[some + 1] - start
-            before = np.cumsum(size) - size
-            parts.append(self._blob[np.arange(int(size.sum())) + np.repeat(start - before, size)].tobytes())
-        return b"".join(parts).decode("utf-8", "replace")
+        """The text of the ids; unknown ids are left out, broken UTF-8 is replaced."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self._bytes)):
+            ids = ids[(ids >= 0) & (ids < len(self._bytes))]
+        return b"".join(map(self._bytes.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
 def codec(source: bytes) -> BytePairCodec:
@@ -236,19 +268,21 @@ class Bpe:
             self._source = spark.sparkContext.broadcast(file.read())
 
     def encode(self, text: Column) -> Column:
-        """array<int>: the ids of the whole text, without added start or end tokens."""
+        """array<int>: the ids of the whole text, without added start or end tokens.
+
+        Declared nondeterministic, or Spark would encode once more inside a decode of the ids.
+        """
         source = self._source
 
         @F.arrow_udf(returnType="array<int>")
         def encode(texts: pa.Array) -> pa.Array:
-            of = codec(source.value).encode
-            ids, ends = array("i"), [0]
-            for text in texts:
-                ids.extend(of(text.as_py()))
-                ends.append(len(ids))
-            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, np.int32)))
+            of = codec(source.value).packed
+            packed = [of(text.as_py()) for text in texts]
+            ends = np.cumsum([0, *map(len, packed)]) // 4
+            ids = pa.array(np.frombuffer(b"".join(packed), np.int32))
+            return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), ids)
 
-        return encode(text)
+        return encode.asNondeterministic()(text)
 
     def decode(self, ids: Column) -> Column:
         """string: the text of array<int>, special tokens included."""
@@ -257,12 +291,17 @@ class Bpe:
         @F.arrow_udf(returnType="string")
         def decode(lists: pa.Array) -> pa.Array:
             of = codec(source.value).decode
-            return pa.array([of(_numbers(one)) for one in lists], pa.string())
+            return pa.array([of(ids) for ids in _numbers(lists)], pa.string())
 
         return decode(ids)
 
 
-def _numbers(ids: pa.ListScalar) -> np.ndarray:
-    if not ids.is_valid:
-        return np.empty(0, np.int64)
-    return ids.values.drop_null().to_numpy(zero_copy_only=False).astype(np.int64)
+def _numbers(lists: pa.ListArray) -> Iterator[np.ndarray]:
+    """The ids of each list that are not null; none for a null list."""
+    if lists.values.null_count:
+        for one in lists:
+            yield one.values.drop_null().to_numpy() if one.is_valid else np.empty(0, np.int32)
+        return
+    flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+    for known, a, b in zip(lists.is_valid().to_numpy(zero_copy_only=False), ends, ends[1:]):
+        yield flat[a:b] if known else flat[:0]
