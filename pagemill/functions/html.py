@@ -92,6 +92,7 @@ class _Page:
         self.title: list[str] | None = None
         self.content: list[str] | None = None
         self._hidden: list[str] = []  # open elements whose content is not text
+        self._hidden_of = dict.fromkeys((*NOT_TEXT, *RUBY), 0)  # how many of each
         self._in_title = False
         self._depth = 0  # open elements of the content tag, from the content block inward
         self._paragraph = False
@@ -160,6 +161,7 @@ class _Page:
             if tag in RUBY:
                 self._leave_ruby()
             self._hidden.append(tag)
+            self._hidden_of[tag] += 1
         if tag == self.content_tag:
             if self._depth:
                 self._depth += 1
@@ -173,7 +175,12 @@ class _Page:
 
     def _leave_ruby(self) -> None:
         while self._hidden and self._hidden[-1] in RUBY:
-            self._hidden.pop()
+            self._unhide()
+
+    def _unhide(self) -> str:
+        tag = self._hidden.pop()
+        self._hidden_of[tag] -= 1
+        return tag
 
     def end(self, tag: str) -> None:
         if tag in BLOCKS:
@@ -187,8 +194,8 @@ class _Page:
                 self._strong_depth -= 1
         elif tag in RUBY:
             self._leave_ruby()
-        elif tag in NOT_TEXT and tag in self._hidden:
-            while self._hidden.pop() != tag:
+        elif tag in NOT_TEXT and self._hidden_of[tag]:
+            while self._unhide() != tag:
                 pass
         if tag == self.content_tag and self._depth:
             self._depth -= 1

@@ -14,8 +14,8 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-# The same set as a pattern: Unicode's White_Space plus the four separators it leaves out.
-WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
+TOKEN_LIMIT = 512  # fixed value: tokens of a training text
+NEWLINE_RUN = r"\n{3,}"  # fixed value
 
 
 def strip(c: Column) -> Column:
@@ -34,24 +34,28 @@ def collapse_newlines(c: Column) -> Column:
 
     Few texts have any; a plain search spares the others the pattern matching."""
     runs = F.contains(c, F.lit("\n\n\n"))
-    return strip(F.when(runs, F.regexp_replace(c, r"\n{3,}", "\n\n")).otherwise(c))
+    return strip(F.when(runs, F.regexp_replace(c, NEWLINE_RUN, "\n\n")).otherwise(c))
 
 
-def whitespace_tokens(c: Column) -> Column:
-    """Blank-separated tokens; empty text has none."""
-    text = strip(F.coalesce(c, F.lit("")))
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(
-        F.split(text, WHITESPACE_RUN)
-    )
+# Blanks as a pattern are Unicode's White_Space plus the four separators it leaves out.
+# A token with the blanks after it, the first also with those before it.
+_TOKEN_PIECE = r"(?U)(?:\A[\s\x1c-\x1f]++)?[^\s\x1c-\x1f]++[\s\x1c-\x1f]*+"
+
+
+def whitespace_pieces(c: Column) -> Column:
+    """Blank-separated tokens, each with the blanks beside it; text of blanks has none."""
+    return F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(_TOKEN_PIECE), F.lit(0))
 
 
 def token_cap(
-    c: Column, limit: int = 512, tokenizer: Callable[[Column], Column] | None = None
+    c: Column, limit: int = TOKEN_LIMIT, tokenizer: Callable[[Column], Column] | None = None
 ) -> tuple[Column, Column]:
-    """(text cut to `limit` tokens, number of tokens before the cut).
+    """(text cut after `limit` tokens, number of tokens before the cut).
 
-    `tokenizer` maps a text column to an array of tokens and may wrap a pandas UDF around
-    a subword tokenizer; the default splits on whitespace.
+    A text within the limit stays as it is, a longer one loses the blanks at its new end.
+    `tokenizer` maps a text column to an array of pieces that joined give the text back; it
+    may wrap an Arrow UDF around a subword tokenizer. The default splits on whitespace.
     """
-    tokens = (tokenizer or whitespace_tokens)(c)
-    return F.array_join(F.slice(tokens, 1, limit), " "), F.size(tokens)
+    pieces = (tokenizer or whitespace_pieces)(c)
+    cut = F.rtrim(F.array_join(F.slice(pieces, 1, limit), ""), F.lit(WHITESPACE))
+    return F.when(F.size(pieces) > limit, cut).otherwise(F.coalesce(c, F.lit(""))), F.size(pieces)

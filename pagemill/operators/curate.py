@@ -13,7 +13,7 @@ from pagemill.functions.prompts import (
     training_completion,
     training_prompt,
 )
-from pagemill.functions.text import stripped_length, token_cap
+from pagemill.functions.text import stripped_length, TOKEN_LIMIT, token_cap
 from pagemill.functions.urls import url_netloc, url_slug
 
 MIN_TEXT_CHARS = 100  # fixed value: shortest text worth training on
@@ -99,7 +99,7 @@ def chat_messages(df: DataFrame, role: Column, content: Column) -> DataFrame:
     )
 
 
-def cap_tokens(df: DataFrame, col: str = "text", n: int = 512, tokenizer=None) -> DataFrame:
+def cap_tokens(df: DataFrame, col: str = "text", n: int = TOKEN_LIMIT, tokenizer=None) -> DataFrame:
     """Cut `col` to its first `n` tokens and add `n_tokens`, the count before the cut."""
     text, count = token_cap(F.col(col), n, tokenizer)
     return df.withColumns({"n_tokens": count, col: text})

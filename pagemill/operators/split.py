@@ -46,28 +46,45 @@ def _bucket_counts(hashed: DataFrame, digits: int = PREFIX) -> DataFrame:
     )
 
 
-def seeded_order(df: DataFrame, key: str, seed: int = SPLIT_SEED) -> DataFrame:
-    """Add `position`, the row's exact place (from 0) in the seeded order, and sort by it.
+def row_digest(df: DataFrame) -> Column:
+    """Tells rows with equal keys apart; rows it does not tell apart are equal throughout."""
+    return F.md5(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}))
+
+
+def numbered(df: DataFrame, first: str, *order: str) -> DataFrame:
+    """Rows with `first`, their place in the order of the columns `order`, from 0.
 
-    Rows are numbered within their bucket; no task sees more than a bucket, and the
-    buckets of a unique key are even.
+    Sorted into ranges and written; a place is the row's number in its partition and the
+    rows of the partitions before it. The id comes last in the order, so that equal
+    rows, however many, are spread over tasks too.
     """
-    hashed = df.withColumn("_hash", order_hash(F.col(key), seed))
-    starts = _bucket_counts(hashed).select("bucket", (F.col("upto") - F.col("n")).alias("start"))
-    in_bucket = F.row_number().over(
-        Window.partitionBy("bucket").orderBy("_hash", key)
-    )
-    return (
-        hashed.withColumn("bucket", _bucket(F.col("_hash")))
-        .withColumn("_in", in_bucket)
-        .join(F.broadcast(starts), "bucket")  # at most 16**4 rows
-        .withColumn("position", F.col("start") + F.col("_in") - 1)
-        .drop("_hash", "_in", "bucket", "start")
+    ranged = df.withColumn("_id", F.monotonically_increasing_id()).repartitionByRange(*order, "_id")
+    rows = ranged.sortWithinPartitions(*order, "_id").drop("_id").select(
+        "*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_line")
     )
+    rows = materialize(rows, "ordered")
+    counts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("n"), F.min("_line").alias("_from"))
+    before = F.sum("n").over(Window.orderBy("_part")) - F.col("n")
+    starts = counts.select("_part", "_from", before.alias("_start"))  # a row for each partition
+    place = F.col("_start") + F.col("_line") - F.col("_from")
+    return rows.join(F.broadcast(starts), "_part").withColumn(first, place).drop("_part", "_line", "_from", "_start")
+
+
+def seeded_order(df: DataFrame, key: str, seed: int = SPLIT_SEED) -> DataFrame:
+    """Add `position`, the row's exact place (from 0) in the seeded order.
+
+    Rows with equal keys follow the digest of the whole row. The result is not sorted: its
+    user sorts by `position`, or writes with `write_split`, which does.
+    """
+    hashed = df.withColumns({
+        "_hash": order_hash(F.col(key), seed), "_key": key_text(F.col(key)), "_row": row_digest(df),
+    })
+    return numbered(hashed, "position", "_hash", "_key", "_row").drop("_hash", "_key", "_row")
 
 
-def split_cut(df: DataFrame, key: str, val_ratio: float, seed: int) -> tuple[str, str] | None:
-    """(hash, key) of the last training row in the seeded order; None if there is none.
+def split_cut(df: DataFrame, key: str, val_ratio: float, seed: int) -> tuple[str, str, int, int] | None:
+    """(hash, key, n, of) of the last training row's key in the seeded order: `n` of the `of`
+    rows with that key belong to the training part. None if there is no training row.
 
     Only the keys are read from `df`, once, into a scratch table. Counts show which bucket
     holds the cut; that bucket is counted again by further digits until it is small, and
@@ -101,9 +118,7 @@ def split_cut(df: DataFrame, key: str, val_ratio: float, seed: int) -> tuple[str
         .filter(_holds("wanted"))
         .first()
     )
-    if cut["upto"] != wanted:
-        raise ValueError(f"the split falls between rows with equal {key!r}; use a unique key")
-    return cut["_hash"], cut["_key"]
+    return cut["_hash"], cut["_key"], wanted - (cut["upto"] - cut["n"]), cut["n"]
 
 
 def _holds(position: str) -> Column:
@@ -118,14 +133,22 @@ def train_val_split(
     rest 'val'. Exact, disjoint and complete.
 
     Finding the cut works on the key column alone; labelling the rows is then a plain
-    comparison, so the wide rows are neither shuffled nor sorted.
+    comparison, so the wide rows are neither shuffled nor sorted; but if the cut falls
+    between rows with equal keys, those rows are, by a digest of the whole row.
     """
     cut = split_cut(df, key, val_ratio, seed)
     if cut is None:
         return df.withColumn("split", F.lit("val"))
     digest, text = order_hash(F.col(key), seed), key_text(F.col(key))
-    in_train = (digest < cut[0]) | ((digest == cut[0]) & (text <= cut[1]))
-    return df.withColumn("split", F.when(in_train, F.lit("train")).otherwise(F.lit("val")))
+    before = (digest < cut[0]) | ((digest == cut[0]) & (text < cut[1]))
+    same = (digest == cut[0]) & (text == cut[1])
+    name = lambda train: F.when(train, F.lit("train")).otherwise(F.lit("val"))
+    if cut[2] == cut[3]:
+        return df.withColumn("split", name(before | same))
+    # The cut falls between rows with equal keys: they alone are put in order.
+    rows = numbered(df.filter(same).withColumn("_row", row_digest(df)), "_place", "_row")
+    rows = rows.withColumn("split", name(F.col("_place") < cut[2])).select(*df.columns, "split")
+    return df.filter(~same).withColumn("split", name(before)).unionByName(rows)
 
 
 def sample_pair(df: DataFrame, key: str, seed: int = SPLIT_SEED) -> DataFrame:

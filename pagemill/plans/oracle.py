@@ -6,6 +6,7 @@ _WS = (
     r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
+_NOT_WS = _WS.replace("[", "[^", 1)
 _URL = r"(?s)^(?:([a-zA-Z][a-zA-Z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?\z"
 
 
@@ -196,11 +197,11 @@ ORACLES: dict[str, str] = {
     "collapse_newlines": _sql("", f"""
         SELECT doc_id, {_tidy("replace(text, '. ', repeat(chr(10), 4))")} AS text FROM documents"""),
     "token_cap": _sql("", f"""
-        SELECT doc_id, array_to_string(tokens[1:512], ' ') AS text, len(tokens) AS n_tokens
-        FROM (SELECT doc_id,
-                     CASE WHEN {_strip('text')} = '' THEN CAST([] AS VARCHAR[])
-                          ELSE regexp_split_to_array({_strip('text')}, '{_WS}+') END AS tokens
-              FROM documents)"""),
+        SELECT doc_id, len(pieces) AS n_tokens,
+               CASE WHEN len(pieces) <= 512 THEN text
+                    ELSE regexp_replace(regexp_extract(text, '^{_WS}+') || array_to_string(pieces[1:512], ''),
+                                        '{_WS}+\\z', '') END AS text
+        FROM (SELECT doc_id, text, regexp_extract_all(text, '{_NOT_WS}+{_WS}*') AS pieces FROM documents)"""),
     "dedup_first_wins": _sql("entries curated", f"SELECT url, ord, {_FLAT} FROM curated"),
     "min_length": _sql("entries", f"""
         SELECT ord, url, text FROM entries WHERE length({_strip('text')}) >= 100"""),
@@ -245,13 +246,16 @@ ORACLES: dict[str, str] = {
             SELECT *, row_number() OVER (PARTITION BY url ORDER BY ord DESC) AS rn FROM entries)
         WHERE rn = 1 AND length({_strip('text')}) >= 100"""),
     "jsonl_rejects": _sql("entries", """
-        SELECT CASE WHEN ord % 10 = 3 THEN 'bad' ELSE 'good' END AS kind,
-               CASE WHEN ord % 10 = 3 THEN '{"url": ' || CAST(ord AS VARCHAR) ELSE text END AS value
+        SELECT CASE WHEN ord % 10 IN (3, 7) THEN 'bad' ELSE 'good' END AS kind,
+               CASE WHEN ord % 10 = 3 THEN '{"url": ' || CAST(ord AS VARCHAR)
+                    WHEN ord % 20 = 7 THEN '{},{}' || CAST(ord AS VARCHAR)
+                    WHEN ord % 20 = 17 THEN '{} {}' || CAST(ord AS VARCHAR) ELSE text END AS value
         FROM entries"""),
     "dataset_roundtrip": _sql("entries", f"SELECT url, {_FLAT} FROM entries"),
     "pairs_read": _sql("entries curated pairs", "SELECT prompt, completion FROM pairs"),
     "split_sink": _sql("entries curated pairs split", "SELECT prompt, completion, split FROM split"),
-    "prepared_files": _sql("entries curated pairs split", "SELECT prompt, completion, split FROM split"),
+    "prepared_files": _sql("entries curated pairs split", """
+        SELECT row_number() OVER (ORDER BY split, h, url) - 1 AS position, split, prompt, completion FROM split"""),
     "url_parts": _sql("", f"""
         SELECT page_id, lower({_part('url', 1)}) AS scheme, {_part('url', 2)} AS netloc,
                {_part('url', 3)} AS path FROM pages"""),
@@ -380,19 +384,21 @@ ORACLES: dict[str, str] = {
         WHERE r.visit_rank <= 150 OR p.visit_rank <= 150"""),
     "stream_ingest": _sql("entries delivered", f"""
         SELECT url, {_FLAT} FROM delivered WHERE length({_strip('text')}) >= 100"""),
-    "stream_resume": _sql("entries", """
-        SELECT CAST(run AS BIGINT) AS run, stored FROM (
-            SELECT 1 AS run, count(DISTINCT url) AS stored FROM entries WHERE ord % 5 < 3
-            UNION ALL SELECT 2, count(DISTINCT url) FROM entries
-            UNION ALL SELECT 3, count(DISTINCT url) FROM entries)"""),
-    "stream_crawl": _sql("hrefs links articles arrived", f"""
-        SELECT url, outcome, CASE WHEN outcome = 'OK' THEN chars END AS chars
-        FROM (SELECT {_DEFRAG} AS url, length(text) AS chars,
-                     CASE WHEN NOT regexp_matches({_part('url', 3)}, '^/\\w+/\\d+/?\\z') THEN 'CRAWL'
+    "stream_resume": _sql("entries delivered", f"""
+        SELECT url, CAST(CASE WHEN ord % 5 < 3 THEN 1 ELSE 2 END AS BIGINT) AS run, {_FLAT} FROM delivered"""),
+    "stream_crawl": _sql("hrefs links articles arrived fetched", f"""
+        SELECT url, outcome, CASE WHEN outcome = 'OK' THEN title END AS title,
+               CASE WHEN outcome = 'OK' THEN md5(text) END AS digest,
+               CASE WHEN outcome = 'OK' THEN '' END AS categories
+        FROM (SELECT {_DEFRAG.replace('url', 'a.url')} AS url, title, text,
+                     CASE WHEN status >= 400 THEN 'ERROR'
+                          WHEN NOT contains(content_type, 'text/html') THEN 'NON_HTML'
+                          WHEN NOT regexp_matches({_part('a.url', 3)}, '^/\\w+/\\d+/?\\z') THEN 'CRAWL'
                           WHEN title = '' OR length(text) < 50 THEN 'SKIP' ELSE 'OK' END AS outcome
-              FROM articles WHERE page_id IN (SELECT page_id FROM arrived))
+              FROM articles a JOIN fetched USING (page_id) WHERE page_id IN (SELECT page_id FROM arrived))
         UNION ALL
-        SELECT DISTINCT url, 'QUEUED', CAST(NULL AS BIGINT) FROM links
+        SELECT DISTINCT url, 'QUEUED', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM links
         WHERE page_id IN (SELECT page_id FROM arrived)
+              AND page_id IN (SELECT page_id FROM fetched WHERE status < 400 AND contains(content_type, 'text/html'))
               AND url NOT IN (SELECT {_DEFRAG} FROM pages)"""),
 }

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from pagemill.operators.curate import curated_entries, training_pairs
 from pagemill.operators.report import FEW_ENTRIES
-from pagemill.operators.split import SPLIT_SEED, VAL_RATIO, train_val_split
+from pagemill.operators.split import SPLIT_SEED, VAL_RATIO, sample_pair, train_val_split
+from pagemill.session import materialize
 from pagemill.sources.jsonl import SOURCE_ORDER, read_jsonl, write_split
 
 
@@ -18,24 +18,27 @@ def prepare_data(
     val_ratio: float = VAL_RATIO,
     seed: int = SPLIT_SEED,
     glob: str | None = "*.jsonl",
-) -> dict[str, int | bool]:
+) -> dict[str, int | bool | dict | None]:
     """Read JSONL records, keep the first long record of every URL, form pairs, split and
-    write them. Returns the run's totals.
+    write them in seeded order. Returns the run's totals and a sample pair, None if there is none.
 
-    The totals are observed while the files are written, so they cost no further pass.
+    The records are read and deduplicated once, into a table. The write reads all of it, the
+    cut and the totals one column.
     """
     records = read_jsonl(spark, input_path, glob=glob)
-    pairs = training_pairs(curated_entries(records, order=SOURCE_ORDER), "url")
+    files = len(records.inputFiles())
+    pairs = materialize(training_pairs(curated_entries(records, order=SOURCE_ORDER), "url"), "pairs")
     labelled = train_val_split(pairs, "url", val_ratio, seed)
-    totals = Observation("totals")
-    write_split(
-        labelled.observe(
-            totals,
-            F.count_if(F.col("split") == "train").alias("train"),
-            F.count_if(F.col("split") == "val").alias("val"),
-        ),
-        output_path,
-    )
-    train, val = totals.get["train"], totals.get["val"]
+    write_split(labelled, output_path, key="url", seed=seed)
+    sizes = {row["split"]: row["count"] for row in labelled.groupBy("split").count().collect()}
+    train, val = sizes.get("train", 0), sizes.get("val", 0)
     entries = train + val
-    return {"entries": entries, "train": train, "val": val, "few_entries": entries < FEW_ENTRIES}
+    sample = sample_pair(labelled, "url", seed).select("prompt", "completion").first()
+    return {
+        "files": files,
+        "entries": entries,
+        "train": train,
+        "val": val,
+        "few_entries": entries < FEW_ENTRIES,
+        "sample": sample and sample.asDict(),
+    }

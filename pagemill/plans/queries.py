@@ -182,12 +182,15 @@ def jsonl_scan(spark, sf_dir):
 
 @query
 def jsonl_rejects(spark, sf_dir):
-    """Every tenth line is broken off."""
+    """Every tenth line is broken off, every tenth has more after its object."""
     path = scratch_path(spark, "rejects")
     record = F.to_json(F.struct(*PAGE.names), {"ignoreNullFields": "false"})
     broken = F.concat(F.lit('{"url": '), F.col("ord").cast("string"))
     lines = inputs.entries(spark, sf_dir).select(
-        F.when(F.col("ord") % 10 == 3, broken).otherwise(record).alias("value")
+        F.when(F.col("ord") % 10 == 3, broken)
+        .when(F.col("ord") % 10 == 7, F.concat(F.lit("{}"), F.when(F.col("ord") % 20 == 7, F.lit(",")).otherwise(F.lit(" ")), F.lit("{}"), F.col("ord").cast("string")))
+        .otherwise(record)
+        .alias("value")
     )
     lines.write.text(path)
     good, bad = jsonl.split_rejects(
@@ -225,13 +228,13 @@ def split_sink(spark, sf_dir):
 
 @query
 def prepared_files(spark, sf_dir):
-    """Record files to training files in one call."""
+    """Record files to training files in one call; `position` follows file name and line."""
     source = _write_records(spark, inputs.entries(spark, sf_dir), "records")
     path = scratch_path(spark, "prepared")
     prepare_data(spark, source, path, glob="*.json")
-    train = jsonl.read_pairs(spark, f"{path}/split=train").withColumn("split", F.lit("train"))
-    val = jsonl.read_pairs(spark, f"{path}/split=val").withColumn("split", F.lit("val"))
-    return train.unionByName(val)
+    rows = jsonl.read_prepared(spark, path)
+    placed = split.numbered(rows, "position", "split", *jsonl.SOURCE_ORDER)
+    return placed.select("position", "split", "prompt", "completion")
 
 
 # --- URLs -----------------------------------------------------------------------------
@@ -552,30 +555,32 @@ def stream_ingest(spark, sf_dir):
 
 @query
 def stream_resume(spark, sf_dir):
-    """Rows stored after each delivery, and after a rerun without a new one."""
+    """Records with the run that stored them: two deliveries, and a rerun without a new one."""
     in_dir, out_dir = scratch_path(spark, "arrivals"), scratch_path(spark, "ingested")
-    counts = []
-    for number, delivery in enumerate([*_two_arrivals(spark, sf_dir), None]):
+    for delivery in [*_two_arrivals(spark, sf_dir), None]:
         if delivery is not None:
             _deliver(delivery, in_dir)
         ingest.stream_ingest(spark, in_dir, out_dir, glob="*.json").awaitTermination()
-        counts.append((number + 1, ingest.read_batches(spark, out_dir, PAGE).count()))
-    return spark.createDataFrame(counts, "run bigint, stored bigint")
+    stored = ingest.read_batches(spark, out_dir, PAGE)
+    return flat(stored, "url", (F.col("batch") + 1).alias("run"))
 
 
 @query
 def stream_crawl(spark, sf_dir):
     """Pages with their outcome, and the queue, after taking in two deliveries."""
     in_dir, out_dir = scratch_path(spark, "fetched"), scratch_path(spark, "crawled")
-    pages = table(spark, sf_dir, "pages").withColumn("url", ur.url_defrag(F.col("url")))
+    pages = inputs.fetched_pages(spark, sf_dir).withColumn("url", ur.url_defrag(F.col("url")))
     early = F.col("page_id") % 3 < 2
     for part in (pages.filter(early), pages.filter(~early)):
-        _in_order(part, "page_id").select("url", "html").write.mode("append").parquet(in_dir)
+        _in_order(part, "page_id").select(*ingest.FETCHED.names).write.mode("append").parquet(in_dir)
         ingest.stream_crawl(
             spark, in_dir, out_dir, pattern=r"^/\w+/\d+/?$", content=FIXTURE_CONTENT
         ).awaitTermination()
     stored = ingest.read_batches(spark, f"{out_dir}/pages", ingest.CRAWLED)
     queue = ingest.crawl_frontier(spark, out_dir)
-    return stored.select("url", "outcome", F.length("text").cast("bigint").alias("chars")).unionByName(
-        queue.select("url", F.lit("QUEUED").alias("outcome"), F.lit(None).cast("bigint").alias("chars"))
+    none = F.lit(None).cast("string")
+    return stored.select(
+        "url", "outcome", "title", F.md5("text").alias("digest"), F.array_join("categories", "|").alias("categories")
+    ).unionByName(
+        queue.select("url", F.lit("QUEUED").alias("outcome"), *[none.alias(c) for c in ("title", "digest", "categories")])
     )

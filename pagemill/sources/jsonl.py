@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagemill.functions.text import strip
+from pagemill.operators.split import SPLIT_SEED, key_text, order_hash
 from pagemill.schemas import PAGE, PAIR
-from pagemill.sources.paths import exists, is_file
+from pagemill.sources.paths import exists, hidden_files, is_file, make_folder
 
 SOURCE_ORDER = ("file_name", "block_start", "line_id")
 REJECTED = "_rejected"
@@ -33,18 +34,42 @@ def not_blank(lines: DataFrame) -> DataFrame:
     return lines.filter(strip(F.col("value")) != "")
 
 
+def _wrapped(value: Column) -> Column:
+    """The line inside an object of its own, which parses only if the line is JSON throughout."""
+    return F.concat(F.lit('{"r":['), value, F.lit('],"end":1}'))
+
+
+def _only_record(schema: T.StructType, mode: str) -> tuple[Column, Column]:
+    """(record, whether the line holds one object and nothing after it). Spark's parser by
+    itself stops after the first object of a line and ignores the rest."""
+    target = T.StructType([T.StructField("r", T.ArrayType(schema)), T.StructField("end", T.IntegerType())])
+    parsed = F.from_json(_wrapped(F.col("value")), target, {"mode": mode})
+    record = F.get(parsed["r"], F.lit(0))
+    single = (F.size(parsed["r"]) == 1) & record.isNotNull() & (parsed["end"] == 1)
+    return record, F.coalesce(single, F.lit(False))
+
+
+def _strict(schema: T.StructType) -> Column:
+    record, single = _only_record(schema, "FAILFAST")
+    message = F.concat(F.lit("not one JSON object: "), F.substring("value", 1, 200))
+    return F.when(single, record).otherwise(F.raise_error(message).cast(schema))
+
+
 def parse_lines(
     lines: DataFrame, schema: T.StructType = PAGE, mode: str = "FAILFAST"
 ) -> DataFrame:
     """The fields of `schema` beside the source order. FAILFAST stops the job at the first
-    malformed line; PERMISSIVE puts such a line into the `_rejected` column."""
-    options = {"mode": mode}
-    target = schema
-    if mode == "PERMISSIVE":
-        target = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
-        options["columnNameOfCorruptRecord"] = REJECTED
+    line that is not one JSON object; PERMISSIVE puts such a line into the `_rejected` column."""
+    if mode != "PERMISSIVE":
+        return lines.select(*SOURCE_ORDER, _strict(schema).alias("r")).select(*SOURCE_ORDER, "r.*")
+    target = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
+    options = {"mode": mode, "columnNameOfCorruptRecord": REJECTED}
     record = F.from_json(F.col("value"), target, options)
-    return lines.select(*SOURCE_ORDER, record.alias("r")).select(*SOURCE_ORDER, "r.*")
+    _, single = _only_record(schema, mode)
+    rows = lines.select(*SOURCE_ORDER, record.alias("r"), F.when(~single, F.col("value")).alias("_whole"))
+    return rows.select(*SOURCE_ORDER, "r.*", "_whole").withColumn(
+        REJECTED, F.coalesce(REJECTED, "_whole")
+    ).drop("_whole")
 
 
 def read_jsonl(
@@ -55,9 +80,12 @@ def read_jsonl(
     glob: str | None = "*.jsonl",
 ) -> DataFrame:
     """Records of one file, whatever its name, or of the files in a directory that match
-    `glob`. A directory without such files gives no rows."""
+    `glob`. A directory without such files gives no rows. Spark passes over names that begin
+    with a dot or an underscore; such a file that matches is an error, not a silent gap."""
     reader = spark.read
     if glob and not is_file(spark, path):
+        if hidden := hidden_files(spark, path, glob):
+            raise ValueError(f"Spark does not read files named like {hidden[0]}; rename them")
         reader = reader.option("pathGlobFilter", glob)
     lines = number_rows(with_place(reader.text(path), "value"))
     return parse_lines(not_blank(lines), schema, mode)
@@ -74,12 +102,7 @@ def read_pairs(spark: SparkSession, path: str, optional: bool = False) -> DataFr
     """Training pairs. An optional path that does not exist gives an empty table."""
     if optional and not exists(spark, path):
         return spark.createDataFrame([], PAIR)
-    pair: Column = F.from_json("value", PAIR, {"mode": "FAILFAST"})
-    return (
-        not_blank(spark.read.text(path))
-        .select(pair.alias("pair"))
-        .select("pair.*")
-    )
+    return not_blank(spark.read.text(path)).select(_strict(PAIR).alias("pair")).select("pair.*")
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -87,8 +110,18 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
-def write_split(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Training and validation parts in one pass, as `split=train` and `split=val`."""
+def write_split(
+    df: DataFrame, path: str, mode: str = "errorifexists", key: str | None = None, seed: int = SPLIT_SEED
+) -> None:
+    """Training and validation parts in one pass, as `split=train` and `split=val`.
+
+    With `key` the lines of each part, read by file name, follow the seeded order. A part
+    without rows is a folder without lines.
+    """
+    if key:
+        df = df.withColumns({"_hash": order_hash(F.col(key), seed), "_key": key_text(F.col(key))})
+        order = ["split", "_hash", "_key"]
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
     (
         df.select("split", *PAIR.names)
         .write.mode(mode)
@@ -96,3 +129,12 @@ def write_split(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
         .partitionBy("split")
         .json(path)
     )
+    for part in ("train", "val"):
+        make_folder(df.sparkSession, f"{path}/split={part}")
+
+
+def read_prepared(spark: SparkSession, path: str) -> DataFrame:
+    """(split, source order, prompt, completion) of both parts that `write_split` wrote."""
+    lines = spark.read.schema("value string, split string").text(path)
+    placed = not_blank(number_rows(with_place(lines, "value", "split")))
+    return placed.select("split", *SOURCE_ORDER, _strict(PAIR).alias("pair")).select("split", *SOURCE_ORDER, "pair.*")

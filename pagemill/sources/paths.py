@@ -18,3 +18,18 @@ def exists(spark: SparkSession, path: str) -> bool:
 def is_file(spark: SparkSession, path: str) -> bool:
     files, target = _locate(spark, path)
     return files.isFile(target)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, target = _locate(spark, path)
+    files.mkdirs(target)
+
+
+def hidden_files(spark: SparkSession, path: str, glob: str) -> list[str]:
+    """Names in a directory that match `glob` but that Spark's readers pass over."""
+    files, target = _locate(spark, path)
+    if not files.exists(target):
+        return []
+    found = files.listStatus(target, spark._jvm.org.apache.hadoop.fs.GlobFilter(glob))
+    names = [status.getPath().getName() for status in found if status.isFile()]
+    return [name for name in names if name[0] in "._"]

@@ -5,6 +5,9 @@ overwrites its partition and looks only at the partitions before it, so replay c
 nothing. What has been seen is read from the output itself; there is no second store to
 keep in step. The checkpoint holds the progress: starting again continues where the last
 run stopped, whether it ended or was killed.
+
+A run takes in all files that have arrived as one batch, so the record that wins a URL does not
+depend on how many files a batch may hold.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pagemill.functions.html import CATEGORY_MARK, CONTENT, parse_html
 from pagemill.functions.urls import DEFAULT_PATH_PATTERN
 from pagemill.operators.curate import first_per_key
-from pagemill.operators.extract import MIN_PAGE_CHARS, explode_links, record_outcome, with_text
+from pagemill.operators.extract import MIN_PAGE_CHARS, explode_links, fetch_state, record_outcome, with_text
 from pagemill.operators.frontier import frontier_next
 from pagemill.schemas import FRONTIER, PAGE
 from pagemill.sources.jsonl import SOURCE_ORDER, not_blank, number_rows, parse_lines, with_place
@@ -88,7 +91,6 @@ def stream_ingest(
     out_dir: str,
     checkpoint: str | None = None,
     schema: T.StructType = PAGE,
-    max_files: int = 1000,
     glob: str = "*.jsonl",
     every: str | None = None,
 ) -> StreamingQuery:
@@ -99,11 +101,7 @@ def stream_ingest(
     `min_length` when reading. Processes what is there, then stops; with `every`, such as
     "1 minute", keeps looking for new files.
     """
-    lines = (
-        spark.readStream.option("pathGlobFilter", glob)
-        .option("maxFilesPerTrigger", max_files)
-        .text(in_dir)
-    )
+    lines = spark.readStream.option("pathGlobFilter", glob).text(in_dir)
 
     def keep_new(batch: DataFrame, batch_id: int) -> None:
         records = parse_lines(not_blank(number_rows(batch)), schema).withColumn(
@@ -116,13 +114,21 @@ def stream_ingest(
             _write_batch(first, out_dir, batch_id)
             return
         first = first.persist(StorageLevel.MEMORY_AND_DISK)
-        _write_batch(_unseen(first, seen), out_dir, batch_id)
-        first.unpersist()
+        try:
+            _write_batch(_unseen(first, seen), out_dir, batch_id)
+        finally:
+            first.unpersist()
 
     place = checkpoint or f"{out_dir}/_checkpoint"
     return _start(with_place(lines, "value"), place, every, keep_new)
 
 
+FETCHED = T.StructType([
+    T.StructField("url", T.StringType()),
+    T.StructField("html", T.StringType()),
+    T.StructField("status", T.IntegerType()),
+    T.StructField("content_type", T.StringType()),
+])
 CRAWLED = T.StructType([*PAGE.fields, T.StructField("outcome", T.StringType())])
 
 
@@ -136,19 +142,16 @@ def stream_crawl(
     content: tuple[str, str | None] = CONTENT,
     mark: str = CATEGORY_MARK,
     min_chars: int = MIN_PAGE_CHARS,
-    max_files: int = 1000,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Take in Parquet files of fetched pages (url, html) as they arrive.
+    """Take in Parquet files of fetched pages (url, html[, status, content_type]) as they arrive.
+    A missing status or type is taken as fine. Responses that hold no page get the outcome
+    ERROR or NON_HTML and are not parsed.
 
     Writes `pages` (each URL once with its outcome, and its record if that is OK) and `links`.
     A URL counts as visited once its batch is in `pages`; `crawl_frontier` derives the queue.
     """
-    fetched = (
-        spark.readStream.schema("url string, html string")
-        .option("maxFilesPerTrigger", max_files)
-        .parquet(in_dir)
-    )
+    fetched = spark.readStream.schema(FETCHED).parquet(in_dir)
 
     def keep_new(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
@@ -157,27 +160,33 @@ def stream_crawl(
         seen = _earlier(session, f"{out_dir}/pages", CRAWLED, batch_id)
         if seen is not None:
             new = _unseen(new, seen)
+        new = new.fillna({"status": 200, "content_type": "text/html"})
+        flagged = new.withColumn("state", fetch_state(new))
         # Parsed once, used for both tables.
-        parsed = new.select(
+        parsed = flagged.select(
             F.col("line_id").alias("src_ord"),
             "url",
-            parse_html(F.col("html"), content, mark).alias("page"),
+            "state",
+            parse_html(F.when(F.col("state").isNull(), F.col("html")), content, mark).alias("page"),
         ).persist(StorageLevel.MEMORY_AND_DISK)
-        _write_batch(explode_links(parsed, base_domain, "src_ord"), f"{out_dir}/links", batch_id)
-        outcome = record_outcome(pattern, min_chars)
-        judged = with_text(parsed).select(
-            "url", "page.title", "text", "page.categories", outcome.alias("outcome")
-        )
-        record = ("title", "text", "categories")
-        pages = judged.withColumns(
-            {name: F.when(F.col("outcome") == "OK", F.col(name)) for name in record}
-        )
-        # Last, because this is what marks the URLs as visited.
-        _write_batch(pages, f"{out_dir}/pages", batch_id)
-        parsed.unpersist()
+        try:
+            links = explode_links(parsed.drop("state"), base_domain, "src_ord")
+            _write_batch(links, f"{out_dir}/links", batch_id)
+            outcome = F.coalesce("state", record_outcome(pattern, min_chars))
+            judged = with_text(parsed).select(
+                "url", "page.title", "text", "page.categories", outcome.alias("outcome")
+            )
+            record = ("title", "text", "categories")
+            pages = judged.withColumns(
+                {name: F.when(F.col("outcome") == "OK", F.col(name)) for name in record}
+            )
+            # Last, because this is what marks the URLs as visited.
+            _write_batch(pages, f"{out_dir}/pages", batch_id)
+        finally:
+            parsed.unpersist()
 
     place = checkpoint or f"{out_dir}/_checkpoint"
-    return _start(with_place(fetched, "url", "html"), place, every, keep_new)
+    return _start(with_place(fetched, *FETCHED.names), place, every, keep_new)
 
 
 def crawl_frontier(spark: SparkSession, out_dir: str) -> DataFrame:

@@ -156,6 +156,12 @@ def test_hostile_pages_take_linear_time(piece):
     assert time.process_time() - start < 10
 
 
+def test_ends_of_elements_that_are_not_open_take_linear_time():
+    start = time.process_time()
+    parse("<template>" * 50_000 + "</script>" * 50_000 + "</template>" * 50_000 + "<rt>" * 50_000 + "</ruby>" * 50_000)
+    assert time.process_time() - start < 10
+
+
 PAGES = [
     ("https://h/a/1/ok", "<h1>T</h1><div class=text>" + "x" * 50 + "</div>", None),
     ("https://h/a/2/short", "<h1>T</h1><div class=text> " + "x" * 49 + " </div>", "short_text"),

@@ -1,3 +1,4 @@
+import hashlib
 import json
 from types import SimpleNamespace
 
@@ -151,8 +152,41 @@ def test_prepare_data(spark, tmp_path):
     long = "x" * 120
     write(tmp_path / "in", "a.jsonl", *(page(f"u{i}", long + str(i)) for i in range(12)), page("u1", long), page("v", "short"))
     totals = prepare_data(spark, str(tmp_path / "in"), str(tmp_path / "out"), val_ratio=0.25, seed=7)
-    assert totals == {"entries": 12, "train": 9, "val": 3, "few_entries": False}
+    sample = totals.pop("sample")
+    assert totals == {"files": 1, "entries": 12, "train": 9, "val": 3, "few_entries": False}
+    lines = [line for part in ("train", "val") for file in sorted((tmp_path / f"out/split={part}").glob("*.json")) for line in file.read_text().splitlines()]
+    order = sorted((f"u{i}" for i in range(12)), key=lambda u: hashlib.md5(f"7:{u}".encode()).hexdigest())
+    assert [json.loads(line)["completion"] for line in lines] == [f" {long}{u[1:]}" for u in order]
+    assert sample == json.loads(lines[0])
     train = jsonl.read_pairs(spark, str(tmp_path / "out/split=train"))
     val = jsonl.read_pairs(spark, str(tmp_path / "out/split=val"))
     assert (train.count(), val.count()) == (9, 3)
     assert {r.completion for r in train.unionByName(val).collect()} == {f" {long}{i}" for i in range(12)}
+
+
+@pytest.mark.parametrize("n", [0, 1])
+def test_both_parts_are_always_there(spark, tmp_path, n):
+    write(tmp_path / "in", "a.jsonl", *(page(f"u{i}", "x" * 120) for i in range(n)))
+    totals = prepare_data(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert (totals["train"], totals["val"], bool(totals["sample"])) == (0, n, bool(n))
+    assert [jsonl.read_pairs(spark, str(tmp_path / f"out/split={part}")).count() for part in ("train", "val")] == [0, n]
+
+
+def test_lines_with_more_than_one_object(spark, tmp_path):
+    bad = [page("a") + " " + page("b"), page("a") + "," + page("b"), page("a") + "x", "[" + page("a") + "]", "null", "7"]
+    write(tmp_path, "a.jsonl", page("good"), *bad)
+    good, rejected = jsonl.split_rejects(jsonl.read_jsonl(spark, str(tmp_path), mode="PERMISSIVE"))
+    assert [r.url for r in good.collect()] == ["good"] and sorted(r.line for r in rejected.collect()) == sorted(bad)
+    for line in bad:
+        (tmp_path / "one").write_text(line)
+        with pytest.raises(Exception, match="(?i)malformed|not one JSON object"):
+            jsonl.read_jsonl(spark, str(tmp_path / "one")).collect()
+
+
+def test_hidden_files_are_an_error(spark, tmp_path):
+    write(tmp_path, "a.jsonl", page("a"))
+    write(tmp_path, "_SUCCESS", "")
+    assert jsonl.read_jsonl(spark, str(tmp_path)).count() == 1
+    write(tmp_path, "_b.jsonl", page("b"))
+    with pytest.raises(ValueError):
+        jsonl.read_jsonl(spark, str(tmp_path))

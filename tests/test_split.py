@@ -45,8 +45,21 @@ def test_positions(spark):
 def test_repeated_keys(spark):
     df = keys_df(spark, 20).unionAll(keys_df(spark, 20))
     assert split.train_val_split(df, "key", 0.5).filter("split = 'train'").count() == 20
-    with pytest.raises(ValueError):
-        split.train_val_split(df, "key", 0.52)  # 19 rows would cut a pair of equal keys
+    assert split.train_val_split(df, "key", 0.52).filter("split = 'train'").count() == 19  # cuts a pair of equal keys
+
+
+def test_hot_key_is_cut_exactly_and_repeatably(spark):
+    rows = spark.range(0, 300, 1, 5).selectExpr("if(id % 3 = 0, 'hot', concat('k', id)) AS key", "cast(id div 30 AS int) AS v")
+    for ratio in (0.1, 0.5, 0.9):
+        one, other = (
+            split.train_val_split(df, "key", ratio).groupBy("key", "v", "split").count().collect()
+            for df in (rows, rows.repartition(3).orderBy(F.rand(2)))
+        )
+        assert sorted(map(tuple, one)) == sorted(map(tuple, other))
+        assert sum(r["count"] for r in one if r.split == "train") == int(300 * (1 - ratio))
+    placed = split.seeded_order(rows, "key").orderBy("position").collect()
+    assert [r.position for r in placed] == list(range(300))
+    assert [r.key for r in placed] == expected_order(r.key for r in placed)
 
 
 def test_missing_key_counts_as_empty(spark):
@@ -73,4 +86,5 @@ def test_large_buckets_are_counted_by_further_digits(spark, monkeypatch):
     hot = df.unionAll(spark.range(600).select(F.lit("hot").alias("key")))
     order = expected_order([r.key for r in hot.collect()])
     n_train = order.index("hot") - 1  # just before the hot key
-    assert split.split_cut(hot, "key", 1 - (n_train + 0.5) / 1100, 42)[1] == order[n_train - 1]
+    assert split.split_cut(hot, "key", 1 - (n_train + 0.5) / 1100, 42)[1:] == (order[n_train - 1], 1, 1)
+    assert split.split_cut(hot, "key", 1 - (n_train + 100.5) / 1100, 42)[1:] == ("hot", 99, 600)

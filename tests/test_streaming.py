@@ -35,11 +35,11 @@ def test_first_record_wins_across_batches_and_runs(spark, tmp_path):
     folder = tmp_path / "in"
     deliver(folder, "z.jsonl", record("a", "z1"), record("a", "z2"), record(None, "z3"))
     deliver(folder, "y.jsonl", record("a", "y"), record("b", "y"))
-    run(spark, tmp_path, max_files=1)
-    assert stored(spark, tmp_path) == {"a": ("z1", 0), "": ("z3", 0), "b": ("y", 1)}
+    run(spark, tmp_path)
+    assert stored(spark, tmp_path) == {"a": ("y", 0), "": ("z3", 0), "b": ("y", 0)}
     deliver(folder, "a.jsonl", record("b", "a"), record("", "a"), record("c", "a"))
     run(spark, tmp_path)
-    expected = {"a": ("z1", 0), "": ("z3", 0), "b": ("y", 1), "c": ("a", 2)}
+    expected = {"a": ("y", 0), "": ("z3", 0), "b": ("y", 0), "c": ("a", 1)}
     assert stored(spark, tmp_path) == expected
     run(spark, tmp_path)
     assert stored(spark, tmp_path) == expected
@@ -100,6 +100,22 @@ def test_malformed_line_stops_the_stream(spark, tmp_path):
         run(spark, tmp_path)
 
 
+@pytest.mark.parametrize("line", ['{"url": "a"} {"url": "b"}', '{"url": "a"},{"url": "b"}', '{"url": "a"} x', '[{"url": "a"}]', "5", "null"])
+def test_more_than_one_object_stops_the_stream(spark, tmp_path, line):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.jsonl").write_text(line + "\n")
+    with pytest.raises(Exception):
+        run(spark, tmp_path)
+
+
+def test_many_files_against_name_order_are_one_batch(spark, tmp_path):
+    for i in range(30, 0, -1):  # the oldest file has the last name
+        deliver(tmp_path / "in", f"{i:02}.jsonl", record("u", str(i)), record(f"v{i // 2}", str(i)))
+    run(spark, tmp_path)
+    expected = {"u": ("1", 0)} | {f"v{i}": (str(max(2 * i, 1)), 0) for i in range(16)}
+    assert stored(spark, tmp_path) == expected
+
+
 def html(*links):
     body = "<h1>T</h1><div class=text>" + "x" * 60 + "</div>"
     return body + "".join(f"<a href='{link}'>l</a>" for link in links)
@@ -124,3 +140,16 @@ def test_crawl_stream(spark, tmp_path):
     ]
     queue = ingest.crawl_frontier(spark, out).orderBy("depth", "src_ord", "pos").collect()
     assert [r.url for r in queue] == ["http://h/3", "http://h/4"]
+
+
+def test_crawl_stream_judges_status_and_type(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = [("http://h/1", html("/5"), 200, "text/html; charset=utf-8"), ("http://h/2", html("/6"), 404, "text/html"),
+            ("http://h/3", html("/7"), 200, "application/pdf"), ("http://h/4", html("/8"), None, None)]
+    spark.createDataFrame(rows, ingest.FETCHED).write.parquet(folder)
+    ingest.stream_crawl(spark, folder, out, pattern=r"^/\d$").awaitTermination()
+    pages = ingest.read_batches(spark, f"{out}/pages", ingest.CRAWLED).collect()
+    assert sorted((r.url, r.outcome, r.title) for r in pages) == [
+        ("http://h/1", "OK", "T"), ("http://h/2", "ERROR", None), ("http://h/3", "NON_HTML", None), ("http://h/4", "OK", "T"),
+    ]
+    assert sorted(r.url for r in ingest.crawl_frontier(spark, out).collect()) == ["http://h/5", "http://h/8"]

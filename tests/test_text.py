@@ -22,9 +22,9 @@ def test_strip_equals_python(spark):
 
 def test_whitespace_run_splits_like_python(spark):
     texts = ["a" + "b".join(pair) + "c" for pair in itertools.product(tx.WHITESPACE + "\u200b\ufeff_x", repeat=2)]
-    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", tx.whitespace_tokens(F.col("t")).alias("s"))
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", tx.whitespace_pieces(F.col("t")).alias("s"))
     for row in rows.collect():
-        assert row.s == row.t.split()
+        assert [piece.strip() for piece in row.s] == row.t.split() and "".join(row.s) == row.t
 
 
 def test_collapse_newlines(spark):
@@ -43,10 +43,16 @@ def test_token_cap(spark):
     long = " ".join(f"w{i}" for i in range(600))
     rows = spark.createDataFrame([(0, long), (1, " a　b \n"), (2, " "), (3, None)], "id int, text string")
     got = {r.id: (r.text, r.n_tokens) for r in cap_tokens(rows).collect()}
-    assert got == {0: (" ".join(long.split()[:512]), 600), 1: ("a b", 2), 2: ("", 0), 3: ("", 0)}
+    assert got == {0: (" ".join(long.split()[:512]), 600), 1: (" a　b \n", 2), 2: (" ", 0), 3: ("", 0)}
+
+
+def test_token_cap_leaves_blanks_alone(spark):
+    rows = spark.createDataFrame([(" a  b\n\nc\x1c d ",)], "text string")
+    cut = {n: cap_tokens(rows, n=n).first()[:] for n in (0, 1, 2, 3, 4)}
+    assert cut == {0: (("", 4)), 1: (" a", 4), 2: (" a  b", 4), 3: (" a  b\n\nc", 4), 4: (" a  b\n\nc\x1c d ", 4)}
 
 
 def test_token_cap_with_another_tokenizer(spark):
     rows = spark.createDataFrame([("abcd",)], "text string")
     got = cap_tokens(rows, n=2, tokenizer=lambda c: F.split(c, "")).first()
-    assert (got.text, got.n_tokens) == ("a b", 4)
+    assert (got.text, got.n_tokens) == ("ab", 4)
