@@ -47,6 +47,10 @@ def url_defrag(url: Column) -> Column:
     return F.substring_index(url, "#", 1)
 
 
+# What a slug leaves out, and the slug of the root.
+NOT_IN_SLUG, EMPTY_SLUG = "[^a-z0-9]+", "index"
+
+
 def href_followable(href: Column) -> Column:
     """False for in-page anchors and script, mail and phone links. Case-sensitive."""
     keep = F.lit(True)
@@ -67,8 +71,8 @@ def path_matches(url: Column, pattern: str = DEFAULT_PATH_PATTERN) -> Column:
 def url_slug(url: Column) -> Column:
     """Lower-case path with every run outside [a-z0-9] as one '-'; 'index' if nothing is left."""
     path = F.lower(F.trim(url_path(url), F.lit("/")))
-    slug = F.regexp_replace(path, "[^a-z0-9]+", "-")
-    return F.when(slug == "", F.lit("index")).otherwise(slug)
+    slug = F.regexp_replace(path, NOT_IN_SLUG, "-")
+    return F.when(slug == "", F.lit(EMPTY_SLUG)).otherwise(slug)
 
 
 def _fold_dots(path: Column) -> Column:

@@ -17,6 +17,8 @@ from pagemill.functions.urls import (
 )
 
 MIN_PAGE_CHARS = 50  # fixed value: shortest main text worth keeping
+# The type of a page, and the length of a title's preview.
+HTML_TYPE, PREVIEW_CHARS = "text/html", 60
 
 
 def parse_pages(
@@ -111,7 +113,7 @@ def _fetched(pages: DataFrame) -> Column:
 def _is_html(pages: DataFrame) -> Column:
     if "content_type" not in pages.columns:
         return F.lit(True)
-    return F.contains(F.coalesce(F.col("content_type"), F.lit("")), F.lit("text/html"))
+    return F.contains(F.coalesce(F.col("content_type"), F.lit("")), F.lit(HTML_TYPE))
 
 
 def fetch_state(pages: DataFrame) -> Column:
@@ -150,7 +152,7 @@ def page_outcomes(
     return parsed.withColumn("outcome", outcome).select(
         "url",
         "outcome",
-        F.when(F.col("outcome") == "OK", F.substring("page.title", 1, 60)).alias("title_preview"),
+        F.when(F.col("outcome") == "OK", F.substring("page.title", 1, PREVIEW_CHARS)).alias("title_preview"),
     )
 
 

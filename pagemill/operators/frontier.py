@@ -16,6 +16,7 @@ from pagemill.session import materialize, scratch_path
 QUEUE_ORDER = ("depth", "src_ord", "pos")
 PRUNE_FROM = 100_000  # pages reached before links are first dropped
 PRUNE_GROWTH = 4  # growth of the crawl from one dropping of links to the next
+FOLD = 32  # levels compared one by one; bounds what a level lists on a long chain
 ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
@@ -82,25 +83,31 @@ _LEVEL = T.StructType([
 
 
 def crawl_reachable(
-    links: DataFrame, seed: str, max_pages: int = 0, max_depth: int | None = None
+    links: DataFrame,
+    seed: str,
+    max_pages: int = 0,
+    max_depth: int | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """(url, depth, visit_rank, visited): pages reached from `seed` over `links`
     (src_url, pos, url), breadth first, each URL once.
 
     Within a level pages come in the order of the parent's rank, then of the link's
     position. With `max_pages` the first that many are visited; the rest of the queue at
-    that moment is returned with visited = false.
+moment is returned with visited = false. `unique` says that no (src_url, url) repeats in
+    `links`, which spares a shuffle of all of them.
 
     Each level is one job whose result is written to the scratch folder, so lineage does
     not grow and a lost executor repeats one level at most. Level tables are narrow, and
     the planner sees their true size: a small frontier is broadcast against the links, a
-    large one is joined by shuffle. Each time the crawl has grown several times over, links
-    to pages already reached are dropped for good; the many small levels at the end then
+    large one is joined by shuffle. Each time the crawl has grown several times over, and
+    every FOLD levels, links to pages already reached are dropped for good; the many small levels at the end then
     read what little is left, and compare it with the levels since only.
     """
     spark = links.sparkSession
-    unique = links.groupBy("src_url", "url").agg(F.min("pos").alias("pos"))
-    edges = materialize(unique, "edges")
+    if not unique:
+        links = links.groupBy("src_url", "url").agg(F.min("pos").alias("pos"))
+    edges = materialize(links.select("src_url", "url", "pos"), "edges")
     base = scratch_path(spark, "levels")
     schema = T.StructType([*_LEVEL.fields, T.StructField("depth", T.IntegerType())])
 
@@ -119,7 +126,7 @@ def crawl_reachable(
         if cut:
             ranked = _with_visit_rank(levels(0, depth))
             level = ranked.filter((F.col("depth") == depth) & (F.col("visit_rank") <= max_pages))
-        if total >= max(PRUNE_FROM, PRUNE_GROWTH * pruned_total):
+        if total >= max(PRUNE_FROM, PRUNE_GROWTH * pruned_total) or depth - pruned > FOLD:
             reached = levels(pruned + 1, depth).select("url")
             edges = materialize(edges.join(reached, "url", "left_anti"), "edges")
             pruned, pruned_total = depth, total

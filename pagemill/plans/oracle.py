@@ -256,6 +256,16 @@ ORACLES: dict[str, str] = {
     "split_sink": _sql("entries curated pairs split", "SELECT prompt, completion, split FROM split"),
     "prepared_files": _sql("entries curated pairs split", """
         SELECT row_number() OVER (ORDER BY split, h, url) - 1 AS position, split, prompt, completion FROM split"""),
+    "training_text": _sql("entries curated pairs split", f"""
+        SELECT c AS "case", CASE c WHEN 'alone' THEN 'train' ELSE split END AS split, len(pieces) AS n_tokens,
+               CASE WHEN len(pieces) <= 120 THEN text
+                    ELSE regexp_replace(array_to_string(pieces[1:120], ''), '{_WS}+\\z', '') END AS text
+        FROM (SELECT *, regexp_extract_all(text, '{_NOT_WS}+{_WS}*') AS pieces
+              FROM (SELECT split, unnest(CASE split WHEN 'val' THEN ['both', 'alone'] ELSE ['both'] END) AS c,
+                           '<|begin_of_text|><|start_header_id|>user<|end_header_id|>' || chr(10) || chr(10)
+                           || prompt || '<|eot_id|><|start_header_id|>assistant<|end_header_id|>'
+                           || chr(10) || chr(10) || {_strip('completion')} || '<|eot_id|>' AS text
+                    FROM split))"""),
     "url_parts": _sql("", f"""
         SELECT page_id, lower({_part('url', 1)}) AS scheme, {_part('url', 2)} AS netloc,
                {_part('url', 3)} AS path FROM pages"""),

@@ -1,14 +1,20 @@
-"""From stored page records to training files in one call."""
+"""From stored page records to training files, and from those to training text, in one call."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Callable
+from functools import reduce
 
-from pagemill.operators.curate import curated_entries, training_pairs
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pagemill.functions.prompts import chat_text
+from pagemill.functions.text import TOKEN_LIMIT
+from pagemill.operators.curate import cap_tokens, curated_entries, training_pairs
 from pagemill.operators.report import FEW_ENTRIES
 from pagemill.operators.split import SPLIT_SEED, VAL_RATIO, sample_pair, train_val_split
 from pagemill.session import materialize
-from pagemill.sources.jsonl import SOURCE_ORDER, read_jsonl, write_split
+from pagemill.sources.jsonl import SOURCE_ORDER, read_jsonl, read_pairs, write_split
 
 
 def prepare_data(
@@ -42,3 +48,20 @@ def prepare_data(
         "few_entries": entries < FEW_ENTRIES,
         "sample": sample and sample.asDict(),
     }
+
+
+def training_text(
+    spark: SparkSession,
+    train_path: str,
+    val_path: str | None = None,
+    limit: int = TOKEN_LIMIT,
+    tokenizer: Callable[[Column], Column] | None = None,
+) -> DataFrame:
+    """(split, text, n_tokens): training pairs, and validation pairs if their path is given
+    and exists, as chat text cut to `limit` tokens."""
+    parts = [read_pairs(spark, train_path).withColumn("split", F.lit("train"))]
+    if val_path:
+        parts.append(read_pairs(spark, val_path, optional=True).withColumn("split", F.lit("val")))
+    pairs = reduce(DataFrame.unionByName, parts)
+    chat = pairs.select("split", chat_text(F.col("prompt"), F.col("completion")).alias("text"))
+    return cap_tokens(chat, "text", limit, tokenizer)

@@ -15,6 +15,7 @@ from pagemill.operators import curate, extract, frontier, report, split
 from pagemill.plans import inputs, site
 from pagemill.plans.inputs import FIXTURE_CONTENT, FIXTURE_PATTERN, table
 from pagemill.plans.prepare import prepare_data
+from pagemill.plans.prepare import training_text as training_text_of
 from pagemill.schemas import PAGE
 from pagemill.session import materialize, scratch_path
 from pagemill.sources import jsonl
@@ -237,6 +238,19 @@ def prepared_files(spark, sf_dir):
     return placed.select("position", "split", "prompt", "completion")
 
 
+@query
+def training_text(spark, sf_dir):
+    """Training files to capped chat text. The written validation part is read in one case
+    and really absent in another; the files hold blank lines."""
+    path = scratch_path(spark, "text")
+    jsonl.write_split(train_val_split(spark, sf_dir), path, key="url")
+    spark.createDataFrame([("",), (" \t",)], "value string").write.mode("append").text(f"{path}/split=train")
+    both = training_text_of(spark, f"{path}/split=train", f"{path}/split=val", limit=120)
+    alone = training_text_of(spark, f"{path}/split=val", f"{path}/none", limit=120)
+    rows = both.withColumn("case", F.lit("both")).unionByName(alone.withColumn("case", F.lit("alone")))
+    return rows.select("case", "split", "text", F.col("n_tokens").cast("bigint").alias("n_tokens"))
+
+
 # --- URLs -----------------------------------------------------------------------------
 
 
@@ -519,7 +533,10 @@ def _site_rows(crawled: DataFrame) -> DataFrame:
 
 @query
 def crawl_site(spark, sf_dir):
-    return _site_rows(site.crawl_site(inputs.site_pages(spark, sf_dir), "https://example.com/d/3/x"))
+    """Some pages are stored a second time, with a failed status."""
+    pages = inputs.site_pages(spark, sf_dir)
+    again = pages.filter(F.xxhash64("url") % 4 == 0).withColumns({"html": F.lit("<a href='/d/0/x'>x</a>"), "status": F.lit(500)})
+    return _site_rows(site.crawl_site(pages.unionByName(again), "https://example.com/d/3/x"))
 
 
 @query

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pagemill.functions.html import CATEGORY_MARK, CONTENT, parse_html
 from pagemill.functions.urls import DEFAULT_PATH_PATTERN, url_netloc
+from pagemill.operators.curate import first_per_key
 from pagemill.operators.extract import (
     MIN_PAGE_CHARS,
     explode_links,
@@ -30,6 +31,23 @@ from pagemill.session import materialize
 from pagemill.sources.state import load_state, save_state
 
 
+def one_page_per_url(pages: DataFrame) -> DataFrame:
+    """One row per URL: a response that holds a page before one that does not, then the
+    smallest digest of the html.
+
+    Only the URLs are read to find those stored more than once; the html of the others is
+    not moved.
+    """
+    repeated = pages.groupBy("url").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("url")
+    repeated = materialize(repeated, "repeated")
+    if repeated.isEmpty():
+        return pages
+    some = pages.join(repeated, "url", "left_semi")
+    order = [fetch_state(some).asc_nulls_first(), F.md5(F.coalesce("html", F.lit("")))]
+    chosen = first_per_key(some, F.col("url"), order).select(*pages.columns)
+    return pages.join(repeated, "url", "left_anti").select(*pages.columns).unionByName(chosen)
+
+
 def crawl_site(
     pages: DataFrame,
     start_url: str,
@@ -43,13 +61,14 @@ def crawl_site(
     and categories, the last three for outcome OK only.
 
     Outcomes are those of `page_outcomes`, plus ERROR for a URL that has no stored page and
-    QUEUED for one that `max_pages` left unvisited. `pages` is unique on url.
+    QUEUED for one that `max_pages` left unvisited. Of several pages stored under one URL one
+    counts, see `one_page_per_url`.
 
     Pages of other hosts are dropped before the parser sees them, and each remaining page is
     parsed once: links and record come from the same stored result.
     """
     domain = urlparse(start_url).netloc
-    site = pages.filter(url_netloc(F.col("url")) == domain)
+    site = one_page_per_url(pages.filter(url_netloc(F.col("url")) == domain))
     state = fetch_state(site)
     fetched = F.when(F.col("state").isNull(), F.col("html"))
     parsed = materialize(
@@ -59,7 +78,10 @@ def crawl_site(
         "parsed",
     )
     reached = crawl_reachable(
-        explode_links(parsed.filter(F.col("state").isNull()), domain), start_url, max_pages
+        explode_links(parsed.filter(F.col("state").isNull()), domain),
+        start_url,
+        max_pages,
+        unique=True,
     )
     stored = with_text(parsed).select(
         "url",

@@ -67,3 +67,17 @@ def test_fresh_batch_forgets_what_was_saved(spark, tmp_path):
     assert crawl_batch(links, path, "x", 1, fresh=True) == {"visited": 1, "queued": 1}
     assert crawl_batch(links, path, "x", 5) == {"visited": 2, "queued": 0}
     assert crawl_batch(links, path, "x", 5) == {"visited": 2, "queued": 0}
+
+
+def test_a_page_stored_twice_counts_once(spark):
+    again = [("https://h/", "<a href='/zzz'>z</a>", 500, "text/html"), ("https://h/a/1/x", PAGES[1][1], 200, "text/html")]
+    pages = spark.createDataFrame([*again, *PAGES], "url string, html string, status int, content_type string")
+    rows = crawl_site(pages, "https://h/").orderBy("visit_rank").collect()
+    assert [(r.url.removeprefix("https://h/"), r.depth, r.outcome, r.title) for r in rows] == crawl(spark)
+
+
+def test_long_chain(spark, monkeypatch):
+    monkeypatch.setattr("pagemill.operators.frontier.FOLD", 4)
+    links = [(str(i), p, str(j)) for i in range(40) for p, j in enumerate((i + 1, max(i - 3, 0)))]
+    rows = crawl_reachable(spark.createDataFrame(links, "src_url string, pos int, url string"), "0").collect()
+    assert sorted((r.visit_rank, r.depth, r.url) for r in rows) == [(i + 1, i, str(i)) for i in range(41)]
