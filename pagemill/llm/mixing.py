@@ -152,8 +152,8 @@ def _rate(posteriors: list[Column], steps: list[list[float]]) -> Column:
 
 
 def solve(binned: DataFrame, names: list[str], member: Memberships, weights: list[float], total: float | None) -> list[list[float]]:
-    """The steps of the projected gradient. Without `total`, the tokens wanted are as many as the shares allow
-    without taking any domain more than once."""
+    """The steps of the projected gradient. Without `total`, the tokens wanted are as many as take the
+    domain with the largest share once, of those that have tokens."""
     cells = binned.groupBy(*names).agg(F.sum("n_tokens").alias("n"))
     posteriors = [F.col(f"p{k}") for k in range(len(weights))]
     cells = cells.select("n", *[p.alias(f"p{k}") for k, p in enumerate(member.posteriors())])
@@ -167,7 +167,8 @@ def solve(binned: DataFrame, names: list[str], member: Memberships, weights: lis
 
     have = totals([])
     if total is None:
-        total = min((h / w for h, w in zip(have, weights) if w > 0), default=0.0)
+        weight, tokens = max(((w, h) for w, h in zip(weights, have) if h > 0), default=(1.0, 0.0))
+        total = tokens / weight if weight > 0 else 0.0
     want = [total * w for w in weights]
     steps: list[list[float]] = []
     now, before = have, None

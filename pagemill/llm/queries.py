@@ -99,7 +99,7 @@ def op6_pii(spark, sf_dir):
 
 #: The domains of the mix: what a label row says, and the wanted shares of the tokens.
 DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 0 THEN 'low' WHEN quality = 1 THEN 'clean' END"
-WEIGHTS = {"clean": 0.96, "low": 0.02, "toxic": 0.02}
+WEIGHTS = {"clean": 0.975, "low": 0.005, "toxic": 0.02}
 
 
 @query
