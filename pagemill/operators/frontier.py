@@ -5,7 +5,9 @@ Queue order is (depth, src_ord, pos) ascending, see `schemas.FRONTIER`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, Window
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,7 +85,7 @@ _LEVEL = T.StructType([
 
 
 def crawl_reachable(
-    links: DataFrame,
+    links: DataFrame | Callable[[DataFrame], DataFrame],
     seed: str,
     max_pages: int = 0,
     max_depth: int | None = None,
@@ -95,7 +97,9 @@ def crawl_reachable(
     Within a level pages come in the order of the parent's rank, then of the link's
     position. With `max_pages` the first that many are visited; the rest of the queue at
 moment is returned with visited = false. `unique` says that no (src_url, url) repeats in
-    `links`, which spares a shuffle of all of them.
+    `links`, which spares a shuffle of all of them. `links` may also be a function from the
+    pages of a level (src_url) to their unique links, for a crawl that ends long before it
+    has seen all.
 
     Each level is one job whose result is written to the scratch folder, so lineage does
     not grow and a lost executor repeats one level at most. Level tables are narrow, and
@@ -104,10 +108,12 @@ moment is returned with visited = false. `unique` says that no (src_url, url) re
     every FOLD levels, links to pages already reached are dropped for good; the many small levels at the end then
     read what little is left, and compare it with the levels since only.
     """
-    spark = links.sparkSession
-    if not unique:
-        links = links.groupBy("src_url", "url").agg(F.min("pos").alias("pos"))
-    edges = materialize(links.select("src_url", "url", "pos"), "edges")
+    looked_up = callable(links)
+    spark = SparkSession.active() if looked_up else links.sparkSession
+    if not looked_up:
+        if not unique:
+            links = links.groupBy("src_url", "url").agg(F.min("pos").alias("pos"))
+        edges = materialize(links.select("src_url", "url", "pos"), "edges")
     base = scratch_path(spark, "levels")
     schema = T.StructType([*_LEVEL.fields, T.StructField("depth", T.IntegerType())])
 
@@ -126,11 +132,14 @@ moment is returned with visited = false. `unique` says that no (src_url, url) re
         if cut:
             ranked = _with_visit_rank(levels(0, depth))
             level = ranked.filter((F.col("depth") == depth) & (F.col("visit_rank") <= max_pages))
-        if total >= max(PRUNE_FROM, PRUNE_GROWTH * pruned_total) or depth - pruned > FOLD:
+        grown = total >= max(PRUNE_FROM, PRUNE_GROWTH * pruned_total) or depth - pruned > FOLD
+        if grown and not looked_up:
             reached = levels(pruned + 1, depth).select("url")
             edges = materialize(edges.join(reached, "url", "left_anti"), "edges")
             pruned, pruned_total = depth, total
         parents = level.select(F.col("url").alias("src_url"), F.col("ord").alias("src_ord"))
+        if looked_up:
+            edges = links(materialize(parents.select("src_url"), "level"))
         # Plain integers are combined by hashing; a struct of them would be sorted.
         found = (
             edges.join(parents, "src_url")

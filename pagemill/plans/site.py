@@ -3,6 +3,7 @@ outcome and the record of every visited page, whole or batch by batch."""
 
 from __future__ import annotations
 
+from functools import reduce
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, Window
@@ -64,25 +65,34 @@ def crawl_site(
     QUEUED for one that `max_pages` left unvisited. Of several pages stored under one URL one
     counts, see `one_page_per_url`.
 
-    Pages of other hosts are dropped before the parser sees them, and each remaining page is
-    parsed once: links and record come from the same stored result.
+    Pages of other hosts are dropped before the parser sees them, and a page is parsed once:
+    links and record come from the same stored result. With `max_pages` only the visited
+    pages are parsed, level by level; each level reads the site's table once.
     """
     domain = urlparse(start_url).netloc
     site = one_page_per_url(pages.filter(url_netloc(F.col("url")) == domain))
-    state = fetch_state(site)
-    fetched = F.when(F.col("state").isNull(), F.col("html"))
-    parsed = materialize(
-        site.select("url", "html", state.alias("state")).select(
-            "url", "state", parse_html(fetched, content, mark).alias("page")
-        ),
-        "parsed",
-    )
-    reached = crawl_reachable(
-        explode_links(parsed.filter(F.col("state").isNull()), domain),
-        start_url,
-        max_pages,
-        unique=True,
-    )
+
+    def parse(some: DataFrame) -> DataFrame:
+        flagged = some.select("url", "html", fetch_state(some).alias("state"))
+        fetched = F.when(F.col("state").isNull(), F.col("html"))
+        page = parse_html(fetched, content, mark).alias("page")
+        return materialize(flagged.select("url", "state", page), "parsed")
+
+    def links_in(parsed: DataFrame) -> DataFrame:
+        return explode_links(parsed.filter(F.col("state").isNull()), domain)
+
+    if max_pages:
+        parts: list[DataFrame] = []
+
+        def links_of(level: DataFrame) -> DataFrame:
+            parts.append(parse(site.join(level.withColumnRenamed("src_url", "url"), "url", "left_semi")))
+            return links_in(parts[-1])
+
+        reached = crawl_reachable(links_of, start_url, max_pages)
+        parsed = reduce(DataFrame.unionByName, parts)
+    else:
+        parsed = parse(site)
+        reached = crawl_reachable(links_in(parsed), start_url, unique=True)
     stored = with_text(parsed).select(
         "url",
         F.coalesce("state", record_outcome(pattern, min_chars)).alias("found"),

@@ -77,7 +77,7 @@ def test_a_page_stored_twice_counts_once(spark):
 
 
 def test_long_chain(spark, monkeypatch):
-    monkeypatch.setattr("pagemill.operators.frontier.FOLD", 4)
-    links = [(str(i), p, str(j)) for i in range(40) for p, j in enumerate((i + 1, max(i - 3, 0)))]
+    monkeypatch.setattr("pagemill.operators.frontier.FOLD", 3)
+    links = [(str(i), p, str(j)) for i in range(12) for p, j in enumerate((i + 1, max(i - 3, 0)))]
     rows = crawl_reachable(spark.createDataFrame(links, "src_url string, pos int, url string"), "0").collect()
-    assert sorted((r.visit_rank, r.depth, r.url) for r in rows) == [(i + 1, i, str(i)) for i in range(41)]
+    assert sorted((r.visit_rank, r.depth, r.url) for r in rows) == [(i + 1, i, str(i)) for i in range(13)]
