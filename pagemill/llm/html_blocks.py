@@ -64,7 +64,7 @@ SHORT, LONG, STOPS_LOW, STOPS_HIGH, LINKS = 12, 30, 0.15, 0.25, 0.34
 
 _TAG = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)|[!?/])")
 _TAG_END = re.compile(r"[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*+>")
-_NAMES = re.compile(r"(?:^|[\s\"'/])(class|id|role|aria-label|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _WORD_PARTS = re.compile(r"[a-z]+")
 _STRIP = ".,;:!?()[]\"'«»„“”"
 
@@ -78,14 +78,18 @@ class Block(NamedTuple):
 
 def _outside(tag: str, attributes: str) -> tuple[bool, bool]:
     """Whether an element holds no main text, and whether it holds readers' comments."""
-    words: set[str] = set()
+    values: list[str] = []
     if "=" in attributes or "hidden" in attributes.lower():
-        for name, *values in _NAMES.findall(attributes):
-            if name.lower() == "hidden":
+        for name, *value in _ATTRIBUTE.findall(attributes):
+            name = name.lower()
+            if name == "hidden":
                 return True, False
-            words.update(_WORD_PARTS.findall("".join(values).lower()))
+            if name in ("class", "id", "role"):
+                values.append("".join(value).lower())
     if tag in ("html", "body"):
         return False, False
+    # An article is judged by whole names only: "comments-open" is said of one that has comments.
+    words = set(" ".join(values).split() if tag in ARTICLE else _WORD_PARTS.findall(" ".join(values)))
     return tag in OUTSIDE or not words.isdisjoint(OUTSIDE_WORDS), not words.isdisjoint(READERS)
 
 

@@ -53,14 +53,16 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
 
 
-def taught_rows(docs: DataFrame, labels: DataFrame, domain: Column, domains: list[str], id_col: str, text_col: str) -> DataFrame:
+def taught_rows(
+    docs: DataFrame, labels: DataFrame, domain: Column, domains: list[str], id_col: str, text_col: str, most: int
+) -> DataFrame:
     """(text, domain number) of the labelled documents that teach.
 
-    At most TAUGHT labels are broadcast, so the texts stay where they are.
+    At most `most` labels are broadcast, so the texts stay where they are.
     """
     number = F.array_position(F.array(*[F.lit(d) for d in domains]), domain).cast("int") - 1
     known = labels.select(F.col(id_col).alias("_id"), number.alias("_k")).filter("_k >= 0 and _id is not null").distinct()
-    chosen = known.orderBy(F.xxhash64("_id"), "_id", "_k").limit(TAUGHT)
+    chosen = known.orderBy(F.xxhash64("_id"), "_id", "_k").limit(most)
     return docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).join(F.broadcast(chosen), "_id").select("_text", "_k")
 
 
@@ -183,17 +185,18 @@ def solve(binned: DataFrame, names: list[str], member: Memberships, weights: lis
 
 def mix(
     docs: DataFrame, labels: DataFrame, domain: Column, weights: dict[str, float], total: float | None = None,
-    seed: int = 42, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None,
+    seed: int = 42, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, taught_most: int = TAUGHT,
 ) -> DataFrame:
     """`docs` (the columns `keep`, all without it) with n_tokens, p_<domain>, rate and copies.
 
     `domain` is computed from the labels; `weights` are the wanted shares of the tokens, in
     any unit. Copies are the rate rounded up or down by a hash of id and seed, so that their
-    expectation is the rate. A document with no copies is still a row here.
+    expectation is the rate. A document with no copies is still a row here. The classifier
+    learns from `taught_most` labelled documents at most, chosen by hash; all else covers all rows.
     """
     domains, summed = list(weights), sum(weights.values())
     new = ["n_tokens", *[f"p_{d}" for d in domains], "rate", "copies"]
-    taught = materialize(taught_rows(docs, labels, domain, domains, id_col, text_col), "taught")
+    taught = materialize(taught_rows(docs, labels, domain, domains, id_col, text_col, taught_most), "taught")
     lists = word_lists(taught, len(domains))
     rows, sizes = with_bins(taught, lists, "_text")
     member = learn(rows, sizes, len(domains))

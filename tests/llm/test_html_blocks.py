@@ -39,6 +39,9 @@ def test_query_against_plain_reading(spark):
     ("<article>a<p title=\"x > y\">b</p></article>", "a b"),
     ("<div class=cookie-notice><p>We use it</p></div><article>x</article><div class='comments'><p>Hm</p></div>", "x"),
     ("<ARTICLE><P HIDDEN>no</P>yes</ARTICLE>", "yes"),
+    (f"<div style='overflow: hidden' data-x='an ad'><p>{LONG}</p></div>", LONG),
+    ("<div class='page with-sidebar'><article class='post comments-open'>x</article></div>", "x"),
+    ("<main id=content><p>x</p><article class=comment>no</article><section class='comments'><p>no</p></section></main>", "x"),
 ])
 def test_cases(html, want):
     assert main_text_of(html) == want
