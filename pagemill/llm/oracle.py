@@ -1,5 +1,54 @@
-"""SQL counterparts of the registered queries, where SQL can express them."""
+"""SQL counterparts of the registered queries, for DuckDB, where SQL can express them.
+
+The others rest on hashes with a seed, keyed permutations, fitted models or a tokenizer;
+their tests hold them against plain versions.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    # A plain reading of the test pages, whose only main text is an article element.
+    "op2_html": r"""
+        SELECT page_id, url, text, length(text) AS n_chars
+        FROM (SELECT page_id, url,
+                     trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+                         regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(?:</article>|\z)', 1),
+                         '<[^>]*>', ' ', 'g'), '&lt;?', '<', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'),
+                         '\s+', ' ', 'g')) AS text
+              FROM pages)""",
+    "op3_chat": """
+        WITH rows_ AS (
+            SELECT DISTINCT conv_id, coalesce(turn, -9223372036854775808) AS turn,
+                   coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations WHERE conv_id IS NOT NULL),
+        steps AS (
+            SELECT conv_id, turn, count(*) AS n,
+                   string_agg(role || chr(1) || text, chr(2) ORDER BY role, text) AS step,
+                   string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), ''
+                              ORDER BY role, text) AS piece
+            FROM rows_ GROUP BY conv_id, turn),
+        prefixes AS (
+            SELECT conv_id, turn, row_number() OVER w AS k, count(*) OVER (PARTITION BY conv_id) AS length,
+                   string_agg(CAST(turn AS VARCHAR) || chr(3) || step, chr(4)) OVER w AS prefix
+            FROM steps WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+        kept AS (
+            SELECT min(conv_id) AS conv_id, count(*) AS copies
+            FROM prefixes
+            WHERE k = length AND prefix NOT IN (SELECT prefix FROM prefixes WHERE k < length)
+            GROUP BY prefix)
+        SELECT conv_id, copies, CAST(floor(turn / 256) AS BIGINT) AS segment,
+               CAST(sum(n) AS BIGINT) AS n_turns, string_agg(piece, '' ORDER BY turn) AS rendered
+        FROM kept JOIN steps USING (conv_id) GROUP BY conv_id, copies, segment""",
+    "op10_top_k": """
+        WITH whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+        WHERE rank <= 10""",
+}
