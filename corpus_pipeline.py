@@ -21,7 +21,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of near copies, that with the smallest id; of several rows with one id the smallest."""
     found = simhash.near_duplicates(docs, shingle=3, max_bits=2)
     kept = materialize(found.filter("id = component").select(F.col("id").alias("doc_id"), "copies"), "kept")
-    out = docs.join(kept.filter("copies = 1"), "doc_id", "left_semi").select(COLUMNS)
+    # The kept ids grow with the documents: the same join at every size, never a broadcast.
+    out = docs.join(kept.filter("copies = 1").hint("merge"), "doc_id", "left_semi").select(COLUMNS)
     repeated = kept.filter("copies > 1")
     if repeated.isEmpty():
         return out

@@ -57,6 +57,8 @@ def test_stages_take_odd_tables(spark, documents, cluttered, name, stage):
     assert stage(spark, df, SF).count() <= 7
     assert stage(spark, documents([]), SF).collect() == []
     if name == "simhash_dedup":
-        assert sorted(r.doc_id for r in stage(spark, df, SF).collect()) == [0, 2, 4]
+        prints = {i: plain_fingerprint(t) for i, t in [*zip([0, 1, 2, 2, 4], texts), (6, good)]}
+        groups = plain_groups(list(prints), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 2)
+        assert sorted(r.doc_id for r in stage(spark, df, SF).collect()) == sorted(set(groups.values()))
     if name == "pii":
         assert stage(spark, df, SF).count() == 7
