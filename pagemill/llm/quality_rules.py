@@ -5,10 +5,11 @@ set: a model of two hidden classes, in which the votes are independent given the
 is fitted to the counts of vote patterns of the whole table. It estimates the share of good documents
 and, for each rule, how often it votes bad on bad and on good ones. The estimates are bounded
 (MISFIRE, SEEN), for junk has several kinds that share no votes. A document is kept if its posterior
-probability of being good is at least one half, whatever single rules say.
+probability of being good is at least one half, whatever single rules say. Where that would reject
+documents without any bad vote, they are held to be good and the rest is fitted again (see `fit`).
 
-Only DataFrame functions are used. The patterns are a table of at most 3 ** rules rows; a
-round of the fit is one aggregation over it, of which the driver sees one row.
+Only DataFrame functions are used on rows. The patterns are a table of at most 3 ** rules rows; the
+driver fits the model to their counts until it settles, and raises if it does not.
 
 Defined results: null and empty texts have no words; every row gives a row, repeated ids
 too; an empty table gives an empty result; other columns are kept, those of the same
@@ -17,6 +18,7 @@ name as a new one or a helper (a leading underscore) are replaced or left out. W
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -27,13 +29,15 @@ from pagemill.session import materialize
 
 _BLANK = r"[\x20\x09-\x0D]+"
 WINDOW = 5
-#: Rounds of the fit at most, and the change of any estimate at which it ends.
-ROUNDS, SETTLED = 40, 1e-4
+#: Rounds of the fit, after which it raises, and the change of any estimate at which it ends.
+ROUNDS, SETTLED = 1000, 1e-4
 #: Bounds of the estimates. Rules speak up only on faults: the greatest chance of a bad vote on a
 #: good document. Faults are of several kinds: the greatest share of bad documents that one rule sees.
 MISFIRE, SEEN = 0.001, 0.6
 #: Documents of each kind that every estimate starts from, and the least and greatest probability.
 _PRIOR, _LEAST = 1.0, 1e-4
+#: Share of bad documents to begin with.
+_BAD = 0.2
 
 
 COUNTS = [
@@ -138,11 +142,24 @@ def rules() -> list[Rule]:
 
 @dataclass(frozen=True)
 class Weights:
-    """Share of good documents; for each rule the chance of a bad vote on bad and on good ones."""
+    """Share of good documents; for each rule the chance of a bad vote on bad and on good ones.
+
+    Anchored, documents without a bad vote are good."""
 
     good: float
     on_bad: tuple[float, ...]
     on_good: tuple[float, ...]
+    anchored: bool = False
+
+    def of_pattern(self, votes: tuple[int | None, ...]) -> float:
+        """The posterior of one pattern of votes."""
+        good, bad = self.good, 1 - self.good
+        if self.anchored and 0 not in votes:
+            return 1.0
+        for vote, on_bad, on_good in zip(votes, self.on_bad, self.on_good):
+            if vote is not None:
+                good, bad = good * (1 - on_good if vote else on_good), bad * (1 - on_bad if vote else on_bad)
+        return good / (good + bad)
 
     def posterior(self, votes: list[Column]) -> Column:
         """Probability of being good."""
@@ -154,39 +171,59 @@ class Weights:
             return out
 
         good, bad = likelihood(self.good, self.on_good), likelihood(1 - self.good, self.on_bad)
-        return good / (good + bad)
+        out = good / (good + bad)
+        if not self.anchored:
+            return out
+        return F.when(F.greatest(*[F.coalesce(vote == 0, F.lit(False)) for vote in votes]), out).otherwise(1.0)
 
 
-def fit(votes: DataFrame, n_rules: int) -> Weights:
-    """The weights for the votes of a table. Rules are taken to vote bad more often on bad documents."""
-    names = [f"_vote{j}" for j in range(n_rules)]
-    patterns = votes.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
-    # At most 3 ** n_rules rows; one partition in fixed order adds up the same way every time.
-    patterns = materialize(patterns.coalesce(1).sortWithinPartitions(*names), "patterns")
-    columns = [F.col(c) for c in names]
-    now = Weights(0.8, (0.3,) * n_rules, (MISFIRE,) * n_rules)
+def _settled_fit(patterns: list[tuple[tuple, int]], now: Weights, most: tuple[float, ...]) -> tuple[Weights, bool]:
+    """The weights at which the rounds settle, and whether patterns without a bad vote are good by them.
+
+    `most` bounds each rule's chance of a bad vote on a good document. The rounds end once a pattern
+    without a bad vote is taken for bad.
+    """
+    start, rows, rules_ = now, sum(n for _, n in patterns), range(len(most))
     for _ in range(ROUNDS):
-        sums = [F.sum("n").alias("n"), F.sum(F.col("n") * F.col("q")).alias("good")]
-        for j, vote in enumerate(columns):
-            for name, weight in (("bad", 1 - F.col("q")), ("good", F.col("q"))):
-                sums.append(F.sum(F.when(vote == 0, F.col("n") * weight)).alias(f"{name}{j}"))
-                sums.append(F.sum(F.when(vote.isNotNull(), F.col("n") * weight)).alias(f"all_{name}{j}"))
-        row = patterns.withColumn("q", now.posterior(columns)).agg(*sums).first()
-        if not row["n"]:
-            break
-
-        def chance(name: str, j: int, start: float) -> float:
-            found = ((row[f"{name}{j}"] or 0.0) + _PRIOR * start) / ((row[f"all_{name}{j}"] or 0.0) + _PRIOR)
+        rated = [(votes, n, now.of_pattern(votes)) for votes, n in patterns]
+        if any(q < 0.5 for votes, _, q in rated if 0 not in votes):
+            return now, False
+
+        def chance(j: int, of_good: bool, first: float) -> float:
+            weighed = [(votes[j], n * (q if of_good else 1 - q)) for votes, n, q in rated if votes[j] is not None]
+            found = (math.fsum(w for vote, w in weighed if vote == 0) + _PRIOR * first) / (math.fsum(w for _, w in weighed) + _PRIOR)
             return min(max(found, _LEAST), 1 - _LEAST)
 
-        good = min(max((row["good"] + 0.8 * _PRIOR) / (row["n"] + _PRIOR), _LEAST), 1 - _LEAST)
-        on_good = tuple(min(chance("good", j, MISFIRE), MISFIRE) for j in range(n_rules))
-        on_bad = tuple(min(max(chance("bad", j, 0.3), on_good[j]), SEEN) for j in range(n_rules))
-        before, now = now, Weights(good, on_bad, on_good)
+        good = min(max((math.fsum(n * q for _, n, q in rated) + 0.8 * _PRIOR) / (rows + _PRIOR), _LEAST), 1 - _LEAST)
+        on_good = tuple(min(chance(j, True, start.on_good[j]), most[j]) for j in rules_)
+        on_bad = tuple(min(max(chance(j, False, 0.3), on_good[j]), SEEN) for j in rules_)
+        before, now = now, Weights(good, on_bad, on_good, now.anchored)
         change = max(abs(a - b) for a, b in zip((before.good, *before.on_bad, *before.on_good), (now.good, *now.on_bad, *now.on_good)))
         if change < SETTLED:
-            break
-    return now
+            return now, all(now.of_pattern(votes) >= 0.5 for votes, _ in patterns if 0 not in votes)
+    raise RuntimeError(f"the fit of the rules has not settled in {ROUNDS} rounds; the last change was {change:.2g}")
+
+
+def fit(votes: DataFrame, n_rules: int) -> Weights:
+    """The weights for the votes of a table. Rules are taken to vote bad more often on bad documents.
+
+    Where faults share no votes, or one pattern is very frequent, two classes can settle so that
+    documents without a bad vote are bad. The fit is then made again with these documents good, and
+    a rule that alone faults more rows than there are bad ones to begin with is not bounded.
+    """
+    names = [f"_vote{j}" for j in range(n_rules)]
+    # At most 3 ** n_rules rows, whatever the table holds; in fixed order they add up the same way every time.
+    counted = votes.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).sort(*names).collect()
+    patterns = [(tuple(row[c] for c in names), row["n"]) for row in counted]
+    bounds = (MISFIRE,) * n_rules
+    found, sound = _settled_fit(patterns, Weights(0.8, (0.3,) * n_rules, bounds), bounds)
+    if sound:
+        return found
+    rows = sum(n for _, n in patterns)
+    alone = [sum(n for v, n in patterns if v[j] == 0 and v.count(0) == 1) / rows for j in range(n_rules)]
+    first = tuple(x if x > _BAD else MISFIRE for x in alone)
+    most = tuple(1.0 if x > _BAD else MISFIRE for x in alone)
+    return _settled_fit(patterns, Weights(0.8, (0.3,) * n_rules, first, anchored=True), most)[0]
 
 
 def judge(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
