@@ -28,17 +28,38 @@ ROUNDS = 8
 # The patterns of the kinds, in the order in which they are tried. Every part is bounded
 # and starts where no longer run of its own characters does, so matching is linear.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+#: Length of the numbers of each country of the IBAN registry.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _of_length(n: int, countries: str) -> str:
+    groups, rest = divmod(n - 4, 4)
+    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}" + (f" ?[A-Z0-9]{{{rest}}}" if rest else "")
+
+
+# By the length of its country, so that a word after the number is not taken for its last group; else any length.
+IBAN = (
+    r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})(?:" + "|".join(_of_length(n, c) for n, c in IBAN_LENGTHS.items())
+    + r"|[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
+)
 SECRET = r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"
-ASSIGNED = r"(?<![A-Za-z0-9])(?:password|passwd|token|secret|api_key)(?: = \"|=\"?|: \"?)[A-Za-z0-9+/_-]{8,64}+"
+NAMES = "(?:password|passwd|token|secret|api_key)"
+ASSIGNED = rf"(?<![A-Za-z0-9]){NAMES}(?: = \"|=\"?|: \"?)[A-Za-z0-9+/_-]{{8,}}+(?:\.[A-Za-z0-9+/_-]++){{0,4}}+"
 DATE = r"(?<![0-9.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9-])"
 IPV4 = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,4}(?:[ -][0-9]{1,3})?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"
+#: Without a country code, by the ranges of the North American plan.
+NATIONAL = r"(?<![0-9+.-])(?:1-)?[2-9][0-9]{2}-[2-9][0-9]{2}-[0-9]{4}(?![0-9-])|(?<![0-9+.-])(?:1\.)?[2-9][0-9]{2}\.[2-9][0-9]{2}\.[0-9]{4}(?![0-9]|[.-][0-9])"
 PHONE = r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}[.-][0-9]{4}(?![0-9])"
 KINDS = (
     ("email", EMAIL), ("iban", IBAN), ("secret", SECRET), ("assigned", ASSIGNED), ("date", DATE),
-    ("ip", IPV4), ("ssn", SSN), ("phone", PHONE), ("card", CARD),
+    ("ip", IPV4), ("ssn", SSN), ("phone", PHONE), ("national", NATIONAL), ("card", CARD),
 )
 ANY = "|".join(f"(?:{pattern})" for _, pattern in KINDS)
 # The days of four centuries, the period of the calendar: 189 * 773 of them.
@@ -207,7 +228,7 @@ def _ssn(m: Column, key: str) -> Column:
 def _phone(m: Column, key: str) -> Column:
     """Between 7 and 15 digits; the country code, what is before the first blank, stays."""
     valid = F.length(_digits(m)).between(7, 15)
-    lead = F.regexp_extract(m, r"^(\+[0-9]{1,3}(?=[ .(-]))?", 0)
+    lead = F.regexp_extract(m, r"^(\+[0-9]{1,3}(?=[ .(-])|1(?=[.-]))?", 0)
     return F.when(valid, F.concat(lead, permuted(F.substr(m, F.length(lead) + 1), key, "phone")))
 
 
@@ -227,12 +248,12 @@ def pseudonym(m: Column, key: str) -> Column:
     return (
         F.when(F.contains(m, F.lit("@")), _email(m, key))
         .when(m.rlike(f"^(?:{SECRET})$"), F.concat(F.lit("AKIA"), permuted(F.substr(m, F.lit(5)), key, "secret")))
-        .when(m.rlike("^(?:password|passwd|token|secret|api_key)"), _assigned(m, key))
+        .when(m.rlike(f"^{NAMES}"), _assigned(m, key))
         .when(m.rlike("^[A-Z]{2}[0-9]{2}"), _iban(m, key))
         .when(m.rlike(f"^(?:{DATE})$"), _date(m, key))
         .when(m.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), _ip(m, key))
         .when(m.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), _ssn(m, key))
-        .when(m.rlike(r"^[+(]"), _phone(m, key))
+        .when(m.rlike(rf"^[+(]|^(?:{NATIONAL})$"), _phone(m, key))
         .otherwise(_card(m, key))
     )
 
@@ -242,7 +263,9 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: s
     text, found, names = F.col(text_col), F.col("_found"), F.col("_names")
     # Arrays that lambdas read are columns of their own, used more than once, so that they are computed once a row.
     step = docs.select(*beside(docs.columns, ["_found", "_names", "_pieces", *([count_col] if count_col else [])]))
-    step = step.withColumn("_found", F.when(text.rlike("[0-9@]") | text.contains("="), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))))
+    # No other text can hold a match.
+    some = text.rlike("[0-9@=]") | text.rlike(f"{NAMES}: ")
+    step = step.withColumn("_found", F.when(some, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))))
     step = step.withColumn("_names", F.when(F.size(found) > 0, F.transform(found, lambda m: pseudonym(m, key))))
     step = step.withColumn("_pieces", F.when(F.size(found) > 0, F.split(text, ANY, -1)))
     pieces = F.col("_pieces")
