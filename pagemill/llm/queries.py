@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, chat, html_blocks, mixing, pii, quality_model, quality_rules, simhash, topk
+from pagemill.llm import bpe, chat, fim, html_blocks, importance, mixing, pii, quality_model, quality_rules, simhash, topk
 from pagemill.llm.edit_counts import TokenCounts
 from pagemill.session import materialize
 from pagemill.sources.tables import read_table
@@ -151,3 +151,20 @@ def op10_top_k(spark, sf_dir):
 
     vectors = table(spark, sf_dir, "embeddings").withColumn("embedding", F.transform("embedding", whole))
     return topk.top_k(vectors, F.col("id") % 100 == 0, k=10)
+
+
+@query
+def op11_fim(spark, sf_dir):
+    """Fill-in-the-middle form of every document, and the digests of its output and of the text restored from it."""
+    of = fim.FillInMiddle(("<P>", "<S>", "<M>"), rate=100, spm=50, seed=7)
+    folded = table(spark, sf_dir, "documents").select("doc_id", of.apply(F.col("doc_id"), F.col("text")).alias("f"))
+    names = ("n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+    return folded.select("doc_id", *[f"f.{name}" for name in names])
+
+
+@query
+def op12_importance(spark, sf_dir):
+    """Weight of every document towards the benchmark, and a quarter of the documents drawn by it."""
+    documents, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    drawn = importance.resample(documents, benchmark, percent=25, least_words=20, seed=7)
+    return drawn.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")

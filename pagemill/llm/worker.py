@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 from types import ModuleType
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 
 
@@ -29,4 +33,19 @@ def beside(columns: list[str], taken: list[str]) -> list[str]:
     return [c for c in columns if c.lower() not in names]
 
 
+#: Bytes of text that Arrow kernels are given at a time.
+PORTION = 1 << 23
+
+
+def portions(batch: pa.RecordBatch, column: str, size: int = PORTION) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about `size` bytes of a text column; a longer text is a slice of its own."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(batch):
+        done = upto[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(upto, done + size, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 travels(__name__)

@@ -1,0 +1,78 @@
+"""Importance resampling against a plain version, and odd rows."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from pagemill.llm import importance
+from pagemill.llm.queries import QUERIES
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def features_of(text, buckets):
+    words = WORD.findall((text or "").translate(LOWER))
+    both = words + [f"{a} {b}" for a, b in zip(words, words[1:])]
+    return len(words), [zlib.crc32(f.encode()) % buckets for f in both]
+
+
+def plain(docs, target, percent, least=20, buckets=10_000):
+    """doc position -> (n_features, weight, score, rank)"""
+    found = [features_of(t, buckets) for _, t in docs]
+    s, t = Counter(b for _, f in found for b in f), Counter(b for x in target for b in features_of(x, buckets)[1])
+    s_all, t_all = sum(s.values()), sum(t.values())
+    gain = [math.floor(1000 * math.log((t[b] + 1.0) * (s_all + buckets) / ((s[b] + 1.0) * (t_all + buckets)))) for b in range(buckets)]
+    rows = []
+    for (key, _), (n, f) in zip(docs, found):
+        weight = math.floor(sum(gain[b] for b in f) / len(f)) if f else 0
+        h = int(hashlib.sha256(f"7:{'' if key is None else key}".encode()).hexdigest()[:8], 16)
+        rows.append([len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), None])
+    order = sorted((-rows[i][2], -1 if docs[i][0] is None else docs[i][0], i) for i in range(len(docs)) if found[i][0] >= least)
+    for rank, (_, _, i) in enumerate(order[: percent * len(order) // 100]):
+        rows[i][3] = rank + 1
+    return rows
+
+
+def test_query_equals_plain(spark, texts):
+    target = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").collect()]
+    docs = sorted(texts.items())
+    wanted = plain(docs, target, 25)
+    got = {r.doc_id: [r.n_features, r.weight, r.score, r["rank"]] for r in QUERIES["op12_importance"](spark, "/root/testdata/sf0.001").collect()}
+    assert got == {key: row for (key, _), row in zip(docs, wanted)}
+    drawn = [r[3] for r in wanted if r[3]]
+    assert sorted(drawn) == list(range(1, len(drawn) + 1)) and drawn
+
+
+def test_edges(spark, documents, cluttered):
+    many = "Ab cd EF gh, " * 12
+    texts = [None, "", " .,;", "One", many, many, "É ä日本 x " * 9, "w " * 60_000, "a-b_c " * 30, many + "tail"]
+    ids = [0, 1, 2, 3, 4, 4, 5, 6, None, 7]
+    df = cluttered(documents(texts, ids), "id", "rank", "n_words", "buckets", "score")
+    target = spark.createDataFrame([(1, "ab cd ef"), (2, None), (3, "x")], "item_id bigint, text string")
+    wanted = plain(list(zip(ids, texts)), ["ab cd ef", None, "x"], 50)
+    got = importance.resample(df, target, percent=50).collect()
+    of = lambda rows: sorted(map(repr, rows))
+    # Rows with one id, text and score take neighbouring ranks in any order.
+    assert of([r.id, r.n_features, r.weight, r.score, r["rank"]] for r in got) == of([k, *row] for k, row in zip(ids, wanted))
+    assert len(got) == len(texts)
+
+
+def test_empty_tables_and_few_buckets(spark, documents):
+    none = spark.createDataFrame([], "item_id bigint, text string")
+    assert importance.resample(documents([]), none, percent=25).collect() == []
+    docs = [(i, f"w{i} " * 25) for i in range(8)]
+    df = documents([t for _, t in docs])
+    got = {r.id: [r.n_features, r.weight, r.score, r["rank"]] for r in importance.resample(df, none, percent=25, buckets=70_000).collect()}
+    assert got == {k: row for (k, _), row in zip(docs, plain(docs, [], 25, buckets=70_000))}
+
+
+def test_no_pair_crosses_texts(spark):
+    rows = spark.createDataFrame([(1, "a b"), (2, ""), (3, "c"), (4, "d e f")], "doc_id bigint, text string").coalesce(1)
+    found = {r.id: (r.n_words, r.n_features, len(r.buckets)) for r in importance.features(rows, "doc_id", "text").collect()}
+    assert found == {1: (2, 3, 6), 2: (0, 0, 0), 3: (1, 1, 2), 4: (3, 5, 10)}
+    assert importance.features(rows.select("doc_id", F.lit(None).cast("string").alias("text")), "doc_id", "text").agg(F.sum("n_features")).first()[0] == 0
