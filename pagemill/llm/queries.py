@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, chat, fim, html_blocks, importance, mixing, pii, quality_model, quality_rules, simhash, topk
+from pagemill.llm import bpe, chat, fim, html_blocks, importance, kneser_ney, mixing, pii, quality_model, quality_rules, simhash, topk
 from pagemill.llm.edit_counts import TokenCounts
 from pagemill.session import materialize
 from pagemill.sources.tables import read_table
@@ -168,3 +168,12 @@ def op12_importance(spark, sf_dir):
     documents, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     drawn = importance.resample(documents, benchmark, percent=25, least_words=20, seed=7)
     return drawn.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_lm(spark, sf_dir):
+    """Log probability of every document by a model of those that are not held out."""
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 1, F.lit(False))
+    rows = documents.select("doc_id", held_out.alias("held_out"), "text")
+    return kneser_ney.score(rows, kneser_ney.fit(rows.filter(~F.col("held_out"))))

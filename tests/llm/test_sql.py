@@ -24,5 +24,5 @@ def test_query_equals_sql(spark, name):
 
 
 def test_all_are_registered():
-    assert {f"op{n}_" for n in range(1, 11)} == {name[: name.index("_") + 1] for name in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {name[: name.index("_") + 1] for name in QUERIES}
     assert {*QUERIES, "pipeline"} <= set(queries()) and set(ORACLES) <= set(oracle_sql())
