@@ -5,10 +5,11 @@ Aho-Corasick pass finds those. A candidate is taken if it is compatible with the
 before it, that is, if the merges alone would leave the boundary between the two; if not,
 the next shorter entry is tried, and if none is left the token before is reconsidered.
 Every position is given up once at most, so the work is linear in the text. Decoding
-gathers bytes from one blob through a table of offsets.
+gathers bytes from one blob through a table of offsets and needs no other table.
 
-Null text is treated as empty, a null list as no ids; null and unknown ids are left out. Text is read whole, whatever its length;
-other columns of a table are neither read nor changed.
+Defined results: null text is treated as empty, a null list as no ids; null and unknown ids are
+left out; an empty table gives an empty result, repeated rows give equal ones. Text is read whole, whatever its length. The column functions
+touch no other column; `transcode` replaces kept columns named like its results.
 """
 
 from __future__ import annotations
@@ -18,27 +19,33 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import accumulate, pairwise
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pagemill.llm.worker import process_cache, travels
+from pagemill.llm.worker import beside, portions, process_cache, travels
 
 travels(__name__)
 
 # Fixed value: the pattern of byte-level pre-tokenizers, as published with the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Encoded pieces of a cache (a worker has two), and the longest piece kept. Speed only, never results.
-CACHED_PIECES = 1 << 18
-#: Pairs of the compatibility table that are kept.
-CACHED_PAIRS = 1 << 19
+#: Bytes of a cache of encoded pieces (a worker has two) and of the table of compatible pairs that
+#: is kept, and the longest piece kept. Speed only, never results.
+CACHED_BYTES = 24 << 20
+CACHED_PAIR_BYTES = 16 << 20
 CACHED_LENGTH = 48
+#: What an entry takes beside its content: two objects and a place in the dict.
+_ENTRY, _PAIR = 230, 140
+#: Ids whose bytes are gathered at a time.
+GATHERED = 1 << 16
+#: Bytes of text that `transcode` holds at a time, with their ids.
+HELD = 1 << 21
 #: Pieces up to this many bytes look longest entries up where needed, longer ones all in one pass.
 SHORT_PIECE = 64
 # The same pattern for text of ASCII and Latin-1 letters alone, where all classes are short lists;
@@ -65,20 +72,53 @@ class Pieces(dict):
 
     def __init__(self, encode) -> None:
         super().__init__()
-        self._encode, self._old = encode, {}
+        self._encode, self._old, self._held = encode, {}, 0
 
     def __missing__(self, piece: str) -> bytes:
         packed = self._old.get(piece)
         if packed is None:
             packed = array("i", self._encode(piece)).tobytes()
         if len(piece) <= CACHED_LENGTH:
-            if len(self) >= CACHED_PIECES:
-                self._old = dict(self)
+            if self._held >= CACHED_BYTES:
+                self._old, self._held = dict(self), 0
                 self.clear()
             self[piece] = packed
+            self._held += _ENTRY + len(piece) + len(packed)
         return packed
 
 
+def _entries(spec: dict) -> tuple[dict[bytes, int], dict[str, int]]:
+    """id of the bytes of each vocabulary entry, and of each added token."""
+    alphabet = _alphabet()
+    vocab = {bytes(alphabet[c] for c in token): i for token, i in spec["model"]["vocab"].items()}
+    return vocab, {t["content"]: t["id"] for t in spec.get("added_tokens") or []}
+
+
+class Decoder:
+    """The bytes of all tokens on end, and where each begins; an id outside the vocabulary has none."""
+
+    def __init__(self, vocab: dict[bytes, int], added: dict[str, int]) -> None:
+        table: list[bytes] = [b""] * (1 + max([*vocab.values(), *added.values()]))
+        for token, i in vocab.items():
+            table[i] = token
+        for token, i in added.items():
+            table[i] = token.encode()
+        self.blob = np.frombuffer(b"".join(table), np.uint8)
+        self.offset = np.cumsum([0, *map(len, table)])
+
+    def decode(self, ids: np.ndarray) -> str:
+        """The text of the ids; unknown ids are left out, broken UTF-8 is replaced."""
+        return b"".join(self._gather(ids[at : at + GATHERED]) for at in range(0, len(ids), GATHERED)).decode("utf-8", "replace")
+
+    def _gather(self, ids: np.ndarray) -> bytes:
+        if ids.min() < 0 or ids.max() >= len(self.offset) - 1:
+            ids = ids[(ids >= 0) & (ids < len(self.offset) - 1)]
+        begin = self.offset[ids]
+        size = self.offset[ids + 1] - begin
+        upto = np.cumsum(size)
+        return self.blob[np.repeat(begin - upto + size, size) + np.arange(upto[-1] if len(upto) else 0)].tobytes()
+
+
 class BytePairCodec:
     """Encoder and decoder of one tokenizer file (JSON, byte-level BPE without a normalizer)."""
 
@@ -94,33 +134,22 @@ class BytePairCodec:
             or any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
         ):
             raise ValueError("only plain byte-level BPE is supported")
-        alphabet = _alphabet()
-        vocab = {bytes(alphabet[c] for c in token): i for token, i in model["vocab"].items()}
         added = spec.get("added_tokens") or []
         if any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip")):
             raise ValueError("added tokens that take blanks are not supported")
-        self._added = {t["content"]: t["id"] for t in added}
+        vocab, self._added = _entries(spec)
         # The leftmost, then longest added token counts.
         names = sorted(self._added, key=len, reverse=True)
         self._split = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self._pattern = regex.compile(PATTERN)
 
-        size = 1 + max([*vocab.values(), *self._added.values()])
-        table: list[bytes] = [b""] * size
-        for token, i in vocab.items():
-            table[i] = token
-        for token, i in self._added.items():
-            table[i] = token.encode()
-        # Bytes of all tokens on end, and where each begins; an id outside the vocabulary has
-        # none. The bytes of a token are cut out once.
-        blob, offset = b"".join(table), [0, *accumulate(map(len, table))]
-        self._bytes = [blob[a:b] for a, b in pairwise(offset)]
-
-        self._link(vocab, [tuple(m.split(" ")) if isinstance(m, str) else m for m in model["merges"]], alphabet, size)
+        self.decode = Decoder(vocab, self._added).decode
+        self._link(vocab, [tuple(m.split(" ")) if isinstance(m, str) else m for m in model["merges"]])
         self.pieces = Pieces(self.encode_piece)
 
-    def _link(self, vocab: dict[bytes, int], merges: list, alphabet: dict[str, int], size: int) -> None:
+    def _link(self, vocab: dict[bytes, int], merges: list) -> None:
         """Tables of merges, of the pairs known to be compatible, of prefixes; the automaton."""
+        alphabet, size = _alphabet(), 1 + max([*vocab.values(), *self._added.values()])
         self._rank, self._left, self._right, self._merge = {}, {}, {}, {}
         for byte in range(256):
             self._rank[vocab[bytes([byte])]] = -1
@@ -173,7 +202,7 @@ class BytePairCodec:
 
     def _compatible(self, a: int, b: int) -> bool:
         """The table of compatible pairs, filled on demand."""
-        if len(self._pairs) >= CACHED_PAIRS:
+        if len(self._pairs) * _PAIR >= CACHED_PAIR_BYTES:
             self._pairs.clear()
         known = self._pairs[a << 32 | b] = self._stays_apart(a, b, float("inf"))
         return known
@@ -244,12 +273,6 @@ class BytePairCodec:
     def encode(self, text: str | None) -> list[int]:
         return array("i", self.packed(text)).tolist()
 
-    def decode(self, ids: np.ndarray) -> str:
-        """The text of the ids; unknown ids are left out, broken UTF-8 is replaced."""
-        if len(ids) and (ids.min() < 0 or ids.max() >= len(self._bytes)):
-            ids = ids[(ids >= 0) & (ids < len(self._bytes))]
-        return b"".join(map(self._bytes.__getitem__, ids.tolist())).decode("utf-8", "replace")
-
 
 def codec(source: bytes) -> BytePairCodec:
     """The worker's codec for a tokenizer file, built once per process."""
@@ -260,6 +283,15 @@ def codec(source: bytes) -> BytePairCodec:
     return cache[key]
 
 
+def decoder(source: bytes) -> Decoder:
+    """The worker's decoder for a tokenizer file, without the tables that only encoding needs."""
+    key = "bpe-decoder", hashlib.sha256(source).hexdigest()
+    cache = process_cache()
+    if key not in cache:
+        cache[key] = Decoder(*_entries(json.loads(source)))
+    return cache[key]
+
+
 class Bpe:
     """Column functions of a tokenizer file. The file (a vocabulary, a few MB) is broadcast."""
 
@@ -277,10 +309,7 @@ class Bpe:
         @F.arrow_udf(returnType="array<int>")
         def encode(texts: pa.Array) -> pa.Array:
             of = codec(source.value).packed
-            packed = [of(text.as_py()) for text in texts]
-            ends = np.cumsum([0, *map(len, packed)]) // 4
-            ids = pa.array(np.frombuffer(b"".join(packed), np.int32))
-            return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), ids)
+            return _lists([of(text.as_py()) for text in texts])
 
         return encode.asNondeterministic()(text)
 
@@ -290,11 +319,36 @@ class Bpe:
 
         @F.arrow_udf(returnType="string")
         def decode(lists: pa.Array) -> pa.Array:
-            of = codec(source.value).decode
+            of = decoder(source.value).decode
             return pa.array([of(ids) for ids in _numbers(lists)], pa.string())
 
         return decode(ids)
 
+    def transcode(self, docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+        """The kept columns of `docs` (all by default), `ids`, and the text `decoded` from them.
+
+        One worker of a task does both, and a few megabytes of text and ids at a time.
+        """
+        source = self._source
+        kept = beside(docs.columns if keep is None else keep, ["ids", "decoded", "_text"])
+        rows = docs.select(*kept, F.col(text_col).alias("_text"))
+
+        def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            of = codec(source.value)
+            for batch in batches:
+                for part in portions(batch, "_text", HELD):
+                    lists = _lists([of.packed(text.as_py()) for text in part["_text"]])
+                    decoded = pa.array([of.decode(ids) for ids in _numbers(lists)], pa.string())
+                    yield pa.RecordBatch.from_arrays([*(part[c] for c in kept), lists, decoded], [*kept, "ids", "decoded"])
+
+        return rows.mapInArrow(coded, rows.select(*kept).schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", "string"))
+
+
+def _lists(packed: list[bytes]) -> pa.ListArray:
+    """Lists of the ids that are packed as 32-bit numbers."""
+    ends = np.cumsum([0, *map(len, packed)]) // 4
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+
 
 def _numbers(lists: pa.ListArray) -> Iterator[np.ndarray]:
     """The ids of each list that are not null; none for a null list."""

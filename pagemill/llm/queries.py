@@ -43,9 +43,8 @@ def ids_digest(ids: Column) -> Column:
 @query
 def op1_bpe(spark, sf_dir):
     """Token ids of every document and the text decoded from them, as digests."""
-    of = bpe.Bpe(spark, vocabulary())
-    encoded = table(spark, sf_dir, "documents").select("doc_id", of.encode(F.col("text")).alias("ids"))
-    return encoded.withColumn("decoded", of.decode(F.col("ids"))).select(
+    coded = bpe.Bpe(spark, vocabulary()).transcode(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return coded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         ids_digest(F.col("ids")).alias("ids_sha256"),

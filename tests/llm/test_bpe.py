@@ -87,3 +87,33 @@ def test_query(spark, texts, library):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_transcode_odd_tables(spark, documents, cluttered, library, monkeypatch):
+    """Null and repeated rows, clashing names, no rows; caches and portions so small that they change all the time."""
+    from pagemill.llm import bpe
+
+    monkeypatch.setattr(bpe, "HELD", 64)
+    texts = [None, "", "same text", "same text", "é 中 <|endoftext|> x", "long word " * 3000, "x" * 20_000]
+    df = cluttered(documents(texts, [0, 1, 2, 2, None, 5, 6]), "ids", "decoded", "n")
+    rows = Bpe(spark, vocabulary()).transcode(df).collect()
+    assert len(rows) == len(texts)
+    for row, text in zip(rows, texts):
+        assert row.text == text and row.ids == ids_of(library, text or "") and row.decoded == (text or "")
+    assert Bpe(spark, vocabulary()).transcode(df.limit(0), keep=["doc_id"]).collect() == []
+
+
+def test_small_caches(library, monkeypatch):
+    from pagemill.llm import bpe
+
+    monkeypatch.setattr(bpe, "CACHED_BYTES", 2000)
+    monkeypatch.setattr(bpe, "CACHED_PAIR_BYTES", 2000)
+    monkeypatch.setattr(bpe, "GATHERED", 3)
+    with open(vocabulary(), "rb") as file:
+        source = file.read()
+    small, alone = bpe.BytePairCodec(source), bpe.decoder(source)
+    text = "Every word here is another one, and some come again: every word. 中文 é" * 3
+    assert small.encode(text) == ids_of(library, text)
+    ids = np.array([-1, *small.encode(text), 10**6])
+    assert small.decode(ids) == alone.decode(ids) == text
+    assert alone.decode(np.array([], int)) == ""
