@@ -44,11 +44,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether they decode to its text."""
-    of = bpe.Bpe(spark, vocabulary())
-    encoded = docs.select(*COLUMNS, of.encode(F.col("text")).alias("ids"))
-    return encoded.select(
-        "*", F.size("ids").cast("bigint").alias("n_tokens"), of.decode(F.col("ids")).eqNullSafe(F.coalesce("text", F.lit(""))).alias("round_trip")
-    )
+    coded = bpe.Bpe(spark, vocabulary()).transcode(docs, keep=COLUMNS)
+    same = F.col("decoded").eqNullSafe(F.coalesce("text", F.lit("")))
+    return coded.select(*COLUMNS, "ids", F.size("ids").cast("bigint").alias("n_tokens"), same.alias("round_trip"))
 
 
 STAGES = [
