@@ -5,12 +5,13 @@ at most `max_bits` bits agree in two blocks at least, so they meet under one of
 of blocks, a key of about 64 * 2 / (`max_bits` + 2) bits. Equal fingerprints are one node,
 whatever the number of their documents. Fingerprints that share a key are joined on it and
 their distance is checked in the join. A key shared by very many fingerprints is not joined
-with itself: its members are linked exactly through the fingerprints one bit away from
-them (see `_links_by_neighbours`), which costs 65 rows a member instead of a square.
+with itself: its members are linked exactly through the fingerprints near
+them (see `_links_by_neighbours`), which for two bits costs 65 rows a member instead of a square.
 
-Defined results: null and empty texts have no words and the fingerprint zero; documents
-with a null id are left out, a repeated id keeps its smallest fingerprint; an empty table
-gives an empty result; other columns are ignored.
+Defined results: null and empty texts have no words and the fingerprint zero; every row is
+linked and returned, whether its id is null, repeated or neither; a component's name is
+its smallest id, null if none of its rows has one; an empty table gives an empty result;
+kept columns named like a result are replaced, others are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm.components import component_of
-from pagemill.llm.worker import travels
+from pagemill.llm.worker import beside, travels
 from pagemill.session import materialize
 
 travels(__name__)
@@ -34,6 +35,8 @@ BITS = 64
 JOINED = 24
 #: Shingles whose bits are counted at a time; bounds the memory for a very long text.
 AT_ONCE = 1 << 16
+#: Most differing bits; with more, the lists of near fingerprints become too long.
+MOST_BITS = 4
 _SEED = 42
 
 
@@ -78,36 +81,39 @@ def _keys(max_bits: int) -> Column:
     masks = []
     for n, pair in enumerate(combinations(range(blocks), 2)):
         mask = sum(((1 << edges[i + 1]) - (1 << edges[i])) for i in pair)
-        signed = mask - (1 << BITS) if mask >> (BITS - 1) else mask
-        masks.append(F.struct(F.lit(n).alias("n"), F.col("fp").bitwiseAND(F.lit(signed).cast("bigint")).alias("part")))
+        masks.append(F.struct(F.lit(n).alias("n"), F.col("fp").bitwiseAND(F.lit(_signed(mask)).cast("bigint")).alias("part")))
     return F.array(*masks)
 
 
 def _links_by_neighbours(nodes: DataFrame, max_bits: int) -> DataFrame:
     """Links whose components are those of all pairs within `max_bits`, without pairs.
 
-    For two bits: two fingerprints differ in at most two bits exactly if some fingerprint is
-    at most one bit from both. Every node is listed under itself and its 64 neighbours, so
-    a list has 65 members at most, and each is linked with the smallest of its list.
+    Two fingerprints differ in at most r + s bits exactly if some fingerprint is at most r
+    bits from one and s from the other. With s half of the bits, rounded up, every node is
+    listed under all fingerprints within s bits, 65 for two bits, so that a list is no longer
+    than that either. All of a list are linked with the smallest node within r bits, if there is one.
     """
-    if max_bits > 2:
-        raise ValueError("keys shared by very many fingerprints are supported up to two bits")
-    flips = [0] + ([1 << i if i < BITS - 1 else -(1 << i) for i in range(BITS)] if max_bits else [])
-    if max_bits == 1:
-        # A node one bit away is itself listed: link it with the nodes that name it.
-        named = nodes.select("node", "fp", F.explode(F.array(*[F.lit(f).cast("bigint") for f in flips])).alias("flip"))
-        named = named.select(F.col("node").alias("u"), F.col("fp").bitwiseXOR(F.col("flip")).alias("w"))
-        return named.join(nodes.select(F.col("fp").alias("w"), F.col("node").alias("v")), "w").filter("u > v").select("u", "v")
-    listed = nodes.select(
-        "node",
-        F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(f).cast("bigint")) for f in flips])).alias("w"),
+    outer = (max_bits + 1) // 2
+    flips = [c for n in range(outer + 1) for c in combinations(range(BITS), n)]
+    near = F.array(*[
+        F.struct(F.lit(len(c) <= max_bits - outer).alias("inner"), F.lit(_signed(sum(1 << i for i in c))).cast("bigint").alias("flip"))
+        for c in flips
+    ])
+    listed = nodes.select("node", "fp", F.explode(near).alias("f")).select(
+        "node", "f.inner", F.col("fp").bitwiseXOR(F.col("f.flip")).alias("w")
     )
-    least = listed.groupBy("w").agg(F.collect_list("node").alias("all"), F.count(F.lit(1)).alias("n"))
-    return least.filter("n > 1").select(F.explode("all").alias("u"), F.array_min("all").alias("v")).filter("u > v")
+    lists = listed.groupBy("w").agg(F.collect_list("node").alias("all"), F.min(F.when(F.col("inner"), F.col("node"))).alias("v"))
+    return lists.filter("v is not null and size(all) > 1").select(F.explode("all").alias("u"), "v").filter("u <> v")
+
+
+def _signed(number: int) -> int:
+    return number - (1 << BITS) if number >> (BITS - 1) else number
 
 
 def close_links(nodes: DataFrame, max_bits: int, joined: int = JOINED) -> DataFrame:
     """(u, v): links between nodes (node, fp), fp unique, that connect all within `max_bits`."""
+    if not 0 <= max_bits <= MOST_BITS:
+        raise ValueError(f"0 to {MOST_BITS} differing bits are supported")
     keyed = nodes.select("node", "fp", F.explode(_keys(max_bits)).alias("key")).select("node", "fp", "key.*")
     heavy = keyed.groupBy("n", "part").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > joined)
     heavy = materialize(heavy.select("n", "part"), "heavy-keys")
@@ -124,14 +130,23 @@ def close_links(nodes: DataFrame, max_bits: int, joined: int = JOINED) -> DataFr
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = 3,
+    max_bits: int = 2,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """(id, fp, component, copies): every document with the smallest id it is linked to,
-    directly or not, and its number of rows."""
-    prints = docs.select(F.col(id_col).cast("bigint").alias("id"), fingerprint(F.col(text_col), shingle).alias("fp"))
-    prints = prints.filter("id is not null").groupBy("id").agg(F.min("fp").alias("fp"), F.count(F.lit(1)).alias("copies"))
+    """(kept columns, id, fp, near, component): every row with its group of rows that are linked,
+    directly or not: `near`, a fingerprint of the group, names it for all rows, `component`,
+    its smallest id, for those whose group has one."""
+    kept = beside(keep or [], ["id", "fp", "near", "component", "least"])
+    prints = docs.select(*kept, F.col(id_col).cast("bigint").alias("id"), fingerprint(F.col(text_col), shingle).alias("fp"))
     prints = materialize(prints, "fingerprints")
-    nodes = materialize(prints.groupBy("fp").agg(F.min("id").alias("node")), "nodes")
-    parts = component_of(close_links(nodes, max_bits))
-    named = nodes.join(parts, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
-    return prints.join(named, "fp").select("id", "fp", "component", "copies")
+    nodes = materialize(prints.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
+    parts = component_of(close_links(nodes.select(F.col("fp").alias("node"), "fp"), max_bits))
+    named = nodes.join(parts.withColumnRenamed("node", "fp"), "fp", "left")
+    named = materialize(named.select("fp", "least", F.coalesce("component", "fp").alias("near")), "groups")
+    first = named.groupBy("near").agg(F.min("least").alias("component"))
+    of = named.join(first, "near").select("fp", "near", "component")
+    return prints.join(of, "fp").select(*kept, "id", "fp", "near", "component")

@@ -9,7 +9,8 @@ query is largest, outside whose feasible intervals no vector reaches the cosine.
 left is verified by exact products; each (block, query) hands on at most k rows.
 
 Defined results: vectors that are null or hold null or non-finite components, and rows with
-a null id, take no part; of several vectors under one id the smallest counts; a pair of
+a null id, take no part; rows that share an id are each a candidate, for one another
+too, and each query row has results of its own; a pair of
 vectors of different sizes has no product; equal scores go to the smaller id; products
 beyond the range of a long are held at its limits; an empty table gives an empty result;
 other columns are ignored.
@@ -105,22 +106,24 @@ def survivors(unit: np.ndarray, norms: np.ndarray, query: np.ndarray, reach: flo
 
 
 def _found(queries: pa.Table, block: pa.Table, k: int) -> pa.Table:
-    asked, ids = queries["id"].to_numpy(), block["id"].to_numpy()
+    asked, own = queries["id"].to_numpy(), queries["row"].to_numpy()
+    ids, rows_of = block["id"].to_numpy(), block["row"].to_numpy()
     reach = queries["reach"].to_numpy()
     mine, theirs = _by_size(_matrix(queries["v"])), _by_size(_matrix(block["v"]))
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    out: list[tuple[np.ndarray, ...]] = []
     for size, (at, rows) in theirs.items():
         norms = np.sqrt((rows * rows).sum(1))
         unit = np.divide(rows, norms[:, None], out=np.zeros_like(rows), where=(norms > 0)[:, None])
         for place, one in zip(*mine.get(size, ((), ()))):
             near = survivors(unit, norms, one, reach[place])
-            near = near[ids[at[near]] != asked[place]]
+            near = near[rows_of[at[near]] != own[place]]
             if len(near):
                 scores = products(rows[near], one)
                 best = _best(ids[at[near]], scores, k)
-                out.append((np.full(len(best), asked[place]), ids[at[near[best]]], scores[best]))
-    columns = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 3
-    return pa.table([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
+                same = np.full(len(best), place)
+                out.append((own[same], asked[same], ids[at[near[best]]], scores[best]))
+    columns = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 4
+    return pa.table([pa.array(c, pa.int64()) for c in columns], ["row", "query_id", "vec_id", "score"])
 
 
 def _reach(spark, queries: DataFrame, first: DataFrame, k: int) -> DataFrame:
@@ -128,21 +131,21 @@ def _reach(spark, queries: DataFrame, first: DataFrame, k: int) -> DataFrame:
 
     `first` has at most FIRST rows; they are broadcast.
     """
-    rows = first.select("id", "v").collect()
-    known = spark.sparkContext.broadcast(([r.id for r in rows], [r.v for r in rows]))
+    rows = first.select("row", "v").collect()
+    known = spark.sparkContext.broadcast(([r["row"] for r in rows], [r.v for r in rows]))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = np.array(known.value[0], np.int64)
+        first = np.array(known.value[0], np.int64)
         seen = _by_size([np.array(v, np.float64) for v in known.value[1]])
         for batch in batches:
             reach = []
-            for own, one in zip(batch["id"].to_pylist(), _matrix(batch["v"])):
+            for own, one in zip(batch["row"].to_pylist(), _matrix(batch["v"])):
                 at, block = seen.get(len(one), (np.empty(0, np.int64), np.empty((0, len(one)))))
-                scores = products(block, one)[ids[at] != own] if len(at) else np.empty(0)
+                scores = products(block, one)[first[at] != own] if len(at) else np.empty(0)
                 reach.append(float(np.partition(scores, len(scores) - k)[len(scores) - k]) if len(scores) >= k else -np.inf)
             yield batch.append_column("reach", pa.array(reach, pa.float64()))
 
-    return queries.mapInArrow(scored, "id bigint, v array<double>, norm double, reach double")
+    return queries.mapInArrow(scored, "row bigint, id bigint, v array<double>, norm double, reach double")
 
 
 def _cuts(df: DataFrame, value: Column, parts: int) -> list[float]:
@@ -163,10 +166,10 @@ def top_k(
     spark = vectors.sparkSession
     v = F.col(vector_col)
     clean = vectors.filter(usable(v) & F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("bigint").alias("id"), v.cast("array<double>").alias("v")
+        F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("bigint").alias("id"), v.cast("array<double>").alias("v")
     )
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    clean = materialize(clean.groupBy("id").agg(F.min("v").alias("v")).withColumn("norm", norm), "vectors")
+    clean = materialize(clean.withColumn("norm", norm), "vectors")
 
     # Bounds between the length buckets: at most BUCKETS numbers, whatever the table.
     cuts = _cuts(clean, F.col("norm"), BUCKETS)
@@ -174,7 +177,7 @@ def top_k(
     placed = clean.withColumn("bucket", bucket)
     sizes = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("longest"))
     blocks = sizes.select("bucket", "longest", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
-    placed = placed.join(F.broadcast(blocks), "bucket").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    placed = placed.join(F.broadcast(blocks), "bucket").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"))
 
     first = clean.orderBy(F.desc("norm"), "id").limit(FIRST)
     queries = _reach(spark, clean.filter(is_query), first, k)
@@ -185,7 +188,7 @@ def top_k(
     edges = _cuts(queries, need, min(groups, BUCKETS))
     level = sum((F.when(need > e, 1).otherwise(0) for e in edges), F.lit(0))
     per_level = max(1, -(-groups // (len(edges) + 1)))
-    queries = queries.withColumn("need", need).withColumn("team", level * per_level + F.pmod(F.xxhash64("id"), F.lit(per_level)).cast("int"))
+    queries = queries.withColumn("need", need).withColumn("team", level * per_level + F.pmod(F.xxhash64("row"), F.lit(per_level)).cast("int"))
 
     # Which team meets which bucket: one row for each, none where no product can reach.
     teams = queries.groupBy("team").agg(F.min("need").alias("need"))
@@ -197,12 +200,12 @@ def top_k(
     meets = materialize(meets.select("team", "b.bucket", "b.parts"), "meetings")
 
     left = queries.join(meets, "team").select(
-        "team", "bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "id", "v", "reach"
+        "team", "bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "row", "id", "v", "reach"
     )
-    right = placed.join(meets.select("team", "bucket"), "bucket").select("team", "bucket", "part", "id", "v")
+    right = placed.join(meets.select("team", "bucket"), "bucket").select("team", "bucket", "part", "row", "id", "v")
     keys = ["team", "bucket", "part"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
-        lambda asked, block: _found(asked, block, k), "query_id bigint, vec_id bigint, score bigint"
+        lambda asked, block: _found(asked, block, k), "row bigint, query_id bigint, vec_id bigint, score bigint"
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -42,7 +42,7 @@ def test_query(spark, texts):
 
 
 @pytest.mark.parametrize("joined", [0, 2, 1000])
-@pytest.mark.parametrize("bits", [0, 1, 2])
+@pytest.mark.parametrize("bits", [0, 1, 2, 3])
 def test_links_of_crowded_keys(spark, joined, bits):
     rnd = random.Random(joined + bits)
     centres = [rnd.getrandbits(64) for _ in range(4)]
@@ -61,13 +61,38 @@ def test_components_of_a_chain_and_a_star(spark):
     assert component_of(spark.createDataFrame([], "u bigint, v bigint")).collect() == []
 
 
+def plain_rows(keys, texts, bits=2):
+    """Smallest id of each row's group, over rows."""
+    prints = [plain_fingerprint(t) for t in texts]
+    groups = plain_groups(list(range(len(texts))), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= bits)
+    names = {}
+    for row, group in groups.items():
+        names.setdefault(group, []).append(keys[row])
+    least = {g: min((k for k in ks if k is not None), default=None) for g, ks in names.items()}
+    return [(keys[i], prints[i], least[groups[i]]) for i in range(len(texts))]
+
+
 def test_edges(documents, cluttered, monkeypatch):
     monkeypatch.setattr(simhash, "AT_ONCE", 7)
-    texts = [None, "", "  \n", "A b", "a B", "one two three " * 40, "One Two three " * 40, "x" * 100_000, "a b", "lost"]
-    df = cluttered(documents(texts, [5, 6, 7, 8, 9, 10, 11, 12, 9, None]), "fp", "id", "component")
-    rows = {r.id: r for r in simhash.near_duplicates(df).collect()}
-    assert {i: r.component for i, r in rows.items()} == {5: 5, 6: 5, 7: 5, 8: 8, 9: 8, 10: 10, 11: 10, 12: 12}
-    assert rows[9].copies == 2 and rows[5].fp == 0
-    for i, t in zip([8, 10, 12], ["a b", texts[5], texts[7]]):
-        assert rows[i].fp & (2**64 - 1) == plain_fingerprint(t)
+    texts = [None, "", "  \n", "A b", "a B", "one two three " * 40, "One Two three " * 40, "x" * 100_000, "a b", "lost", "found", "lost"]
+    keys = [5, 6, 7, 8, 9, 10, 11, 12, 9, None, 9, None]
+    df = cluttered(documents(texts, keys), "fp", "id", "component", "near")
+    rows = simhash.near_duplicates(df, keep=["lang", "fp"]).collect()
+    of = lambda found: sorted(found, key=repr)
+    assert of((r.id, r.fp & (2**64 - 1), r.component) for r in rows) == of(plain_rows(keys, texts))
+    assert all(r.lang == "en" for r in rows) and len({r.near for r in rows}) == 6
     assert simhash.near_duplicates(documents([])).collect() == []
+    with pytest.raises(ValueError):
+        simhash.near_duplicates(df, max_bits=5)
+
+
+def test_rows_without_an_id_of_their_own(spark, documents):
+    """Repeated and null ids lose no row and no link."""
+    rnd = random.Random(4)
+    words = [f"w{i}" for i in range(300)]
+    base = [[rnd.choice(words) for _ in range(60)] for _ in range(25)]
+    texts = [" ".join(b) for b in base for _ in range(3)] + [" ".join([*b[:-1], "other"]) for b in base]
+    keys = [rnd.choice([None, 1, 1, 7, i]) for i in range(len(texts))]
+    rows = simhash.near_duplicates(documents(texts, keys)).collect()
+    of = lambda found: sorted(found, key=repr)
+    assert of((r.id, r.fp & (2**64 - 1), r.component) for r in rows) == of(plain_rows(keys, texts))

@@ -65,3 +65,18 @@ def test_edges(spark):
     assert found == [(0, 1, 200, 2**60), (0, 2, 201, 2**60), (100, 1, 101, 0), (200, 1, 201, 2**63 - 1), (200, 2, 1, 3 * 2**60)]
     assert topk.top_k(df.limit(0), F.col("id") % 100 == 0).collect() == []
     assert topk.top_k(df.filter("vec_id = 0"), F.col("id") % 100 == 0).collect() == []
+
+
+def test_rows_that_share_an_id(spark, monkeypatch):
+    """Every row but the query's own is a candidate, whatever its id."""
+    for name, value in (("BUCKETS", 4), ("BLOCK", 8), ("GROUP", 2), ("FIRST", 10)):
+        monkeypatch.setattr(topk, name, value)
+    rng = np.random.default_rng(9)
+    rows = [(int(i) * 50, [float(x) for x in rng.integers(-9, 9, 3)]) for i in rng.integers(0, 5, 60)] + [(7, [5.0, 5.0, 0.0]), (7, [1.0, 1.0, 0.0])]
+    want = []
+    for a, (q, vq) in enumerate(rows):
+        if q % 100 == 0:
+            scored = sorted((-sum(int(x) * int(y) for x, y in zip(vq, v)), i) for b, (i, v) in enumerate(rows) if a != b)
+            want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:4])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    assert sorted(map(tuple, topk.top_k(df, F.col("id") % 100 == 0, 4).collect())) == sorted(want)
