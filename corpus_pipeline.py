@@ -18,16 +18,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that with the smallest id; of several rows with one id the smallest."""
-    found = simhash.near_duplicates(docs, shingle=3, max_bits=2)
-    kept = materialize(found.filter("id = component").select(F.col("id").alias("doc_id"), "copies"), "kept")
-    # The kept ids grow with the documents: the same join at every size, never a broadcast.
-    out = docs.join(kept.filter("copies = 1").hint("merge"), "doc_id", "left_semi").select(COLUMNS)
-    repeated = kept.filter("copies > 1")
+    """One row of each group of near copies: that with the smallest id, null last, then the smallest digest of the row."""
+    # Two hashes of a whole row tell rows apart that share an id, or have none; rows with equal ones are equal throughout.
+    digest = {"a": F.xxhash64(*COLUMNS), "b": F.xxhash64(F.lit("b"), *COLUMNS)}
+    marked = docs.select(*COLUMNS, *[c.alias(n) for n, c in digest.items()])
+    found = simhash.near_duplicates(marked, shingle=3, max_bits=2, keep=["a", "b"])
+    first = found.groupBy("near").agg(F.min(F.struct(F.col("id").isNull(), "id", "a", "b")).alias("first"))
+    kept = materialize(first.select("first.a", "first.b"), "kept")
+    # The kept rows grow with the documents: the same join at every size, never a broadcast.
+    out = marked.join(kept.hint("merge"), ["a", "b"], "left_semi")
+    repeated = found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").join(kept, ["a", "b"], "left_semi")
+    repeated = materialize(repeated.select("a", "b"), "repeated")
     if repeated.isEmpty():
-        return out
-    rows = docs.join(repeated, "doc_id", "left_semi").select("doc_id", F.struct(*COLUMNS[1:]).alias("row"))
-    return out.union(rows.groupBy("doc_id").agg(F.min("row").alias("row")).select("doc_id", "row.*"))
+        return out.select(COLUMNS)
+    single = out.join(repeated, ["a", "b"], "left_anti").select(COLUMNS)
+    return single.union(out.join(repeated, ["a", "b"], "left_semi").dropDuplicates(["a", "b"]).select(COLUMNS))
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
