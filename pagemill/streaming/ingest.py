@@ -1,9 +1,11 @@
 """Incremental ingestion with Structured Streaming.
 
-Each micro-batch goes to its own `batch=<id>` partition of the output. A replayed batch
-overwrites its partition and looks only at the partitions before it, so replay changes
-nothing. What has been seen is read from the output itself; there is no second store to
-keep in step. The checkpoint holds the progress: starting again continues where the last
+Each micro-batch goes to its own `batch=<id>` partition of the output. What has been seen, and the
+crawl queue, are kept beside the output in versions of their own, one a batch: a batch asks
+them about its own URLs and does not reread what earlier ones wrote. They follow the output
+within the batch, so a batch that dies half-way is replayed as a whole; a replayed batch
+overwrites its partition and starts from the versions before it, so replay changes
+nothing. The checkpoint holds the progress: starting again continues where the last
 run stopped, whether it ended or was killed.
 
 A run takes in all files that have arrived as one batch, so the record that wins a URL does not
@@ -24,10 +26,11 @@ from pagemill.functions.html import CATEGORY_MARK, CONTENT, parse_html
 from pagemill.functions.urls import DEFAULT_PATH_PATTERN
 from pagemill.operators.curate import first_per_key
 from pagemill.operators.extract import MIN_PAGE_CHARS, explode_links, fetch_state, record_outcome, with_text
-from pagemill.operators.frontier import frontier_next
-from pagemill.schemas import FRONTIER, PAGE
+from pagemill.schemas import PAGE
 from pagemill.sources.jsonl import SOURCE_ORDER, not_blank, number_rows, parse_lines, with_place
 from pagemill.sources.paths import exists
+from pagemill.sources.queue import CrawlQueue
+from pagemill.sources.seen import SeenUrls
 
 _BATCH = T.StructField("batch", T.LongType())
 LINKS = T.StructType([
@@ -55,30 +58,29 @@ def _start(
     return writer.trigger(processingTime=every).start()
 
 
-def _earlier(
+def _seen_before(
     spark: SparkSession, path: str, schema: T.StructType, batch_id: int
-) -> DataFrame | None:
-    """What earlier batches wrote, None if there is nothing yet.
+) -> SeenUrls:
+    """The URLs that the batches at `path` have stored.
 
     Later batches can only come from another checkpoint: going on would overwrite them.
+    Output that was written without the set is read once to make it.
     """
-    if not exists(spark, path):
-        return None
-    written = read_batches(spark, path, schema)
-    if not written.filter(F.col("batch") > batch_id).isEmpty():
+    seen = SeenUrls(spark, f"{path}/_seen")
+    last = seen.last()
+    if last is None and exists(spark, path):
+        written = read_batches(spark, path, schema)
+        last = written.agg(F.max("batch")).first()[0]
+        earlier = written.filter(F.col("batch") < batch_id).select("url")
+        if last is not None and last <= batch_id and not earlier.isEmpty():
+            seen.add(earlier.distinct(), batch_id - 1)
+    if last is not None and last > batch_id:
         raise ValueError(f"{path} holds batches after {batch_id}: it belongs to another checkpoint")
-    return written.filter(F.col("batch") < batch_id)
+    return seen
 
 
-def _unseen(first: DataFrame, seen_table: DataFrame) -> DataFrame:
-    """Rows of `first` (unique on url) whose url is not in the seen table.
-
-    The seen table outgrows every batch, so it is not shuffled against the batch: the
-    batch's keys, being the small side, cut it down by a semi join, and only the hits take
-    part in the anti join.
-    """
-    hits = seen_table.select("url").join(first.select("url"), "url", "left_semi")
-    return first.join(hits, "url", "left_anti")
+def _stored(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{path}/batch={batch_id}")
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -108,16 +110,14 @@ def stream_ingest(
             "url", F.coalesce(F.col("url"), F.lit(""))
         )
         order = [F.col(c) for c in SOURCE_ORDER]
-        first = first_per_key(records, F.col("url"), order).select(*schema.names)
-        seen = _earlier(batch.sparkSession, out_dir, schema, batch_id)
-        if seen is None:
-            _write_batch(first, out_dir, batch_id)
-            return
-        first = first.persist(StorageLevel.MEMORY_AND_DISK)
+        session = batch.sparkSession
+        seen = _seen_before(session, out_dir, schema, batch_id)
+        first = first_per_key(records, F.col("url"), order).select(*schema.names).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            _write_batch(_unseen(first, seen), out_dir, batch_id)
+            _write_batch(seen.unseen(first, before=batch_id), out_dir, batch_id)
         finally:
             first.unpersist()
+        seen.add(_stored(session, out_dir, schema, batch_id).select("url"), batch_id)
 
     place = checkpoint or f"{out_dir}/_checkpoint"
     return _start(with_place(lines, "value"), place, every, keep_new)
@@ -149,17 +149,19 @@ def stream_crawl(
     ERROR or NON_HTML and are not parsed.
 
     Writes `pages` (each URL once with its outcome, and its record if that is OK) and `links`.
-    A URL counts as visited once its batch is in `pages`; `crawl_frontier` derives the queue.
+    The queue follows with every batch, see `CrawlQueue`; `crawl_frontier` reads it.
     """
     fetched = spark.readStream.schema(FETCHED).parquet(in_dir)
 
     def keep_new(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         order = [F.col(c) for c in SOURCE_ORDER]
-        new = first_per_key(number_rows(batch), F.col("url"), order)
-        seen = _earlier(session, f"{out_dir}/pages", CRAWLED, batch_id)
-        if seen is not None:
-            new = _unseen(new, seen)
+        queue = CrawlQueue(session, f"{out_dir}/_crawl")
+        seen = _seen_before(session, f"{out_dir}/pages", CRAWLED, batch_id)
+        # Only the URLs are read to find the pages that came before; the others' html is not moved for it.
+        again = seen.hits(batch.select("url").distinct(), before=batch_id)
+        rows = number_rows(batch).join(again, "url", "left_anti")
+        new = first_per_key(rows, F.col("url"), order)
         new = new.fillna({"status": 200, "content_type": "text/html"})
         flagged = new.withColumn("state", fetch_state(new))
         # Parsed once, used for both tables.
@@ -180,10 +182,13 @@ def stream_crawl(
             pages = judged.withColumns(
                 {name: F.when(F.col("outcome") == "OK", F.col(name)) for name in record}
             )
-            # Last, because this is what marks the URLs as visited.
             _write_batch(pages, f"{out_dir}/pages", batch_id)
         finally:
             parsed.unpersist()
+        stored = _stored(session, f"{out_dir}/pages", CRAWLED, batch_id).select("url")
+        seen.add(stored, batch_id)
+        links = _stored(session, f"{out_dir}/links", LINKS, batch_id)
+        queue.take_in(links.withColumn("depth", F.lit(batch_id)), stored, seen, batch_id)
 
     place = checkpoint or f"{out_dir}/_checkpoint"
     return _start(with_place(fetched, *FETCHED.names), place, every, keep_new)
@@ -191,12 +196,6 @@ def stream_crawl(
 
 def crawl_frontier(spark: SparkSession, out_dir: str) -> DataFrame:
     """URLs that the pages taken in so far link to and that are not among them. Depth is
-    the batch that found the URL first, `src_ord` the page's place in that batch."""
-    visited = read_batches(spark, f"{out_dir}/pages", CRAWLED).select("url")
-    links = read_batches(spark, f"{out_dir}/links", LINKS).select(
-        "url",
-        F.col("batch").cast("int").alias("depth"),
-        "src_ord",
-        "pos",
-    )
-    return frontier_next(links, visited, spark.createDataFrame([], FRONTIER))
+    the batch that found the URL first, `src_ord` the page's place in that batch. Reads the
+    queue as the last batch left it, not the links and pages of all batches."""
+    return CrawlQueue(spark, f"{out_dir}/_crawl").now()

@@ -1,0 +1,95 @@
+"""The set of seen URLs against a Python set, what a batch reads, and repeated and broken-off batches."""
+
+import random
+from pathlib import Path
+
+import pytest
+
+from pagemill.sources import seen as seen_module
+from pagemill.sources.paths import names_in, read_text, replace_text
+from pagemill.sources.seen import SeenUrls
+from pagemill.sources.snapshots import KEPT, Snapshots
+
+
+def urls_of(spark, urls):
+    return spark.createDataFrame([(u,) for u in urls], "url string")
+
+
+def size_of(folders):
+    return sum(f.stat().st_size for folder in folders for f in Path(folder).rglob("*.parquet"))
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_against_a_set(spark, tmp_path, monkeypatch, small):
+    if small:  # buckets and filters are split and generations folded all the time
+        for name, value in (("SEGMENT_URLS", 8), ("BUCKET_URLS", 16), ("FOLD", 2), ("CAPACITY", 8)):
+            monkeypatch.setattr(seen_module, name, value)
+    rnd = random.Random(1)
+    store, known = SeenUrls(spark, str(tmp_path / "s"), seen_module.CAPACITY), set()
+    for batch in range(7):
+        asked = {f"https://h/{rnd.randrange(150)}" for _ in range(rnd.choice([0, 1, 30, 60]))} | {"https://h/hot", ""}
+        rows = urls_of(spark, sorted(asked))
+        assert {r.url for r in store.hits(rows).collect()} == asked & known
+        new = store.unseen(rows, batch)
+        assert {r.url for r in new.collect()} == asked - known
+        assert store.add(new, batch) == len(asked - known)
+        known |= asked
+        assert store.size() == len(known) and store.last() == batch
+    assert len(store.log.versions()) == KEPT
+
+
+def test_a_repeated_batch_changes_nothing(spark, tmp_path):
+    store = SeenUrls(spark, str(tmp_path / "s"))
+    store.add(urls_of(spark, ["a", "b"]), 0)
+    for _ in range(2):
+        rows = urls_of(spark, ["b", "c"])
+        new = store.unseen(rows, before=1)
+        assert [r.url for r in new.collect()] == ["c"]
+        store.add(new, 1)
+    assert store.size() == 3 and {r.url for r in store.hits(urls_of(spark, list("abcd"))).collect()} == set("abc")
+    assert store.hits(urls_of(spark, ["a"]), before=0).collect() == []
+
+
+def test_a_batch_that_dies_leaves_the_version_before(spark, tmp_path, monkeypatch):
+    store = SeenUrls(spark, str(tmp_path / "s"))
+    store.add(urls_of(spark, ["a"]), 0)
+    monkeypatch.setattr(store.log, "commit", lambda *_: (_ for _ in ()).throw(OSError("killed")))
+    with pytest.raises(OSError):
+        store.add(urls_of(spark, ["b"]), 1)
+    again = SeenUrls(spark, str(tmp_path / "s"))
+    assert again.size() == 1 and again.hits(urls_of(spark, ["b"])).collect() == []
+    again.add(urls_of(spark, ["b"]), 1)
+    assert again.size() == 2
+
+
+def test_what_a_batch_reads_does_not_grow(spark, tmp_path, monkeypatch):
+    """Filters of a fixed size, and the bucket of the one URL that comes in every batch."""
+    monkeypatch.setattr(seen_module, "BUCKET_URLS", 500)
+    store, read, stored = SeenUrls(spark, str(tmp_path / "s"), capacity=60_000), [], []
+    for batch in range(8):
+        rows = spark.range(4000).selectExpr(f"concat('https://host/{batch}/', id) AS url").union(urls_of(spark, ["https://host/hot"]))
+        found = store.log.latest()
+        if found:
+            maybe = store.maybe(rows, found[1]).collect()
+            wanted = {r.bucket for r in maybe}
+            assert "https://host/hot" in {r.url for r in maybe} and len(maybe) < 40
+            folders = store.folders(found[1], wanted, found[1]["buckets"])
+            read.append((size_of([store.log.folder(found[1]["filters"])]), size_of(folders)))
+            stored.append(size_of(store.folders(found[1])))
+        store.add(store.unseen(rows, batch), batch)
+    assert stored[-1] > 5 * stored[0]
+    assert max(f for f, _ in read) < 1.2 * 32 * seen_module.SEGMENT_BITS / 8
+    assert max(b for _, b in read[4:]) < 2 * max(b for _, b in read[:4])
+
+
+def test_versions(spark, tmp_path):
+    log = Snapshots(spark, str(tmp_path / "t"))
+    assert log.latest() is None
+    for version in range(4):
+        replace_text(spark, log.folder(f"data{version}/x"), str(version))
+        log.commit(version, {"folders": [f"data{v}" for v in range(max(version - 1, 0), version + 1)], "n": version})
+    assert log.versions() == [2, 3] and log.latest()[1]["n"] == 3 and log.latest(before=3)[1]["n"] == 2
+    assert names_in(spark, log.path) == ["_versions", "data1", "data2", "data3"]
+    log.commit(3, {"folders": ["data3"], "n": 30})
+    assert log.latest() == (3, {"folders": ["data3"], "n": 30})
+    assert read_text(spark, log.folder("data2/x")) == "2"

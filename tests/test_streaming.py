@@ -153,3 +153,52 @@ def test_crawl_stream_judges_status_and_type(spark, tmp_path):
         ("http://h/1", "OK", "T"), ("http://h/2", "ERROR", None), ("http://h/3", "NON_HTML", None), ("http://h/4", "OK", "T"),
     ]
     assert sorted(r.url for r in ingest.crawl_frontier(spark, out).collect()) == ["http://h/5", "http://h/8"]
+
+
+def test_maintained_queue_equals_the_recomputed_one(spark, tmp_path, monkeypatch):
+    """Many batches of random pages and links, some killed at some point and replayed."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from pagemill.operators.frontier import frontier_next
+    from pagemill.schemas import FRONTIER
+    from pagemill.sources import queue, seen
+
+    monkeypatch.setattr(queue, "FOLD", 2)
+    folder, out, rnd = str(tmp_path / "in"), str(tmp_path / "out"), random.Random(2)
+    killed = {1: (seen.SeenUrls, "add"), 2: (queue.CrawlQueue, "take_in"), 3: (queue.Snapshots, "commit")}
+    for batch in range(5):
+        rows = [(f"http://h/{i}", html("/hot", *(f"/{rnd.randrange(60)}" for _ in range(4)))) for i in rnd.sample(range(60), 8)]
+        spark.createDataFrame(rows, "url string, html string").coalesce(2).write.mode("append").parquet(folder)
+        if batch in killed:
+            owner, name = killed[batch]
+
+            def dying(*_):
+                raise RuntimeError("killed")
+
+            whole = getattr(owner, name)
+            monkeypatch.setattr(owner, name, dying)
+            with pytest.raises(Exception, match="killed"):
+                ingest.stream_crawl(spark, folder, out).awaitTermination()
+            monkeypatch.setattr(owner, name, whole)
+        ingest.stream_crawl(spark, folder, out).awaitTermination()
+        pages = ingest.read_batches(spark, f"{out}/pages", ingest.CRAWLED)
+        assert pages.count() == pages.select("url").distinct().count()
+        links = ingest.read_batches(spark, f"{out}/links", ingest.LINKS).withColumn("depth", F.col("batch").cast("int"))
+        want = frontier_next(links, pages, spark.createDataFrame([], FRONTIER))
+        got = ingest.crawl_frontier(spark, out)
+        assert sorted(map(tuple, got.select(*FRONTIER.names).collect())) == sorted(map(tuple, want.select(*FRONTIER.names).collect()))
+
+
+def test_output_without_a_seen_set_is_read_once(spark, tmp_path):
+    """A folder that an earlier version of this library wrote."""
+    import shutil
+
+    deliver(tmp_path / "in", "1.jsonl", record("a", "1"))
+    run(spark, tmp_path)
+    shutil.copytree(tmp_path / "out", tmp_path / "old", ignore=shutil.ignore_patterns("_seen"))
+    deliver(tmp_path / "in", "2.jsonl", record("a", "2"), record("b", "2"))
+    ingest.stream_ingest(spark, str(tmp_path / "in"), str(tmp_path / "old")).awaitTermination()
+    rows = ingest.read_batches(spark, str(tmp_path / "old"), PAGE).collect()
+    assert {r.url: (r.title, r.batch) for r in rows} == {"a": ("1", 0), "b": ("2", 1)} and len(rows) == 2
