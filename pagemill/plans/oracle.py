@@ -387,11 +387,11 @@ ORACLES: dict[str, str] = {
         FROM (SELECT r.*, CASE WHEN r.visit_rank > 100 THEN 'QUEUED' ELSE r.found END AS outcome
               FROM site_rows r LEFT JOIN site_rows p ON p.node = r.parent
               WHERE r.visit_rank <= 100 OR p.visit_rank <= 100)"""),
-    "crawl_resumed": _sql("edges bfs ranked", """
+    "crawl_links_resumed": _sql("edges bfs ranked", """
         SELECT CAST(r.node AS VARCHAR) AS url,
-               CASE WHEN r.visit_rank > 150 THEN r.depth END AS depth
-        FROM ranked r LEFT JOIN ranked p ON p.node = r.parent
-        WHERE r.visit_rank <= 150 OR p.visit_rank <= 150"""),
+               CASE WHEN r.visit_rank > n THEN r.depth END AS depth
+        FROM ranked r LEFT JOIN ranked p ON p.node = r.parent, (SELECT 2 * (count(*) // 4) AS n FROM pages)
+        WHERE r.visit_rank <= n OR p.visit_rank <= n"""),
     "stream_ingest": _sql("entries delivered", f"""
         SELECT url, {_FLAT} FROM delivered WHERE length({_strip('text')}) >= 100"""),
     "stream_resume": _sql("entries delivered", f"""
@@ -412,3 +412,5 @@ ORACLES: dict[str, str] = {
               AND page_id IN (SELECT page_id FROM fetched WHERE status < 400 AND contains(content_type, 'text/html'))
               AND url NOT IN (SELECT {_DEFRAG} FROM pages)"""),
 }
+# A crawl in batches that go on until nothing is queued comes to the same rows.
+ORACLES["crawl_resumed"] = ORACLES["crawl_site"]

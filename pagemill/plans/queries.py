@@ -496,16 +496,14 @@ def crawl_state(spark, sf_dir):
 
 @query
 def crawl_resumed(spark, sf_dir):
-    """What three runs of 50 URLs each have visited and queued, each run going on from the
-    saved progress of the one before."""
+    """A crawl of stored pages in batches of a third of them, each going on from the saved progress
+    of the one before, until nothing is queued."""
     path = scratch_path(spark, "resumed")
-    links = materialize(inputs.page_graph(spark, sf_dir), "links")
-    for _ in range(3):
-        site.crawl_batch(links, path, "3", 50)
-    visited, queue = load_state(spark, path)
-    return visited.select("url", F.lit(None).cast("bigint").alias("depth")).unionByName(
-        queue.select("url", F.col("depth").cast("bigint").alias("depth"))
-    )
+    pages = inputs.site_pages(spark, sf_dir)
+    n = -(-pages.count() // 3)
+    while site.crawl_site_batch(pages, "https://example.com/d/3/x", path, n)["queued"]:
+        pass
+    return _site_rows(site.load_site_crawl(spark, path))
 
 
 @query
@@ -539,6 +537,20 @@ def crawl_site(spark, sf_dir):
     return _site_rows(site.crawl_site(pages.unionByName(again), "https://example.com/d/3/x"))
 
 
+@query
+def crawl_links_resumed(spark, sf_dir):
+    """A crawl over links in batches of a fourth of the pages: what two of them have visited and queued."""
+    path = scratch_path(spark, "resumed")
+    links = inputs.page_graph(spark, sf_dir)
+    n = table(spark, sf_dir, "pages").count() // 4
+    for _ in range(2):
+        site.crawl_batch(links, path, "3", n)
+    visited, queue = site.load_progress(spark, path)
+    return visited.select("url", F.lit(None).cast("bigint").alias("depth")).unionByName(
+        queue.select("url", F.col("depth").cast("bigint").alias("depth"))
+    )
+
+
 @query
 def crawl_site_capped(spark, sf_dir):
     pages = inputs.site_pages(spark, sf_dir)

@@ -3,10 +3,9 @@ outcome and the record of every visited page, whole or batch by batch."""
 
 from __future__ import annotations
 
-from functools import reduce
 from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.functions.html import CATEGORY_MARK, CONTENT, parse_html
@@ -19,17 +18,14 @@ from pagemill.operators.extract import (
     record_outcome,
     with_text,
 )
-from pagemill.operators.frontier import (
-    QUEUE_ORDER,
-    crawl_reachable,
-    frontier_batch,
-    frontier_next,
-    resume_counts,
-    resume_frontier,
-)
-from pagemill.schemas import VISITED
-from pagemill.session import materialize
-from pagemill.sources.state import load_state, save_state
+from pagemill.operators.frontier import crawl_reachable
+from pagemill.schemas import PAGE
+from pagemill.session import materialize, scratch_path
+from pagemill.sources.clustered import Clustered
+from pagemill.sources.jsonl import write_jsonl
+from pagemill.sources.progress import CrawlProgress
+
+RECORD = "url string, depth int, place bigint, outcome string, title string, text string, categories array<string>, hrefs array<string>"
 
 
 def one_page_per_url(pages: DataFrame) -> DataFrame:
@@ -66,9 +62,13 @@ def crawl_site(
     counts, see `one_page_per_url`.
 
     Pages of other hosts are dropped before the parser sees them, and a page is parsed once:
-    links and record come from the same stored result. With `max_pages` only the visited
-    pages are parsed, level by level; each level reads the site's table once.
+    links and record come from the same stored result. With `max_pages` the crawl is the
+    first batch of one that could go on, see `crawl_site_batch`: pages are looked up and only the visited ones parsed.
     """
+    if max_pages:
+        path = scratch_path(pages.sparkSession, "crawl")
+        crawl_site_batch(pages, start_url, path, max_pages, pattern, content, mark, min_chars)
+        return load_site_crawl(pages.sparkSession, path)
     domain = urlparse(start_url).netloc
     site = one_page_per_url(pages.filter(url_netloc(F.col("url")) == domain))
 
@@ -81,18 +81,8 @@ def crawl_site(
     def links_in(parsed: DataFrame) -> DataFrame:
         return explode_links(parsed.filter(F.col("state").isNull()), domain)
 
-    if max_pages:
-        parts: list[DataFrame] = []
-
-        def links_of(level: DataFrame) -> DataFrame:
-            parts.append(parse(site.join(level.withColumnRenamed("src_url", "url"), "url", "left_semi")))
-            return links_in(parts[-1])
-
-        reached = crawl_reachable(links_of, start_url, max_pages)
-        parsed = reduce(DataFrame.unionByName, parts)
-    else:
-        parsed = parse(site)
-        reached = crawl_reachable(links_in(parsed), start_url, unique=True)
+    parsed = parse(site)
+    reached = crawl_reachable(links_in(parsed), start_url, unique=True)
     stored = with_text(parsed).select(
         "url",
         F.coalesce("state", record_outcome(pattern, min_chars)).alias("found"),
@@ -112,37 +102,112 @@ def crawl_site(
     )
 
 
+def store_site(pages: DataFrame, start_url: str, path: str) -> Clustered:
+    """The pages of the start URL's host, one a URL, stored so that crawls can look them up."""
+    domain = urlparse(start_url).netloc
+    site = one_page_per_url(pages.filter(url_netloc(F.col("url")) == domain))
+    flagged = site.select("url", "html", fetch_state(site).alias("state"))
+    return Clustered(pages.sparkSession, path).store(flagged)
+
+
+def crawl_site_batch(
+    pages: DataFrame | Clustered,
+    start_url: str,
+    path: str,
+    n: int,
+    pattern: str = DEFAULT_PATH_PATTERN,
+    content: tuple[str, str | None] = CONTENT,
+    mark: str = CATEGORY_MARK,
+    min_chars: int = MIN_PAGE_CHARS,
+    fresh: bool = False,
+) -> dict[str, int]:
+    """Visit `n` more URLs of a site, oldest first, store their records, and save progress below `path`; call again to go
+    on from there, until nothing is queued. Returns the numbers visited and queued so far.
+
+    `pages` are stored by URL with the first batch, and again with `fresh`; later batches may pass them, or what
+    `store_site` returned. A round reads the folders that its URLs hash to, parses their pages
+    once, and asks about the links found; nothing that earlier rounds read or wrote is read again. See
+    `load_site_crawl` for the rows and `write_dataset` for the records.
+    """
+    spark = pages.spark if isinstance(pages, Clustered) else pages.sparkSession
+    domain = urlparse(start_url).netloc
+    site = pages if isinstance(pages, Clustered) else Clustered(spark, f"{path}/pages")
+    if not isinstance(pages, Clustered) and (fresh or not site.is_stored()):
+        store_site(pages, start_url, site.path)
+    progress = CrawlProgress(spark, path)
+
+    def visit(batch: DataFrame, version: int) -> DataFrame:
+        # The html is on the side that stays where it is as long as the batch is small. URLs without a page
+        # have no record; `load_site_crawl` tells them by that.
+        known = site.near(batch, "url").join(batch, "url")
+        fetched = F.when(F.col("state").isNull(), F.col("html"))
+        page = parse_html(fetched, content, mark).alias("page")
+        parsed = with_text(known.select("url", "depth", "place", "state", page))
+        outcome = F.coalesce("state", record_outcome(pattern, min_chars))
+        saved = [F.when(outcome == "OK", F.col(c)).alias(n) for n, c in (("title", "page.title"), ("text", "text"), ("categories", "page.categories"))]
+        hrefs = F.when(F.col("state").isNull(), F.col("page.hrefs")).alias("hrefs")
+        folder = progress.log.folder(f"records-{version:012d}")
+        parsed.select("url", "depth", "place", outcome.alias("outcome"), *saved, hrefs).write.mode("overwrite").parquet(folder)
+        rows = spark.read.schema(RECORD).parquet(folder).filter("hrefs is not null")
+        linked = rows.select("url", "depth", "place", F.struct("hrefs").alias("page"))
+        links = explode_links(linked, domain, "depth", "place")
+        return links.select("url", (F.col("depth") + 1).alias("depth"), F.col("place").alias("src_ord"), "pos")
+
+    return _counts(progress.advance(visit, start_url, n, fresh, records=True))
+
+
+def _counts(state: dict) -> dict[str, int]:
+    return {"visited": state["head"] - state["first"], "queued": state["tail"] - state["head"]}
+
+
+def load_site_crawl(spark: SparkSession, path: str) -> DataFrame:
+    """What a batched crawl has come to, one row for each URL found, as `crawl_site` returns it."""
+    progress = CrawlProgress(spark, path)
+    state = progress.state()
+    if state is None:
+        raise ValueError(f"no crawl is saved at {path}")
+    rank = (F.col("place") - state["first"] + 1).alias("visit_rank")
+    found = progress.places(state, state["first"], state["tail"]).select("url", "depth", "place")
+    rows = spark.createDataFrame([], RECORD)
+    if state["records"]:
+        rows = spark.read.schema(RECORD).parquet(*map(progress.log.folder, state["records"]))
+    outcome = F.when(F.col("place") >= state["head"], F.lit("QUEUED")).otherwise(F.coalesce("outcome", F.lit("ERROR")))
+    rows = found.join(rows.select("place", "outcome", *PAGE.names[1:]), "place", "left")
+    return rows.select("url", "depth", rank, outcome.alias("outcome"), *PAGE.names[1:])
+
+
+def write_dataset(spark: SparkSession, path: str, out: str) -> None:
+    """The records of all pages visited so far, in one JSON Lines folder that replaces an earlier one."""
+    records = load_site_crawl(spark, path).filter("outcome = 'OK'").select(*PAGE.names)
+    write_jsonl(records, out, mode="overwrite")
+
+
 def crawl_batch(
     links: DataFrame, state_path: str, seed: str, n: int, fresh: bool = False
 ) -> dict[str, int]:
-    """Visit `n` more URLs, oldest first, and save progress; call again to go on from there.
+    """Visit `n` more URLs of a table of links (src_url, pos, url), oldest first, and save progress; call
+    again to go on from there.
 
-    `links` has (src_url, pos, url) and is read in every round, so it should be a stored
-    table. Visited URLs and queue are at any time those of a crawl
-    that takes one URL after the other: each round visits what is queued, and new links join
-    the queue's end in the order of their pages. Returns the numbers visited and queued.
+    The links are stored by source with the first batch, and again with `fresh`, so that a round reads
+    those of its own URLs. Visited URLs and queue (`load_progress`) are at any time those of a crawl
+    that takes one URL after the other. Returns the numbers visited and queued.
     """
     spark = links.sparkSession
-    visited, queue = load_state(spark, state_path, fresh)
-    queue = resume_frontier(queue, visited, seed)
-    newly = spark.createDataFrame([], VISITED)
-    done, left = visited.count(), n
-    while left > 0:
-        # At most n rows, which the top-n has already brought together.
-        rank = F.row_number().over(Window.orderBy(*QUEUE_ORDER)) + F.lit(done)
-        batch = materialize(frontier_batch(queue, left).withColumn("rank", rank), "batch")
-        size = batch.count()
-        if size == 0:
-            break
-        newly = newly.unionByName(batch.select("url"))
-        parents = batch.select(
-            F.col("url").alias("src_url"),
-            (F.col("depth") + 1).alias("depth"),
-            F.col("rank").cast("bigint").alias("src_ord"),
-        )
-        found = links.join(parents, "src_url").select("url", "depth", "src_ord", "pos")
-        queue = materialize(frontier_next(found, visited.unionByName(newly), queue), "queue")
-        done, left = done + size, left - size
-    save_state(newly, queue, state_path, fresh)
-    visited, queue = load_state(spark, state_path)
-    return resume_counts(queue, visited).first().asDict()
+    stored = Clustered(spark, f"{state_path}/links", "src_url")
+    if fresh or not stored.is_stored():
+        stored.store(links.select("src_url", "pos", "url"))
+
+    def visit(batch: DataFrame, version: int) -> DataFrame:
+        parents = batch.select(F.col("url").alias("src_url"), (F.col("depth") + 1).alias("depth"), F.col("place").alias("src_ord"))
+        return stored.near(batch, "url").join(parents, "src_url").select("url", "depth", "src_ord", "pos")
+
+    return _counts(CrawlProgress(spark, state_path).advance(visit, seed, n, fresh))
+
+
+def load_progress(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(visited, queue) of a batched crawl; the queue has the frontier's columns."""
+    progress = CrawlProgress(spark, path)
+    state = progress.state()
+    if state is None:
+        raise ValueError(f"no crawl is saved at {path}")
+    return progress.visited(state).select("url"), progress.queue(state).select("url", "depth", "src_ord", "pos")

@@ -1,7 +1,7 @@
 """The URLs seen so far, asked by batches without rereading them.
 
-URLs hash into segments, each with a Bloom filter of 2 ** 15 bits built and merged by Spark's bitmap
-functions, and into buckets, each a folder of URLs. A batch is first held against the
+URLs hash into buckets, each a folder of URLs, and once there is more than one bucket into segments, each with a Bloom filter of 2 ** 15 bits built and merged by Spark's bitmap
+functions. A batch is first held against the
 filters; only URLs that may have been seen are compared with stored ones, and
 only in their buckets. So what a batch reads are the filters, whose size is set by the capacity,
 and the buckets of URLs that come again. When the URLs outgrow the capacity it doubles,
@@ -102,6 +102,8 @@ class SeenUrls:
         if found is None:
             return self.spark.createDataFrame([], "url string")
         state = found[1]
+        if state["filters"] is None:
+            return urls.select("url").join(self._urls(self.folders(state)), "url", "left_semi")
         maybe = materialize(self.maybe(urls, state), "maybe-seen")
         # At most one row for each bucket.
         wanted = {row["bucket"] for row in maybe.select("bucket").distinct().collect()}
@@ -110,14 +112,19 @@ class SeenUrls:
 
     def unseen(self, rows: DataFrame, before: int | None = None) -> DataFrame:
         """Rows of `rows` (unique on url) whose URL has not been added."""
+        found = self.log.latest(before)
+        if found and found[1]["filters"] is None:
+            return rows.join(self._urls(self.folders(found[1])), "url", "left_anti")
         return rows.join(self.hits(rows.select("url"), before), "url", "left_anti")
 
-    def add(self, urls: DataFrame, batch: int) -> int:
-        """Add unique URLs that are not in the set as a batch; returns how many these are."""
+    def add(self, urls: DataFrame, batch: int, count: int | None = None) -> int:
+        """Add unique URLs that are not in the set as a batch; returns how many these are. A caller that
+        knows the `count` passes a stored table, which is then not written once more for it."""
         found = self.log.latest(batch)
         state = found[1] if found else {"segments": _power(-(-self.capacity // SEGMENT_URLS)), "generations": [], "total": 0, "filters": None}
-        urls = materialize(urls.select("url"), "newly-seen")
-        count = urls.count()
+        if count is None:
+            urls = materialize(urls.select("url"), "newly-seen")
+            count = urls.count()
         total = state["total"] + count
         buckets = _power(-(-total // BUCKET_URLS))
         generations = list(state["generations"])
@@ -129,24 +136,29 @@ class SeenUrls:
             rows = self._urls(self.folders({"generations": merged}))
             generations[-FOLD:] = [{"level": level, **self._store(rows, f"urls/{batch:012d}-{level}", buckets)}]
         segments = max(state["segments"], _power(-(-total // SEGMENT_URLS)))
-        if segments > state["segments"] or state["filters"] is None:
-            # Room for as many again, so that the next building is far off.
-            segments = segments if state["filters"] is None else 2 * segments
-            filters = _filters_of(self._urls(self.folders({"generations": generations})), segments)
-        else:
-            both = self._filters(state).unionByName(_filters_of(urls, segments))
-            filters = both.groupBy("segment").agg(F.bitmap_or_agg("bits").alias("bits"))
-        place = f"filters/{batch:012d}"
-        filters.write.mode("overwrite").parquet(self.log.folder(place))
+        place = None
+        if buckets > 1:
+            if segments > state["segments"] or state["filters"] is None:
+                # Room for as many again, so that the next building is far off.
+                segments = max(state["segments"], 2 * _power(-(-total // SEGMENT_URLS)))
+                filters = _filters_of(self._urls(self.folders({"generations": generations})), segments)
+            else:
+                both = self._filters(state).unionByName(_filters_of(urls, segments))
+                filters = both.groupBy("segment").agg(F.bitmap_or_agg("bits").alias("bits"))
+            place = f"filters/{batch:012d}"
+            filters.write.mode("overwrite").parquet(self.log.folder(place))
         self.log.commit(batch, {
             "segments": segments, "buckets": buckets, "total": total, "filters": place, "generations": generations,
-            "folders": [place, *(g["folder"] for g in generations)],
+            "folders": [*([place] if place else []), *(g["folder"] for g in generations)],
         })
         return count
 
     def _store(self, urls: DataFrame, folder: str, buckets: int) -> dict:
-        """Write URLs by bucket, each bucket as one file: a bucket is bounded."""
-        rows = urls.withColumn("bucket", _slot(buckets))
-        rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(self.log.folder(folder))
+        """Write URLs by bucket."""
+        if buckets == 1:
+            urls.select("url").write.mode("overwrite").parquet(self.log.folder(f"{folder}/bucket=0"))
+            return {"folder": folder, "buckets": 1, "used": [0]}
+        rows = urls.select("url", _slot(buckets).alias("bucket"))
+        rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(self.log.folder(folder))
         used = [row["bucket"] for row in rows.select("bucket").distinct().collect()]
         return {"folder": folder, "buckets": buckets, "used": sorted(used)}
