@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.functions.html import CATEGORY_MARK, CONTENT, parse_html
-from pagemill.functions.urls import DEFAULT_PATH_PATTERN, url_netloc
+from pagemill.functions.urls import DEFAULT_PATH_PATTERN, base_parts, url_netloc
 from pagemill.operators.curate import first_per_key
 from pagemill.operators.extract import (
     MIN_PAGE_CHARS,
     explode_links,
     fetch_state,
+    page_links,
     record_outcome,
     with_text,
 )
@@ -25,7 +26,7 @@ from pagemill.sources.clustered import Clustered
 from pagemill.sources.jsonl import write_jsonl
 from pagemill.sources.progress import CrawlProgress
 
-RECORD = "url string, depth int, place bigint, outcome string, title string, text string, categories array<string>, hrefs array<string>"
+RECORD = "url string, depth int, place bigint, outcome string, title string, text string, categories array<string>, links array<string>"
 
 
 def one_page_per_url(pages: DataFrame) -> DataFrame:
@@ -135,23 +136,22 @@ def crawl_site_batch(
     if not isinstance(pages, Clustered) and (fresh or not site.is_stored()):
         store_site(pages, start_url, site.path)
     progress = CrawlProgress(spark, path)
+    # Built once: the expressions are the same in every round.
+    page = parse_html(F.when(F.col("state").isNull(), F.col("html")), content, mark).alias("page")
+    outcome = F.coalesce("state", record_outcome(pattern, min_chars))
+    saved = [F.when(F.col("outcome") == "OK", F.col(c)).alias(n) for n, c in (("title", "page.title"), ("text", "text"), ("categories", "page.categories"))]
+    links = page_links(base_parts(F.col("url")), F.col("page.hrefs"), F.lit(domain))
+    links = F.when(F.col("state").isNull(), links).alias("links")
 
     def visit(batch: DataFrame, version: int) -> DataFrame:
         # The html is on the side that stays where it is as long as the batch is small. URLs without a page
         # have no record; `load_site_crawl` tells them by that.
         known = site.near(batch, "url").join(batch, "url")
-        fetched = F.when(F.col("state").isNull(), F.col("html"))
-        page = parse_html(fetched, content, mark).alias("page")
-        parsed = with_text(known.select("url", "depth", "place", "state", page))
-        outcome = F.coalesce("state", record_outcome(pattern, min_chars))
-        saved = [F.when(outcome == "OK", F.col(c)).alias(n) for n, c in (("title", "page.title"), ("text", "text"), ("categories", "page.categories"))]
-        hrefs = F.when(F.col("state").isNull(), F.col("page.hrefs")).alias("hrefs")
+        parsed = with_text(known.select("url", "depth", "place", "state", page)).withColumn("outcome", outcome)
         folder = progress.log.folder(f"records-{version:012d}")
-        parsed.select("url", "depth", "place", outcome.alias("outcome"), *saved, hrefs).write.mode("overwrite").parquet(folder)
-        rows = spark.read.schema(RECORD).parquet(folder).filter("hrefs is not null")
-        linked = rows.select("url", "depth", "place", F.struct("hrefs").alias("page"))
-        links = explode_links(linked, domain, "depth", "place")
-        return links.select("url", (F.col("depth") + 1).alias("depth"), F.col("place").alias("src_ord"), "pos")
+        parsed.select("url", "depth", "place", "outcome", *saved, links).write.mode("overwrite").parquet(folder)
+        rows = spark.read.schema(RECORD).parquet(folder)
+        return rows.select((F.col("depth") + 1).alias("depth"), F.col("place").alias("src_ord"), F.posexplode("links").alias("pos", "url"))
 
     return _counts(progress.advance(visit, start_url, n, fresh, records=True))
 

@@ -34,6 +34,7 @@ class CrawlProgress:
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path.rstrip("/")
         self.log = Snapshots(spark, f"{self.path}/order")
+        self._seen: dict[str, SeenUrls] = {}
 
     def state(self) -> dict | None:
         latest = self.log.latest()
@@ -48,12 +49,17 @@ class CrawlProgress:
         row = self.spark.createDataFrame([(seed, 0, -1, 0, 0, 0)], _FOUND).coalesce(1)
         folder, seen = f"found-{version:012d}", f"seen-{version:012d}"
         row.write.mode("overwrite").parquet(self.log.folder(folder))
-        SeenUrls(self.spark, f"{self.path}/{seen}").add(row.select("url"), version, count=1)
+        self.seen(seen).add(row.select("url"), version, count=1)
         return self._commit(version, {
             "seen": seen, "first": first, "head": first, "tail": first + 1,
             "rounds": [{"folder": folder, "from": first, "upto": first + 1, "starts": [[0, first]]}], "records": [],
         })
 
+    def seen(self, name: str) -> SeenUrls:
+        if name not in self._seen:
+            self._seen[name] = SeenUrls(self.spark, f"{self.path}/{name}")
+        return self._seen[name]
+
     def _commit(self, version: int, state: dict) -> dict:
         folders = [r["folder"] for r in state["rounds"]] + state["records"]
         self.log.commit(version, {**state, "folders": folders})
@@ -92,10 +98,10 @@ class CrawlProgress:
         state = None if fresh else self.state()
         if state is None:
             state = self.start(seed)
-        left = n
+        left, version = n, self.log.latest()[0]
         while left > 0 and state["head"] < state["tail"]:
             end = min(state["head"] + left, state["tail"])
-            version = self.log.latest()[0] + 1
+            version += 1
             links = visit(self.places(state, state["head"], end).select("url", "depth", "place"), version)
             left -= end - state["head"]
             state = self._take_in(links, {**state, "head": end}, version, records)
@@ -107,7 +113,7 @@ class CrawlProgress:
         first = links.groupBy("url").agg(
             F.min("depth").alias("depth"), F.min("src_ord").alias("src_ord"), F.min_by("pos", "src_ord").alias("pos")
         )
-        seen = SeenUrls(self.spark, f"{self.path}/{state['seen']}")
+        seen = self.seen(state["seen"])
         new = seen.unseen(first, before=version).orderBy("src_ord", "pos").withColumn("_id", F.monotonically_increasing_id())
         folder = f"found-{version:012d}"
         place = {"part": F.shiftright("_id", LINE_BITS).cast("int"), "line": F.col("_id").bitwiseAND((1 << LINE_BITS) - 1)}

@@ -22,6 +22,7 @@ class Snapshots:
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path.rstrip("/")
+        self._known: dict[int, set[str]] = {}
 
     def _file(self, version: int) -> str:
         return f"{self.path}/_versions/{version:012d}.json"
@@ -42,6 +43,7 @@ class Snapshots:
         """Put a version in force. Committing it again, as a repeated write does, replaces it."""
         known = [v for v in self.versions() if v != version]
         replace_text(self.spark, self._file(version), json.dumps(content))
+        self._known[version] = set(content["folders"])
         kept = sorted([*known, version])[-KEPT:]
         held = {f for v in kept for f in self._folders(v)}
         for old in (v for v in known if v < kept[0]):
@@ -50,4 +52,6 @@ class Snapshots:
             remove(self.spark, self._file(old))
 
     def _folders(self, version: int) -> set[str]:
-        return set(json.loads(read_text(self.spark, self._file(version)))["folders"])
+        if version not in self._known:
+            self._known[version] = set(json.loads(read_text(self.spark, self._file(version)))["folders"])
+        return self._known[version]

@@ -116,7 +116,7 @@ def test_batches_of_pages_equal_one_crawl(spark, tmp_path, monkeypatch, small_ta
     counts, batch = {"queued": 1}, 0
     while counts["queued"]:
         if batch in (1, 2):
-            owner, name = [(site_module, "explode_links"), (CrawlProgress, "_commit")][batch - 1]
+            owner, name = [(site_module, "page_links"), (CrawlProgress, "_commit")][batch - 1]
             kept = getattr(owner, name)
             monkeypatch.setattr(owner, name, lambda *_: (_ for _ in ()).throw(RuntimeError("killed")))
             before = CrawlProgress(spark, path).state()
