@@ -15,6 +15,7 @@ from pagemill.operators.report import FEW_ENTRIES
 from pagemill.operators.split import SPLIT_SEED, VAL_RATIO, sample_pair, train_val_split
 from pagemill.session import materialize
 from pagemill.sources.jsonl import SOURCE_ORDER, read_jsonl, read_pairs, write_split
+from pagemill.sources.published import publish
 
 
 def prepare_data(
@@ -24,10 +25,14 @@ def prepare_data(
     val_ratio: float = VAL_RATIO,
     seed: int = SPLIT_SEED,
     glob: str | None = "*.jsonl",
+    as_version: bool = False,
 ) -> dict[str, int | bool | dict | None]:
     """Read JSONL records, keep the first long record of every URL, form pairs, split and
     write them in seeded order. Returns the run's totals and a sample pair, None if there is none.
 
+    With `as_version` both parts go below a new folder of `output_path`, which `published` names once both
+    are whole; a run that dies leaves the parts of the run before in force.
+
     The records are read and deduplicated once, into a table. The write reads all of it, the
     cut and the totals one column.
     """
@@ -35,7 +40,14 @@ def prepare_data(
     files = len(records.inputFiles())
     pairs = materialize(training_pairs(curated_entries(records, order=SOURCE_ORDER), "url"), "pairs")
     labelled = train_val_split(pairs, "url", val_ratio, seed)
-    write_split(labelled, output_path, key="url", seed=seed)
+
+    def write(folder: str) -> None:
+        write_split(labelled, folder, key="url", seed=seed, mode="overwrite" if as_version else "errorifexists")
+
+    if as_version:
+        publish(spark, output_path, write)
+    else:
+        write(output_path)
     sizes = {row["split"]: row["count"] for row in labelled.groupBy("split").count().collect()}
     train, val = sizes.get("train", 0), sizes.get("val", 0)
     entries = train + val

@@ -423,7 +423,8 @@ def page_upsert(spark, sf_dir):
 
 @query
 def page_store(spark, sf_dir):
-    """Pages saved in two batches as if of one host, so that many share a slug."""
+    """Pages saved in two batches as if of one host, so that many share a slug; saved in several more first,
+    which the last two overwrite and which are folded."""
     path = scratch_path(spark, "store")
     pages = table(spark, sf_dir, "pages")
     one_host = F.concat(F.lit("https://example.com"), ur.url_path(F.col("url")))
@@ -431,6 +432,8 @@ def page_store(spark, sf_dir):
         one_host.alias("url"), F.col("page_id").alias("seq"), F.md5("html").alias("digest")
     )
     late = F.col("seq") % 3 == 0
+    for early in range(4):
+        save_pages(records.withColumn("digest", F.lit("old")), path, early - 4)
     save_pages(records.filter(~late), path, 0)
     save_pages(records.filter(late), path, 1)
     stored = load_pages(spark, path, records.schema, by="slug")

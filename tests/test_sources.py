@@ -190,3 +190,100 @@ def test_hidden_files_are_an_error(spark, tmp_path):
     write(tmp_path, "_b.jsonl", page("b"))
     with pytest.raises(ValueError):
         jsonl.read_jsonl(spark, str(tmp_path))
+
+
+def test_many_saves_are_read_from_few_folders(spark, tmp_path):
+    path = str(tmp_path / "state")
+    for i in range(30):
+        visited = spark.createDataFrame([(f"u{i}",)], VISITED)
+        state.save_state(visited, spark.createDataFrame([(f"q{i}", 1, 0, 0)], FRONTIER), path)
+    visited, queue = state.load_state(spark, path)
+    assert sorted(r.url for r in visited.collect()) == sorted(f"u{i}" for i in range(30))
+    assert [r.url for r in queue.collect()] == ["q29"]
+    assert len({f.rsplit("/", 2)[-2] for f in visited.inputFiles()}) <= 2 * state.FOLD
+    assert len(list((tmp_path / "state/frontier").iterdir())) <= 3
+    state.save_state(spark.createDataFrame([("n",)], VISITED), queue, path, fresh=True)
+    assert [r.url for r in state.load_state(spark, path)[0].collect()] == ["n"]
+
+
+def test_state_of_the_earlier_layout(spark, tmp_path):
+    path = str(tmp_path / "state")
+    for g, url in enumerate("ab"):
+        spark.createDataFrame([(url,)], VISITED).write.parquet(f"{path}/visited/generation={g}")
+        spark.createDataFrame([("q" + url, 1, 0, 0)], FRONTIER).write.parquet(f"{path}/frontier/generation={g}")
+        spark.createDataFrame([(g, 0)], "generation bigint, start bigint").write.mode("append").parquet(f"{path}/commits")
+    state.save_state(spark.createDataFrame([("c",)], VISITED), spark.createDataFrame([("qc", 1, 0, 0)], FRONTIER), path)
+    visited, queue = state.load_state(spark, path)
+    assert sorted(r.url for r in visited.collect()) == ["a", "b", "c"] and [r.url for r in queue.collect()] == ["qc"]
+
+
+SAVED = "url string, seq bigint, text string"
+
+
+def test_page_store_over_many_batches(spark, tmp_path, monkeypatch):
+    """The latest record of a URL and of a slug, few folders, a save that dies, a reader at an old version."""
+    import random
+
+    from pagemill.sources import pages
+    from pagemill.sources.snapshots import Snapshots
+
+    path, rnd, latest = str(tmp_path / "store"), random.Random(3), {}
+
+    def stored(by="url"):
+        rows = pages.load_pages(spark, path, spark.createDataFrame([], SAVED).schema, by).collect()
+        return {r.url: r.text for r in rows}
+
+    assert stored() == {}
+    for batch in range(8):
+        rows = [(f"https://h/{rnd.randrange(20)}", i, f"{batch}-{i}") for i in range(9)]
+        if batch in (4, 6):  # dies between its data and its version file
+            before, kept = stored(), Snapshots.commit
+            monkeypatch.setattr(Snapshots, "commit", lambda *_: (_ for _ in ()).throw(OSError("killed")))
+            with pytest.raises(OSError):
+                pages.save_pages(spark.createDataFrame([(u, s, "lost") for u, s, _ in rows], SAVED), path, batch, buckets=2)
+            monkeypatch.setattr(Snapshots, "commit", kept)
+            assert stored() == before
+        old = pages.load_pages(spark, path, spark.createDataFrame([], SAVED).schema)
+        pages.save_pages(spark.createDataFrame(rows, SAVED), path, batch, buckets=2)
+        assert {r.url: r.text for r in old.collect()} == latest
+        latest.update({u: t for u, _, t in rows})
+        assert stored() == latest and stored("slug") == latest
+        assert len(Snapshots(spark, path).latest()[1]["folders"]) <= 2 * pages.FOLD
+    with pytest.raises(ValueError):
+        pages.save_pages(spark.createDataFrame([], SAVED), path, 0)
+    pages.save_pages(spark.createDataFrame([("https://h/new", 0, "x")], SAVED), path, 8)
+    pages.save_pages(spark.createDataFrame([("https://h/newer", 0, "y")], SAVED), path, 8)
+    assert stored() == latest | {"https://h/newer": "y"}
+
+
+def test_published_parts_are_seen_as_a_whole(spark, tmp_path, monkeypatch):
+    from pagemill.plans import prepare
+    from pagemill.sources.published import publish, published
+
+    path, source = str(tmp_path / "out"), tmp_path / "in"
+    source.mkdir()
+    assert published(spark, path) is None
+
+    def run(n):
+        lines = [json.dumps({"url": f"u{i}", "title": "t", "text": "word " * 30, "categories": []}) for i in range(n)]
+        (source / "a.jsonl").write_text("\n".join(lines))
+        return prepare.prepare_data(spark, str(source), path, as_version=True)
+
+    assert run(20)["entries"] == 20
+    first = published(spark, path)
+    whole = prepare.write_split
+
+    def dying(df, folder, **more):
+        whole(df.filter("split = 'train'"), folder, **more)
+        raise OSError("killed")
+
+    monkeypatch.setattr(prepare, "write_split", dying)
+    with pytest.raises(OSError):
+        run(30)
+    assert published(spark, path) == first and jsonl.read_prepared(spark, first).count() == 20
+    monkeypatch.setattr(prepare, "write_split", whole)
+    run(30)
+    second = published(spark, path)
+    assert second != first and jsonl.read_prepared(spark, second).count() == 30 and jsonl.read_prepared(spark, first).count() == 20
+    parts = [lambda f: jsonl.write_jsonl(spark.range(3), f"{f}/a"), lambda f: jsonl.write_jsonl(spark.range(4), f"{f}/b")]
+    assert spark.read.json(publish(spark, path, *parts) + "/b").count() == 4
