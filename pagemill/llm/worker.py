@@ -34,7 +34,7 @@ def beside(columns: list[str], taken: list[str]) -> list[str]:
 
 
 #: Bytes of text that Arrow kernels are given at a time.
-PORTION = 1 << 23
+PORTION = 1 << 22
 
 
 def portions(batch: pa.RecordBatch, column: str, size: int = PORTION) -> Iterator[pa.RecordBatch]:
