@@ -412,5 +412,24 @@ ORACLES: dict[str, str] = {
               AND page_id IN (SELECT page_id FROM fetched WHERE status < 400 AND contains(content_type, 'text/html'))
               AND url NOT IN (SELECT {_DEFRAG} FROM pages)"""),
 }
+ORACLES["stream_report"] = _sql("hrefs links articles arrived fetched", f"""
+    , judged AS (
+        SELECT page_id, {_DEFRAG.replace('url', 'a.url')} AS url, CASE WHEN page_id % 3 < 2 THEN 1 ELSE 2 END AS run,
+               CASE WHEN status >= 400 THEN 'ERROR'
+                    WHEN NOT contains(content_type, 'text/html') THEN 'NON_HTML'
+                    WHEN NOT regexp_matches({_part('a.url', 3)}, '^/\\w+/\\d+/?\\z') THEN 'CRAWL'
+                    WHEN title = '' OR length(text) < 50 THEN 'SKIP' ELSE 'OK' END AS outcome
+        FROM articles a JOIN fetched USING (page_id) WHERE page_id IN (SELECT page_id FROM arrived))
+    SELECT CAST(r.run AS BIGINT) AS run,
+           (SELECT count(*) FROM judged j WHERE j.run = r.run AND outcome = 'OK') AS ok,
+           (SELECT count(*) FROM judged j WHERE j.run = r.run AND outcome = 'SKIP') AS skip,
+           (SELECT count(*) FROM judged j WHERE j.run = r.run AND outcome = 'CRAWL') AS crawl,
+           (SELECT count(*) FROM judged j WHERE j.run = r.run AND outcome = 'ERROR') AS error,
+           (SELECT count(*) FROM judged j WHERE j.run = r.run AND outcome = 'NON_HTML') AS non_html,
+           (SELECT count(*) FROM judged j WHERE j.run <= r.run) AS visited,
+           (SELECT count(DISTINCT l.url) FROM links l JOIN judged j USING (page_id)
+            WHERE j.run <= r.run AND outcome NOT IN ('ERROR', 'NON_HTML')
+                  AND l.url NOT IN (SELECT v.url FROM judged v WHERE v.run <= r.run)) AS queued
+    FROM (VALUES (1), (2)) AS r(run)""")
 # A crawl in batches that go on until nothing is queued comes to the same rows.
 ORACLES["crawl_resumed"] = ORACLES["crawl_site"]

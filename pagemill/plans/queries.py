@@ -597,9 +597,8 @@ def stream_resume(spark, sf_dir):
     return flat(stored, "url", (F.col("batch") + 1).alias("run"))
 
 
-@query
-def stream_crawl(spark, sf_dir):
-    """Pages with their outcome, and the queue, after taking in two deliveries."""
+def _crawled_stream(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of a crawl that has taken in two deliveries."""
     in_dir, out_dir = scratch_path(spark, "fetched"), scratch_path(spark, "crawled")
     pages = inputs.fetched_pages(spark, sf_dir).withColumn("url", ur.url_defrag(F.col("url")))
     early = F.col("page_id") % 3 < 2
@@ -608,6 +607,20 @@ def stream_crawl(spark, sf_dir):
         ingest.stream_crawl(
             spark, in_dir, out_dir, pattern=r"^/\w+/\d+/?$", content=FIXTURE_CONTENT
         ).awaitTermination()
+    return out_dir
+
+
+@query
+def stream_report(spark, sf_dir):
+    """Pages by outcome, and URLs visited and queued, after each of two runs."""
+    report = ingest.crawl_report(spark, _crawled_stream(spark, sf_dir))
+    return report.select((F.col("batch") + 1).alias("run"), *[F.col(n).alias(n.lower()) for n in ingest.REPORT.names])
+
+
+@query
+def stream_crawl(spark, sf_dir):
+    """Pages with their outcome, and the queue, after taking in two deliveries."""
+    out_dir = _crawled_stream(spark, sf_dir)
     stored = ingest.read_batches(spark, f"{out_dir}/pages", ingest.CRAWLED)
     queue = ingest.crawl_frontier(spark, out_dir)
     none = F.lit(None).cast("string")

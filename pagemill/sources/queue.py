@@ -44,9 +44,9 @@ class CrawlQueue:
         found = self.log.latest()
         return self._live(found[1]) if found else self.spark.createDataFrame([], FRONTIER)
 
-    def take_in(self, links: DataFrame, stored: DataFrame, pages: SeenUrls, batch: int) -> None:
+    def take_in(self, links: DataFrame, stored: DataFrame, pages: SeenUrls, batch: int) -> int:
         """Bring the queue up to a batch: its `links` (frontier columns) and its `stored` pages (url),
-        which `pages` counts as seen already."""
+        which `pages` counts as seen already. Returns how many URLs are queued then."""
         found = self.log.latest(batch)
         state = found[1] if found else {"added": [], "gone": [], "n_added": 0, "n_gone": 0}
         place = f"{batch:012d}"
@@ -72,3 +72,5 @@ class CrawlQueue:
             state = {"added": [live], "gone": [], "n_added": self._read([live], FRONTIER).count(), "n_gone": 0}
         # The fresh links are needed for this batch alone; the next version lets them go.
         self.log.commit(batch, {**state, "folders": [*state["added"], *state["gone"], f"fresh-{place}"]})
+        # Whatever is struck out was queued: a page that was linked to before and arrives now.
+        return state["n_added"] - state["n_gone"]

@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -130,6 +130,8 @@ FETCHED = T.StructType([
     T.StructField("content_type", T.StringType()),
 ])
 CRAWLED = T.StructType([*PAGE.fields, T.StructField("outcome", T.StringType())])
+OUTCOMES = ("OK", "SKIP", "CRAWL", "ERROR", "NON_HTML")
+REPORT = T.StructType([T.StructField(name, T.LongType()) for name in (*OUTCOMES, "visited", "queued")])
 
 
 def stream_crawl(
@@ -148,7 +150,7 @@ def stream_crawl(
     A missing status or type is taken as fine. Responses that hold no page get the outcome
     ERROR or NON_HTML and are not parsed.
 
-    Writes `pages` (each URL once with its outcome, and its record if that is OK) and `links`.
+    Writes `pages` (each URL once with its outcome, and its record if that is OK), `links` and `reports`.
     The queue follows with every batch, see `CrawlQueue`; `crawl_frontier` reads it.
     """
     fetched = spark.readStream.schema(FETCHED).parquet(in_dir)
@@ -182,13 +184,19 @@ def stream_crawl(
             pages = judged.withColumns(
                 {name: F.when(F.col("outcome") == "OK", F.col(name)) for name in record}
             )
+            # Counted while they are written, not by another pass.
+            tally = Observation()
+            pages = pages.observe(tally, *[F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES])
             _write_batch(pages, f"{out_dir}/pages", batch_id)
         finally:
             parsed.unpersist()
         stored = _stored(session, f"{out_dir}/pages", CRAWLED, batch_id).select("url")
         seen.add(stored, batch_id)
         links = _stored(session, f"{out_dir}/links", LINKS, batch_id)
-        queue.take_in(links.withColumn("depth", F.lit(batch_id)), stored, seen, batch_id)
+        queued = queue.take_in(links.withColumn("depth", F.lit(batch_id)), stored, seen, batch_id)
+        counts = [tally.get[o] for o in OUTCOMES]
+        report = session.createDataFrame([(*counts, seen.size(), queued)], REPORT).coalesce(1)
+        _write_batch(report, f"{out_dir}/reports", batch_id)
 
     place = checkpoint or f"{out_dir}/_checkpoint"
     return _start(with_place(fetched, *FETCHED.names), place, every, keep_new)
@@ -199,3 +207,9 @@ def crawl_frontier(spark: SparkSession, out_dir: str) -> DataFrame:
     the batch that found the URL first, `src_ord` the page's place in that batch. Reads the
     queue as the last batch left it, not the links and pages of all batches."""
     return CrawlQueue(spark, f"{out_dir}/_crawl").now()
+
+
+def crawl_report(spark: SparkSession, out_dir: str) -> DataFrame:
+    """A row for each batch: its pages by outcome, and the URLs visited and queued after it. The counts were
+    taken while the batch was written; neither pages nor links are read for them."""
+    return read_batches(spark, f"{out_dir}/reports", REPORT)
