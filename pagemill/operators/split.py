@@ -7,7 +7,7 @@ partitions or earlier steps. Hash prefixes serve as equal-sized buckets: their c
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from pagemill.session import materialize
@@ -35,9 +35,11 @@ def _bucket(digest: Column, digits: int = PREFIX) -> Column:
 def _bucket_counts(hashed: DataFrame, digits: int = PREFIX) -> DataFrame:
     """(bucket, n, upto, total); the windows run over at most 16**PREFIX counts, provided
     the rows agree in all but the last PREFIX of the bucket's digits."""
-    counts = hashed.groupBy(_bucket(F.col("_hash"), digits).alias("bucket")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    return running_counts(hashed.groupBy(_bucket(F.col("_hash"), digits).alias("bucket")).agg(F.count(F.lit(1)).alias("n")))
+
+
+def running_counts(counts: DataFrame) -> DataFrame:
+    """(bucket, n, upto, total) of the counts of buckets."""
     return counts.select(
         "bucket",
         "n",
@@ -94,22 +96,26 @@ def split_cut(df: DataFrame, key: str, val_ratio: float, seed: int) -> tuple[str
         order_hash(F.col(key), seed).alias("_hash"), key_text(F.col(key)).alias("_key")
     )
     rows = materialize(keys, "split-keys")
-    digits, wanted = PREFIX, None
+    place = cut_bucket(_bucket_counts(rows), val_ratio)
+    return place and cut_within(rows, place)
+
+
+def cut_bucket(counts: DataFrame, val_ratio: float) -> Row | None:
+    """The bucket of `_bucket_counts` with the last training row, which is its row number `wanted` - (`upto` - `n`)."""
+    share = F.col("total").cast("double") * F.lit(1 - val_ratio)
+    return counts.withColumn("wanted", F.floor(share).cast("long")).filter(_holds("wanted")).first()
+
+
+def cut_within(rows: DataFrame, place: Row) -> tuple[str, str, int, int]:
+    """The cut in a bucket, counted again by further digits until it is small, and only then ranked."""
+    digits = PREFIX
     while True:
-        counts = _bucket_counts(rows, digits)
-        if wanted is None:
-            share = F.col("total").cast("double") * F.lit(1 - val_ratio)
-            counts = counts.withColumn("wanted", F.floor(share).cast("long"))
-        else:
-            counts = counts.withColumn("wanted", F.lit(wanted))
-        place = counts.filter(_holds("wanted")).first()
-        if place is None:
-            return None
         wanted = place["wanted"] - (place["upto"] - place["n"])
         rows = rows.filter(F.startswith("_hash", F.lit(place["bucket"])))
         if place["n"] <= RANKED or digits == HASH_DIGITS:
             break
         digits += PREFIX
+        place = _bucket_counts(rows, digits).withColumn("wanted", F.lit(wanted)).filter(_holds("wanted")).first()
     cut = (
         rows.groupBy("_hash", "_key")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -136,7 +142,11 @@ def train_val_split(
     comparison, so the wide rows are neither shuffled nor sorted; but if the cut falls
     between rows with equal keys, those rows are, by a digest of the whole row.
     """
-    cut = split_cut(df, key, val_ratio, seed)
+    return label_split(df, key, split_cut(df, key, val_ratio, seed), seed)
+
+
+def label_split(df: DataFrame, key: str, cut: tuple[str, str, int, int] | None, seed: int = SPLIT_SEED) -> DataFrame:
+    """Add `split` by a cut: rows up to it in the seeded order are 'train', the rest 'val'."""
     if cut is None:
         return df.withColumn("split", F.lit("val"))
     digest, text = order_hash(F.col(key), seed), key_text(F.col(key))

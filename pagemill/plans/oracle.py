@@ -431,5 +431,7 @@ ORACLES["stream_report"] = _sql("hrefs links articles arrived fetched", f"""
             WHERE j.run <= r.run AND outcome NOT IN ('ERROR', 'NON_HTML')
                   AND l.url NOT IN (SELECT v.url FROM judged v WHERE v.run <= r.run)) AS queued
     FROM (VALUES (1), (2)) AS r(run)""")
+# Pairs that arrive in batches are split as they would be all at once.
+ORACLES["split_growing"] = ORACLES["train_val_split"]
 # A crawl in batches that go on until nothing is queued comes to the same rows.
 ORACLES["crawl_resumed"] = ORACLES["crawl_site"]

@@ -19,6 +19,7 @@ from pagemill.plans.prepare import training_text as training_text_of
 from pagemill.schemas import PAGE
 from pagemill.session import materialize, scratch_path
 from pagemill.sources import jsonl
+from pagemill.sources.growing import GrowingSplit
 from pagemill.sources.pages import load_pages, save_pages
 from pagemill.sources.state import load_state, save_state
 from pagemill.streaming import ingest
@@ -140,6 +141,16 @@ def train_val_split(spark, sf_dir):
     return split.train_val_split(pairs, "url")
 
 
+@query
+def split_growing(spark, sf_dir):
+    """The same pairs arriving in three batches, split anew with each."""
+    pairs = materialize(curate.training_pairs(curated(spark, sf_dir), "url"), "pairs")
+    store = GrowingSplit(spark, scratch_path(spark, "growing"), pairs.schema)
+    for batch in range(3):
+        store.append(pairs.filter(F.crc32("url") % 3 == batch), batch)
+    return store.labelled()
+
+
 @query
 def sample_pair(spark, sf_dir):
     return split.sample_pair(train_val_split(spark, sf_dir), "url").select(

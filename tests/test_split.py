@@ -88,3 +88,26 @@ def test_large_buckets_are_counted_by_further_digits(spark, monkeypatch):
     n_train = order.index("hot") - 1  # just before the hot key
     assert split.split_cut(hot, "key", 1 - (n_train + 0.5) / 1100, 42)[1:] == (order[n_train - 1], 1, 1)
     assert split.split_cut(hot, "key", 1 - (n_train + 100.5) / 1100, 42)[1:] == ("hot", 99, 600)
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_growing_split_equals_the_split_of_all_rows(spark, tmp_path, repeated):
+    """Exact sizes after every batch, a repeated batch too; rows that changed sides are counted."""
+    from pagemill.sources.growing import GrowingSplit
+
+    schema = spark.createDataFrame([], "url string, text string").schema
+    store = GrowingSplit(spark, str(tmp_path / "g"), schema, val_ratio=0.3)
+    assert store.labelled().collect() == []
+    rows, before = [], {}
+    for batch, size in enumerate([0, 1, 40, 7, 60]):
+        new = [((f"u{i}" if i % 5 else "same") if repeated else f"u{batch}-{i}", f"t{batch}-{i}") for i in range(size)]
+        for _ in range(2 if batch == 3 else 1):
+            counts = store.append(spark.createDataFrame(new, schema), batch)
+        rows += new
+        got = {r.text: r.split for r in store.labelled().collect()}
+        want = {r.text: r.split for r in split.train_val_split(spark.createDataFrame(rows, schema), "url", 0.3).collect()}
+        assert got == want and sum(v == "train" for v in got.values()) == int(len(rows) * (1 - 0.3))
+        assert (counts["rows"], counts["train"]) == (len(rows), int(len(rows) * (1 - 0.3)))
+        if not repeated:  # of rows with equal keys at the cut, others may take the place of those before
+            assert counts["moved"] == sum(before[t] != got[t] for t in before)
+        before = got
