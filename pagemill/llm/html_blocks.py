@@ -1,11 +1,14 @@
 """The main text of a web page by block rules in two passes.
 
-A page is a sequence of blocks, the text between two block tags. The first pass decides a
-block by its containers (navigation, advert, form ...: out; an article: in), then by link
-density, length and the density of stop words, and leaves short or middling blocks open.
-The second pass gives open blocks the label of the nearest decided neighbours: of both if
-they agree, else only blocks with enough stop words and no links go in. White space within
-a block becomes one space; blocks are joined by one space.
+A page is a sequence of blocks, the text between two block tags. The first pass puts out what
+lies in navigation, adverts, forms and the like. It decides the other blocks by link density, length
+and the density of stop words, and leaves short or middling blocks open. Inside an article or
+main element a block goes out for its links alone, and in from SHORT words on. On a page whose
+text has few stop words of the lists, which is then in another language or script, length and links decide.
+The second pass gives open blocks the label of the nearest decided neighbours, those of an article within it:
+of both if they agree. Else a block of an article goes in, and another one if it has enough stop words
+and no links. On a page without article and without any block that is in, the open ones are the text if they
+have half of SHORT words together. White space within a block becomes one space; blocks are joined by one space.
 
 Defined results: null or empty html, and a page without main text, give an empty text. What
 an unclosed comment, tag, script or style swallows is not text, as in a browser. Pages are read
@@ -35,7 +38,8 @@ BLOCKS = frozenset(
     "footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p "
     "pre search section summary table tbody td tfoot th thead tr ul".split()
 )
-#: Containers of anything but main text, by element and by word of class, id or role.
+#: Containers of anything but main text, by element and by name in class, id or role. A name of several words counts if
+#: all of them are listed here or among the words that say only where or how such a container stands.
 OUTSIDE = frozenset("nav aside footer form button dialog menu head".split())
 OUTSIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments complementary "
@@ -44,6 +48,12 @@ OUTSIDE_WORDS = frozenset(
     "share sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar widget widgets".split()
 )
 READERS = frozenset("comment comments disqus replies reply respond".split())
+BESIDE = frozenset(
+    "all area articles bar bars block body bottom box buttons col column container content external fixed floating follow form "
+    "global group header icons inline inner item items latest left link links list main more outer overlay page policy post "
+    "posts primary reader readers recent right secondary section site slot sticky thread top unit us user visitor wrap wrapper x".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ARTICLE = frozenset(("article", "main"))
 #: Frequent function words of English, German, French, Spanish, Italian and Portuguese.
 STOP_WORDS = frozenset(
@@ -59,13 +69,15 @@ STOP_WORDS = frozenset(
     "si sin sobre su sus también un una uno y ya "
     "che da di e gli i il non per più sono ao as com dos em foi mais mas na nas nos não os pela pelo são uma".split()
 )
-#: The thresholds: words of a short and of a long block, stop-word and link densities.
-SHORT, LONG, STOPS_LOW, STOPS_HIGH, LINKS = 12, 30, 0.15, 0.25, 0.34
+#: The thresholds: words of a short and of a long block, stop-word and link densities; what is almost all links.
+SHORT, LONG, STOPS_LOW, STOPS_HIGH, LINKS, ALL_LINKS = 12, 30, 0.15, 0.25, 0.34, 0.8
 
 _TAG = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)|[!?/])")
 _TAG_END = re.compile(r"[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*+>")
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_WORD_PARTS = re.compile(r"[a-z]+")
+_NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Scripts written without blanks between words: two characters count as a word.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\U00020000-\U0003ffff]")
 _STRIP = ".,;:!?()[]\"'«»„“”"
 
 
@@ -76,21 +88,33 @@ class Block(NamedTuple):
     outside: bool  # of any text container
 
 
-def _outside(tag: str, attributes: str) -> tuple[bool, bool]:
+def _names(value: str, listed: frozenset[str]) -> bool:
+    """Whether a name in `value` is made of listed words and of words that go beside them."""
+    for name in value.split():
+        parts = {part.lower() for part in _NAME_PARTS.findall(name)}
+        if not parts.isdisjoint(listed) and parts <= OUTSIDE_WORDS | BESIDE:
+            return True
+    return False
+
+
+def _outside(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
     """Whether an element holds no main text, and whether it holds readers' comments."""
-    values: list[str] = []
+    values, anchor = [], ""
     if "=" in attributes or "hidden" in attributes.lower():
         for name, *value in _ATTRIBUTE.findall(attributes):
             name = name.lower()
             if name == "hidden":
                 return True, False
-            if name in ("class", "id", "role"):
-                values.append("".join(value).lower())
-    if tag in ("html", "body"):
+            if name == "id" and tag == "section" and in_article:
+                anchor = "".join(value)
+            elif name in ("class", "id", "role"):
+                values.append("".join(value))
+    # A heading within an article names a part of it, as the id of a section does unless readers speak there.
+    if tag in ("html", "body") or (tag in HEADINGS and in_article):
         return False, False
-    # An article is judged by whole names only: "comments-open" is said of one that has comments.
-    words = set(" ".join(values).split() if tag in ARTICLE else _WORD_PARTS.findall(" ".join(values)))
-    return tag in OUTSIDE or not words.isdisjoint(OUTSIDE_WORDS), not words.isdisjoint(READERS)
+    joined = " ".join(values)
+    readers = _names(joined, READERS) or _names(anchor, READERS)
+    return tag in OUTSIDE or readers or _names(joined, OUTSIDE_WORDS), readers
 
 
 def blocks_of(html: str) -> list[Block]:
@@ -168,7 +192,7 @@ def blocks_of(html: str) -> list[Block]:
         if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == tag:
             open_tags[stack.pop()[0]] -= 1
         _, inside, outside, readers = stack[-1] if stack else ("", False, False, False)
-        bad, by_readers = _outside(tag, end.group()[:-1])
+        bad, by_readers = _outside(tag, end.group()[:-1], inside)
         if tag in ARTICLE:
             inside, outside = (inside or not (bad or readers)), bad or by_readers or readers
         elif tag == "header":
@@ -182,47 +206,81 @@ def blocks_of(html: str) -> list[Block]:
     return found
 
 
-def first_pass(block: Block) -> bool | None:
-    """In, out, or open."""
+class Counts(NamedTuple):
+    words: float
+    stops: int
+    links: float  # share of the characters
+
+
+def counts_of(block: Block) -> Counts:
+    words = block.text.lower().split()
+    unspaced = len(_UNSPACED.findall(block.text))
+    stops = sum(w.strip(_STRIP) in STOP_WORDS for w in words)
+    return Counts(max(len(words), unspaced / 2), stops, block.linked / len(block.text))
+
+
+def first_pass(block: Block, counts: Counts, known: bool) -> bool | None:
+    """In, out, or open. `known`: the stop-word lists cover the language of the page."""
     if block.outside:
         return False
-    links = block.linked / len(block.text)
+    words, stops, links = counts
     if block.inside:
-        return True
+        if links > ALL_LINKS and words < LONG:
+            return False
+        return None if links > LINKS or words < SHORT else True
     if links > LINKS:
         return False
-    words = block.text.lower().split()
-    stops = sum(w.strip(_STRIP) in STOP_WORDS for w in words) / len(words)
-    if len(words) < SHORT:
+    if words < SHORT:
         return None if not block.linked else False
-    if stops >= STOPS_HIGH and len(words) >= LONG:
+    if not known:
+        return True if words >= LONG else None
+    if stops >= STOPS_HIGH * words and words >= LONG:
         return True
-    return None if stops >= STOPS_LOW else False
+    return None if stops >= STOPS_LOW * words else False
 
 
-def labels(blocks: list[Block]) -> list[bool]:
-    """Both passes."""
-    decided = [first_pass(b) for b in blocks]
-    after: list[bool] = [False] * len(blocks)
-    following = False
+def second_pass(blocks: list[Block], counts: list[Counts], decided: list[bool | None], nothing: bool | None) -> list[bool]:
+    """Open blocks by their nearest decided neighbours; where there is none, that neighbour is `nothing`."""
+    after = [nothing] * len(blocks)
+    following = nothing
     for i in range(len(blocks) - 1, -1, -1):
         after[i] = following
         following = following if decided[i] is None else decided[i]
-    out, before = [], False
-    for block, label, later in zip(blocks, decided, after):
+    out, before = [], nothing
+    for block, (words, stops, _), label, later in zip(blocks, counts, decided, after):
         if label is None:
-            if before == later:
+            if before == later and before is not None:
                 label = before
+            elif block.inside:
+                label = True
             else:
-                words = block.text.lower().split()
-                stops = sum(w.strip(_STRIP) in STOP_WORDS for w in words) / len(words)
-                label = stops >= STOPS_HIGH and not block.linked and len(words) >= SHORT
+                label = stops >= STOPS_HIGH * words and not block.linked and words >= SHORT
         else:
             before = label
         out.append(label)
     return out
 
 
+def labels(blocks: list[Block]) -> list[bool]:
+    """Both passes."""
+    counts = [counts_of(b) for b in blocks]
+    free = [c for b, c in zip(blocks, counts) if not b.outside]
+    known = sum(c.stops for c in free) >= STOPS_HIGH * sum(c.words for c in free)
+    decided = [first_pass(b, c, known) for b, c in zip(blocks, counts)]
+    out: list[bool] = [False] * len(blocks)
+    for inside in (True, False):
+        at = [i for i, b in enumerate(blocks) if (b.inside and not b.outside) == inside]
+        chosen = second_pass([blocks[i] for i in at], [counts[i] for i in at], [decided[i] for i in at], None if inside else False)
+        for i, label in zip(at, chosen):
+            out[i] = label
+    if not any(out) and not any(b.inside for b in blocks):
+        still = [i for i, label in enumerate(decided) if label is None]
+        if sum(counts[i].words for i in still) >= SHORT / 2:
+            for i in still:
+                out[i] = True
+    return out
+
+
 def main_text_of(html: str | None) -> str:
     blocks = blocks_of(html or "")
     return " ".join(b.text for b, good in zip(blocks, labels(blocks)) if good)
