@@ -3,14 +3,19 @@
 A document belongs to every domain to a degree: its posterior under a naive Bayes classifier
 taught by a labelled table. Its features are bins of document statistics and of how many words of a
 learned word list it has. Rates, at least zero, say how often each document is taken. They minimise the squared
-distance between expected and wanted token totals per domain, each in units of what the
-domain has now, by projected gradient from a rate of one: every step adds to a rate the
-document's posteriors times the relative shortfalls and cuts it off at zero.
-
-Rates depend on the bins alone, so the gradient, a sum over all documents, is
+distance between expected and wanted token totals of the domains, each over what is wanted, plus `near` times the squared
+distance of the rates from one, weighted by tokens. The second
+term chooses among rates that meet the targets, holds them to 1 + 1 / near where none do, and with a larger `near` keeps
+documents that are not clearly of a domain in excess; `highest` bounds the rates if wanted. The minimum is reached by projected
+gradient: a rate is one plus the document's posteriors times a multiplier for each domain, cut off at zero and `highest`, and a
+step moves the multipliers along the gradient, scaled by the Gram matrix of the posteriors of the documents whose rate is
+not cut off, and halved until it improves. It ends when the gradient is
+zero to the precision of doubles, after some ten steps; what the totals still miss is returned for each domain.
+
+Rates depend on the bins alone, so the sums over all documents are
 aggregated once into a table with a row for each combination of bins (at most
-6 * 6 * 6 * 4 ** domains), and a step is one aggregation over that. The driver sees one row a step. A
-document's rate is replayed from the steps within its own row: no join, no shuffle of texts.
+6 * 6 * 6 * 4 ** domains), and a step is one aggregation over that. The driver sees one row a step, of as many
+numbers as the square of the domains. A document's rate follows from its own row: no join, no shuffle of texts.
 Only DataFrame functions are used.
 
 Defined results: null and empty texts have no tokens and the bins of the smallest counts;
@@ -25,6 +30,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -41,8 +47,8 @@ SIZE_EDGES = (20, 80, 200, 500, 1500)
 VARIETY_EDGES = (0.1, 0.25, 0.4, 0.6, 0.8)
 MARK_EDGES = (0.001, 0.005, 0.02, 0.1, 0.4)
 HIT_EDGES = (0, 1, 2)
-#: Steps at most, and the relative shortfall of every domain at which they end.
-STEPS, CLOSE = 60, 1e-4
+#: Weight of the distance of the rates from one, and the relative gradient at which the descent ends.
+NEAR, CLOSE = 1e-5, 1e-10
 
 
 def _bin(value: Column, edges: tuple[float, ...]) -> Column:
@@ -143,51 +149,83 @@ def learn(binned: DataFrame, sizes: list[tuple[str, int]], n_domains: int) -> Me
     return Memberships([math.log(s / sum(seen)) for s in seen], chances)
 
 
-def _rate(posteriors: list[Column], steps: list[list[float]]) -> Column:
-    """The rate after all steps, from one."""
-    rows = F.array(*[F.array(*[F.lit(x) for x in step]) for step in steps])
+def _unbounded(posteriors: list[Column], multipliers: list[float]) -> Column:
+    return sum((p * F.lit(m) for p, m in zip(posteriors, multipliers)), F.lit(1.0))
 
-    def taken(rate: Column, step: Column) -> Column:
-        return F.greatest(F.lit(0.0), sum((p * F.get(step, k) for k, p in enumerate(posteriors)), rate))
 
-    return F.aggregate(rows, F.lit(1.0), taken) if steps else F.lit(1.0)
+def _bounded(rate: Column, highest: float) -> Column:
+    return F.least(F.lit(highest), F.greatest(F.lit(0.0), rate))
 
 
-def solve(binned: DataFrame, names: list[str], member: Memberships, weights: list[float], total: float | None) -> list[list[float]]:
-    """The steps of the projected gradient. Without `total`, the tokens wanted are as many as take the
-    domain with the largest share once, of those that have tokens."""
-    cells = binned.groupBy(*names).agg(F.sum("n_tokens").alias("n"))
-    posteriors = [F.col(f"p{k}") for k in range(len(weights))]
+def solve(
+    binned: DataFrame, names: list[str], member: Memberships, weights: list[float], total: float | None,
+    near: float, highest: float,
+) -> tuple[list[float], list[float]]:
+    """(multipliers, missed): `missed` is the expected total of each domain over the wanted one, less one; if none is wanted,
+    the share of its tokens that is left. Without `total`, the tokens wanted are as many as take the domain with the largest share once, of those that have tokens."""
+    k_all = range(len(weights))
+    cells = binned.groupBy(*names).agg(F.sum("n_tokens").cast("double").alias("n"))
+    posteriors = [F.col(f"p{k}") for k in k_all]
     cells = cells.select("n", *[p.alias(f"p{k}") for k, p in enumerate(member.posteriors())])
     # A row for each combination of bins; one partition adds up the same way every time.
-    cells = materialize(cells.coalesce(1).sortWithinPartitions("n", *[f"p{k}" for k in range(len(weights))]), "cells")
-
-    def totals(steps: list[list[float]]) -> list[float]:
-        rate = _rate(posteriors, steps)
-        row = cells.select("n", *posteriors, rate.alias("r")).agg(*[F.sum(F.col("n") * F.col("r") * p) for p in posteriors]).first()
-        return [x or 0.0 for x in row]
-
-    have = totals([])
+    cells = materialize(cells.coalesce(1).sortWithinPartitions("n", *[f"p{k}" for k in k_all]), "cells")
+
+    def sums(multipliers: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Expected totals, Gram matrix of the documents that are not cut off, and what the rates cost in `gain`."""
+        rated = cells.withColumn("u", _unbounded(posteriors, multipliers.tolist())).withColumn("r", _bounded(F.col("u"), highest))
+        n, u, r = F.col("n"), F.col("u"), F.col("r")
+        between = F.when(u == r, n).otherwise(0.0)
+        row = rated.agg(
+            *[F.sum(n * r * p) for p in posteriors],
+            *[F.sum(between * p * q) for p in posteriors for q in posteriors],
+            F.sum(n * r * (u - r / 2)),
+        ).first()
+        found = np.array([x or 0.0 for x in row], float)
+        return found[: len(weights)], found[len(weights) : -1].reshape(len(weights), -1), found[-1]
+
+    at = np.zeros(len(weights))
+    have, gram, cost = sums(at)
     if total is None:
         weight, tokens = max(((w, h) for w, h in zip(weights, have) if h > 0), default=(1.0, 0.0))
         total = tokens / weight if weight > 0 else 0.0
-    want = [total * w for w in weights]
-    steps: list[list[float]] = []
-    now, before = have, None
-    for _ in range(STEPS):
-        short = [(w - n) / h if h > 0 else 0.0 for w, n, h in zip(want, now, have)]
-        if max(map(abs, short), default=0.0) < CLOSE or now == before:
+    want, now = total * np.array(weights), have
+    # A domain without tokens is left as it is; one of which none is wanted counts by what it has.
+    some = np.flatnonzero(have > 0)
+    scale = near * np.where(want > 0, want, have)[some]
+
+    def gain(multipliers: np.ndarray, cost: float) -> float:
+        """What the multipliers maximise: the dual of the rates' own objective."""
+        m = multipliers[some]
+        return float(want[some] @ m - cost - (scale * m * m).sum() / 2)
+
+    best = gain(at, cost)
+    while len(some):
+        gradient = (want - now)[some] - scale * at[some]
+        if np.abs(gradient / np.maximum(have, want)[some]).max() < CLOSE:
             break
-        steps.append(short)
-        before, now = now, totals(steps)
-    return steps
+        step = np.zeros(len(weights))
+        step[some] = np.linalg.solve(gram[np.ix_(some, some)] + np.diag(scale), gradient)
+        share, better = 1.0, False
+        while not better and share > 1e-9:
+            there = at + share * step
+            found = sums(there)
+            value = gain(there, found[2])
+            better = value > best + 1e-4 * share * float(gradient @ step[some])
+            share /= 2
+        if not better:
+            break  # no double nearer to the minimum
+        at, best, (now, gram, cost) = there, value, found
+    missed = [float(n / w - 1) if w > 0 else float(n / h) if h > 0 else 0.0 for n, w, h in zip(now, want, have)]
+    return at.tolist(), missed
 
 
 def mix(
     docs: DataFrame, labels: DataFrame, domain: Column, weights: dict[str, float], total: float | None = None,
     seed: int = 42, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, taught_most: int = TAUGHT,
+    near: float = NEAR, highest: float = math.inf,
 ) -> DataFrame:
-    """`docs` (the columns `keep`, all without it) with n_tokens, p_<domain>, rate and copies.
+    """`docs` (the columns `keep`, all without it) with n_tokens, p_<domain>, rate, copies and, the same in every row,
+    missed_<domain>: by what share the expected tokens of the domain lie above (or below, negative) the wanted ones.
 
     `domain` is computed from the labels; `weights` are the wanted shares of the tokens, in
     any unit. Copies are the rate rounded up or down by a hash of id and seed, so that their
@@ -195,7 +233,7 @@ def mix(
     learns from `taught_most` labelled documents at most, chosen by hash; all else covers all rows.
     """
     domains, summed = list(weights), sum(weights.values())
-    new = ["n_tokens", *[f"p_{d}" for d in domains], "rate", "copies"]
+    new = ["n_tokens", *[f"p_{d}" for d in domains], "rate", "copies", *[f"missed_{d}" for d in domains]]
     taught = materialize(taught_rows(docs, labels, domain, domains, id_col, text_col, taught_most), "taught")
     lists = word_lists(taught, len(domains))
     rows, sizes = with_bins(taught, lists, "_text")
@@ -204,13 +242,14 @@ def mix(
     keep = beside(keep or docs.columns, [*new, *names, "_words", "_distinct"])
     only = list(dict.fromkeys([*keep, id_col, text_col]))
     binned, _ = with_bins(docs.select(only), lists, text_col)
-    # Written once, so that bins are computed once; the steps read only their columns.
+    # Written once, so that bins are computed once.
     binned = materialize(binned.select(*keep, "n_tokens", *names), "binned")
-    steps = solve(binned, names, member, [weights[d] / summed for d in domains], total)
+    multipliers, missed = solve(binned, names, member, [weights[d] / summed for d in domains], total, near, highest)
     out = binned.withColumns({f"p_{d}": p for d, p in zip(domains, member.posteriors())}).drop(*names)
-    out = out.withColumn("rate", _rate([F.col(f"p_{d}") for d in domains], steps))
+    out = out.withColumn("rate", _bounded(_unbounded([F.col(f"p_{d}") for d in domains], multipliers), highest))
     chance = F.pmod(F.xxhash64(F.lit(seed), id_col), F.lit(1 << 53)) / float(1 << 53)
-    return out.withColumn("copies", F.floor(F.col("rate") + chance).cast("int"))
+    out = out.withColumn("copies", F.floor(F.col("rate") + chance).cast("int"))
+    return out.withColumns({f"missed_{d}": F.lit(m) for d, m in zip(domains, missed)})
 
 
 def sample(mixed: DataFrame, columns: list[str]) -> DataFrame:

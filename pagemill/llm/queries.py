@@ -103,10 +103,10 @@ WEIGHTS = {"clean": 0.975, "low": 0.005, "toxic": 0.02}
 
 @query
 def op7_mixing(spark, sf_dir):
-    """Posteriors, rate and copies of every document for the target mix."""
+    """Posteriors, rate and copies of every document for the target mix, and what the mix misses."""
     documents, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
     mixed = mixing.mix(documents, labels, F.expr(DOMAIN), WEIGHTS, keep=["doc_id"])
-    return mixed.select("doc_id", "n_tokens", *[f"p_{d}" for d in WEIGHTS], "rate", "copies")
+    return mixed.select("doc_id", "n_tokens", *[f"p_{d}" for d in WEIGHTS], "rate", "copies", *[f"missed_{d}" for d in WEIGHTS])
 
 
 @query

@@ -3,9 +3,11 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
-from pagemill.llm.queries import PII_KEY
+from pagemill.llm import mixing
+from pagemill.llm.queries import DOMAIN, PII_KEY, WEIGHTS
 from test_simhash import plain_fingerprint, plain_groups
 
 SF = "/root/testdata/sf0.001"
@@ -43,7 +45,11 @@ def test_run_equals_its_stages(spark, tmp_path):
         if name == "mixing":
             assert docs.columns == cp.COLUMNS
             assert {tuple(r) for r in docs.collect()} <= {tuple(r) for r in before.collect()}
-            assert docs.count() > 0.6 * before.count()
+            assert docs.count() > 0.8 * before.count()
+            labels = spark.read.parquet(f"{SF}/labels.parquet")
+            rates = mixing.mix(before, labels, F.expr(DOMAIN), WEIGHTS, near=cp.NEAR, highest=cp.HIGHEST).filter("p_clean > 0.9").collect()
+            assert min(r.rate for r in rates) > 0.45 and sum(r.rate >= 0.9 for r in rates) > 0.9 * len(rates)
+            assert {r.doc_id for r in rates if r.rate >= 1} <= {r.doc_id for r in docs.collect()}
     rows = docs.collect()
     assert rows and all(r.round_trip and len(r.ids) == r.n_tokens for r in rows)
     assert sorted(map(str, cp.run(spark, SF).collect())) == sorted(map(str, rows))
