@@ -10,6 +10,9 @@ from pagemill.llm.queries import DOMAIN, PII_KEY, WEIGHTS, vocabulary
 from pagemill.session import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: When sources are mixed: the weight of rates near one, since clean documents count more than exact shares, and how often a
+#: document is taken at most.
+NEAR, HIGHEST = 0.05, 2.0
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,9 +45,9 @@ def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents sampled to the target shares of clean, low and toxic tokens."""
+    """The documents sampled to the target shares of clean, low and toxic tokens, as far as clean ones stay."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return mixing.sample(mixing.mix(docs, labels, F.expr(DOMAIN), WEIGHTS), COLUMNS)
+    return mixing.sample(mixing.mix(docs, labels, F.expr(DOMAIN), WEIGHTS, near=NEAR, highest=HIGHEST), COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
