@@ -1,15 +1,16 @@
 """Quality by weak supervision: rules vote, expectation-maximisation weighs them.
 
-Each rule votes good or bad on a document or abstains. How often a rule is right is not
-set: a model of two hidden classes, in which the votes are independent given the class,
-is fitted to the counts of vote patterns of the whole table. It estimates the share of good documents
-and, for each rule, how often it votes bad on bad and on good ones. The estimates are bounded
-(MISFIRE, SEEN), for junk has several kinds that share no votes. A document is kept if its posterior
-probability of being good is at least one half, whatever single rules say. Where that would reject
-documents without any bad vote, they are held to be good and the rest is fitted again (see `fit`).
-
-Only DataFrame functions are used on rows. The patterns are a table of at most 3 ** rules rows; the
-driver fits the model to their counts until it settles, and raises if it does not.
+Each rule votes good or bad on a document or abstains, and speaks of one kind of fault; rules of a kind
+measure it in different ways. How often a rule is right is not set: a model of one hidden class of good
+documents and one of bad ones for each kind, in which votes are independent given the class, is fitted
+to the counts of vote patterns of the whole table. It estimates the share of every class and, in every class, how
+often each rule votes bad, under priors that weigh as much as a few documents. A document is kept if its posterior
+probability of being good is at least one half. So a rule that misfires is outvoted by
+the others of its kind, and one that has no other is believed as far as the priors go.
+
+Only DataFrame functions are used on rows. The patterns are a table of at most 3 ** rules rows, in practice
+some hundred; the driver fits the model to their counts. Each round raises the likelihood, so the estimates of the last
+round are the result also where it is reached before they settle; `Weights.settled` tells.
 
 Defined results: null and empty texts have no words; every row gives a row, repeated ids
 too; an empty table gives an empty result; other columns are kept, those of the same
@@ -18,8 +19,10 @@ name as a new one or a helper (a leading underscore) are replaced or left out. W
 
 from __future__ import annotations
 
+import functools
 import math
-from dataclasses import dataclass
+import operator
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,19 +32,17 @@ from pagemill.session import materialize
 
 _BLANK = r"[\x20\x09-\x0D]+"
 WINDOW = 5
-#: Rounds of the fit, after which it raises, and the change of any estimate at which it ends.
+#: Rounds of the fit at most, and the change of any estimate at which it ends.
 ROUNDS, SETTLED = 1000, 1e-4
-#: Bounds of the estimates. Rules speak up only on faults: the greatest chance of a bad vote on a
-#: good document. Faults are of several kinds: the greatest share of bad documents that one rule sees.
-MISFIRE, SEEN = 0.001, 0.6
-#: Documents of each kind that every estimate starts from, and the least and greatest probability.
-_PRIOR, _LEAST = 1.0, 1e-4
-#: Share of bad documents to begin with.
-_BAD = 0.2
+#: Where every fit starts: the share of bad documents, over all kinds; the chance that a rule sees a fault of its kind; and the
+#: chance that it misfires, which grows by a share of the bad votes it casts.
+BAD, SEEN, MISFIRE, MISFIRES = 0.2, 0.9, 0.01, 0.1
+#: The prior of every share and chance weighs as much as this many documents, whatever the table holds.
+PRIOR = 2.0
 
 
 COUNTS = [
-    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals", "n_shouts", "n_stops", "n_lines",
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals", "n_shouts", "n_stops", "n_lines", "n_marked", "n_distinct", "n_echoes",
 ]
 _HELPERS = ["_words", "_lines", "_windows", "_order", "_starts"]
 
@@ -75,6 +76,9 @@ def base_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "n_shouts": _without(text, r"!+").cast("bigint"),
         "n_stops": _without(text, r"[.?]+").cast("bigint"),
         "n_lines": F.size("_lines").cast("bigint"),
+        "n_marked": F.size(F.filter(words, lambda w: w.rlike(r"[#*$%&|<>]"))).cast("bigint"),
+        "n_distinct": F.size(F.array_distinct(words)).cast("bigint"),
+        "n_echoes": F.size(F.filter(words, lambda w, i: w == F.get(words, i - 1))).cast("bigint"),
         "_windows": F.when(
             n >= WINDOW,
             F.transform(
@@ -110,6 +114,7 @@ def base_failed() -> Column:
 class Rule:
     """Votes good up to `good`, bad beyond `bad`, and abstains between; a null measure abstains."""
 
+    kind: str
     measure: Column
     good: float
     bad: float
@@ -129,37 +134,42 @@ def rules() -> list[Rule]:
     lines = F.when(F.col("n_lines") >= 5, F.col("n_lines"))
     long = F.when(F.col("n_words") >= 20, F.col("n_words"))
     return [
-        Rule(F.col("n_words"), 20, 10),
-        Rule(F.abs(chars / words - 6.0), 3.0, 4.0),
-        Rule(F.col("n_symbols") / chars, 0.005, 0.02),
-        Rule(F.col("n_dup_lines") / lines, 0.1, 0.3),
-        Rule(F.col("n_repeat_words") / words, 0.05, 0.2),
-        Rule(F.col("n_capitals") / chars, 0.1, 0.3),
-        Rule(F.col("n_shouts") / words, 0.02, 0.1),
-        Rule(F.col("n_stops") / long, 0.02, 0.005),
+        Rule("short", F.col("n_words"), 20, 10),
+        Rule("short", F.col("word_chars"), 60, 30),
+        Rule("words", F.abs(chars / words - 6.0), 3.0, 4.0),
+        Rule("symbols", F.col("n_symbols") / chars, 0.005, 0.02),
+        Rule("symbols", F.col("n_marked") / words, 0.02, 0.1),
+        Rule("repeats", F.col("n_dup_lines") / lines, 0.1, 0.3),
+        Rule("repeats", F.col("n_repeat_words") / words, 0.05, 0.2),
+        Rule("repeats", F.col("n_distinct") / long, 0.3, 0.1),
+        Rule("repeats", F.col("n_echoes") / long, 0.05, 0.2),
+        Rule("shouting", F.col("n_capitals") / chars, 0.1, 0.3),
+        Rule("shouting", F.col("n_shouts") / words, 0.02, 0.1),
+        Rule("run on", F.col("n_stops") / long, 0.02, 0.005),
+        Rule("run on", words / F.when(F.col("n_lines") > 0, F.col("n_lines")), 100, 300),
     ]
 
 
+def kinds(of: list[Rule]) -> list[tuple[int, ...]]:
+    """The places of the rules of each kind of fault."""
+    names = dict.fromkeys(rule.kind for rule in of)
+    return [tuple(j for j, rule in enumerate(of) if rule.kind == name) for name in names]
+
+
 @dataclass(frozen=True)
 class Weights:
-    """Share of good documents; for each rule the chance of a bad vote on bad and on good ones.
+    """The classes, good documents first: the share of each, and in each the chance of a bad vote by every rule."""
 
-    Anchored, documents without a bad vote are good."""
+    shares: tuple[float, ...]
+    chances: tuple[tuple[float, ...], ...]
+    settled: bool = False
 
-    good: float
-    on_bad: tuple[float, ...]
-    on_good: tuple[float, ...]
-    anchored: bool = False
-
-    def of_pattern(self, votes: tuple[int | None, ...]) -> float:
-        """The posterior of one pattern of votes."""
-        good, bad = self.good, 1 - self.good
-        if self.anchored and 0 not in votes:
-            return 1.0
-        for vote, on_bad, on_good in zip(votes, self.on_bad, self.on_good):
-            if vote is not None:
-                good, bad = good * (1 - on_good if vote else on_good), bad * (1 - on_bad if vote else on_bad)
-        return good / (good + bad)
+    def of_pattern(self, votes: tuple[int | None, ...]) -> list[float]:
+        """The posterior of every class for one pattern of votes."""
+        heard = [(j, vote) for j, vote in enumerate(votes) if vote is not None]
+        found = [s * math.prod(1 - p[j] if vote else p[j] for j, vote in heard) for s, p in zip(self.shares, self.chances)]
+        total = math.fsum(found)
+        return [x / total for x in found]
 
     def posterior(self, votes: list[Column]) -> Column:
         """Probability of being good."""
@@ -170,60 +180,56 @@ class Weights:
                 out = out * F.when(vote == 0, chance).when(vote == 1, 1 - chance).otherwise(1.0)
             return out
 
-        good, bad = likelihood(self.good, self.on_good), likelihood(1 - self.good, self.on_bad)
-        out = good / (good + bad)
-        if not self.anchored:
-            return out
-        return F.when(F.greatest(*[F.coalesce(vote == 0, F.lit(False)) for vote in votes]), out).otherwise(1.0)
+        good, *bad = [likelihood(share, chances) for share, chances in zip(self.shares, self.chances)]
+        return good / functools.reduce(operator.add, bad, good)
 
+    def distance(self, other: Weights) -> float:
+        mine, yours = [[*w.shares, *(x for p in w.chances for x in p)] for w in (self, other)]
+        return max(abs(a - b) for a, b in zip(mine, yours))
 
-def _settled_fit(patterns: list[tuple[tuple, int]], now: Weights, most: tuple[float, ...]) -> tuple[Weights, bool]:
-    """The weights at which the rounds settle, and whether patterns without a bad vote are good by them.
 
-    `most` bounds each rule's chance of a bad vote on a good document. The rounds end once a pattern
-    without a bad vote is taken for bad.
-    """
-    start, rows, rules_ = now, sum(n for _, n in patterns), range(len(most))
-    for _ in range(ROUNDS):
-        rated = [(votes, n, now.of_pattern(votes)) for votes, n in patterns]
-        if any(q < 0.5 for votes, _, q in rated if 0 not in votes):
-            return now, False
-
-        def chance(j: int, of_good: bool, first: float) -> float:
-            weighed = [(votes[j], n * (q if of_good else 1 - q)) for votes, n, q in rated if votes[j] is not None]
-            found = (math.fsum(w for vote, w in weighed if vote == 0) + _PRIOR * first) / (math.fsum(w for _, w in weighed) + _PRIOR)
-            return min(max(found, _LEAST), 1 - _LEAST)
-
-        good = min(max((math.fsum(n * q for _, n, q in rated) + 0.8 * _PRIOR) / (rows + _PRIOR), _LEAST), 1 - _LEAST)
-        on_good = tuple(min(chance(j, True, start.on_good[j]), most[j]) for j in rules_)
-        on_bad = tuple(min(max(chance(j, False, 0.3), on_good[j]), SEEN) for j in rules_)
-        before, now = now, Weights(good, on_bad, on_good, now.anchored)
-        change = max(abs(a - b) for a, b in zip((before.good, *before.on_bad, *before.on_good), (now.good, *now.on_bad, *now.on_good)))
-        if change < SETTLED:
-            return now, all(now.of_pattern(votes) >= 0.5 for votes, _ in patterns if 0 not in votes)
-    raise RuntimeError(f"the fit of the rules has not settled in {ROUNDS} rounds; the last change was {change:.2g}")
-
-
-def fit(votes: DataFrame, n_rules: int) -> Weights:
-    """The weights for the votes of a table. Rules are taken to vote bad more often on bad documents.
-
-    Where faults share no votes, or one pattern is very frequent, two classes can settle so that
-    documents without a bad vote are bad. The fit is then made again with these documents good, and
-    a rule that alone faults more rows than there are bad ones to begin with is not bounded.
-    """
+def _start(patterns: list[tuple[tuple, int]], groups: list[tuple[int, ...]]) -> Weights:
+    """Every kind equally frequent; a rule sees what is of its kind, and elsewhere misfires in proportion to its bad votes."""
+    rows, rules_ = sum(n for _, n in patterns), range(len(patterns[0][0]) if patterns else 0)
+    misfires = [MISFIRE + MISFIRES * sum(n for votes, n in patterns if votes[j] == 0) / rows for j in rules_]
+    faulty = [tuple(SEEN if j in group else misfires[j] for j in rules_) for group in groups]
+    return Weights((1 - BAD, *[BAD / len(groups)] * len(groups)), (tuple(misfires), *faulty))
+
+
+def _round(patterns: list[tuple[tuple, int]], now: Weights, start: Weights) -> Weights:
+    """One round of the expectation-maximisation. The priors have the means that the fit starts from."""
+    rated = [(votes, [n * q for q in now.of_pattern(votes)]) for votes, n in patterns]
+    rows = sum(n for _, n in patterns)
+    shares, chances = [], []
+    for k, (share, first) in enumerate(zip(start.shares, start.chances)):
+        shares.append((math.fsum(w[k] for _, w in rated) + PRIOR * share) / (rows + PRIOR))
+        chances.append(tuple(
+            (math.fsum(w[k] for votes, w in rated if votes[j] == 0) + PRIOR * p)
+            / (math.fsum(w[k] for votes, w in rated if votes[j] is not None) + PRIOR)
+            for j, p in enumerate(first)
+        ))
+    return Weights(tuple(shares), tuple(chances))
+
+
+def fit(votes: DataFrame, n_rules: int, groups: list[tuple[int, ...]] | None = None) -> Weights:
+    """The weights for the votes of a table. `groups` are the rules of each kind of fault, without it each rule has its own."""
     names = [f"_vote{j}" for j in range(n_rules)]
     # At most 3 ** n_rules rows, whatever the table holds; in fixed order they add up the same way every time.
     counted = votes.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).sort(*names).collect()
     patterns = [(tuple(row[c] for c in names), row["n"]) for row in counted]
-    bounds = (MISFIRE,) * n_rules
-    found, sound = _settled_fit(patterns, Weights(0.8, (0.3,) * n_rules, bounds), bounds)
-    if sound:
-        return found
-    rows = sum(n for _, n in patterns)
-    alone = [sum(n for v, n in patterns if v[j] == 0 and v.count(0) == 1) / rows for j in range(n_rules)]
-    first = tuple(x if x > _BAD else MISFIRE for x in alone)
-    most = tuple(1.0 if x > _BAD else MISFIRE for x in alone)
-    return _settled_fit(patterns, Weights(0.8, (0.3,) * n_rules, first, anchored=True), most)[0]
+    return fit_patterns(patterns, groups or [(j,) for j in range(n_rules)])
+
+
+def fit_patterns(patterns: list[tuple[tuple, int]], groups: list[tuple[int, ...]]) -> Weights:
+    """The weights for counts of vote patterns; for none, those the fit starts from."""
+    if not patterns:
+        patterns = [((None,) * (1 + max(j for group in groups for j in group)), 1)]
+    start = now = _start(patterns, groups)
+    for _ in range(ROUNDS):
+        before, now = now, _round(patterns, now, start)
+        if now.distance(before) < SETTLED:
+            return replace(now, settled=True)
+    return now
 
 
 def judge(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -232,12 +238,13 @@ def judge(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None
 
     The statistics are written once, without the texts unless they are among `keep`.
     """
-    votes = [rule.vote() for rule in rules()]
+    voters = rules()
+    votes = [rule.vote() for rule in voters]
     names = [f"_vote{j}" for j in range(len(votes))]
     keep = beside(keep or docs.columns, [*COUNTS, *_HELPERS, *names, "base_failed", "quality", "kept"])
     stats = base_statistics(docs, text_col).select(*keep, *COUNTS).withColumns(dict(zip(names, votes)))
     stats = materialize(stats, "statistics")
-    weights = fit(stats, len(names))
+    weights = fit(stats, len(names), kinds(voters))
     quality = weights.posterior([F.col(c) for c in names])
     return stats.withColumns({"base_failed": base_failed(), "quality": quality}).withColumn(
         "kept", ~F.col("base_failed") & (F.col("quality") >= 0.5)

@@ -25,30 +25,34 @@ def base_failed(stats):
     return stats[0] < 10 or 100 * stats[4] > 20 * stats[0]
 
 
-def plain_posteriors(votes):
-    """votes: list of tuples of 1, 0, None."""
+def plain_posteriors(votes, groups):
+    """votes: list of tuples of 1, 0, None; documents one by one, without patterns."""
     n, m = len(votes), len(votes[0])
-    good, on_bad, on_good = 0.8, [0.3] * m, [qr.MISFIRE] * m
+    first = [qr.MISFIRE + qr.MISFIRES * sum(v[j] == 0 for v in votes) / n for j in range(m)]
+    means = [first] + [[qr.SEEN if j in g else first[j] for j in range(m)] for g in groups]
+    begin = [1 - qr.BAD] + [qr.BAD / len(groups)] * len(groups)
+    shares, chances = begin, means
+
+    def classes(v):
+        found = list(shares)
+        for k, chance in enumerate(chances):
+            for x, p in zip(v, chance):
+                found[k] *= 1 if x is None else p if x == 0 else 1 - p
+        return [x / sum(found) for x in found]
 
-    def posterior(v):
-        a, b = good, 1 - good
-        for x, g, h in zip(v, on_good, on_bad):
-            if x is not None:
-                a, b = a * (g if x == 0 else 1 - g), b * (h if x == 0 else 1 - h)
-        return a / (a + b)
-
-    counts = Counter(votes)
     for _ in range(qr.ROUNDS):
-        q = {v: posterior(v) for v in counts}
-        old = good, on_bad, on_good
-        clip = lambda x: min(max(x, 1e-4), 1 - 1e-4)
-        chance = lambda w, j, s: clip((sum(c * w(v) for v, c in counts.items() if v[j] == 0) + s) / (sum(c * w(v) for v, c in counts.items() if v[j] is not None) + 1))
-        good = clip((sum(c * q[v] for v, c in counts.items()) + 0.8) / (n + 1))
-        on_good = [min(chance(lambda v: q[v], j, qr.MISFIRE), qr.MISFIRE) for j in range(m)]
-        on_bad = [min(max(chance(lambda v: 1 - q[v], j, 0.3), on_good[j]), qr.SEEN) for j in range(m)]
-        if max(abs(a - b) for a, b in zip([old[0], *old[1], *old[2]], [good, *on_bad, *on_good])) < qr.SETTLED:
+        known = {v: classes(v) for v in set(votes)}
+        q = [known[v] for v in votes]
+        old = [*shares, *sum(chances, [])]
+        shares = [(sum(x[k] for x in q) + qr.PRIOR * s) / (n + qr.PRIOR) for k, s in enumerate(begin)]
+        chances = [
+            [(sum(x[k] for x, v in zip(q, votes) if v[j] == 0) + qr.PRIOR * mean[j]) / (sum(x[k] for x, v in zip(q, votes) if v[j] is not None) + qr.PRIOR) for j in range(m)]
+            for k, mean in enumerate(means)
+        ]
+        if max(abs(a - b) for a, b in zip(old, [*shares, *sum(chances, [])])) < qr.SETTLED:
             break
-    return [posterior(v) for v in votes]
+    known = {v: classes(v)[0] for v in set(votes)}
+    return [known[v] for v in votes]
 
 
 def test_query(spark, texts):
@@ -63,7 +67,7 @@ def test_query(spark, texts):
 def test_verdict_against_plain_fit(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     votes = qr.base_statistics(docs).select("doc_id", *[r.vote().alias(f"v{j}") for j, r in enumerate(qr.rules())]).collect()
-    want = dict(zip([r.doc_id for r in votes], plain_posteriors([tuple(r)[1:] for r in votes])))
+    want = dict(zip([r.doc_id for r in votes], plain_posteriors([tuple(r)[1:] for r in votes], qr.kinds(qr.rules()))))
     rows = qr.judge(docs, keep=["doc_id"]).collect()
     assert max(abs(r.quality - want[r.doc_id]) for r in rows) < 1e-9
     assert all(r.kept == (not r.base_failed and r.quality >= 0.5) for r in rows)
