@@ -6,7 +6,10 @@ telephone and social-security numbers by their ranges. A valid value is put thro
 keyed Feistel network over its own format: a digit stays a digit, a letter a letter of its
 case, everything else stays where it is, check digits are computed anew, and a date stays
 a date. A Feistel network is a permutation, so equal values have equal pseudonyms in all
-documents and different values different ones. Candidates that are not valid stay.
+documents and different values different ones. Numbers are permuted without their blanks, hyphens
+and brackets, so the forms in which one card, IBAN or telephone number is written have one pseudonym, each in its form;
+a number of the North American plan also links with and without its country code. The country code stays, and so
+do the ranges: where the network leaves them it is applied again until it is back. Candidates that are not valid stay.
 
 Only DataFrame functions are used; a text is split around its matches and put together again
 within its row, whatever its length. A pseudonym may by chance equal its value, with a
@@ -25,6 +28,10 @@ from pyspark.sql import functions as F
 from pagemill.llm.worker import beside
 
 ROUNDS = 8
+#: Further permutations at most until a value is back in its ranges.
+WALK = 32
+# Codes of digits that are at least 2, a class of their own.
+_FROM_TWO = 200
 # The patterns of the kinds, in the order in which they are tried. Every part is bounded
 # and starts where no longer run of its own characters does, so matching is linear.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
@@ -47,9 +54,11 @@ IBAN = (
     r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})(?:" + "|".join(_of_length(n, c) for n, c in IBAN_LENGTHS.items())
     + r"|[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
 )
-SECRET = r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"
-NAMES = "(?:password|passwd|token|secret|api_key)"
-ASSIGNED = rf"(?<![A-Za-z0-9]){NAMES}(?: = \"|=\"?|: \"?)[A-Za-z0-9+/_-]{{8,}}+(?:\.[A-Za-z0-9+/_-]++){{0,4}}+"
+SECRET = r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}|ghp_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64})(?![A-Za-z0-9])"
+NAMES = "(?:[Pp]assword|PASSWORD|[Pp]asswd|PASSWD|[Tt]oken|TOKEN|[Ss]ecret|SECRET|[Aa]pi_key|API_KEY)"
+# In prose a colon may follow these words: without quotes, what comes then must hold a digit or be longer than words are.
+PROSE = r"(?<=[Tt]oken: |TOKEN: |[Ss]ecret: |SECRET: )(?![A-Za-z+/_-]{0,40}[0-9]|[A-Za-z+/_-]{41})"
+ASSIGNED = rf"(?<![A-Za-z0-9]){NAMES}(?: ?= ?[\"']|=|: [\"']?)(?!{PROSE})[A-Za-z0-9+/_-]{{8,}}+(?:\.[A-Za-z0-9+/_-]++){{0,4}}+"
 DATE = r"(?<![0-9.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9-])"
 IPV4 = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
@@ -62,6 +71,8 @@ KINDS = (
     ("ip", IPV4), ("ssn", SSN), ("phone", PHONE), ("national", NATIONAL), ("card", CARD),
 )
 ANY = "|".join(f"(?:{pattern})" for _, pattern in KINDS)
+#: Calling codes of one and two digits, fixed values; the others have three.
+CALLING = "^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 # The days of four centuries, the period of the calendar: 189 * 773 of them.
 _FIRST_DAY, _DAYS_HIGH, _DAYS_LOW = "1800-01-01", 189, 773
 
@@ -89,15 +100,14 @@ def _turned(codes: Column, noise: Column) -> Column:
             F.when(c.between(48, 57), 48 + F.pmod(c - 48 + by, F.lit(10)))
             .when(c.between(97, 122), 97 + F.pmod(c - 97 + by, F.lit(26)))
             .when(c.between(65, 90), 65 + F.pmod(c - 65 + by, F.lit(26)))
+            .when(c.between(_FROM_TWO, _FROM_TWO + 7), _FROM_TWO + F.pmod(c - _FROM_TWO + by, F.lit(8)))
             .otherwise(c)
         )
 
     return F.transform(codes, turn)
 
 
-def permuted(text: Column, key: str, kind: str) -> Column:
-    """`text` under a keyed permutation of all strings with the same pattern of classes."""
-    codes = _codes(text)
+def _permuted_codes(codes: Column, key: str, kind: str) -> Column:
     half = F.size(codes) / 2
     start = F.struct(
         F.slice(codes, F.lit(1), F.ceil(half).cast("int")).alias("a"),
@@ -114,13 +124,16 @@ def permuted(text: Column, key: str, kind: str) -> Column:
             F.when(even, b).otherwise(_turned(b, noise)).alias("b"),
         )
 
-    joined = F.aggregate(
-        F.sequence(F.lit(0), F.lit(ROUNDS - 1)),
-        start,
-        step,
-        lambda s: F.array_join(F.transform(F.concat(s["a"], s["b"]), lambda c: F.char(c)), ""),
-    )
-    return F.when(F.length(text) > 0, joined).otherwise(text)
+    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, step, lambda s: F.concat(s["a"], s["b"]))
+
+
+def _text(codes: Column) -> Column:
+    return F.array_join(F.transform(codes, lambda c: F.char(c)), "")
+
+
+def permuted(text: Column, key: str, kind: str) -> Column:
+    """`text` under a keyed permutation of all strings with the same pattern of classes."""
+    return F.when(F.length(text) > 0, _text(_permuted_codes(_codes(text), key, kind))).otherwise(text)
 
 
 def _digits(text: Column) -> Column:
@@ -135,12 +148,12 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(doubled, F.lit(0), lambda s, d: s + d, lambda s: s % 10)
 
 
-def _spread(digits: Column, like: Column) -> Column:
+def _spread(digits: Column, like: Column, places: str = "[0-9]") -> Column:
     """`digits` set into the places of the digits of `like`."""
     state = F.struct(F.lit(0).alias("n"), F.lit("").alias("out"))
 
     def put(s: Column, c: Column) -> Column:
-        is_digit = c.rlike("[0-9]")
+        is_digit = c.rlike(places)
         return F.struct(
             (s["n"] + F.when(is_digit, 1).otherwise(0)).alias("n"),
             F.concat(s["out"], F.when(is_digit, F.substr(digits, s["n"] + 1, F.lit(1))).otherwise(c)).alias("out"),
@@ -166,11 +179,11 @@ def _mod97(text: Column) -> Column:
 def _iban(m: Column, key: str) -> Column:
     """The country stays, the check digits are those of the new number; blanks stay in place."""
     plain = F.replace(m, F.lit(" "), F.lit(""))
-    country, body = F.left(plain, F.lit(2)), F.substr(m, F.lit(5))
-    valid = _mod97(F.concat(F.substr(plain, F.lit(5)), F.left(plain, F.lit(4)))) == 1
+    country, body = F.left(plain, F.lit(2)), F.substr(plain, F.lit(5))
+    valid = _mod97(F.concat(body, F.left(plain, F.lit(4)))) == 1
     new = permuted(body, key, "iban")
-    rest = _mod97(F.concat(F.replace(new, F.lit(" "), F.lit("")), country, F.lit("00")))
-    return F.when(valid, F.concat(country, F.lpad((98 - rest).cast("string"), 2, "0"), new))
+    rest = _mod97(F.concat(new, country, F.lit("00")))
+    return F.when(valid, _spread(F.concat(country, F.lpad((98 - rest).cast("string"), 2, "0"), new), m, "[A-Z0-9]"))
 
 
 def _day(day: Column, key: str) -> Column:
@@ -221,15 +234,26 @@ def _ip(m: Column, key: str) -> Column:
 
 
 def _ssn(m: Column, key: str) -> Column:
-    valid = ~m.rlike("^(000|666|9..)-|-00-|-0000$")
-    return F.when(valid, permuted(m, key, "ssn"))
+    """Within the ranges in use. A step of the walk leaves them with a probability of 0.11, all of them with one of 1e-31."""
+
+    def valid(x: Column) -> Column:
+        return ~x.rlike("^(000|666|9..)-|-00-|-0000$")
+
+    def step(x: Column, _: Column) -> Column:
+        return F.when(valid(x), x).otherwise(permuted(x, key, "ssn"))
+
+    return F.when(valid(m), F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), permuted(m, key, "ssn"), step))
 
 
 def _phone(m: Column, key: str) -> Column:
-    """Between 7 and 15 digits; the country code, what is before the first blank, stays."""
-    valid = F.length(_digits(m)).between(7, 15)
-    lead = F.regexp_extract(m, r"^(\+[0-9]{1,3}(?=[ .(-])|1(?=[.-]))?", 0)
-    return F.when(valid, F.concat(lead, permuted(F.substr(m, F.length(lead) + 1), key, "phone")))
+    """Between 7 and 15 digits; the country code stays. In the North American plan area and exchange begin with 2 to 9."""
+    digits, abroad = _digits(m), F.startswith(m, F.lit("+"))
+    american = digits.rlike("^1?[2-9][0-9]{2}[2-9][0-9]{6}$") & (~abroad | F.startswith(digits, F.lit("1")) & (F.length(digits) == 11))
+    codes = F.transform(_codes(F.right(digits, F.lit(10))), lambda c, i: F.when((i == 0) | (i == 3), c - 50 + _FROM_TWO).otherwise(c))
+    moved = F.transform(_permuted_codes(codes, key, "american"), lambda c: F.when(c >= _FROM_TWO, c - _FROM_TWO + 50).otherwise(c))
+    lead = F.when(american, F.left(digits, F.length(digits) - 10)).when(abroad, F.regexp_extract(digits, CALLING, 0)).otherwise("")
+    new = F.when(american, _text(moved)).otherwise(permuted(F.substr(digits, F.length(lead) + 1), key, "phone"))
+    return F.when(F.length(digits).between(7, 15), _spread(F.concat(lead, new), m))
 
 
 def _email(m: Column, key: str) -> Column:
@@ -239,15 +263,20 @@ def _email(m: Column, key: str) -> Column:
 
 
 def _assigned(m: Column, key: str) -> Column:
-    lead = F.regexp_extract(m, r"^[a-z_]+[ =:\"]+", 0)
+    lead = F.regexp_extract(m, r"^[A-Za-z_]+[ =:\"']+", 0)
     return F.concat(lead, permuted(F.substr(m, F.length(lead) + 1), key, "assigned"))
 
 
+def _secret(m: Column, key: str) -> Column:
+    lead = F.regexp_extract(m, "^(AKIA|ghp_|sk-)", 0)
+    return F.concat(lead, permuted(F.substr(m, F.length(lead) + 1), key, "secret"))
+
+
 def pseudonym(m: Column, key: str) -> Column:
     """The pseudonym of a match, null if it is not a valid value of its kind."""
     return (
         F.when(F.contains(m, F.lit("@")), _email(m, key))
-        .when(m.rlike(f"^(?:{SECRET})$"), F.concat(F.lit("AKIA"), permuted(F.substr(m, F.lit(5)), key, "secret")))
+        .when(m.rlike(f"^(?:{SECRET})$"), _secret(m, key))
         .when(m.rlike(f"^{NAMES}"), _assigned(m, key))
         .when(m.rlike("^[A-Z]{2}[0-9]{2}"), _iban(m, key))
         .when(m.rlike(f"^(?:{DATE})$"), _date(m, key))
@@ -264,7 +293,7 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: s
     # Arrays that lambdas read are columns of their own, used more than once, so that they are computed once a row.
     step = docs.select(*beside(docs.columns, ["_found", "_names", "_pieces", *([count_col] if count_col else [])]))
     # No other text can hold a match.
-    some = text.rlike("[0-9@=]") | text.rlike(f"{NAMES}: ")
+    some = text.rlike("[0-9@=]") | text.rlike(f"{NAMES}: |ghp_|sk-")
     step = step.withColumn("_found", F.when(some, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))))
     step = step.withColumn("_names", F.when(F.size(found) > 0, F.transform(found, lambda m: pseudonym(m, key))))
     step = step.withColumn("_pieces", F.when(F.size(found) > 0, F.split(text, ANY, -1)))

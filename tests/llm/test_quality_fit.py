@@ -77,7 +77,8 @@ def test_error_rates_are_estimated():
     weights = qr.fit_patterns(sorted(counts.items()), PAIRS)
     assert weights.settled and abs(weights.shares[0] - 0.85) < 0.03
     assert max(abs(a - b) for a, b in zip(weights.chances[0], true[0][1])) < 0.015
-    assert all(abs(weights.chances[k][j] - 0.8) < 0.15 for k, g in enumerate(PAIRS, 1) for j in g)
+    # Two rules a kind: what they see is known less well, since junk that only one sees looks like its misfires.
+    assert all(abs(weights.chances[k][j] - 0.8) < 0.2 for k, g in enumerate(PAIRS, 1) for j in g)
 
 
 def test_result_without_settling(monkeypatch):
