@@ -143,10 +143,10 @@ def crawl_site_batch(
     links = page_links(base_parts(F.col("url")), F.col("page.hrefs"), F.lit(domain))
     links = F.when(F.col("state").isNull(), links).alias("links")
 
-    def visit(batch: DataFrame, version: int) -> DataFrame:
+    def visit(batch: DataFrame, size: int, version: int) -> DataFrame:
         # The html is on the side that stays where it is as long as the batch is small. URLs without a page
         # have no record; `load_site_crawl` tells them by that.
-        known = site.near(batch, "url").join(batch, "url")
+        known = site.beside(batch, size)
         parsed = with_text(known.select("url", "depth", "place", "state", page)).withColumn("outcome", outcome)
         folder = progress.log.folder(f"records-{version:012d}")
         parsed.select("url", "depth", "place", "outcome", *saved, links).write.mode("overwrite").parquet(folder)
@@ -197,9 +197,9 @@ def crawl_batch(
     if fresh or not stored.is_stored():
         stored.store(links.select("src_url", "pos", "url"))
 
-    def visit(batch: DataFrame, version: int) -> DataFrame:
+    def visit(batch: DataFrame, size: int, version: int) -> DataFrame:
         parents = batch.select(F.col("url").alias("src_url"), (F.col("depth") + 1).alias("depth"), F.col("place").alias("src_ord"))
-        return stored.near(batch, "url").join(parents, "src_url").select("url", "depth", "src_ord", "pos")
+        return stored.beside(parents, size).select("url", "depth", "src_ord", "pos")
 
     return _counts(CrawlProgress(spark, state_path).advance(visit, seed, n, fresh))
 

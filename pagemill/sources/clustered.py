@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from pagemill.session import materialize
 from pagemill.sources.paths import exists, read_text, remove, replace_text
+from pagemill.sources.seen import matched
 
 BUCKET_ROWS = 1 << 10
 MOST_BUCKETS = 1 << 14
@@ -21,6 +23,7 @@ class Clustered:
 
     def __init__(self, spark: SparkSession, path: str, key: str = "url") -> None:
         self.spark, self.path, self.key = spark, path.rstrip("/"), key
+        self._read: tuple[str | None, DataFrame] | None = None
 
     def _about(self) -> str:
         return f"{self.path}/_about.json"
@@ -38,29 +41,39 @@ class Clustered:
         if buckets > 1:
             placed = placed.hint("rebalance", "_bucket")
         placed.write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.path}/rows")
-        replace_text(self.spark, self._about(), json.dumps({"buckets": buckets, "schema": rows.schema.jsonValue()}))
+        replace_text(self.spark, self._about(), json.dumps({"buckets": buckets, "schema": rows.schema.jsonValue(), "id": uuid.uuid4().hex}))
         return self
 
     @staticmethod
     def _bucket(key: Column, buckets: int) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
-    def _state(self) -> tuple[int, T.StructType]:
+    def _state(self) -> tuple[int, T.StructType, str | None]:
         about = json.loads(read_text(self.spark, self._about()))
-        return about["buckets"], T.StructType.fromJson(about["schema"])
+        return about["buckets"], T.StructType.fromJson(about["schema"]), about.get("id")
 
-    def _rows(self) -> DataFrame:
-        schema = T.StructType([*self._state()[1].fields, T.StructField("_bucket", T.IntegerType())])
-        return self.spark.read.schema(schema).parquet(f"{self.path}/rows")
+    def _rows(self, schema: T.StructType, stored: str | None) -> DataFrame:
+        """The whole table. Its folders are listed by one task each, so they are listed once for what was stored, not
+        for every lookup."""
+        if self._read is None or stored is None or self._read[0] != stored:
+            schema = T.StructType([*schema.fields, T.StructField("_bucket", T.IntegerType())])
+            self._read = stored, self.spark.read.schema(schema).parquet(f"{self.path}/rows")
+        return self._read[1]
 
     def near(self, keys: DataFrame, column: str) -> DataFrame:
         """All rows of the folders that hold the keys in a column of the stored table `keys`."""
-        buckets, schema = self._state()
+        buckets, schema, stored = self._state()
+        rows = self._rows(schema, stored)
         if buckets == 1:
-            return self._rows().select(*schema.names)
+            return rows.select(*schema.names)
         # At most one row a folder.
         wanted = keys.select(self._bucket(F.col(column), buckets).alias("b")).distinct().collect()
-        return self._rows().filter(F.col("_bucket").isin([row["b"] for row in wanted])).select(*schema.names)
+        return rows.filter(F.col("_bucket").isin([row["b"] for row in wanted])).select(*schema.names)
+
+    def beside(self, keys: DataFrame, n: int) -> DataFrame:
+        """The rows joined with a stored table of `n` rows, unique on the key. A row is shuffled only if it is
+        asked for, and not at all for few."""
+        return matched(self.near(keys, self.key), keys, self.key, n)
 
     def lookup(self, keys: DataFrame, column: str | None = None) -> DataFrame:
         """The rows with one of the keys in a column of `keys`."""

@@ -24,8 +24,8 @@ from pagemill.sources.snapshots import Snapshots
 _FOUND = "url string, depth int, src_ord bigint, pos int, part int, line bigint"
 LINE_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
-#: From a round's URLs (url, depth, place) and its version to the links found on their pages (url, src_ord, pos).
-Visit = Callable[[DataFrame, int], DataFrame]
+#: From a round's URLs (url, depth, place), their number and the round's version to the links found on their pages (url, src_ord, pos).
+Visit = Callable[[DataFrame, int, int], DataFrame]
 
 
 class CrawlProgress:
@@ -102,7 +102,7 @@ class CrawlProgress:
         while left > 0 and state["head"] < state["tail"]:
             end = min(state["head"] + left, state["tail"])
             version += 1
-            links = visit(self.places(state, state["head"], end).select("url", "depth", "place"), version)
+            links = visit(self.places(state, state["head"], end).select("url", "depth", "place"), end - state["head"], version)
             left -= end - state["head"]
             state = self._take_in(links, {**state, "head": end}, version, records)
         return state

@@ -26,29 +26,31 @@ PROBES = 4  # bits of a URL: about one new URL in fifty looks like a known one a
 BUCKET_URLS = 1 << 20
 FOLD = 8
 CAPACITY = 1 << 18
+FEW = 10_000  # rows that a join may send through the driver; Spark chooses by compressed size alone
+SENT_SEGMENTS = 1 << 11  # segments, 4 kB each, of a filter that is sent to all tasks
 
 
 def _power(n: int) -> int:
     return 1 << max(n - 1, 0).bit_length()
 
 
-def _hash(seed: int) -> Column:
-    return F.xxhash64("url") if seed == 0 else F.xxhash64("url", F.lit(seed))
+def _hash(seed: int, key: str) -> Column:
+    return F.xxhash64(key) if seed == 0 else F.xxhash64(key, F.lit(seed))
 
 
-def _slot(slots: int) -> Column:
+def _slot(slots: int, key: str = "url") -> Column:
     """Segment or bucket of a URL; both counts are powers of two, so a bucket splits into whole buckets."""
-    return F.pmod(_hash(0), F.lit(slots)).cast("int")
+    return F.pmod(_hash(0, key), F.lit(slots)).cast("int")
 
 
-def _probe(i: int) -> Column:
-    return F.pmod(_hash(i + 1), F.lit(SEGMENT_BITS))
+def _probe(i: int, key: str = "url") -> Column:
+    return F.pmod(_hash(i + 1, key), F.lit(SEGMENT_BITS))
 
 
-def _filters_of(urls: DataFrame, segments: int) -> DataFrame:
+def _filters_of(urls: DataFrame, segments: int, key: str = "url") -> DataFrame:
     """(segment, bits) of the URLs."""
-    probes = urls.select(_slot(segments).alias("segment"), F.explode(F.array(*map(_probe, range(PROBES)))).alias("bit"))
-    return probes.groupBy("segment").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    probes = F.explode(F.array(*[_probe(i, key) for i in range(PROBES)])).alias("bit")
+    return urls.select(_slot(segments, key).alias("segment"), probes).groupBy("segment").agg(F.bitmap_construct_agg("bit").alias("bits"))
 
 
 def _set(bits: Column, at: Column) -> Column:
@@ -56,6 +58,24 @@ def _set(bits: Column, at: Column) -> Column:
     return F.getbit(byte, (at % 8).cast("int")) == 1
 
 
+def apart(rows: DataFrame, n: int) -> DataFrame:
+    """A side of a join, of `n` rows or fewer, that is not broadcast unless it is small whatever it is compressed to."""
+    return rows.hint("merge") if n > FEW else rows
+
+
+def matched(rows: DataFrame, keys: DataFrame, key: str, n: int) -> DataFrame:
+    """The inner join of wide `rows` with `n` rows of `keys`, unique on `key`. Many keys do not go through the driver: a
+    Bloom filter of them, a fortieth of their size, goes to the rows, and only those that pass it are shuffled."""
+    if n > FEW:
+        segments = _power(-(-n // SEGMENT_URLS))
+        filters = _filters_of(keys, segments, key).select(F.col("segment").alias("_segment"), F.col("bits").alias("_bits"))
+        passed = rows.withColumn("_segment", _slot(segments, key)).join(F.broadcast(filters) if segments <= SENT_SEGMENTS else filters, "_segment")
+        for i in range(PROBES):
+            passed = passed.filter(_set(F.col("_bits"), _probe(i, key)))
+        rows = passed.select(*rows.columns)
+    return rows.join(apart(keys, n), key)
+
+
 class SeenUrls:
     """The set stored at `path`. `capacity` is the number of URLs that the first filters are made for."""
 
@@ -88,6 +108,10 @@ class SeenUrls:
             return self.spark.createDataFrame([], "url string")
         return self.spark.read.schema("url string").parquet(*folders)
 
+    def _known(self, state: dict, wanted: set[int] | None = None, slots: int = 1) -> DataFrame:
+        """The URLs of those folders, for the right side of a join: a set that grows is not broadcast in every batch."""
+        return apart(self._urls(self.folders(state, wanted, slots)), state["total"])
+
     def maybe(self, urls: DataFrame, state: dict) -> DataFrame:
         """(url, bucket): the URLs that the filters do not rule out."""
         n = state["segments"]
@@ -103,19 +127,18 @@ class SeenUrls:
             return self.spark.createDataFrame([], "url string")
         state = found[1]
         if state["filters"] is None:
-            return urls.select("url").join(self._urls(self.folders(state)), "url", "left_semi")
+            return urls.select("url").join(self._known(state), "url", "left_semi")
         maybe = materialize(self.maybe(urls, state), "maybe-seen")
         # At most one row for each bucket.
         wanted = {row["bucket"] for row in maybe.select("bucket").distinct().collect()}
-        known = self._urls(self.folders(state, wanted, state["buckets"]))
-        return maybe.select("url").join(known, "url", "left_semi")
+        return maybe.select("url").join(self._known(state, wanted, state["buckets"]), "url", "left_semi")
 
     def unseen(self, rows: DataFrame, before: int | None = None) -> DataFrame:
         """Rows of `rows` (unique on url) whose URL has not been added."""
         found = self.log.latest(before)
         if found and found[1]["filters"] is None:
-            return rows.join(self._urls(self.folders(found[1])), "url", "left_anti")
-        return rows.join(self.hits(rows.select("url"), before), "url", "left_anti")
+            return rows.join(self._known(found[1]), "url", "left_anti")
+        return rows.join(apart(self.hits(rows.select("url"), before), found[1]["total"] if found else 0), "url", "left_anti")
 
     def add(self, urls: DataFrame, batch: int, count: int | None = None) -> int:
         """Add unique URLs that are not in the set as a batch; returns how many these are. A caller that

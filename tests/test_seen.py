@@ -93,3 +93,19 @@ def test_versions(spark, tmp_path):
     log.commit(3, {"folders": ["data3"], "n": 30})
     assert log.latest() == (3, {"folders": ["data3"], "n": 30})
     assert read_text(spark, log.folder("data2/x")) == "2"
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_a_set_that_grows_is_not_broadcast(spark, tmp_path, monkeypatch, plan, small):
+    """Small as it is when compressed; with filters (`small`) and without."""
+    if small:
+        for name, value in (("SEGMENT_URLS", 8), ("BUCKET_URLS", 16)):
+            monkeypatch.setattr(seen_module, name, value)
+    store = SeenUrls(spark, str(tmp_path / "s"), seen_module.CAPACITY)
+    store.add(urls_of(spark, [f"https://h/{i}" for i in range(300)]), 0)
+    asked = urls_of(spark, [f"https://h/{i}" for i in range(250, 350)])
+    assert "BroadcastHashJoin" in plan(store.unseen(asked))
+    monkeypatch.setattr(seen_module, "FEW", 200)
+    rows = store.unseen(asked)
+    assert "BroadcastHashJoin" not in plan(rows) and "BroadcastHashJoin" not in plan(store.hits(asked))
+    assert {r.url for r in rows.collect()} == {f"https://h/{i}" for i in range(300, 350)}

@@ -155,3 +155,43 @@ def test_a_round_reads_the_folders_of_its_pages(spark, tmp_path, small_tables):
     assert 1 <= len(folders) <= 3 and len(list((tmp_path / "pages/rows").iterdir())) > 20
     assert sorted(r.url for r in site.lookup(asked).collect()) == sorted(r.url for r in asked.collect())
     assert crawl_site_batch(site, start, str(tmp_path / "c"), 5)["visited"] == 5
+
+
+def test_many_urls_of_a_round_do_not_go_through_the_driver(spark, tmp_path, monkeypatch, plan):
+    pages, start = many_pages(spark, 200), "https://h/a/3/x"
+    site = store_site(pages, start, str(tmp_path / "pages"))
+    spark.createDataFrame([(f"https://h/a/{i}/x", i) for i in range(0, 220, 2)], "url string, place int").write.parquet(str(tmp_path / "asked"))
+    asked = spark.read.parquet(str(tmp_path / "asked"))
+    plain = rows_of(site.near(asked, "url").join(asked, "url"))
+    monkeypatch.setattr(seen, "FEW", 20)
+    monkeypatch.setattr(seen, "SEGMENT_URLS", 8)
+    for sent in (seen.SENT_SEGMENTS, 0):
+        monkeypatch.setattr(seen, "SENT_SEGMENTS", sent)
+        found = site.beside(asked, 110)
+        assert rows_of(found) == plain and len(plain) == 100
+        last = plan(found).split("Join", 1)
+        assert last[0].rstrip().endswith("SortMerge")
+
+
+def test_a_crawl_of_large_rounds_equals_one_crawl(spark, tmp_path, monkeypatch, small_tables):
+    monkeypatch.setattr(seen, "FEW", 1)
+    pages, start, path = many_pages(spark), "https://h/a/3/x", str(tmp_path / "c")
+    while crawl_site_batch(pages, start, path, 30)["queued"]:
+        pass
+    assert rows_of(load_site_crawl(spark, path)) == rows_of(crawl_site(pages, start))
+
+
+def test_folders_of_a_stored_table_are_listed_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(clustered, "BUCKET_ROWS", 4)
+    site = store_site(many_pages(spark, 400), "https://h/a/3/x", str(tmp_path / "pages"))
+    assert len(list((tmp_path / "pages/rows").iterdir())) > 32  # more than Spark lists without a job
+    asked = spark.createDataFrame([("https://h/a/3/x",)], "url string")
+    jobs = []
+    for i in range(2):
+        spark.sparkContext.setJobGroup(f"near{i}", "")
+        site.near(asked, "url")
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"near{i}")))
+    assert jobs[1] < jobs[0]
+    # What is stored anew, also by another, is listed anew.
+    store_site(many_pages(spark, 8), "https://h/a/3/x", str(tmp_path / "pages"))
+    assert site.near(asked, "url").count() < 9
