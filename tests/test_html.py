@@ -2,12 +2,15 @@ import random
 import subprocess
 import sys
 import time
+import tracemalloc
 from html.parser import HTMLParser
 from pathlib import Path
 
+import pyarrow as pa
 import pyspark.sql.functions as F
 import pytest
 
+from pagemill.functions import html as html_module
 from pagemill.functions.html import CATEGORY_MARK, CONTENT, parse_html, parse_page
 from pagemill.operators import extract
 
@@ -234,3 +237,27 @@ assert queries()["html_title"](spark, "/root/testdata/sf0.001").collect()
 """
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_a_batch_is_parsed_in_portions():
+    """Python objects are those of a portion, however many pages a batch holds; wide characters take four bytes each."""
+    pages = [f"<h1>{i}</h1><div class=text>{'x' * 20_000}\U0001f600</div><a href={i}>a</a>" for i in range(1000)]
+    pages[7], pages[8] = None, ""
+    batch, n = pa.array(pages), []
+    tracemalloc.start()
+    for some in html_module.parsed_batches(iter([batch, batch[:0]]), *CONTENT, CATEGORY_MARK):
+        n.append(len(some))
+        if len(n) == 1:
+            assert some.to_pylist()[:9] == [parse(page) for page in pages[:9]]
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert sum(n) == 1000 and n[-1] == 0 and max(n) < 110
+    assert peak < 30e6 < 4 * sum(len(page or "") for page in pages)
+
+
+@pytest.mark.parametrize("portion", [1, 150])
+def test_portions_keep_rows_together(spark, monkeypatch, portion):
+    monkeypatch.setattr(html_module, "PORTION", portion)
+    pages = [(i, [None, "", f"<h1>{i}</h1>", "<a href=x>" * i][i % 4]) for i in range(50)]
+    rows = spark.createDataFrame(pages, "id int, html string").coalesce(1).select("id", "html", parse_html(F.col("html")).alias("p")).collect()
+    assert [(r.id, r.html, r.p and r.p.asDict()) for r in rows] == [(i, page, parse(page)) for i, page in pages]
