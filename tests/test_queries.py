@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from pagemill.functions import html as html_module
 from pagemill.plans.oracle import ORACLES
 from pagemill.plans.queries import QUERIES
 
@@ -66,3 +67,12 @@ def test_python_runs_only_where_html_is_read(spark, plan):
              "chat_messages", "seeded_order", "resolve_relative", "page_upsert", "page_source", "resume_frontier"}
     for name in html | plain:
         assert plan(queries()[name](spark, SF_DIR)).count("ArrowEvalPython") == (name in html), name
+
+
+@pytest.mark.parametrize("name", ["visit_gate"])
+def test_queries_read_html_in_portions(spark, con, monkeypatch, name):
+    """A portion a page: the rows are those of the SQL all the same."""
+    monkeypatch.setattr(html_module, "PORTION", 1)
+    rows = queries()[name](spark, SF_DIR)
+    sql = con.sql(oracle_sql()[name])
+    assert comparable(rows.columns, rows.collect()) == comparable(sql.columns, sql.fetchall())
