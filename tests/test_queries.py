@@ -69,7 +69,7 @@ def test_python_runs_only_where_html_is_read(spark, plan):
         assert plan(queries()[name](spark, SF_DIR)).count("ArrowEvalPython") == (name in html), name
 
 
-@pytest.mark.parametrize("name", ["visit_gate"])
+@pytest.mark.parametrize("name", ["visit_gate", "same_domain"])
 def test_queries_read_html_in_portions(spark, con, monkeypatch, name):
     """A portion a page: the rows are those of the SQL all the same."""
     monkeypatch.setattr(html_module, "PORTION", 1)
