@@ -261,3 +261,16 @@ def test_portions_keep_rows_together(spark, monkeypatch, portion):
     pages = [(i, [None, "", f"<h1>{i}</h1>", "<a href=x>" * i][i % 4]) for i in range(50)]
     rows = spark.createDataFrame(pages, "id int, html string").coalesce(1).select("id", "html", parse_html(F.col("html")).alias("p")).collect()
     assert [(r.id, r.html, r.p and r.p.asDict()) for r in rows] == [(i, page, parse(page)) for i, page in pages]
+
+
+def test_a_batch_goes_before_the_next_is_read():
+    """Arrow's memory, which does not grow with the number of batches."""
+    page, held, start = f"<div class=text>{'x' * 100_000}</div>", [], pa.total_allocated_bytes()
+
+    def batches():
+        for _ in range(6):
+            held.append(pa.total_allocated_bytes() - start)
+            yield pa.array([page] * 200)
+
+    assert sum(len(some) for some in html_module.parsed_batches(batches(), *CONTENT, CATEGORY_MARK)) == 1200
+    assert max(held) < 10e6 < 200 * len(page)

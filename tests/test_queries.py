@@ -4,6 +4,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.errors import PythonException
 
 from __spark_entry__ import entry, oracle_sql, queries
 from pagemill.functions import html as html_module
@@ -76,3 +77,19 @@ def test_queries_read_html_in_portions(spark, con, monkeypatch, name):
     rows = queries()[name](spark, SF_DIR)
     sql = con.sql(oracle_sql()[name])
     assert comparable(rows.columns, rows.collect()) == comparable(sql.columns, sql.fetchall())
+
+
+@pytest.mark.parametrize("name", ["visit_gate"])
+def test_queries_parse_a_portion_at_a_time(spark, monkeypatch, name):
+    """However many pages Spark puts into a batch, the parser is given a portion of it; here that is a page."""
+    parsed = html_module.parsed
+
+    def one(pages, *content):
+        assert len(pages) <= 1, f"{len(pages)} pages at a time"
+        return parsed(pages, *content)
+
+    monkeypatch.setattr(html_module, "parsed", one)
+    with pytest.raises(PythonException, match="pages at a time"):
+        queries()[name](spark, SF_DIR).collect()
+    monkeypatch.setattr(html_module, "PORTION", 1)
+    assert queries()[name](spark, SF_DIR).count() > 0
